@@ -27,14 +27,14 @@ def business_date_from_file(df: DataFrame, file_col: str, sub_entity: str,
 
 def convert_dates(df: DataFrame, cols: Sequence[str], fmt: str = "yyyy.MM.dd") -> DataFrame:
     """Parse text columns as dates; text that does not parse becomes null."""
-    return df.withColumns({c: F.try_to_date(F.col(c), F.lit(fmt)) for c in cols})
+    return df.withColumns({c: F.try_to_date(F.col(c), fmt) for c in cols})
 
 
 def date_failures(before: DataFrame, cols: Sequence[str], fmt: str = "yyyy.MM.dd") -> Column:
     """Aggregate: values present but not parseable, summed over ``cols``."""
     total = F.lit(0)
     for c in cols:
-        total = total + F.count_if(F.col(c).isNotNull() & F.try_to_date(F.col(c), F.lit(fmt)).isNull())
+        total = total + F.count_if(F.col(c).isNotNull() & F.try_to_date(F.col(c), fmt).isNull())
     return total
 
 

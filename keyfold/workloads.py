@@ -199,3 +199,260 @@ def _orders_null_keys(spark, sf_dir):
     o = fx.table(spark, sf_dir, "orders")
     return o.withColumns({"o_orderpriority": F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")),
                           "o_orderstatus": F.nullif(F.col("o_orderstatus"), F.lit("F"))})
+
+
+# ================================================================= 2.8 data quality
+LI_KEYS, LI_SEQ = ["l_orderkey", "l_linenumber"], "l_shipdate"
+DQ_SQL = """raw AS (SELECT
+  CASE WHEN l_orderkey % 20 = 3 AND l_linenumber = 1 THEN NULL ELSE l_orderkey END AS l_orderkey,
+  l_partkey, l_suppkey,
+  CASE WHEN (l_orderkey % 20 = 3 AND l_linenumber = 1) OR l_orderkey % 20 = 4 THEN NULL ELSE l_linenumber END AS l_linenumber,
+  l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,
+  'part_' || CAST(l_orderkey % 20 AS VARCHAR) AS file_name FROM lineitem),
+l1 AS (SELECT file_name, l_orderkey, l_linenumber, l_shipdate, count(*) AS c FROM raw
+       GROUP BY file_name, l_orderkey, l_linenumber, l_shipdate),
+l2 AS (SELECT file_name, l_orderkey, l_linenumber, sum(c) AS n, count_if(l_shipdate IS NOT NULL AND c > 1) AS seq_dups
+       FROM l1 GROUP BY file_name, l_orderkey, l_linenumber),
+l3 AS (SELECT file_name, CAST(sum(n) AS BIGINT) AS n_rows,
+  CAST(sum(CASE WHEN l_orderkey IS NULL AND l_linenumber IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_all_null_keys,
+  CAST(count_if(l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND n > 1) AS BIGINT) AS n_dup_keys,
+  CAST(sum(CASE WHEN l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL THEN seq_dups ELSE 0 END) AS BIGINT) AS n_dup_key_seq
+  FROM l2 GROUP BY file_name),
+listing AS (SELECT 'part_' || CAST(i AS VARCHAR) AS file_name FROM range(21) r(i)),
+v0 AS (SELECT file_name, coalesce(n_rows, 0) AS n_rows, coalesce(n_all_null_keys, 0) AS n_all_null_keys,
+  coalesce(n_dup_keys, 0) AS n_dup_keys, coalesce(n_dup_key_seq, 0) AS n_dup_key_seq
+  FROM listing LEFT JOIN l3 USING (file_name)),
+v1 AS (SELECT *, CASE WHEN n_rows = 0 THEN 'EmptyError' WHEN n_all_null_keys > 0 THEN 'KeysNull'
+  WHEN n_dup_key_seq > 0 THEN 'DuplicatedFound' WHEN n_dup_keys > 0 THEN 'DuplicatedKeyNewerSequence' END AS code FROM v0),
+verdicts AS (SELECT *, CASE WHEN code IN ('EmptyError', 'KeysNull', 'DuplicatedFound') THEN '10'
+  WHEN code = 'DuplicatedKeyNewerSequence' THEN '20' END AS severity FROM v1)"""
+
+
+def _policy_sql(fatal: tuple[str, ...]) -> str:
+    f = ", ".join(f"'{c}'" for c in fatal) or "NULL"
+    return f"""policy0 AS (SELECT *, CASE WHEN code IN ({f}) THEN 'stop'
+  WHEN code IN ('EmptyError', 'DuplicatedFound') THEN 'reject' ELSE 'accept' END AS raw_action FROM verdicts),
+policy AS (SELECT * EXCLUDE (raw_action), CASE WHEN coalesce(max(CASE WHEN raw_action = 'stop' THEN 1 ELSE 0 END)
+  OVER (ORDER BY file_name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 THEN 'skip'
+  ELSE raw_action END AS action FROM policy0)"""
+
+
+def _dq_verdicts(spark, sf_dir):
+    return quality.dq_check(fx.lineitem_files(spark, sf_dir), LI_KEYS, LI_SEQ, listing=fx.lineitem_listing(spark))
+
+
+@register("dq_check", f"WITH {DQ_SQL} SELECT * FROM verdicts")
+def q_dq_check(spark, sf_dir):
+    return _dq_verdicts(spark, sf_dir)
+
+
+@register("dq_empty", f"WITH {DQ_SQL} SELECT file_name FROM listing WHERE file_name NOT IN (SELECT file_name FROM raw)")
+def q_dq_empty(spark, sf_dir):
+    return quality.dq_empty(fx.lineitem_files(spark, sf_dir), fx.lineitem_listing(spark))
+
+
+@register("dq_null_keys", """
+SELECT 'part_' || CAST(l_orderkey % 20 AS VARCHAR) AS file_name,
+  CAST(count_if(l_orderkey % 20 = 3 AND l_linenumber = 1) AS BIGINT) AS n_all_null_keys
+FROM lineitem GROUP BY 1 HAVING count_if(l_orderkey % 20 = 3 AND l_linenumber = 1) > 0""")
+def q_dq_null_keys(spark, sf_dir):
+    return quality.dq_null_keys(fx.lineitem_files(spark, sf_dir), LI_KEYS)
+
+
+@register("dq_duplicates", f"WITH {DQ_SQL} SELECT file_name, n_dup_keys, n_dup_key_seq FROM l3 WHERE n_dup_key_seq > 0")
+def q_dq_duplicates(spark, sf_dir):
+    return quality.dq_duplicates(fx.lineitem_files(spark, sf_dir), LI_KEYS, LI_SEQ)
+
+
+@register("dq_dup_sequence", f"WITH {DQ_SQL} SELECT file_name, n_dup_keys, n_dup_key_seq FROM l3 "
+          "WHERE n_dup_keys > 0 AND n_dup_key_seq = 0")
+def q_dq_dup_sequence(spark, sf_dir):
+    return quality.dq_dup_sequence(fx.lineitem_files(spark, sf_dir), LI_KEYS, LI_SEQ)
+
+
+@register("dq_policy", f"WITH {DQ_SQL}, {_policy_sql(('KeysNull',))} SELECT * FROM policy")
+def q_dq_policy(spark, sf_dir):
+    return quality.dq_policy(_dq_verdicts(spark, sf_dir), fatal=(quality.KEYS_NULL,))
+
+
+@register("verdict_join", f"WITH {DQ_SQL}, {_policy_sql(())} SELECT raw.* FROM raw "
+          "WHERE file_name IN (SELECT file_name FROM policy WHERE action = 'accept')")
+def q_verdict_join(spark, sf_dir):
+    verdicts = quality.dq_policy(_dq_verdicts(spark, sf_dir))
+    return quality.verdict_join(fx.lineitem_files(spark, sf_dir), verdicts)
+
+
+@register("route_files", f"WITH {DQ_SQL}, {_policy_sql(('KeysNull',))} SELECT *, "
+          "CASE WHEN action = 'accept' THEN 'landing/archive/' || file_name "
+          "WHEN action IN ('reject', 'stop') THEN 'landing/error/' || file_name END AS destination FROM policy")
+def q_route_files(spark, sf_dir):
+    verdicts = quality.dq_policy(_dq_verdicts(spark, sf_dir), fatal=(quality.KEYS_NULL,))
+    return routing.route_files(verdicts, "landing/archive", "landing/error")
+
+
+# ================================================================= reconcile / snapshots
+RECON_SQL = """l AS (SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders),
+r AS (SELECT o_orderkey,
+        CASE WHEN o_orderkey % 14 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        CASE WHEN o_orderkey % 13 = 0 THEN '9-NEW' ELSE o_orderpriority END AS o_orderpriority
+      FROM orders WHERE o_orderkey % 11 <> 0
+      UNION ALL SELECT -(o_orderkey + 1), o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 17 = 0),
+j AS (SELECT coalesce(l.o_orderkey, r.o_orderkey) AS o_orderkey,
+  CASE WHEN r.o_orderkey IS NULL THEN 'left_only' WHEN l.o_orderkey IS NULL THEN 'right_only'
+       WHEN l.o_totalprice IS DISTINCT FROM r.o_totalprice OR l.o_orderpriority IS DISTINCT FROM r.o_orderpriority
+       THEN 'changed' END AS status,
+  l.o_totalprice AS left_o_totalprice, r.o_totalprice AS right_o_totalprice,
+  l.o_orderpriority AS left_o_orderpriority, r.o_orderpriority AS right_o_orderpriority
+  FROM l FULL OUTER JOIN r ON l.o_orderkey = r.o_orderkey),
+recon AS (SELECT * FROM j WHERE status IS NOT NULL)"""
+RECON_COLS = ["o_totalprice", "o_orderpriority"]
+
+
+def _recon(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    right = (o.where(k % 11 != 0).select(
+        "o_orderkey",
+        F.when(k % 14 == 0, F.lit(None)).when(k % 7 == 0, F.col("o_totalprice") + 1)
+         .otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(k % 13 == 0, F.lit("9-NEW")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+        .unionByName(o.where(k % 17 == 0).select((-(k + 1)).alias("o_orderkey"), "o_totalprice", "o_orderpriority")))
+    return reconcile.reconcile(o, right, ["o_orderkey"], RECON_COLS)
+
+
+@register("reconcile", f"WITH {RECON_SQL} SELECT * FROM recon")
+def q_reconcile(spark, sf_dir):
+    return _recon(spark, sf_dir)
+
+
+@register("diff_count", f"WITH {RECON_SQL} " + " UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, CAST(count_if(status = 'changed' AND left_{c} IS DISTINCT FROM right_{c}) AS BIGINT) AS n_diff FROM recon"
+     for c in RECON_COLS] +
+    [f"SELECT '({s})' AS column_name, CAST(count_if(status = '{s}') AS BIGINT) AS n_diff FROM recon"
+     for s in ("left_only", "right_only")]))
+def q_diff_count(spark, sf_dir):
+    return reconcile.diff_count(_recon(spark, sf_dir), RECON_COLS)
+
+
+def _customer_versions(spark, sf_dir) -> SnapshotTable:
+    c = fx.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    tbl = SnapshotTable(spark, scratch_path(spark, "customer_versions"))
+    tbl.commit(c, "WRITE OVERWRITE")
+    tbl.commit(c.where(k % 9 != 0).withColumn(
+        "c_acctbal", F.when(k % 4 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))), "WRITE OVERWRITE")
+    tbl.commit(c.where(k % 5 == 0).withColumn("c_custkey", -(k + 1)), "WRITE APPEND", mode="append")
+    return tbl
+
+
+@register("snapshot_scan", """
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+  c_mktsegment FROM customer WHERE c_custkey % 9 <> 0""")
+def q_snapshot_scan(spark, sf_dir):
+    return _customer_versions(spark, sf_dir).read(version=2)
+
+
+@register("snapshot_deleted", "SELECT * FROM customer WHERE c_custkey % 9 = 0")
+def q_snapshot_deleted(spark, sf_dir):
+    tbl = _customer_versions(spark, sf_dir)
+    return snapshot_deleted(tbl.read(1), tbl.read(2), ["c_custkey"])
+
+
+@register("snapshot_history", """
+SELECT CAST(1 AS BIGINT) AS version, 'WRITE OVERWRITE' AS operation, CAST(count(*) AS BIGINT) AS num_rows FROM customer
+UNION ALL SELECT 2, 'WRITE OVERWRITE', count(*) FROM customer WHERE c_custkey % 9 <> 0
+UNION ALL SELECT 3, 'WRITE APPEND', (SELECT count(*) FROM customer WHERE c_custkey % 9 <> 0)
+  + (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0)""")
+def q_snapshot_history(spark, sf_dir):
+    return _customer_versions(spark, sf_dir).history().select("version", "operation", "num_rows")
+
+
+# ================================================================= 2.9 labels and timing
+def _label_sql(v: str, units) -> str:
+    parts, scale = [], 1
+    for name, radix in units:
+        q = f"({v} // {scale})" if scale > 1 else f"({v})"
+        if radix:
+            q = f"({q} % {radix})"
+        parts.append(f"CASE WHEN {q} > 0 THEN CAST({q} AS VARCHAR) || ' {name}' || "
+                     f"CASE WHEN {q} > 1 THEN 's' ELSE '' END END")
+        if radix:
+            scale *= radix
+    return f"concat_ws(' ', {', '.join(reversed(parts))})"
+
+
+def _time_sql(seconds: str) -> str:
+    return _label_sql(f"CAST(round({seconds} * 1000) AS BIGINT)", labels.TIME_UNITS)
+
+
+_TIMING = ("round(sum(value), 6) AS total_duration_s, round(avg(value), 6) AS avg_duration_s, "
+           "count(*) AS total_files")
+
+
+@register("timing_by_activity", f"""
+SELECT *, {_time_sql('total_duration_s')} AS total_duration_time, {_time_sql('avg_duration_s')} AS avg_duration_time
+FROM (SELECT event_type AS activity, {_TIMING} FROM events GROUP BY event_type)""")
+def q_timing_by_activity(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events").withColumnRenamed("event_type", "activity")
+    return timing_report(ev, ["activity"], duration_col="value")
+
+
+@register("timing_total", f"""
+SELECT *, {_time_sql('total_duration_s')} AS total_duration_time, {_time_sql('avg_duration_s')} AS avg_duration_time
+FROM (SELECT {_TIMING} FROM events)""")
+def q_timing_total(spark, sf_dir):
+    return timing_report(fx.table(spark, sf_dir, "events"), [], duration_col="value")
+
+
+@register("bytes_label", f"""
+SELECT doc_id, n_chars * 1000003 AS bytes, {_label_sql('n_chars * 1000003', labels.BYTE_UNITS)} AS label FROM documents""")
+def q_bytes_label(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    b = F.col("n_chars") * 1000003
+    return d.select("doc_id", b.alias("bytes"), labels.bytes_label(b).alias("label"))
+
+
+@register("time_label", f"""
+SELECT o_orderkey, o_orderkey * 997 AS seconds, {_time_sql('o_orderkey * 997')} AS label FROM orders""")
+def q_time_label(spark, sf_dir):
+    s = F.col("o_orderkey") * 997
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", s.alias("seconds"), labels.time_label(s).alias("label"))
+
+
+@register("duration_seconds", """
+SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1e6 AS seconds FROM events""")
+def q_duration_seconds(spark, sf_dir):
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return fx.table(spark, sf_dir, "events").select("event_id", labels.duration_seconds(start, F.col("ts")).alias("seconds"))
+
+
+# ================================================================= 2.3 column transforms
+@register("business_date_from_file", """
+SELECT o_orderkey, file_name, replace(replace(file_name, 'orders_', ''), '.csv', '') AS BUSINESS_DATE
+FROM (SELECT o_orderkey, 'orders_' || strftime(o_orderdate, '%Y.%m.%d') || '.csv' AS file_name FROM orders)""")
+def q_business_date(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit(".csv")).alias("file_name"))
+    return transforms.business_date_from_file(o, "file_name", "orders")
+
+
+@register("add_source", "SELECT *, 'erp' AS SOURCE FROM orders")
+def q_add_source(spark, sf_dir):
+    return transforms.add_source(fx.table(spark, sf_dir, "orders"), "erp")
+
+
+@register("convert_dates", """
+SELECT o_orderkey, d_text, CAST(try_strptime(d_text, '%Y.%m.%d') AS DATE) AS d FROM (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+    ELSE strftime(o_orderdate, '%Y.%m.%d') END AS d_text FROM orders)""")
+def q_convert_dates(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    txt = F.when(F.col("o_orderkey") % 13 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")) \
+           .otherwise(F.date_format("o_orderdate", "yyyy.MM.dd"))
+    return transforms.convert_dates(o.select("o_orderkey", txt.alias("d_text"), txt.alias("d")), ["d"])
+
+
+@register("stamp_load_time", "SELECT o_orderkey, '2025-09-02 11:41' AS DATE_INSERT FROM orders")
+def q_stamp_load_time(spark, sf_dir):
+    return transforms.stamp_load_time(fx.table(spark, sf_dir, "orders").select("o_orderkey"), "DATE_INSERT",
+                                      run_ts="2025-09-02 09:41:39", tz="Europe/Rome", fmt="yyyy-MM-dd HH:mm")
