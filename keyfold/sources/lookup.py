@@ -14,7 +14,7 @@ def lookup_load(spark: SparkSession, path: str, *, sep: str = ";", header_lines:
     """Each file is one task (``wholetext``), so the first ``header_lines`` of every
     file are dropped exactly (the CSV reader ignores ``skipRows``). ``cols`` picks
     0-based fields; the result columns are ``names`` or ``c0, c1, ...``."""
-    lines = (spark.read.option("wholetext", "true").text(path)
+    lines = (spark.read.text(path, wholetext=True)
              .select(F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
              .where((F.col("pos") >= header_lines) & (F.length("line") > 0)))
     fields = F.split(F.col("line"), _regex_escape(sep))

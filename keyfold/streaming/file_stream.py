@@ -25,10 +25,11 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
                          non_fatal: Sequence[str] = dq.DEFAULT_NON_FATAL, max_files: int | None = None,
                          clean_source: str | None = None, archive_dir: str | None = None,
                          bronze_func=None, f_args: Sequence = (), f_kwargs: dict | None = None,
-                         bronze_schema: StructType | None = None, available_now: bool = True):
+                         bronze_schema: StructType | None = None, available_now: bool = True,
+                         read_options: dict | None = None):
     """Start the stream; with ``available_now`` it processes what has landed and stops."""
     reader = (spark.readStream.schema(raw_schema)
-              .option("delimiter", delimiter).option("header", header))
+              .option("delimiter", delimiter).option("header", header).options(**(read_options or {})))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if clean_source:

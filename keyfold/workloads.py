@@ -456,3 +456,328 @@ def q_convert_dates(spark, sf_dir):
 def q_stamp_load_time(spark, sf_dir):
     return transforms.stamp_load_time(fx.table(spark, sf_dir, "orders").select("o_orderkey"), "DATE_INSERT",
                                       run_ts="2025-09-02 09:41:39", tz="Europe/Rome", fmt="yyyy-MM-dd HH:mm")
+
+
+# ================================================================= 2.1 sources / 2.2 sinks
+@register("delimited_read", "SELECT * FROM orders")
+def q_delimited_read(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "delimited_orders")
+    o.write.options(delimiter="|", header=True, **fx.CSV_OPTIONS).csv(path)
+    return delimited.delimited_read(spark, path, o.schema, delimiter="|", file_col=None, **fx.CSV_OPTIONS)
+
+
+@register("delimited_read_untyped", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""")
+def q_delimited_read_untyped(spark, sf_dir):
+    path = scratch_path(spark, "delimited_customer")
+    fx.table(spark, sf_dir, "customer").write.options(delimiter=";", header=True).csv(path)
+    return delimited.delimited_read_untyped(spark, path, delimiter=";")
+
+
+def _orders_landing(spark, sf_dir) -> str:
+    folder = scratch_path(spark, "orders_landing")
+    o = fx.table(spark, sf_dir, "orders")
+    fx.write_named_files(spark, o, F.concat(F.lit("orders_"), F.col("o_orderstatus"), F.lit(".csv")), folder,
+                         options=fx.CSV_OPTIONS)
+    return folder
+
+
+@register("file_listing")
+def q_file_listing(spark, sf_dir):
+    return listing.file_listing(spark, _orders_landing(spark, sf_dir))
+
+
+@register("file_select", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
+def q_file_select(spark, sf_dir):
+    folder = _orders_landing(spark, sf_dir)
+    chosen = listing.file_select(listing.file_listing(spark, folder), "single", "orders_O.csv")
+    paths = [r["path"] for r in chosen.select("path").collect()]       # one row per file
+    schema = fx.table(spark, sf_dir, "orders").schema
+    return delimited.delimited_read(spark, paths, schema, file_col=None, **fx.CSV_OPTIONS)
+
+
+@register("table_scan", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 250000")
+def q_table_scan(spark, sf_dir):
+    o = tables.table_scan(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return o.where(F.col("o_totalprice") > 250000).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@register("append_write", "SELECT * FROM orders")
+def q_append_write(spark, sf_dir):
+    o, path = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "append_orders")
+    writes.append_write(o.where(F.col("o_orderstatus") == "F"), path)
+    writes.append_write(o.where(F.col("o_orderstatus") != "F"), path)
+    return spark.read.parquet(path)
+
+
+@register("overwrite_write", "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'")
+def q_overwrite_write(spark, sf_dir):
+    o, path = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "overwrite_orders")
+    writes.overwrite_write(o, path)
+    writes.overwrite_write(o.where(F.col("o_orderpriority") == "1-URGENT"), path)
+    return spark.read.parquet(path)
+
+
+@register("schema_evolve", """
+SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority) FROM orders""")
+def q_schema_evolve(spark, sf_dir):
+    o, path = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "evolve_orders")
+    writes.append_write(o.where(F.col("o_orderstatus") == "F").drop("o_orderpriority"), path)
+    writes.append_write(o.where(F.col("o_orderstatus") != "F"), path)
+    return writes.read_evolved(spark, path)
+
+
+# ================================================================= 2.11 composed plans, 2.12 streaming
+_ev_sel_b = ", ".join(EV_COLS)
+BRONZE_SQL = f"""{EV_RAW},
+b AS (SELECT {_ev_sel_b}, file_idx, file_name FROM ev
+      QUALIFY row_number() OVER (PARTITION BY file_name, user_id ORDER BY event_id DESC) = 1)"""
+
+
+def events_bronze_hook(df: DataFrame, file_name, sub_entity: str, source: str) -> DataFrame:
+    """Bronze hook: constant source and business date from the file name."""
+    return transforms.business_date_from_file(transforms.add_source(df, source), file_name, sub_entity)
+
+
+def _bronze_schema():
+    from pyspark.sql.types import StringType, StructField, StructType
+    return StructType([*fx.EVENTS_RAW_SCHEMA.fields, StructField("SOURCE", StringType()),
+                       StructField("BUSINESS_DATE", StringType())])
+
+
+def _events_bronze(spark, sf_dir, *, hook: bool = False):
+    base = scratch_path(spark, "events_ingest")
+    landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    kw = dict(bronze_func=events_bronze_hook, f_args=("events", "erp"), bronze_schema=_bronze_schema()) if hook else {}
+    res = ingest.raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], seq="event_id",
+                               op_col="op", read_options=fx.CSV_OPTIONS, move=True, **kw)
+    return bronze, res, base
+
+
+@register("raw_to_bronze", f"WITH {BRONZE_SQL} SELECT {_ev_sel_b} FROM b")
+def q_raw_to_bronze(spark, sf_dir):
+    return _events_bronze(spark, sf_dir)[0].read()
+
+
+@register("layer_transform", f"""WITH {BRONZE_SQL}
+SELECT {_ev_sel_b}, 'erp' AS SOURCE, replace(replace(file_name, 'events_', ''), '.csv', '') AS BUSINESS_DATE FROM b""")
+def q_layer_transform(spark, sf_dir):
+    return _events_bronze(spark, sf_dir, hook=True)[0].read()
+
+
+@register("step_log")
+def q_step_log(spark, sf_dir):
+    return _events_bronze(spark, sf_dir)[1].log
+
+
+@register("bronze_to_silver", f"""WITH {BRONZE_SQL}
+SELECT {_ev_sel_b} FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1
+  AND op IS DISTINCT FROM 'D'""")
+def q_bronze_to_silver(spark, sf_dir):
+    bronze, _, base = _events_bronze(spark, sf_dir)
+    silver = SnapshotTable(spark, f"{base}/silver")
+    ingest.bronze_to_silver(spark, bronze, silver, ["user_id"], seq="event_id", op_col="op")
+    return silver.read()
+
+
+def events_silver_hook(df: DataFrame, date_cols, run_ts: str | None = None) -> DataFrame:
+    """Silver hook: business dates parsed, load time stamped."""
+    return transforms.stamp_load_time(transforms.convert_dates(df, date_cols), "UpdateTimestamp", run_ts=run_ts)
+
+
+@register("layer_transform_silver", f"""WITH {BRONZE_SQL}
+SELECT {_ev_sel_b}, 'erp' AS SOURCE,
+  CAST(try_strptime(replace(replace(file_name, 'events_', ''), '.csv', ''), '%Y.%m.%d') AS DATE) AS BUSINESS_DATE,
+  TIMESTAMP '2025-09-02 09:41:39' AS UpdateTimestamp
+FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND op IS DISTINCT FROM 'D'""")
+def q_layer_transform_silver(spark, sf_dir):
+    bronze, _, base = _events_bronze(spark, sf_dir, hook=True)
+    silver = SnapshotTable(spark, f"{base}/silver")
+    ingest.bronze_to_silver(spark, bronze, silver, ["user_id"], seq="event_id", op_col="op",
+                            silver_func=events_silver_hook, f_args=(["BUSINESS_DATE"],),
+                            f_kwargs={"run_ts": "2025-09-02 09:41:39"})
+    return silver.read()
+
+
+_ev_pick_b = ", ".join(f"CASE WHEN s._s IS NOT NULL AND (t._t IS NULL OR s.op IS NOT DISTINCT FROM 'I' OR s.op IS NULL) "
+                       f"THEN s.{c} ELSE t.{c} END AS {c}" for c in EV_COLS)
+
+
+@register("raw_to_silver", f"""WITH {BRONZE_SQL},
+t AS (SELECT {_ev_sel_b}, true AS _t FROM b WHERE file_idx < 3
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND op IS DISTINCT FROM 'D'),
+s AS (SELECT {_ev_sel_b}, true AS _s FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+SELECT {_ev_pick_b} FROM t FULL OUTER JOIN s ON t.user_id = s.user_id
+WHERE NOT (s._s IS NOT NULL AND s.op IS NOT DISTINCT FROM 'D')""")
+def q_raw_to_silver(spark, sf_dir):
+    from keyfold.spec import EntitySpec
+    spec = EntitySpec("analytics", "web", "fact", "app", "events", "delta", "events",
+                      primary_keys=("user_id",), raw_schema=fx.EVENTS_RAW_SCHEMA, sequence_column="event_id",
+                      operation_column="op", read_options=fx.CSV_OPTIONS)
+    base = scratch_path(spark, "events_layers")
+    landing = f"{base}/landing"
+    bronze, silver = SnapshotTable(spark, f"{base}/bronze"), SnapshotTable(spark, f"{base}/silver")
+    fx.events_landing(spark, sf_dir, landing, files=(0, 1, 2))
+    ingest.raw_to_silver(spark, spec, landing, bronze, silver, move=True)
+    fx.events_landing(spark, sf_dir, landing, files=(3, 4))
+    ingest.raw_to_silver(spark, spec, landing, bronze, silver, move=True)
+    return silver.read()
+
+
+@register("stream_raw_to_bronze", f"WITH {BRONZE_SQL} SELECT {_ev_sel_b} FROM b")
+def q_stream_raw_to_bronze(spark, sf_dir):
+    from keyfold.streaming.file_stream import stream_raw_to_bronze
+    base = scratch_path(spark, "events_stream")
+    landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    q = stream_raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], f"{base}/_checkpoint",
+                             seq="event_id", read_options=fx.CSV_OPTIONS)
+    q.awaitTermination()
+    return bronze.read()
+
+
+# ================================================================= fiscal code
+_ALPH = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+PEOPLE_SQL = """people AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS surname, string_split(p_name, ' ')[2] AS name,
+  CAST(1940 + p_partkey % 70 AS VARCHAR) AS year, CAST(p_partkey % 12 + 1 AS VARCHAR) AS month,
+  CAST(p_partkey % 28 + 1 AS VARCHAR) AS day, CASE WHEN p_partkey % 2 = 0 THEN 'M' ELSE 'f' END AS gender,
+  CASE WHEN p_partkey % 50 = 7 THEN 'atlantis' ELSE lower(n_name) END AS town
+  FROM part JOIN nation ON n_nationkey = p_partkey % 25),
+towns AS (SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code, n_name AS town_name FROM nation)"""
+
+
+def _name_sql(s: str, first: bool) -> str:
+    cons = f"regexp_replace(upper({s}), '[^{fiscal.CONSONANTS}]', '', 'g')"
+    vow = f"regexp_replace(upper({s}), '[^{fiscal.VOWELS}]', '', 'g')"
+    plain = f"substr({cons} || {vow} || 'XX', 1, 3)"
+    if not first:
+        return plain
+    return (f"CASE WHEN length({cons}) > 3 THEN substr({cons}, 1, 1) || substr({cons}, 3, 1) || substr({cons}, 4, 1) "
+            f"ELSE {plain} END")
+
+
+_M, _D = "TRY_CAST(month AS INTEGER)", "TRY_CAST(day AS INTEGER)"
+BIRTH_SQL = (f"substr(year, 3) || CASE WHEN {_M} BETWEEN 1 AND 12 THEN substr('{fiscal.MONTH_LETTERS}', {_M}, 1) END || "
+             f"CASE WHEN upper(gender) = 'M' THEN lpad(CAST({_D} AS VARCHAR), 2, '0') ELSE CAST({_D} + 40 AS VARCHAR) END")
+
+
+def _check_sql(c: str) -> str:
+    odd = "[" + ", ".join(str(fiscal.ODD_VALUES[ch]) for ch in _ALPH) + "]"
+    even = "[" + ", ".join(str(fiscal.EVEN_VALUES[ch]) for ch in _ALPH) + "]"
+    pos = f"strpos('{_ALPH}', substr({c}, i, 1))"
+    total = (f"list_sum(list_transform(range(1, 16), lambda i: coalesce(CASE WHEN i % 2 = 1 THEN {odd}[{pos}] "
+             f"ELSE {even}[{pos}] END, 0)))")
+    return f"CASE WHEN length({c}) = 15 THEN chr(CAST(65 + {total} % 26 AS INTEGER)) END"
+
+
+CODES_SQL = f"""{PEOPLE_SQL},
+j AS (SELECT people.*, towns.town_code, towns.town_name IS NOT NULL AS town_found
+      FROM people LEFT JOIN towns ON upper(people.town) = upper(towns.town_name)),
+b AS (SELECT *, {_name_sql('surname', False)} || {_name_sql('name', True)} || {BIRTH_SQL} || town_code AS code15 FROM j),
+codes AS (SELECT * EXCLUDE (code15), code15 || {_check_sql('code15')} AS fiscal_code FROM b)"""
+
+
+def _people(spark, sf_dir):
+    return fx.people(spark, sf_dir)
+
+
+def _towns(spark, sf_dir):
+    n = fx.table(spark, sf_dir, "nation")
+    return n.select(fx.town_code(F.col("n_nationkey")).alias("town_code"), F.col("n_name").alias("town_name"))
+
+
+@register("name_code", f"""WITH {PEOPLE_SQL}
+SELECT p_partkey, {_name_sql('surname', False)} AS surname_code, {_name_sql('name', True)} AS name_code FROM people""")
+def q_name_code(spark, sf_dir):
+    return _people(spark, sf_dir).select("p_partkey", fiscal.name_code(F.col("surname"), first_name=False).alias("surname_code"),
+                                         fiscal.name_code(F.col("name")).alias("name_code"))
+
+
+@register("birth_code", f"WITH {PEOPLE_SQL} SELECT p_partkey, {BIRTH_SQL} AS birth_code FROM people")
+def q_birth_code(spark, sf_dir):
+    return _people(spark, sf_dir).select("p_partkey", fiscal.birth_code("year", "month", "day", "gender").alias("birth_code"))
+
+
+@register("check_char", f"""WITH {PEOPLE_SQL},
+j AS (SELECT people.*, towns.town_code FROM people LEFT JOIN towns ON upper(people.town) = upper(towns.town_name)),
+b AS (SELECT p_partkey, {_name_sql('surname', False)} || {_name_sql('name', True)} || {BIRTH_SQL} || town_code AS code15 FROM j)
+SELECT p_partkey, code15, {_check_sql('code15')} AS check_char FROM b""")
+def q_check_char(spark, sf_dir):
+    j = fiscal.town_lookup(_people(spark, sf_dir), _towns(spark, sf_dir))
+    code15 = F.concat(fiscal.name_code(F.col("surname"), first_name=False), fiscal.name_code(F.col("name")),
+                      fiscal.birth_code("year", "month", "day", "gender"), F.col("town_code"))
+    return j.select("p_partkey", code15.alias("code15")).withColumn("check_char", fiscal.check_char("code15"))
+
+
+@register("fiscal_code", f"WITH {CODES_SQL} SELECT * FROM codes")
+def q_fiscal_code(spark, sf_dir):
+    return fiscal.fiscal_code(_people(spark, sf_dir), _towns(spark, sf_dir))
+
+
+@register("town_lookup", f"""WITH {PEOPLE_SQL}
+SELECT p_partkey, town, towns.town_code, towns.town_name IS NOT NULL AS town_found
+FROM people LEFT JOIN towns ON upper(people.town) = upper(towns.town_name)""")
+def q_town_lookup(spark, sf_dir):
+    path = fx.write_town_file(spark, sf_dir, scratch_path(spark, "towns"))
+    towns = lookup.lookup_load(spark, path, sep=";", header_lines=2, cols=[0, 2], names=["town_code", "town_name"])
+    return fiscal.town_lookup(_people(spark, sf_dir).select("p_partkey", "town"), towns)
+
+
+@register("lookup_load", "SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code, n_name AS town_name FROM nation")
+def q_lookup_load(spark, sf_dir):
+    path = fx.write_town_file(spark, sf_dir, scratch_path(spark, "towns"))
+    return lookup.lookup_load(spark, path, sep=";", header_lines=2, cols=[0, 2], names=["town_code", "town_name"])
+
+
+@register("lookup_unpivot", "SELECT n_name AS town_name, 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code FROM nation")
+def q_lookup_unpivot(spark, sf_dir):
+    path = fx.write_wide_town_file(spark, sf_dir, scratch_path(spark, "towns_wide"))
+    wide = lookup.lookup_load(spark, path, sep="\t", header_lines=1, cols=list(range(8)))
+    return lookup.lookup_unpivot(wide, 4, key="town_name", value="town_code")
+
+
+_VALID = {k: v.replace("'", "''") for k, v in fiscal.PATTERNS.items()}   # SQL-quoted
+
+
+@register("person_validate", f"""WITH {PEOPLE_SQL},
+f AS (SELECT *,
+  coalesce(regexp_matches(surname, '{_VALID['str']}'), false) AS surname_ok,
+  coalesce(regexp_matches(name, '{_VALID['str']}'), false) AS name_ok,
+  coalesce(regexp_matches(year, '{_VALID['year']}'), false) AS year_ok,
+  coalesce(regexp_matches(month, '{_VALID['month']}'), false) AS month_ok,
+  coalesce(regexp_matches(day, '{_VALID['day']}'), false) AS day_ok,
+  coalesce(regexp_matches(gender, '{_VALID['gender']}'), false) AS gender_ok,
+  coalesce(regexp_matches(town, '{_VALID['str']}'), false) AS town_ok,
+  try_cast(make_date(TRY_CAST(year AS BIGINT), TRY_CAST(month AS BIGINT), TRY_CAST(day AS BIGINT)) AS DATE) IS NOT NULL AS date_valid
+  FROM people)
+SELECT *, surname_ok AND name_ok AND year_ok AND month_ok AND day_ok AND gender_ok AND town_ok AND date_valid AS valid FROM f""")
+def q_person_validate(spark, sf_dir):
+    return fiscal.person_validate(_people(spark, sf_dir))
+
+
+REGISTER_SQL = f"""WITH {CODES_SQL},
+reg AS (SELECT upper(surname) AS Surname, upper(name) AS Name, upper(year) AS Year, upper(month) AS Month,
+  upper(day) AS Day, upper(gender) AS Gender, upper(town) AS Town, upper(fiscal_code) AS Fiscal_code FROM codes)"""
+
+
+def _register(spark, sf_dir):
+    codes = fiscal.fiscal_code(_people(spark, sf_dir), _towns(spark, sf_dir))
+    out = codes.select(*[F.col(c).alias(n) for c, n in (
+        ("surname", "Surname"), ("name", "Name"), ("year", "Year"), ("month", "Month"), ("day", "Day"),
+        ("gender", "Gender"), ("town", "Town"), ("fiscal_code", "Fiscal_code"))])
+    path = scratch_path(spark, "code_register")
+    writes.code_register_write(out, path)
+    return delimited.delimited_read_untyped(spark, path, delimiter=";")
+
+
+@register("code_register_write", f"{REGISTER_SQL} SELECT * FROM reg")
+def q_code_register_write(spark, sf_dir):
+    return _register(spark, sf_dir)
+
+
+@register("code_search", f"{REGISTER_SQL} SELECT * FROM reg WHERE Gender = upper('f')")
+def q_code_search(spark, sf_dir):
+    return fiscal.code_search(_register(spark, sf_dir), "Gender", "f")
