@@ -1,6 +1,6 @@
 """Readable labels for byte counts and durations, as column expressions.
 
-Exact integer arithmetic (div/mod on decimals), units with a zero left out,
+Exact integer arithmetic (div/mod on whole decimals), units with a zero left out,
 plural ``s`` above 1, largest unit first, the last unit unbounded.
 """
 
@@ -25,7 +25,8 @@ def unit_label(value, units: Sequence[tuple[str, int | None]]) -> Column:
     v = _c(value).cast("decimal(38,0)")
     parts, scale = [], 1
     for name, radix in units:
-        q = F.floor(v / F.lit(scale)) if scale > 1 else v
+        # exact integer division: v - (v mod scale) is a multiple of scale
+        q = ((v - F.pmod(v, F.lit(scale))) / F.lit(scale)).cast("decimal(38,0)") if scale > 1 else v
         if radix is not None:
             q = F.pmod(q, F.lit(radix))
         q = q.cast("decimal(38,0)")
