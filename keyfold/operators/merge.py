@@ -98,17 +98,84 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
     return out
 
 
+# Change sets up to this many keys take the broadcast path (keys + op only are shipped).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int) -> bool:
+    if strategy == "shuffle":
+        return False
+    if strategy == "broadcast":
+        return True
+    if strategy != "auto":
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    # size check on the change set (one count); the target is never counted
+    return source.limit(max_rows + 1).count() <= max_rows
+
+
+def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                     op_col: str | None, unmatched_delete: str) -> DataFrame:
+    """Same result as the full outer join when the change set is small: its keys
+    (and op) are broadcast, the target streams through map-side hash joins
+    (no shuffle of the target), and change rows are unioned back."""
+    keys = list(keys)
+    cols = _out_columns(target, source)
+    bypass_t = target.where(_any_null(keys))
+    bypass_s = source.where(_any_null(keys))
+    target = target.where(~_any_null(keys))
+    source = source.where(~_any_null(keys))
+    if op_col is None:
+        kept = target.join(F.broadcast(source.select(*keys)), keys, "left_anti")
+        parts = [kept, source, bypass_t, bypass_s]
+        return _union_all([_align(p, cols) for p in parts])
+    op = F.col(op_col)
+    replace = op.isNull() | op.eqNullSafe(INSERT)
+    delete = op.eqNullSafe(DELETE)
+    other = ~replace & ~delete
+    marks = source.select(*keys, op.alias("__kf_op"), F.lit(True).alias(_S))
+    tagged = target.join(F.broadcast(marks), keys, "left")
+    t_op = F.col("__kf_op")
+    kept = tagged.where(F.col(_S).isNull() | (~(t_op.isNull() | t_op.eqNullSafe(INSERT) | t_op.eqNullSafe(DELETE))))
+    kept = kept.drop("__kf_op", _S)
+    insertable = other | (delete if unmatched_delete == "insert" else F.lit(False))
+    maybe = source.where(insertable)
+    matched = target.select(*keys).join(F.broadcast(maybe.select(*keys)), keys, "left_semi")
+    inserts = maybe.join(F.broadcast(matched), keys, "left_anti")   # matched <= change-set size
+    ins_null = bypass_s if unmatched_delete == "insert" else bypass_s.where(~delete)
+    parts = [kept, source.where(replace), inserts, bypass_t, ins_null]
+    return _union_all([_align(p, cols) for p in parts])
+
+
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col: str,
-              *, unmatched_delete: str = "skip") -> DataFrame:
+              *, unmatched_delete: str = "skip", strategy: str = "auto",
+              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Matched & op ``D`` → delete; matched & op ``I`` or null → source row (all columns,
     nulls included); matched & another op → target row stays; not matched → insert,
-    except op ``D`` which is skipped unless ``unmatched_delete='insert'``."""
+    except op ``D`` which is skipped unless ``unmatched_delete='insert'``.
+
+    ``strategy``: ``shuffle`` (full outer join), ``broadcast`` (change-set keys
+    broadcast), or ``auto`` (broadcast when the change set has at most
+    ``broadcast_max_rows`` rows, checked by a count of the change set)."""
+    if unmatched_delete not in ("skip", "insert"):
+        raise ValueError("unmatched_delete must be 'skip' or 'insert'")
+    if _is_small(source, keys, strategy, broadcast_max_rows):
+        return _merge_broadcast(target, source, keys, op_col, unmatched_delete)
     return _merge(target, source, keys=keys, condition=None, op_col=op_col,
                   unmatched_delete=unmatched_delete, coalesce_values=False)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, strategy: str = "auto",
+                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Matched → source row; not matched → insert."""
+    if _is_small(source, keys, strategy, broadcast_max_rows):
+        return _merge_broadcast(target, source, keys, None, "insert")
     return _merge(target, source, keys=keys, condition=None, op_col=None,
                   unmatched_delete="insert", coalesce_values=False)
 

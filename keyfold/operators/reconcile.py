@@ -22,6 +22,17 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
     keys = list(keys)
     cols = list(columns) if columns is not None else [
         c for c in left.columns if c not in keys and c in right.columns]
+    # a null key never matches: those rows are one-sided by definition and bypass
+    # the join, so they cannot pile up in one join partition
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    side = lambda df, tag: df.where(any_null).select(
+        *keys, F.lit(tag).alias("status"),
+        *[x for c in cols for x in ((F.col(c) if tag == "left_only" else F.lit(None).cast(df.schema[c].dataType)).alias(f"left_{c}"),
+                                     (F.col(c) if tag == "right_only" else F.lit(None).cast(df.schema[c].dataType)).alias(f"right_{c}"))])
+    null_rows = side(left, "left_only").unionByName(side(right, "right_only"))
+    left, right = left.where(~any_null), right.where(~any_null)
     l = left.select(*keys, *cols, F.lit(True).alias(_L)).alias("l")
     r = right.select(*keys, *cols, F.lit(True).alias(_R)).alias("r")
     cond = None
@@ -39,7 +50,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    status.alias("status"),
                    *[x for c in cols for x in (F.col(f"l.{c}").alias(f"left_{c}"),
                                                 F.col(f"r.{c}").alias(f"right_{c}"))])
-    return out.where(F.col("status").isNotNull())
+    return out.where(F.col("status").isNotNull()).unionByName(null_rows)
 
 
 def diff_count(recon: DataFrame, columns: Sequence[str]) -> DataFrame:

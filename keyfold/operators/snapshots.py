@@ -101,4 +101,9 @@ class SnapshotTable:
 def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the old version whose key is gone in the new one (an anti join;
     Catalyst does not turn ``left join … where new.k is null`` into one)."""
-    return old.join(new.select(*keys), list(keys), "left_anti")
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    # null keys never match, so those rows are gone by definition and skip the join
+    return (old.where(~any_null).join(new.select(*keys).where(~any_null), list(keys), "left_anti")
+            .unionByName(old.where(any_null)))

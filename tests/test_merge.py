@@ -70,3 +70,18 @@ def test_schema_evolution(spark):
 def test_first_load_drops_deletes(spark):
     assert rows(merge.first_load(_s(spark), "op"), "k") == sorted(
         [(3,), (4,), (5,), (7,), (None,)], key=lambda t: str(t[0]))
+
+
+@pytest.mark.parametrize("unmatched_delete", ["skip", "insert"])
+def test_broadcast_path_equals_shuffle_path(spark, unmatched_delete):
+    for fn, kw in ((merge.merge_ops, {"op_col": "op", "unmatched_delete": unmatched_delete}), (merge.merge_upsert, {})):
+        a = fn(_t(spark), _s(spark), ["k"], strategy="shuffle", **kw)
+        b = fn(_t(spark), _s(spark), ["k"], strategy="broadcast", **kw)
+        assert rows(a) == rows(b)
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_auto_strategy_bound(spark):
+    out = merge.merge_ops(_t(spark), _s(spark), ["k"], "op", strategy="auto", broadcast_max_rows=2)
+    assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()

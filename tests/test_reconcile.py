@@ -9,3 +9,10 @@ def test_reconcile_cases(spark):
     assert rows(out, "k", "status") == [(2, "changed"), (3, "changed"), (5, "left_only"), (6, "right_only")]
     dc = {r.column_name: r.n_diff for r in reconcile.diff_count(out, ["c"]).collect()}
     assert dc == {"c": 2, "(left_only)": 1, "(right_only)": 1}
+
+
+def test_null_keys_are_one_sided(spark):
+    left = spark.createDataFrame([(None, "a"), (1, "b")], "k int, c string")
+    right = spark.createDataFrame([(None, "a"), (1, "b")], "k int, c string")
+    out = reconcile.reconcile(left, right, ["k"])
+    assert rows(out, "k", "status") == [(None, "left_only"), (None, "right_only")]
