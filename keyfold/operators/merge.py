@@ -201,3 +201,24 @@ def first_load(source: DataFrame, op_col: str | None = None) -> DataFrame:
     if op_col:
         return source.where(~F.col(op_col).eqNullSafe(DELETE))
     return source
+
+
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], op_col: str | None = None,
+                     *, unmatched_delete: str = "skip") -> None:
+    """Native row-level merge for catalogs that support it (``DataFrame.mergeInto``),
+    with the same rules as ``merge_ops`` / ``merge_upsert``. Plain Parquet tables
+    reject it; use ``SnapshotTable.merge`` there."""
+    cond = None
+    for k in keys:
+        e = F.col(f"{table}.{k}") == F.col(f"source.{k}")
+        cond = e if cond is None else cond & e
+    w = source.alias("source").mergeInto(table, cond)
+    if op_col is None:
+        w = w.whenMatched().updateAll().whenNotMatched().insertAll()
+    else:
+        op = F.col(f"source.{op_col}")
+        w = (w.whenMatched(op == DELETE).delete()
+              .whenMatched(op.isNull() | (op == INSERT)).updateAll())
+        w = w.whenNotMatched() if unmatched_delete == "insert" else w.whenNotMatched(~op.eqNullSafe(DELETE))
+        w = w.insertAll()
+    w.merge()

@@ -7,6 +7,7 @@ hook → latest row per (file, key) → null keys dropped → write → route 
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyfold.functions.transforms import check_schema
+from keyfold.operators import merge as merge_mod
 from keyfold.operators import quality as dq
 from keyfold.operators.dedupe import drop_null_keys, latest_per_key
 from keyfold.operators.snapshots import SnapshotTable
@@ -77,6 +79,11 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     res = BronzeResult(files=len(files))
     if not files:
         return res
+    # The same landed files always give the same batch id: a rerun after a crash
+    # between the bronze commit and the file moves does not write them twice.
+    batch_id = batch_id or "files:" + hashlib.sha1("\n".join(sorted(
+        f"{r['name']}|{r['size']}|{r['modificationTime']}" for r in files)).encode()).hexdigest()
+    already = bronze.has_batch(batch_id)
     order = {r["name"]: i for i, r in enumerate(sorted(files, key=lambda r: (r["modificationTime"], r["name"])))}
     files_df = spark.createDataFrame(
         [(r["path"], r["name"], r["size"], r["modificationTime"], order[r["name"]]) for r in files],
@@ -100,19 +107,21 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     if write_mode == "overwrite":
         last = verdicts.where(F.col("action") == "accept").orderBy(F.desc("file_order")).limit(1)
         rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")
-    if write_mode == "merge":
+    if already:                       # this file set is committed already
+        res.version = bronze.version()
+    elif write_mode == "merge":
         ordered = rows.join(F.broadcast(verdicts.select("file_name", "file_order")), "file_name")
         changes = (latest_per_key(ordered, keys, seq, before_seq=[F.col("file_order")])
                    if seq else latest_per_key(ordered, keys, "file_order"))
         changes = changes.drop("file_name", "file_order")
-        if bronze.create_if_absent(changes, op_col):
+        if bronze.exists():
             res.version = bronze.merge(changes, keys, op_col, batch_id=batch_id)
         else:
-            res.version = bronze.version()
+            res.version = bronze.commit(merge_mod.first_load(changes, op_col), "CREATE", batch_id=batch_id)
     else:
         res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
                                     mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id)
-    if quarantine is not None:
+    if quarantine is not None and not already:
         quarantine.commit(dq.rejected_rows(raw, verdicts), "QUARANTINE",
                           mode="append" if quarantine.exists() else "overwrite")
     log.end("write")

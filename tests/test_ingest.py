@@ -88,3 +88,14 @@ def test_file_select(spark):
     assert lst.count() == 4 and "content" not in lst.columns
     assert [r.name for r in listing.file_select(lst, "single", "gl_2025.01.02.csv").collect()] == ["gl_2025.01.02.csv"]
     assert listing.file_select(lst, "last").count() == 1
+
+
+def test_rerun_after_crash_before_moves_writes_once(spark):
+    base = _landing(spark, "ingest_rerun")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=False)
+    first = rows(bronze.read())
+    # files were not moved (as after a crash); the rerun must not append them again
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True)
+    assert rows(bronze.read()) == first and bronze.version() == 1
+    assert fs.list_files(spark, f"{base}/landing", ".csv") == []
