@@ -10,7 +10,9 @@ overwrite and merge commits start a new list.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +28,29 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("folders", T.ArrayType(T.StringType()), False),
     T.StructField("num_rows", T.LongType(), True),
     T.StructField("batch_id", T.StringType(), True),
+    T.StructField("schema_json", T.StringType(), True),
+    T.StructField("rewritten", T.LongType(), True),
 ])
+BUCKET = "__kf_bucket"
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """``partition_by`` (columns that are part of the key, e.g. a period) or
+    ``buckets`` (a hash of the key) lay the data out in partitions; a merge then
+    reads and rewrites only the partitions its change set touches, and later
+    versions refer to untouched partition folders of earlier ones."""
+
+    def __init__(self, spark: SparkSession, path: str, *, partition_by: Sequence[str] = (),
+                 buckets: int | None = None, keys: Sequence[str] = ()):
         self.spark, self.path = spark, path.rstrip("/")
         self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/_commits"
+        self.keys = list(keys)
+        if buckets and not self.keys:
+            raise ValueError("buckets need the key columns")
+        self.buckets = buckets
+        self.partition_by = [BUCKET] if buckets else list(partition_by)
 
     def exists(self) -> bool:
         return fs.exists(self.spark, self.log_path)
@@ -57,12 +74,61 @@ class SnapshotTable:
     def has_batch(self, batch_id: str) -> bool:
         return self.exists() and self.history().where(F.col("batch_id") == batch_id).limit(1).count() > 0
 
+    # ---- reading -------------------------------------------------------------------
+    def _read_folders(self, folders: Sequence[str], schema_json: str | None) -> DataFrame:
+        if not self.partition_by or not schema_json:
+            return self.spark.read.option("mergeSchema", "true").parquet(*folders)
+        schema = T.StructType.fromJson(json.loads(schema_json))
+        by_version: dict[str, list[str]] = {}
+        for f in folders:
+            by_version.setdefault(f.split("/version=")[0] + "/version=" + f.split("/version=")[1].split("/")[0], []).append(f)
+        parts = [self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+                 for base, paths in sorted(by_version.items())]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out = out.select(*schema.names)          # partition columns back in their place
+        return out.drop(BUCKET) if self.buckets else out
+
     def read(self, version: int | None = None) -> DataFrame:
         """Content at a version (latest by default); ``VERSION AS OF n``."""
         row = self._commit_row(version)
         if row is None:
             raise FileNotFoundError(f"no version {version} of {self.path}")
-        return self.spark.read.option("mergeSchema", "true").parquet(*row["folders"])
+        return self._read_folders(row["folders"], row["schema_json"])
+
+    # ---- writing -------------------------------------------------------------------
+    def _laid_out(self, df: DataFrame) -> DataFrame:
+        if self.buckets:
+            return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        return df
+
+    def _leaf_folders(self, folder: str) -> list[str]:
+        """Partition folders written under ``folder`` (metadata listing)."""
+        out, level = [folder], 0
+        while level < len(self.partition_by):
+            nxt = []
+            for f in out:
+                nxt += [d for d in fs.list_dirs(self.spark, f) if "=" in d.rsplit("/", 1)[-1]]
+            out, level = nxt, level + 1
+        return out
+
+    def _write(self, df: DataFrame, version: int) -> tuple[list[str], int, str]:
+        folder = f"{self.data_path}/version={version}"
+        obs = Observation(f"kf_commit_{version}")
+        laid = self._laid_out(df)
+        w = laid.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(folder)
+        folders = self._leaf_folders(folder) if self.partition_by else [folder]
+        return folders, obs.get.get("n", 0), laid.schema.json()
+
+    def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten) -> int:
+        row = (version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
+               folders, num_rows, batch_id, schema_json, rewritten)
+        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        return version
 
     def commit(self, df: DataFrame, operation: str, mode: str = "overwrite",
                batch_id: str | None = None) -> int:
@@ -71,16 +137,11 @@ class SnapshotTable:
             raise ValueError(f"unknown write mode {mode!r}")
         prev = self._commit_row()
         version = 1 if prev is None else prev["version"] + 1
-        folder = f"{self.data_path}/version={version}"
-        obs = Observation(f"kf_commit_{version}")
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error").parquet(folder)
-        n = obs.get.get("n", 0)
-        folders = [folder] if mode == "overwrite" or prev is None else [*prev["folders"], folder]
-        total = n if mode == "overwrite" or prev is None else (prev["num_rows"] or 0) + n
-        row = (version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
-               folders, total, batch_id)
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
-        return version
+        folders, n, schema_json = self._write(df, version)
+        if mode == "append" and prev is not None:
+            folders = [*prev["folders"], *folders]
+            n += prev["num_rows"] or 0
+        return self._log(version, operation, folders, n, batch_id, schema_json, len(folders))
 
     def create_if_absent(self, df: DataFrame, op_col: str | None = None) -> bool:
         """True if the table exists; otherwise create it from ``df`` without deletes."""
@@ -91,11 +152,43 @@ class SnapshotTable:
 
     def merge(self, source: DataFrame, keys: Sequence[str], op_col: str | None = None,
               unmatched_delete: str = "skip", batch_id: str | None = None) -> int:
-        """Apply a change set as a new version."""
-        cur = self.read()
-        out = (_merge.merge_ops(cur, source, keys, op_col, unmatched_delete=unmatched_delete)
-               if op_col else _merge.merge_upsert(cur, source, keys))
-        return self.commit(out, "MERGE", batch_id=batch_id)
+        """Apply a change set as a new version. On a partitioned table only the
+        partitions holding the change set's keys are read, merged and rewritten."""
+        prev = self._commit_row()
+        if prev is None:
+            raise FileNotFoundError(f"{self.path} does not exist")
+        if not self.partition_by:
+            out = self._merge_frames(self.read(), source, keys, op_col, unmatched_delete)
+            return self.commit(out, "MERGE", batch_id=batch_id)
+        if not self.buckets and not set(self.partition_by) <= set(keys):
+            raise ValueError("partition columns must be part of the key for a partition-wise merge")
+        laid = self._laid_out(source)
+        # distinct partition values of the change set: bounded by the partition count
+        touched = {self._spec(r) for r in laid.select(*self.partition_by).distinct().collect()}
+        hit = [f for f in prev["folders"] if self._folder_spec(f) in touched]
+        keep = [f for f in prev["folders"] if self._folder_spec(f) not in touched]
+        if hit:
+            cur = self._read_folders(hit, prev["schema_json"])
+            replaced = cur.count()                 # rows of the touched partitions only
+        else:
+            cur, replaced = self.spark.createDataFrame([], self.read().schema), 0
+        out = self._merge_frames(cur, source, keys, op_col, unmatched_delete)
+        version = prev["version"] + 1
+        written, n, schema_json = self._write(out, version)
+        total = (prev["num_rows"] or 0) - replaced + n
+        return self._log(version, "MERGE", [*keep, *written], total, batch_id, schema_json, len(written))
+
+    @staticmethod
+    def _merge_frames(cur, source, keys, op_col, unmatched_delete):
+        return (_merge.merge_ops(cur, source, keys, op_col, unmatched_delete=unmatched_delete)
+                if op_col else _merge.merge_upsert(cur, source, keys))
+
+    def _spec(self, row) -> str:
+        return "/".join(f"{c}={_NULL_PART if row[c] is None else row[c]}" for c in self.partition_by)
+
+    def _folder_spec(self, folder: str) -> str:
+        segs = folder.rstrip("/").split("/")[-len(self.partition_by):]
+        return "/".join(unquote(s) for s in segs)
 
 
 def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

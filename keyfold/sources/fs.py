@@ -56,3 +56,10 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
         return []
     return sorted(st.getPath().toString() for st in fs.listStatus(p)
                   if st.isFile() and st.getPath().getName().endswith(suffix))
+
+
+def list_dirs(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())

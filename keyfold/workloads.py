@@ -619,7 +619,10 @@ def q_raw_to_silver(spark, sf_dir):
                       operation_column="op", read_options=fx.CSV_OPTIONS)
     base = scratch_path(spark, "events_layers")
     landing = f"{base}/landing"
-    bronze, silver = SnapshotTable(spark, f"{base}/bronze"), SnapshotTable(spark, f"{base}/silver")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    # the change set here is all of bronze (latest per key), so every partition of a
+    # partitioned silver would be touched: an unpartitioned silver is the right layout
+    silver = SnapshotTable(spark, f"{base}/silver")
     fx.events_landing(spark, sf_dir, landing, files=(0, 1, 2))
     ingest.raw_to_silver(spark, spec, landing, bronze, silver, move=True)
     fx.events_landing(spark, sf_dir, landing, files=(3, 4))

@@ -33,3 +33,22 @@ def test_merge_and_create_if_absent(spark):
     assert rows(t.read(), "k", "v") == [(1, "x"), (3, "c")]
     with pytest.raises(ValueError):
         t.commit(src, "BAD", mode="upsert")
+
+
+@pytest.mark.parametrize("layout", [{"partition_by": ["p"]}, {"buckets": 4, "keys": ["p", "k"]}])
+def test_partition_wise_merge_equals_full_merge(spark, layout):
+    target = spark.createDataFrame([(p, k, f"t{p}{k}", None) for p in range(3) for k in range(5)],
+                                   "p int, k int, v string, op string")
+    source = spark.createDataFrame([(1, 1, "s11", "I"), (1, 2, None, "D"), (1, 9, "s19", None)],
+                                   "p int, k int, v string, op string")
+    full = SnapshotTable(spark, scratch_path(spark, "t_full"))
+    part = SnapshotTable(spark, scratch_path(spark, "t_part"), **layout)
+    for t in (full, part):
+        t.commit(target, "WRITE")
+        t.merge(source, ["p", "k"], "op")
+    assert rows(part.read()) == rows(full.read())
+    assert rows(part.read(1)) == rows(target)
+    h = part.history().first()
+    if "partition_by" in layout:
+        assert h.rewritten == 1 and len(h.folders) == 3      # only partition p=1 was rewritten
+    assert h.num_rows == 15
