@@ -53,19 +53,27 @@ class SnapshotTable:
         self.partition_by = [BUCKET] if buckets else list(partition_by)
 
     def exists(self) -> bool:
-        return fs.exists(self.spark, self.log_path)
+        return getattr(self, "_head", None) is not None or fs.exists(self.spark, self.log_path)
 
     def history(self) -> DataFrame:
         """Commit log, newest first (``DESCRIBE HISTORY``)."""
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log_path).orderBy(F.desc("version"))
 
     def _commit_row(self, version: int | None = None):
+        """Commit row of a version (latest by default). The latest row is kept after
+        this object's own commits; one writer per table is assumed."""
+        head = getattr(self, "_head", None)
+        if head is not None and (version is None or version == head["version"]):
+            return head
         if not self.exists():
             return None
         h = self.history()
         if version is not None:
             h = h.where(F.col("version") == version)
-        return h.first()
+        row = h.first()
+        if version is None:
+            self._head = row
+        return row
 
     def version(self) -> int | None:
         row = self._commit_row()
@@ -127,7 +135,9 @@ class SnapshotTable:
     def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten) -> int:
         row = (version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
                folders, num_rows, batch_id, schema_json, rewritten)
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
+        df = self.spark.createDataFrame([row], COMMIT_SCHEMA)
+        df.coalesce(1).write.mode("append").parquet(self.log_path)
+        self._head = df.first()
         return version
 
     def commit(self, df: DataFrame, operation: str, mode: str = "overwrite",
@@ -151,14 +161,17 @@ class SnapshotTable:
         return False
 
     def merge(self, source: DataFrame, keys: Sequence[str], op_col: str | None = None,
-              unmatched_delete: str = "skip", batch_id: str | None = None) -> int:
+              unmatched_delete: str = "skip", batch_id: str | None = None,
+              strategy: str = "auto") -> int:
         """Apply a change set as a new version. On a partitioned table only the
-        partitions holding the change set's keys are read, merged and rewritten."""
+        partitions holding the change set's keys are read, merged and rewritten.
+        ``strategy`` as in ``merge_ops``; pass ``shuffle`` when the change set is
+        known to be large, so that no size check recomputes it."""
         prev = self._commit_row()
         if prev is None:
             raise FileNotFoundError(f"{self.path} does not exist")
         if not self.partition_by:
-            out = self._merge_frames(self.read(), source, keys, op_col, unmatched_delete)
+            out = self._merge_frames(self.read(), source, keys, op_col, unmatched_delete, strategy)
             return self.commit(out, "MERGE", batch_id=batch_id)
         if not self.buckets and not set(self.partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the key for a partition-wise merge")
@@ -172,16 +185,16 @@ class SnapshotTable:
             replaced = cur.count()                 # rows of the touched partitions only
         else:
             cur, replaced = self.spark.createDataFrame([], self.read().schema), 0
-        out = self._merge_frames(cur, source, keys, op_col, unmatched_delete)
+        out = self._merge_frames(cur, source, keys, op_col, unmatched_delete, strategy)
         version = prev["version"] + 1
         written, n, schema_json = self._write(out, version)
         total = (prev["num_rows"] or 0) - replaced + n
         return self._log(version, "MERGE", [*keep, *written], total, batch_id, schema_json, len(written))
 
     @staticmethod
-    def _merge_frames(cur, source, keys, op_col, unmatched_delete):
-        return (_merge.merge_ops(cur, source, keys, op_col, unmatched_delete=unmatched_delete)
-                if op_col else _merge.merge_upsert(cur, source, keys))
+    def _merge_frames(cur, source, keys, op_col, unmatched_delete, strategy):
+        return (_merge.merge_ops(cur, source, keys, op_col, unmatched_delete=unmatched_delete, strategy=strategy)
+                if op_col else _merge.merge_upsert(cur, source, keys, strategy=strategy))
 
     def _spec(self, row) -> str:
         return "/".join(f"{c}={_NULL_PART if row[c] is None else row[c]}" for c in self.partition_by)
