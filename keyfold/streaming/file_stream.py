@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,6 +44,7 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
         tag = f"{checkpoint}#{batch_id}"
         if bronze.has_batch(tag):            # replay of a committed batch
             return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
         verdicts = dq.dq_check(batch, keys, seq)
         verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_name"])
         verdicts = verdicts.checkpoint(eager=True)
@@ -50,6 +52,7 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
                            hook_kwargs=f_kwargs, bronze_schema=bronze_schema)
         bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
                       batch_id=tag)
+        batch.unpersist()
         stop = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
         if stop is not None:
             raise dq.DataQualityError(stop["file_name"], stop["code"])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold import fixtures as fx
-from keyfold.functions import fiscal, labels, transforms
+from keyfold.functions import fiscal, hooks, labels, transforms
 from keyfold.operators import dedupe, merge, quality, reconcile
 from keyfold.operators.snapshots import SnapshotTable, snapshot_deleted
 from keyfold.plans import ingest
@@ -536,9 +536,7 @@ b AS (SELECT {_ev_sel_b}, file_idx, file_name FROM ev
       QUALIFY row_number() OVER (PARTITION BY file_name, user_id ORDER BY event_id DESC) = 1)"""
 
 
-def events_bronze_hook(df: DataFrame, file_name, sub_entity: str, source: str) -> DataFrame:
-    """Bronze hook: constant source and business date from the file name."""
-    return transforms.business_date_from_file(transforms.add_source(df, source), file_name, sub_entity)
+events_bronze_hook = hooks.source_and_business_date
 
 
 def _bronze_schema():
@@ -583,9 +581,7 @@ def q_bronze_to_silver(spark, sf_dir):
     return silver.read()
 
 
-def events_silver_hook(df: DataFrame, date_cols, run_ts: str | None = None) -> DataFrame:
-    """Silver hook: business dates parsed, load time stamped."""
-    return transforms.stamp_load_time(transforms.convert_dates(df, date_cols), "UpdateTimestamp", run_ts=run_ts)
+events_silver_hook = hooks.dates_and_update_time
 
 
 @register("layer_transform_silver", f"""WITH {BRONZE_SQL}
