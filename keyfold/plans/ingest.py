@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from keyfold.functions.labels import bytes_label
 from keyfold.functions.transforms import check_schema
 from keyfold.operators import merge as merge_mod
 from keyfold.operators import quality as dq
@@ -128,7 +129,8 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
 
     log.start("archive")
     base = landing.rstrip("/")
-    manifest = route_files(verdicts, archive_dir or f"{base}/archive", error_dir or f"{base}/error")
+    manifest = route_files(verdicts, archive_dir or f"{base}/archive", error_dir or f"{base}/error") \
+        .withColumn("size_label", bytes_label(F.col("size")))
     res.manifest = manifest
     if move:
         move_files(spark, manifest)

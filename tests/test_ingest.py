@@ -99,3 +99,21 @@ def test_rerun_after_crash_before_moves_writes_once(spark):
     ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True)
     assert rows(bronze.read()) == first and bronze.version() == 1
     assert fs.list_files(spark, f"{base}/landing", ".csv") == []
+
+
+def test_one_plan_equals_union_of_per_file_runs(spark):
+    base = _landing(spark, "ingest_union")
+    whole = SnapshotTable(spark, f"{base}/whole")
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, whole, ["K"], seq="SEQ")
+    single = SnapshotTable(spark, f"{base}/single")
+    for name in sorted(FILES):
+        ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, single, ["K"], seq="SEQ",
+                             process_file="single", file_name=name)
+    assert rows(whole.read()) == rows(single.read())
+
+
+def test_manifest_size_label(spark):
+    base = _landing(spark, "ingest_manifest")
+    res = ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, SnapshotTable(spark, f"{base}/b"), ["K"], seq="SEQ")
+    labels = {r.file_name: r.size_label for r in res.manifest.collect()}
+    assert labels["gl_2025.01.03.csv"] == "13 bytes"
