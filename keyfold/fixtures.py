@@ -65,20 +65,18 @@ def write_named_files(spark: SparkSession, df: DataFrame, name: Column, folder:
     tmp = f"{folder.rstrip('/')}/_staging"
     (df.withColumn("__kf_name", name).repartition("__kf_name").write.partitionBy("__kf_name")
        .options(delimiter=delimiter, header=header, **(options or {})).csv(tmp))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(tmp)
-    hfs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = []
-    for st in hfs.listStatus(p):
-        if not st.isDirectory() or "=" not in st.getPath().getName():
+    for d in fs.list_dirs(spark, tmp):
+        seg = d.rstrip("/").rsplit("/", 1)[-1]
+        if "=" not in seg:
             continue
-        value = unquote(st.getPath().getName().split("=", 1)[1])   # Spark %-escapes partition values
-        parts = [s.getPath() for s in hfs.listStatus(st.getPath()) if s.getPath().getName().startswith("part-")]
+        value = unquote(seg.split("=", 1)[1])   # Spark %-escapes partition values
+        parts = [f for f in fs.list_files(spark, d) if f.rsplit("/", 1)[-1].startswith("part-")]
         for i, part in enumerate(parts):
             target = f"{folder.rstrip('/')}/{value}" if len(parts) == 1 else f"{folder.rstrip('/')}/{i}_{value}"
-            fs.rename(spark, part.toString(), target)
+            fs.rename(spark, part, target)
             out.append(target)
-    hfs.delete(p, True)
+    fs.delete(spark, tmp)
     return sorted(out)
 
 

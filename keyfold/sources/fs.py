@@ -1,40 +1,51 @@
 """Metadata-only file-system calls through Hadoop's FileSystem API (works for any
-scheme the cluster mounts). No file content passes through the driver."""
+scheme the cluster mounts). No file content passes through the driver. Without
+a JVM gateway (Spark Connect) local paths fall back to the Python file system."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
+def _jvm(spark: SparkSession):
+    try:
+        return spark.sparkContext._jvm
+    except Exception:  # Spark Connect: no gateway
+        return None
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    jvm = _jvm(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    if _jvm(spark) is None:
+        return os.path.exists(_local(path))
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
+    if _jvm(spark) is None:
+        os.makedirs(_local(path), exist_ok=True)
+        return
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
 
 
-def move(spark: SparkSession, src: str, dst_dir: str) -> str:
-    """Move one file into a folder (a rename on the same file system)."""
-    fs, s = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    d = jvm.org.apache.hadoop.fs.Path(dst_dir)
-    fs.mkdirs(d)
-    target = jvm.org.apache.hadoop.fs.Path(d, s.getName())
-    if not fs.rename(s, target):
-        raise OSError(f"cannot move {src} to {dst_dir}")
-    return target.toString()
-
-
 def rename(spark: SparkSession, src: str, dst: str) -> None:
+    if _jvm(spark) is None:
+        os.makedirs(os.path.dirname(_local(dst)), exist_ok=True)
+        os.replace(_local(src), _local(dst))
+        return
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
     fs.mkdirs(d.getParent())
@@ -42,7 +53,19 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"cannot rename {src} to {dst}")
 
 
+def move(spark: SparkSession, src: str, dst_dir: str) -> str:
+    """Move one file into a folder (a rename on the same file system)."""
+    target = f"{dst_dir.rstrip('/')}/{src.rstrip('/').rsplit('/', 1)[-1]}"
+    rename(spark, src, target)
+    return target
+
+
 def create_empty(spark: SparkSession, path: str, text: str = "") -> None:
+    if _jvm(spark) is None:
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        with open(_local(path), "w", encoding="utf-8") as f:
+            f.write(text)
+        return
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     if text:
@@ -50,16 +73,32 @@ def create_empty(spark: SparkSession, path: str, text: str = "") -> None:
     out.close()
 
 
-def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+def _list(spark: SparkSession, folder: str, dirs: bool) -> list[str]:
+    if _jvm(spark) is None:
+        d = _local(folder)
+        if not os.path.isdir(d):
+            return []
+        return sorted(os.path.join(d, n) for n in os.listdir(d)
+                      if os.path.isdir(os.path.join(d, n)) == dirs)
     fs, p = _fs(spark, folder)
     if not fs.exists(p):
         return []
-    return sorted(st.getPath().toString() for st in fs.listStatus(p)
-                  if st.isFile() and st.getPath().getName().endswith(suffix))
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if bool(st.isDirectory()) == dirs)
+
+
+def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
+    return [f for f in _list(spark, folder, False) if f.endswith(suffix)]
 
 
 def list_dirs(spark: SparkSession, folder: str) -> list[str]:
-    fs, p = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
+    return _list(spark, folder, True)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a staging folder this library created."""
+    if _jvm(spark) is None:
+        import shutil
+        shutil.rmtree(_local(path), ignore_errors=True)
+        return
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
