@@ -4,6 +4,10 @@ plain upsert, merge on a free condition, and the coalescing merge.
 All modes are one full outer join plus a whole-row choice; no per-row Python.
 Rows with a null key can never match an equality, so they bypass the join and
 are unioned back: a flood of null keys cannot land in one join partition.
+
+A keyed change set must hold one row per key (the pipelines make it so with
+``latest_per_key``); a repeated key raises rather than pairing every copy with
+the target row, as a lakehouse ``MERGE`` does when several source rows match.
 """
 
 from __future__ import annotations
@@ -14,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
-_T, _S = "__kf_t", "__kf_s"
+from keyfold.operators import sizing
+
+_T, _S, _N, _ROW = "__kf_t", "__kf_s", "__kf_n", "__kf_row"
 DELETE, INSERT = "D", "I"
 
 
@@ -43,6 +49,25 @@ def _align(df: DataFrame, cols: list[tuple[str, object]]) -> DataFrame:
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in cols])
 
 
+def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` with a check that no key repeats (a repeated key raises).
+
+    An aggregation on the keys: it is combined map-side, so even a key holding a
+    third of all rows is reduced before the shuffle, and its output is already
+    hash-partitioned on the keys, which the following join on the keys reuses.
+    Rows with a null key must have been split off before."""
+    keys = list(keys)
+    rest = [c for c in source.columns if c not in keys]
+    aggs = [F.count(F.lit(1)).alias(_N)]
+    if rest:
+        aggs.append(F.any_value(F.struct(*[F.col(f"`{c}`") for c in rest])).alias(_ROW))
+    agg = source.groupBy(*keys).agg(*aggs)
+    msg = F.concat(F.lit("change set holds a key more than once: "), F.to_json(F.struct(*keys)))
+    checked = agg.where(F.when(F.col(_N) > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+    return checked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"{_ROW}.`{c}`").alias(c)
+                            for c in source.columns])
+
+
 def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
            condition: str | None, op_col: str | None, unmatched_delete: str,
            coalesce_values: bool) -> DataFrame:
@@ -56,7 +81,7 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
         bypass_t = target.where(_any_null(keys))
         bypass_s = source.where(_any_null(keys))
         target = target.where(~_any_null(keys))
-        source = source.where(~_any_null(keys))
+        source = one_row_per_key(source.where(~_any_null(keys)), keys)
 
     t = target.withColumn(_T, F.lit(True)).alias("target_table")
     s = source.withColumn(_S, F.lit(True)).alias("source_table")
@@ -98,19 +123,23 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
     return out
 
 
-# Change sets up to this many keys take the broadcast path (keys + op only are shipped).
+# Change sets within both bounds take the broadcast path (keys + op only are shipped).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
-def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int) -> bool:
+def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int,
+              op_col: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     if strategy == "shuffle":
         return False
     if strategy == "broadcast":
         return True
     if strategy != "auto":
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    # size check on the change set (one count); the target is never counted
-    return source.limit(max_rows + 1).count() <= max_rows
+    # size check of what would be broadcast: rows and bytes of the change set's keys
+    # (and op), one distributed pass; the target is never counted
+    shipped = source.select(*keys, *([op_col] if op_col else []))
+    return sizing.within(shipped, max_rows, max_bytes)
 
 
 def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -125,14 +154,14 @@ def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
     target = target.where(~_any_null(keys))
     source = source.where(~_any_null(keys))
     if op_col is None:
-        kept = target.join(F.broadcast(source.select(*keys)), keys, "left_anti")
+        kept = target.join(F.broadcast(one_row_per_key(source.select(*keys), keys)), keys, "left_anti")
         parts = [kept, source, bypass_t, bypass_s]
         return _union_all([_align(p, cols) for p in parts])
     op = F.col(op_col)
     replace = op.isNull() | op.eqNullSafe(INSERT)
     delete = op.eqNullSafe(DELETE)
     other = ~replace & ~delete
-    marks = source.select(*keys, op.alias("__kf_op"), F.lit(True).alias(_S))
+    marks = one_row_per_key(source.select(*keys, op.alias("__kf_op")), keys).withColumn(_S, F.lit(True))
     tagged = target.join(F.broadcast(marks), keys, "left")
     t_op = F.col("__kf_op")
     kept = tagged.where(F.col(_S).isNull() | (~(t_op.isNull() | t_op.eqNullSafe(INSERT) | t_op.eqNullSafe(DELETE))))
@@ -165,7 +194,7 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
     ``broadcast_max_rows`` rows, checked by a count of the change set)."""
     if unmatched_delete not in ("skip", "insert"):
         raise ValueError("unmatched_delete must be 'skip' or 'insert'")
-    if _is_small(source, keys, strategy, broadcast_max_rows):
+    if _is_small(source, keys, strategy, broadcast_max_rows, op_col):
         return _merge_broadcast(target, source, keys, op_col, unmatched_delete)
     return _merge(target, source, keys=keys, condition=None, op_col=op_col,
                   unmatched_delete=unmatched_delete, coalesce_values=False)

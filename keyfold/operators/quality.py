@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyfold.operators.sizing import bounded_broadcast
+
 # Verdict codes and severities (00 stop flow, 10 stop step, 20 warn, 30 info).
 EMPTY = "EmptyError"
 KEYS_NULL = "KeysNull"
@@ -137,13 +139,16 @@ def dq_policy(verdicts: DataFrame, *, fatal: Sequence[str] = DEFAULT_FATAL,
 
 
 def verdict_join(rows: DataFrame, verdicts: DataFrame, file_col: str = "file_name",
-                 accept: Sequence[str] = ("accept",)) -> DataFrame:
-    """Rows of accepted files. The verdict table has one row per file, so it is broadcast."""
+                 accept: Sequence[str] = ("accept",), *, n_files: int | None = None) -> DataFrame:
+    """Rows of accepted files. The verdict table has one row per file: it is broadcast
+    when the file count (``n_files`` if the caller knows it, else measured) is within
+    the bound, otherwise the semi join is shuffled."""
     ok = verdicts.where(F.col("action").isin(*accept)).select(file_col)
-    return rows.join(F.broadcast(ok), file_col, "left_semi")
+    return rows.join(bounded_broadcast(ok, known_rows=n_files), file_col, "left_semi")
 
 
-def rejected_rows(rows: DataFrame, verdicts: DataFrame, file_col: str = "file_name") -> DataFrame:
+def rejected_rows(rows: DataFrame, verdicts: DataFrame, file_col: str = "file_name", *,
+                  n_files: int | None = None) -> DataFrame:
     """Rows of rejected or stopping files, with their verdict (quarantine sink)."""
     bad = verdicts.where(F.col("action").isin("reject", "stop")).select(file_col, "code", "severity")
-    return rows.join(F.broadcast(bad), file_col, "inner")
+    return rows.join(bounded_broadcast(bad, known_rows=n_files), file_col, "inner")

@@ -7,7 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_L, _R = "__kf_l", "__kf_r"
+_L, _R, _ROW = "__kf_l", "__kf_r", "__kf_row"
+DUPLICATE_KEY = "duplicate_key"
+
+
+def _per_key(df: DataFrame, keys: list[str], cols: list[str], n_col: str) -> DataFrame:
+    """One row per key with the key's row count. Combined map-side (a hot key is
+    reduced before the shuffle); the output is partitioned and sorted on the keys,
+    which the join reuses. The values are those of the key's row when it is unique."""
+    aggs = [F.count(F.lit(1)).alias(n_col)]
+    if cols:
+        aggs.append(F.any_value(F.struct(*[F.col(f"`{c}`") for c in cols])).alias(_ROW))
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *[F.col(f"{_ROW}.`{c}`").alias(c) for c in cols], n_col)
 
 
 def _diff(c: str) -> Column:
@@ -18,7 +29,10 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
               columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that differ: ``status`` is ``changed`` (some compared column differs,
     null against value included), ``left_only`` or ``right_only``; each compared
-    column appears as ``left_<c>`` and ``right_<c>``."""
+    column appears as ``left_<c>`` and ``right_<c>``.
+
+    A key that repeats on either side is one ``duplicate_key`` row with null
+    values: rows are never paired with every copy of their key."""
     keys = list(keys)
     cols = list(columns) if columns is not None else [
         c for c in left.columns if c not in keys and c in right.columns]
@@ -32,9 +46,8 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
         *[x for c in cols for x in ((F.col(c) if tag == "left_only" else F.lit(None).cast(df.schema[c].dataType)).alias(f"left_{c}"),
                                      (F.col(c) if tag == "right_only" else F.lit(None).cast(df.schema[c].dataType)).alias(f"right_{c}"))])
     null_rows = side(left, "left_only").unionByName(side(right, "right_only"))
-    left, right = left.where(~any_null), right.where(~any_null)
-    l = left.select(*keys, *cols, F.lit(True).alias(_L)).alias("l")
-    r = right.select(*keys, *cols, F.lit(True).alias(_R)).alias("r")
+    l = _per_key(left.where(~any_null), keys, cols, _L).alias("l")
+    r = _per_key(right.where(~any_null), keys, cols, _R).alias("r")
     cond = None
     for k in keys:
         e = F.col(f"l.{k}") == F.col(f"r.{k}")
@@ -43,13 +56,16 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
     any_diff = F.lit(False)
     for c in cols:
         any_diff = any_diff | _diff(c)
-    status = (F.when(F.col(f"r.{_R}").isNull(), F.lit("left_only"))
+    dup = (F.coalesce(F.col(f"l.{_L}"), F.lit(0)) > 1) | (F.coalesce(F.col(f"r.{_R}"), F.lit(0)) > 1)
+    status = (F.when(dup, F.lit(DUPLICATE_KEY))
+              .when(F.col(f"r.{_R}").isNull(), F.lit("left_only"))
               .when(F.col(f"l.{_L}").isNull(), F.lit("right_only"))
               .when(any_diff, F.lit("changed")))
+    value = lambda side, c: F.when(~dup, F.col(f"{side}.{c}"))
     out = j.select(*[F.coalesce(F.col(f"l.{k}"), F.col(f"r.{k}")).alias(k) for k in keys],
                    status.alias("status"),
-                   *[x for c in cols for x in (F.col(f"l.{c}").alias(f"left_{c}"),
-                                                F.col(f"r.{c}").alias(f"right_{c}"))])
+                   *[x for c in cols for x in (value("l", c).alias(f"left_{c}"),
+                                                value("r", c).alias(f"right_{c}"))])
     return out.where(F.col("status").isNotNull()).unionByName(null_rows)
 
 

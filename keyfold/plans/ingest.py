@@ -20,6 +20,7 @@ from keyfold.functions.transforms import check_schema
 from keyfold.operators import merge as merge_mod
 from keyfold.operators import quality as dq
 from keyfold.operators.dedupe import drop_null_keys, latest_per_key
+from keyfold.operators.sizing import bounded_broadcast
 from keyfold.operators.snapshots import SnapshotTable
 from keyfold.plans.steplog import StepLog
 from keyfold.sinks.routing import move_files, route_files
@@ -40,9 +41,10 @@ class BronzeResult:
 def bronze_rows(raw: DataFrame, verdicts: DataFrame, keys: Sequence[str], seq: str | None, *,
                 file_col: str = "file_name", hook: Callable | None = None, hook_args: Sequence = (),
                 hook_kwargs: dict | None = None, bronze_schema: StructType | None = None,
-                schema_action: str = "warn", keep_file_col: bool = False) -> DataFrame:
+                schema_action: str = "warn", keep_file_col: bool = False,
+                n_files: int | None = None) -> DataFrame:
     """Rows of accepted files, hooked, reduced to the latest per (file, key), null keys out."""
-    rows = dq.verdict_join(raw, verdicts, file_col)
+    rows = dq.verdict_join(raw, verdicts, file_col, n_files=n_files)
     rows = drop_null_keys(rows, keys, "any")
     if hook is not None:
         rows = hook(rows, F.col(file_col), *hook_args, **(hook_kwargs or {}))
@@ -104,14 +106,16 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
 
     log.start("write")
     rows = bronze_rows(raw, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
-                       hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=True)
+                       hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=True,
+                       n_files=len(files))
     if write_mode == "overwrite":
         last = verdicts.where(F.col("action") == "accept").orderBy(F.desc("file_order")).limit(1)
-        rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")
+        rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")   # one row
     if already:                       # this file set is committed already
         res.version = bronze.version()
     elif write_mode == "merge":
-        ordered = rows.join(F.broadcast(verdicts.select("file_name", "file_order")), "file_name")
+        ordered = rows.join(bounded_broadcast(verdicts.select("file_name", "file_order"), known_rows=len(files)),
+                            "file_name")
         changes = (latest_per_key(ordered, keys, seq, before_seq=[F.col("file_order")])
                    if seq else latest_per_key(ordered, keys, "file_order"))
         changes = changes.drop("file_name", "file_order")
@@ -123,7 +127,7 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
         res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
                                     mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id)
     if quarantine is not None and not already:
-        quarantine.commit(dq.rejected_rows(raw, verdicts), "QUARANTINE",
+        quarantine.commit(dq.rejected_rows(raw, verdicts, n_files=len(files)), "QUARANTINE",
                           mode="append" if quarantine.exists() else "overwrite")
     log.end("write")
 

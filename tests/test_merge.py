@@ -85,3 +85,18 @@ def test_broadcast_path_equals_shuffle_path(spark, unmatched_delete):
 def test_auto_strategy_bound(spark):
     out = merge.merge_ops(_t(spark), _s(spark), ["k"], "op", strategy="auto", broadcast_max_rows=2)
     assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_repeated_source_key_raises(spark, strategy):
+    src = _s(spark).unionByName(spark.createDataFrame([(3, "s3b", "I")], S))
+    with pytest.raises(Exception, match="more than once"):
+        merge.merge_ops(_t(spark), src, ["k"], "op", strategy=strategy).collect()
+    with pytest.raises(Exception, match="more than once"):
+        merge.merge_upsert(_t(spark), src, ["k"], strategy=strategy).collect()
+
+
+def test_repeated_null_keys_are_not_repeated_keys(spark):
+    src = _s(spark).unionByName(spark.createDataFrame([(None, "snull2", "I")], S))
+    out = merge.merge_ops(_t(spark), src, ["k"], "op", strategy="shuffle")
+    assert (None, "snull2") in rows(out, "k", "v")

@@ -16,3 +16,19 @@ def test_null_keys_are_one_sided(spark):
     right = spark.createDataFrame([(None, "a"), (1, "b")], "k int, c string")
     out = reconcile.reconcile(left, right, ["k"])
     assert rows(out, "k", "status") == [(None, "left_only"), (None, "right_only")]
+
+
+def test_repeated_key_is_one_row_not_pairs(spark):
+    # key 7 repeats 3 times on the left and 4 times on the right: a join would emit 12 pairs
+    left = spark.createDataFrame([(7, "a")] * 3 + [(1, "x"), (2, "y")], "k int, c string")
+    right = spark.createDataFrame([(7, "a")] * 4 + [(1, "x"), (2, "z"), (3, "w"), (3, "w")], "k int, c string")
+    out = reconcile.reconcile(left, right, ["k"])
+    assert rows(out, "k", "status", "left_c", "right_c") == [
+        (2, "changed", "y", "z"), (3, "duplicate_key", None, None), (7, "duplicate_key", None, None)]
+
+
+def test_left_only_keeps_values(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, c string")
+    right = spark.createDataFrame([(1, "a")], "k int, c string")
+    out = reconcile.reconcile(left, right, ["k"])
+    assert rows(out, "k", "status", "left_c", "right_c") == [(2, "left_only", "b", None)]
