@@ -1,7 +1,8 @@
 """Versioned snapshot tables on plain Parquet: each commit writes a new folder
-and then appends one row to a commit log. Readers resolve a version through the
-log, so a write that failed before its commit row is invisible, and no table is
-ever overwritten while it is read.
+and then creates the version's entry in the commit log (one small JSON file per
+version, created exclusively: of two writers racing for a version, one fails).
+Readers resolve a version through the log, so a write that failed before its
+entry is invisible, and no table is ever overwritten while it is read.
 
 Append commits add a folder to the version's folder list (no copy of old data);
 overwrite and merge commits start a new list.
@@ -11,10 +12,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,9 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("rewritten", T.LongType(), True),
 ])
 BUCKET = "__kf_bucket"
+# commit time as written in the log (UTC), for Python and for Spark's JSON reader
+_PY_TS_FORMAT = "%Y-%m-%d %H:%M:%S.%fZ"
+_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -57,23 +62,35 @@ class SnapshotTable:
 
     def history(self) -> DataFrame:
         """Commit log, newest first (``DESCRIBE HISTORY``)."""
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.log_path).orderBy(F.desc("version"))
+        return (self.spark.read.schema(COMMIT_SCHEMA).option("timestampFormat", _TS_FORMAT)
+                .json(f"{self.log_path}/*.json").orderBy(F.desc("version")))
+
+    def _entry(self, version: int) -> str:
+        return f"{self.log_path}/{version:020d}.json"
 
     def _commit_row(self, version: int | None = None):
-        """Commit row of a version (latest by default). The latest row is kept after
-        this object's own commits; one writer per table is assumed."""
+        """Commit entry of a version (latest by default), read by the driver from the
+        log folder (metadata calls, no Spark job). The latest entry is kept after
+        this object's own commits."""
         head = getattr(self, "_head", None)
         if head is not None and (version is None or version == head["version"]):
             return head
-        if not self.exists():
-            return None
-        h = self.history()
-        if version is not None:
-            h = h.where(F.col("version") == version)
-        row = h.first()
         if version is None:
+            names = [f.rsplit("/", 1)[-1] for f in fs.list_files(self.spark, self.log_path, ".json")]
+            if not names:
+                return None
+            version = max(int(n[:-len(".json")]) for n in names)
+            row = self._read_entry(version)
             self._head = row
-        return row
+            return row
+        if not fs.exists(self.spark, self._entry(version)):
+            return None
+        return self._read_entry(version)
+
+    def _read_entry(self, version: int) -> Row:
+        d = json.loads(fs.read_text(self.spark, self._entry(version)))
+        d["committed_at"] = _dt.datetime.strptime(d["committed_at"], _PY_TS_FORMAT)
+        return Row(**{f.name: d.get(f.name) for f in COMMIT_SCHEMA.fields})
 
     def version(self) -> int | None:
         row = self._commit_row()
@@ -122,7 +139,9 @@ class SnapshotTable:
         return out
 
     def _write(self, df: DataFrame, version: int) -> tuple[list[str], int, str]:
-        folder = f"{self.data_path}/version={version}"
+        # one folder per attempt: a retry after a crash before the log entry never
+        # meets the folder of the failed attempt (which no entry refers to)
+        folder = f"{self.data_path}/version={version}_{uuid.uuid4().hex[:12]}"
         obs = Observation(f"kf_commit_{version}")
         laid = self._laid_out(df)
         w = laid.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error")
@@ -133,11 +152,13 @@ class SnapshotTable:
         return folders, obs.get.get("n", 0), laid.schema.json()
 
     def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten) -> int:
-        row = (version, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), operation,
-               folders, num_rows, batch_id, schema_json, rewritten)
-        df = self.spark.createDataFrame([row], COMMIT_SCHEMA)
-        df.coalesce(1).write.mode("append").parquet(self.log_path)
-        self._head = df.first()
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        entry = dict(version=version, committed_at=now.strftime(_PY_TS_FORMAT), operation=operation,
+                     folders=list(folders), num_rows=num_rows, batch_id=batch_id,
+                     schema_json=schema_json, rewritten=rewritten)
+        if not fs.create_new(self.spark, self._entry(version), json.dumps(entry)):
+            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        self._head = Row(**{**entry, "committed_at": now})
         return version
 
     def commit(self, df: DataFrame, operation: str, mode: str = "overwrite",
@@ -211,5 +232,7 @@ def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     for k in keys:
         any_null = any_null | F.col(k).isNull()
     # null keys never match, so those rows are gone by definition and skip the join
-    return (old.where(~any_null).join(new.select(*keys).where(~any_null), list(keys), "left_anti")
+    # the new version's keys are de-duplicated first: combined map-side, so a hot key
+    # is one row per map partition before the shuffle, and the join reuses that partitioning
+    return (old.where(~any_null).join(new.select(*keys).where(~any_null).distinct(), list(keys), "left_anti")
             .unionByName(old.where(any_null)))

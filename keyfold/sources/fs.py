@@ -41,14 +41,16 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
+def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) -> None:
     if _jvm(spark) is None:
-        os.makedirs(os.path.dirname(_local(dst)), exist_ok=True)
+        if make_parent:
+            os.makedirs(os.path.dirname(_local(dst)), exist_ok=True)
         os.replace(_local(src), _local(dst))
         return
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(d.getParent())
+    if make_parent:
+        fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise OSError(f"cannot rename {src} to {dst}")
 
@@ -102,3 +104,40 @@ def delete(spark: SparkSession, path: str) -> None:
         return
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file that must not exist yet; False if it does (another
+    writer got there first). One exclusive-create call, no Spark job."""
+    if _jvm(spark) is None:
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        try:
+            with open(_local(path), "x", encoding="utf-8") as f:
+                f.write(text)
+        except FileExistsError:
+            return False
+        return True
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)          # overwrite=false: fails if the file appeared meanwhile
+    except Exception:
+        return False
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file (a commit entry), read by the driver."""
+    if _jvm(spark) is None:
+        with open(_local(path), encoding="utf-8") as f:
+            return f.read()
+    fs, p = _fs(spark, path)
+    jvm = _jvm(spark)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

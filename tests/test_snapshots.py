@@ -52,3 +52,25 @@ def test_partition_wise_merge_equals_full_merge(spark, layout):
     if "partition_by" in layout:
         assert h.rewritten == 1 and len(h.folders) == 3      # only partition p=1 was rewritten
     assert h.num_rows == 15
+
+
+def test_second_writer_of_a_version_fails(spark):
+    path = scratch_path(spark, "t_race")
+    a, b = SnapshotTable(spark, path), SnapshotTable(spark, path)
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    a.commit(df, "WRITE")
+    assert b.version() == 1
+    a.commit(df, "WRITE")                  # b still believes version 1 is the latest
+    with pytest.raises(RuntimeError, match="another writer"):
+        b.commit(df, "WRITE")
+    assert SnapshotTable(spark, path).version() == 2
+
+
+def test_history_has_commit_times(spark):
+    t = SnapshotTable(spark, scratch_path(spark, "t_hist"))
+    t.commit(spark.createDataFrame([(1,)], "k int"), "WRITE", batch_id="b1")
+    h = t.history().collect()
+    assert len(h) == 1 and h[0].committed_at is not None and h[0].batch_id == "b1"
+    assert t.has_batch("b1") and not t.has_batch("b2")
+    fresh = SnapshotTable(spark, t.path)               # resolves the version from the log folder
+    assert fresh.version() == 1 and fresh._commit_row(1).num_rows == 1
