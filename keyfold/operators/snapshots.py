@@ -101,9 +101,14 @@ class SnapshotTable:
 
     # ---- reading -------------------------------------------------------------------
     def _read_folders(self, folders: Sequence[str], schema_json: str | None) -> DataFrame:
-        if not self.partition_by or not schema_json:
+        """Read with the schema recorded in the log (the union of all appended
+        columns): no footer of any file is opened to plan the read, and files
+        written before a column was added read it as null."""
+        if not schema_json:
             return self.spark.read.option("mergeSchema", "true").parquet(*folders)
         schema = T.StructType.fromJson(json.loads(schema_json))
+        if not self.partition_by:
+            return self.spark.read.schema(schema).parquet(*folders)
         by_version: dict[str, list[str]] = {}
         for f in folders:
             by_version.setdefault(f.split("/version=")[0] + "/version=" + f.split("/version=")[1].split("/")[0], []).append(f)
@@ -172,6 +177,7 @@ class SnapshotTable:
         if mode == "append" and prev is not None:
             folders = [*prev["folders"], *folders]
             n += prev["num_rows"] or 0
+            schema_json = _union_schema(prev["schema_json"], schema_json)
         return self._log(version, operation, folders, n, batch_id, schema_json, len(folders))
 
     def create_if_absent(self, df: DataFrame, op_col: str | None = None) -> bool:
@@ -225,6 +231,18 @@ class SnapshotTable:
         return "/".join(unquote(s) for s in segs)
 
 
+def _union_schema(prev_json: str | None, new_json: str) -> str:
+    """Columns of the earlier version, then those the appended data adds; all
+    nullable, since older files lack the new columns."""
+    if not prev_json:
+        return new_json
+    prev = T.StructType.fromJson(json.loads(prev_json))
+    new = T.StructType.fromJson(json.loads(new_json))
+    seen = set(prev.names)
+    fields = [*prev.fields, *[f for f in new.fields if f.name not in seen]]
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields]).json()
+
+
 def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the old version whose key is gone in the new one (an anti join;
     Catalyst does not turn ``left join … where new.k is null`` into one)."""
