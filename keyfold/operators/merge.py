@@ -14,9 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType
+from pyspark.sql.types import MapType, NullType
 
 from keyfold.operators import sizing
 
@@ -195,9 +195,11 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
     if unmatched_delete not in ("skip", "insert"):
         raise ValueError("unmatched_delete must be 'skip' or 'insert'")
     if _is_small(source, keys, strategy, broadcast_max_rows, op_col):
-        return _merge_broadcast(target, source, keys, op_col, unmatched_delete)
-    return _merge(target, source, keys=keys, condition=None, op_col=op_col,
-                  unmatched_delete=unmatched_delete, coalesce_values=False)
+        out = _merge_broadcast(target, source, keys, op_col, unmatched_delete)
+    else:
+        out = _merge(target, source, keys=keys, condition=None, op_col=op_col,
+                     unmatched_delete=unmatched_delete, coalesce_values=False)
+    return out.drop(ACTION) if op_col == ACTION else out
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, strategy: str = "auto",
@@ -225,10 +227,56 @@ def merge_coalesce(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                   unmatched_delete="insert", coalesce_values=True)
 
 
+ACTION = "__kf_action"
+
+
+def fold_changes(changes: DataFrame, keys: Sequence[str], op_col: str,
+                 order: Sequence[Column | str]) -> DataFrame:
+    """Reduce change rows of several batches (e.g. landed files) to one row per key
+    whose merge (``merge_ops`` with ``op_col=ACTION``, unmatched deletes skipped)
+    equals merging the batches one after another in ``order``.
+
+    Applied in order, ``I`` / null set the row, ``D`` removes it, and any other op
+    keeps a present row or inserts its own into an absent key. So per key, with
+    *d* the last row whose op is ``I``, ``D`` or null, and *u* the first row after
+    *d* (or the first row, if there is no *d*):
+    * *d* is ``I`` / null → *d*'s row replaces (action = its op);
+    * *d* is ``D`` → *u*'s row is written whatever the target holds (action ``I``),
+      or, without *u*, the key is deleted (action ``D``);
+    * no *d* → *u*'s row with its own op (keeps a present row, else inserted).
+
+    Window aggregates over the key, no collection of rows: a key holds at most
+    one row per batch once each batch is reduced per key, so a group is bounded
+    by the number of batches. The result carries ``ACTION``; ``merge_ops`` drops it."""
+    keys = list(keys)
+    op = F.col(op_col)
+    pos, last_d, d_del, first_u = "__kf_pos", "__kf_ld", "__kf_ldd", "__kf_fu"
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    rest = [f.name for f in changes.schema.fields if f.name not in keys and not isinstance(f.dataType, MapType)]
+    w_ord = Window.partitionBy(*keys).orderBy(*order_cols, *[F.col(f"`{c}`").asc_nulls_first() for c in rest])
+    w = Window.partitionBy(*keys)
+    decisive = op.isNull() | op.isin(INSERT, DELETE)
+    x = changes.withColumn(pos, F.row_number().over(w_ord))
+    x = x.withColumn(last_d, F.max(F.when(decisive, F.col(pos))).over(w))
+    x = (x.withColumn(d_del, F.max(F.when((F.col(pos) == F.col(last_d)) & op.eqNullSafe(DELETE), F.lit(True))).over(w))
+          .withColumn(first_u, F.min(F.when(F.col(last_d).isNull() | (F.col(pos) > F.col(last_d)), F.col(pos))).over(w)))
+    ld, fu, is_del = F.col(last_d), F.col(first_u), F.coalesce(F.col(d_del), F.lit(False))
+    pick = (F.when(ld.isNotNull() & ~is_del, F.col(pos) == ld)
+            .when(ld.isNotNull() & fu.isNotNull(), F.col(pos) == fu)
+            .when(ld.isNotNull(), F.col(pos) == ld)
+            .otherwise(F.col(pos) == fu))
+    action = (F.when(ld.isNotNull() & ~is_del, op)
+              .when(ld.isNotNull() & fu.isNotNull(), F.lit(INSERT))
+              .when(ld.isNotNull(), F.lit(DELETE))
+              .otherwise(op))
+    return x.where(pick).withColumn(ACTION, action).drop(pos, last_d, d_del, first_u)
+
+
 def first_load(source: DataFrame, op_col: str | None = None) -> DataFrame:
     """Content of a table created from a change set: everything but deletes."""
     if op_col:
-        return source.where(~F.col(op_col).eqNullSafe(DELETE))
+        out = source.where(~F.col(op_col).eqNullSafe(DELETE))
+        return out.drop(ACTION) if op_col == ACTION else out
     return source
 
 

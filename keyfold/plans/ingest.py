@@ -19,7 +19,7 @@ from keyfold.functions.labels import bytes_label
 from keyfold.functions.transforms import check_schema
 from keyfold.operators import merge as merge_mod
 from keyfold.operators import quality as dq
-from keyfold.operators.dedupe import drop_null_keys, latest_per_key
+from keyfold.operators.dedupe import drop_null_keys, latest_per_key, sequence_expr
 from keyfold.operators.sizing import bounded_broadcast
 from keyfold.operators.snapshots import SnapshotTable
 from keyfold.plans.steplog import StepLog
@@ -116,13 +116,19 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     elif write_mode == "merge":
         ordered = rows.join(bounded_broadcast(verdicts.select("file_name", "file_order"), known_rows=len(files)),
                             "file_name")
-        changes = (latest_per_key(ordered, keys, seq, before_seq=[F.col("file_order")])
-                   if seq else latest_per_key(ordered, keys, "file_order"))
+        if op_col:
+            # exact equivalent of merging the files one after another (see fold_changes)
+            order = [F.col("file_order")] + ([sequence_expr(ordered, seq).asc_nulls_first()] if seq else [])
+            changes, merge_op = merge_mod.fold_changes(ordered, keys, op_col, order), merge_mod.ACTION
+        else:                         # upserts: the last file's row wins
+            changes = (latest_per_key(ordered, keys, seq, before_seq=[F.col("file_order")])
+                       if seq else latest_per_key(ordered, keys, "file_order"))
+            merge_op = None
         changes = changes.drop("file_name", "file_order")
         if bronze.exists():
-            res.version = bronze.merge(changes, keys, op_col, batch_id=batch_id)
+            res.version = bronze.merge(changes, keys, merge_op, batch_id=batch_id)
         else:
-            res.version = bronze.commit(merge_mod.first_load(changes, op_col), "CREATE", batch_id=batch_id)
+            res.version = bronze.commit(merge_mod.first_load(changes, merge_op), "CREATE", batch_id=batch_id)
     else:
         res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
                                     mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id)

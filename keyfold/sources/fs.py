@@ -141,3 +141,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time (epoch milliseconds); a metadata call."""
+    if _jvm(spark) is None:
+        os.utime(_local(path), ns=(millis * 1_000_000, millis * 1_000_000))
+        return
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, millis, -1)

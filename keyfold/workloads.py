@@ -545,13 +545,13 @@ def _bronze_schema():
                        StructField("BUSINESS_DATE", StringType())])
 
 
-def _events_bronze(spark, sf_dir, *, hook: bool = False):
+def _events_bronze(spark, sf_dir, *, hook: bool = False, write_mode: str = "append"):
     base = scratch_path(spark, "events_ingest")
     landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
     bronze = SnapshotTable(spark, f"{base}/bronze")
     kw = dict(bronze_func=events_bronze_hook, f_args=("events", "erp"), bronze_schema=_bronze_schema()) if hook else {}
     res = ingest.raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], seq="event_id",
-                               op_col="op", read_options=fx.CSV_OPTIONS, move=True, **kw)
+                               op_col="op", read_options=fx.CSV_OPTIONS, move=True, write_mode=write_mode, **kw)
     return bronze, res, base
 
 
@@ -566,6 +566,26 @@ def q_layer_transform(spark, sf_dir):
     return _events_bronze(spark, sf_dir, hook=True)[0].read()
 
 
+def _merge_files_in_order_sql() -> str:
+    """The five landing files merged one after another (file 0 first) into an empty
+    table: five full outer joins with the merge rule of ``merge_ops``."""
+    pick = ", ".join(f"CASE WHEN s._s IS NOT NULL AND (t._t IS NULL OR s.op IS NOT DISTINCT FROM 'I' OR s.op IS NULL) "
+                     f"THEN s.{c} ELSE t.{c} END AS {c}" for c in EV_COLS)
+    steps = [f"m0 AS (SELECT {_ev_sel_b}, true AS _t FROM b WHERE false)"]
+    for i in range(5):
+        steps.append(f"m{i + 1} AS (SELECT {pick}, true AS _t FROM m{i} AS t FULL OUTER JOIN "
+                     f"(SELECT {_ev_sel_b}, true AS _s FROM b WHERE file_idx = {i}) AS s ON t.user_id = s.user_id "
+                     f"WHERE NOT (s._s IS NOT NULL AND s.op IS NOT DISTINCT FROM 'D'))")
+    return f"WITH {BRONZE_SQL}, " + ", ".join(steps) + f" SELECT {_ev_sel_b} FROM m5"
+
+
+@register("raw_to_bronze_merge", _merge_files_in_order_sql())
+def q_raw_to_bronze_merge(spark, sf_dir):
+    """Merge-mode bronze over all five files in one plan (``fold_changes``): equal to
+    merging the files one after another, ops I / D / U / null included."""
+    return _events_bronze(spark, sf_dir, write_mode="merge")[0].read()
+
+
 @register("step_log")
 def q_step_log(spark, sf_dir):
     return _events_bronze(spark, sf_dir)[1].log

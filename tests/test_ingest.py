@@ -117,3 +117,25 @@ def test_manifest_size_label(spark):
     res = ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, SnapshotTable(spark, f"{base}/b"), ["K"], seq="SEQ")
     labels = {r.file_name: r.size_label for r in res.manifest.collect()}
     assert labels["gl_2025.01.03.csv"] == "13 bytes"
+
+
+def test_merge_mode_equals_files_merged_one_after_another(spark):
+    files = {
+        "cdc_01.csv": "K|SEQ|AMT|OP\na|1|1.0|I\nb|1|1.0|I\nc|1|1.0|I\ne|1|1.0|U\n",
+        "cdc_02.csv": "K|SEQ|AMT|OP\na|2|2.0|U\nb|2|2.0|D\ne|2|2.0|U\n",
+        "cdc_03.csv": "K|SEQ|AMT|OP\nb|3|3.0|U\nc|3|3.0|D\nf|3|3.0|D\n",
+    }
+    base = scratch_path(spark, "ingest_fold")
+    for f, text in files.items():
+        fs.create_empty(spark, f"{base}/landing/{f}", text)
+    seed = spark.createDataFrame([("c", "0", 0.0, None), ("e", "0", 0.0, None)], SCHEMA)
+    whole, single = SnapshotTable(spark, f"{base}/whole"), SnapshotTable(spark, f"{base}/single")
+    for t in (whole, single):
+        t.commit(seed, "WRITE")
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, whole, ["K"], seq="SEQ", op_col="OP", write_mode="merge")
+    for name in sorted(files):
+        ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, single, ["K"], seq="SEQ", op_col="OP",
+                             write_mode="merge", process_file="single", file_name=name)
+    # a: I then U keeps the I row; b: I, D, then U re-inserts; c: deleted; e: U keeps the target; f: unmatched D
+    assert rows(whole.read(), "K", "AMT") == [("a", 1.0), ("b", 3.0), ("e", 0.0)]
+    assert rows(whole.read()) == rows(single.read())

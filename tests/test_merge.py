@@ -100,3 +100,32 @@ def test_repeated_null_keys_are_not_repeated_keys(spark):
     src = _s(spark).unionByName(spark.createDataFrame([(None, "snull2", "I")], S))
     out = merge.merge_ops(_t(spark), src, ["k"], "op", strategy="shuffle")
     assert (None, "snull2") in rows(out, "k", "v")
+
+
+def test_fold_of_batches_equals_merging_them_in_order(spark):
+    import itertools
+    ops = ["I", "D", None, "U", "-"]            # "-": the key is not in that batch
+    target, batches = [], [[], [], []]
+    k = 0
+    for seq in itertools.product(ops, repeat=3):
+        for present in (True, False):
+            k += 1
+            if present:
+                target.append((k, "t", None))
+            for b, op in enumerate(seq):
+                if op != "-":
+                    batches[b].append((k, f"b{b}", op))
+    t = spark.createDataFrame(target, S)
+    seq_out = t
+    for rows_b in batches:
+        seq_out = merge.merge_ops(seq_out, spark.createDataFrame(rows_b, S), ["k"], "op", strategy="shuffle")
+    seq_out = spark.createDataFrame(seq_out.collect(), S)       # cut the plan; values only
+    allb = spark.createDataFrame([(k_, v, op, b) for b, rows_b in enumerate(batches) for k_, v, op in rows_b],
+                                 S + ", batch int")
+    folded = merge.fold_changes(allb, ["k"], "op", ["batch"]).drop("batch")
+    for strategy in ("shuffle", "broadcast"):
+        out = merge.merge_ops(t, folded, ["k"], merge.ACTION, strategy=strategy)
+        assert out.columns == ["k", "v", "op"]
+        assert rows(out) == rows(seq_out)
+    assert rows(merge.first_load(merge.fold_changes(allb, ["k"], "op", ["batch"]).drop("batch"), merge.ACTION)) == \
+        rows(merge.merge_ops(t.limit(0), folded, ["k"], merge.ACTION))
