@@ -1,5 +1,6 @@
 """Plan properties that matter at scale."""
 
+import re
 import sys
 
 import __spark_entry__ as entry
@@ -31,3 +32,54 @@ def test_verdict_join_is_broadcast(spark):
 def test_fiscal_code_has_no_python(spark):
     p = _plan(entry.queries()["fiscal_code"](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def _exchange_inputs(plan: str) -> list[str]:
+    """For each hash exchange, the name of the operator just below it."""
+    lines = plan.split("\n")
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and i + 1 < len(lines):
+            below = re.sub(r"^\*\(\d+\) ", "", lines[i + 1].strip(" :+-"))   # codegen stage marker
+            out.append(below.split(" ")[0].split("(")[0])
+    return out
+
+
+def test_keyed_merge_checks_one_row_per_key_map_side_without_an_extra_exchange(spark):
+    from pyspark.sql import functions as F
+    from keyfold.operators import merge
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from keyfold import fixtures as fx
+        t, s = fx.cdc_target(spark, SF), fx.cdc_source(spark, SF)
+        p = _plan(merge.merge_ops(t, s, ["o_orderkey"], "op", strategy="shuffle"))
+        # one exchange per side; the change set's is fed by a partial aggregate (map-side),
+        # and the join sorts only the target (the final aggregate's output is already sorted)
+        assert p.count("Exchange hashpartitioning") == 2
+        assert any("Aggregate" in x for x in _exchange_inputs(p))
+        # sorts: the target's, and the partial and final aggregate's; none of its own for the join
+        assert p.split("SortMergeJoin")[1].count("Sort [o_orderkey") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_reconcile_and_snapshot_deleted_reduce_keys_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    from keyfold.operators import reconcile
+    from keyfold.operators.snapshots import snapshot_deleted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        a = spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+        b = spark.range(900).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+        p = _plan(reconcile.reconcile(a, b, ["k"]))
+        assert p.count("Exchange hashpartitioning") == 2
+        assert all("Aggregate" in x for x in _exchange_inputs(p))
+        p = _plan(snapshot_deleted(a, b, ["k"]))
+        assert p.count("Exchange hashpartitioning") == 2
+        assert any("HashAggregate" in x for x in _exchange_inputs(p))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
