@@ -32,6 +32,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType(), True),
     T.StructField("schema_json", T.StringType(), True),
     T.StructField("rewritten", T.LongType(), True),
+    T.StructField("files_attempt", T.StringType(), True),
 ])
 BUCKET = "__kf_bucket"
 # commit time as written in the log (UTC), for Python and for Spark's JSON reader
@@ -51,6 +52,7 @@ class SnapshotTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/_commits"
+        self.files_path = f"{self.path}/_files"
         self.keys = list(keys)
         if buckets and not self.keys:
             raise ValueError("buckets need the key columns")
@@ -156,19 +158,38 @@ class SnapshotTable:
         folders = self._leaf_folders(folder) if self.partition_by else [folder]
         return folders, obs.get.get("n", 0), laid.schema.json()
 
-    def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten) -> int:
+    def _write_files(self, files: DataFrame | None) -> str | None:
+        """Manifest of the source files of a commit, written before its log entry; only
+        manifests whose attempt a log entry names count (see ``committed_files``)."""
+        if files is None:
+            return None
+        attempt = uuid.uuid4().hex[:12]
+        files.write.mode("error").parquet(f"{self.files_path}/attempt={attempt}")
+        return attempt
+
+    def committed_files(self) -> DataFrame | None:
+        """Source files of all committed versions (one row per file and commit), or
+        None when no commit recorded files. A semi join with the log, no driver list."""
+        if not self.exists() or not fs.exists(self.spark, self.files_path):
+            return None
+        ok = self.history().where(F.col("files_attempt").isNotNull()).select(F.col("files_attempt").alias("attempt"))
+        return self.spark.read.parquet(self.files_path).join(ok, "attempt", "left_semi").drop("attempt")
+
+    def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten,
+             files_attempt: str | None = None) -> int:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         entry = dict(version=version, committed_at=now.strftime(_PY_TS_FORMAT), operation=operation,
                      folders=list(folders), num_rows=num_rows, batch_id=batch_id,
-                     schema_json=schema_json, rewritten=rewritten)
+                     schema_json=schema_json, rewritten=rewritten, files_attempt=files_attempt)
         if not fs.create_new(self.spark, self._entry(version), json.dumps(entry)):
             raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
         self._head = Row(**{**entry, "committed_at": now})
         return version
 
     def commit(self, df: DataFrame, operation: str, mode: str = "overwrite",
-               batch_id: str | None = None) -> int:
-        """Write ``df`` as the next version; ``mode`` is ``overwrite`` or ``append``."""
+               batch_id: str | None = None, files: DataFrame | None = None) -> int:
+        """Write ``df`` as the next version; ``mode`` is ``overwrite`` or ``append``.
+        ``files``: manifest of the source files, recorded with the version."""
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown write mode {mode!r}")
         prev = self._commit_row()
@@ -178,7 +199,8 @@ class SnapshotTable:
             folders = [*prev["folders"], *folders]
             n += prev["num_rows"] or 0
             schema_json = _union_schema(prev["schema_json"], schema_json)
-        return self._log(version, operation, folders, n, batch_id, schema_json, len(folders))
+        attempt = self._write_files(files)
+        return self._log(version, operation, folders, n, batch_id, schema_json, len(folders), attempt)
 
     def create_if_absent(self, df: DataFrame, op_col: str | None = None) -> bool:
         """True if the table exists; otherwise create it from ``df`` without deletes."""
@@ -189,7 +211,7 @@ class SnapshotTable:
 
     def merge(self, source: DataFrame, keys: Sequence[str], op_col: str | None = None,
               unmatched_delete: str = "skip", batch_id: str | None = None,
-              strategy: str = "auto") -> int:
+              strategy: str = "auto", files: DataFrame | None = None) -> int:
         """Apply a change set as a new version. On a partitioned table only the
         partitions holding the change set's keys are read, merged and rewritten.
         ``strategy`` as in ``merge_ops``; pass ``shuffle`` when the change set is
@@ -199,7 +221,7 @@ class SnapshotTable:
             raise FileNotFoundError(f"{self.path} does not exist")
         if not self.partition_by:
             out = self._merge_frames(self.read(), source, keys, op_col, unmatched_delete, strategy)
-            return self.commit(out, "MERGE", batch_id=batch_id)
+            return self.commit(out, "MERGE", batch_id=batch_id, files=files)
         if not self.buckets and not set(self.partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the key for a partition-wise merge")
         laid = self._laid_out(source)
@@ -216,7 +238,8 @@ class SnapshotTable:
         version = prev["version"] + 1
         written, n, schema_json = self._write(out, version)
         total = (prev["num_rows"] or 0) - replaced + n
-        return self._log(version, "MERGE", [*keep, *written], total, batch_id, schema_json, len(written))
+        attempt = self._write_files(files)
+        return self._log(version, "MERGE", [*keep, *written], total, batch_id, schema_json, len(written), attempt)
 
     @staticmethod
     def _merge_frames(cur, source, keys, op_col, unmatched_delete, strategy):

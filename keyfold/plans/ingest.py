@@ -77,8 +77,21 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     if write_mode not in ("append", "overwrite", "merge"):
         raise ValueError(f"unknown write_mode {write_mode!r}")
     log = StepLog()
+    base = landing.rstrip("/")
+    archive, error = archive_dir or f"{base}/archive", error_dir or f"{base}/error"
     listing = file_select(file_listing(spark, landing, pattern), process_file, file_name)
     files = listing.select("path", "name", "size", "modificationTime").collect()  # one row per file
+    done = bronze.committed_files()
+    if done is not None and files:
+        # Files a committed version already holds (a crash came between the commit and
+        # the moves, perhaps midway): route them by their recorded verdict, never write
+        # them again. Matched by name, size and modification time.
+        ident = ["name", "size", "modificationTime"]
+        listed = spark.createDataFrame(files, "path string, name string, size long, modificationTime long")
+        seen = listed.join(done.select(*ident, "action").distinct(), ident, "inner")
+        if move:
+            move_files(spark, route_files(seen.withColumnRenamed("name", "file_name"), archive, error))
+        files = listed.join(done.select(*ident), ident, "left_anti").collect()
     res = BronzeResult(files=len(files))
     if not files:
         return res
@@ -104,6 +117,9 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     log.end("data_quality")
     res.verdicts = verdicts
 
+    # recorded with the commit; skipped files (after a fatal one) are left for a later run
+    landed = verdicts.where(F.col("action") != "skip").select(
+        F.col("file_name").alias("name"), "size", "modificationTime", "action")
     log.start("write")
     rows = bronze_rows(raw, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
                        hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=True,
@@ -126,20 +142,21 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
             merge_op = None
         changes = changes.drop("file_name", "file_order")
         if bronze.exists():
-            res.version = bronze.merge(changes, keys, merge_op, batch_id=batch_id)
+            res.version = bronze.merge(changes, keys, merge_op, batch_id=batch_id, files=landed)
         else:
-            res.version = bronze.commit(merge_mod.first_load(changes, merge_op), "CREATE", batch_id=batch_id)
+            res.version = bronze.commit(merge_mod.first_load(changes, merge_op), "CREATE", batch_id=batch_id,
+                                        files=landed)
     else:
         res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
-                                    mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id)
+                                    mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id,
+                                    files=landed)
     if quarantine is not None and not already:
         quarantine.commit(dq.rejected_rows(raw, verdicts, n_files=len(files)), "QUARANTINE",
                           mode="append" if quarantine.exists() else "overwrite")
     log.end("write")
 
     log.start("archive")
-    base = landing.rstrip("/")
-    manifest = route_files(verdicts, archive_dir or f"{base}/archive", error_dir or f"{base}/error") \
+    manifest = route_files(verdicts, archive, error) \
         .withColumn("size_label", bytes_label(F.col("size")))
     res.manifest = manifest
     if move:
