@@ -139,25 +139,45 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
                     town.alias("town")))
 
 
-def write_town_file(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Towns as a ';' file with two header lines: code;region;name."""
-    n = table(spark, sf_dir, "nation")
-    head = spark.createDataFrame([(0, "# towns"), (1, "code;region;name")], "o int, value string")
-    body = n.select(F.lit(2).alias("o"), F.concat_ws(";", town_code(F.col("n_nationkey")),
-                                                     F.col("n_regionkey").cast("string"),
-                                                     F.col("n_name")).alias("value"))
-    head.unionByName(body).coalesce(1).sortWithinPartitions("o").select("value").write.text(path)
+def towns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Towns of the lookup files: one per nation (the people's towns) and one per
+    supplier, so that the lookup grows with the data. Columns code, region, name, idx."""
+    n = table(spark, sf_dir, "nation").select(
+        town_code(F.col("n_nationkey")).alias("code"), F.col("n_regionkey").cast("string").alias("region"),
+        F.col("n_name").alias("name"), F.col("n_nationkey").cast("long").alias("idx"))
+    s = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("S"), F.lpad(F.col("s_suppkey").cast("string"), 7, "0")).alias("code"),
+        F.lit("0").alias("region"), F.col("s_name").alias("name"),
+        (F.col("s_suppkey") + 25).cast("long").alias("idx"))
+    return n.unionByName(s)
+
+
+def _write_with_headers(body: DataFrame, headers: list[str], files: int, path: str) -> str:
+    """Text files ``bucket=0 .. files-1`` below ``path``; each starts with the header
+    lines, then its rows in ``o`` order. ``body`` has columns bucket, o, value."""
+    spark = body.sparkSession
+    head = spark.createDataFrame([(b, i - len(headers), h) for b in range(files) for i, h in enumerate(headers)],
+                                 "bucket int, o long, value string")
+    (head.unionByName(body).repartition(files, "bucket").sortWithinPartitions("bucket", "o")
+     .select("bucket", "value").write.partitionBy("bucket").text(path))
     return path
 
 
+def write_town_file(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Towns as ';' files (four), each with two header lines: code;region;name."""
+    t = towns(spark, sf_dir)
+    body = t.select((F.col("idx") % 4).cast("int").alias("bucket"), F.col("idx").alias("o"),
+                    F.concat_ws(";", "code", "region", "name").alias("value"))
+    return _write_with_headers(body, ["# towns", "code;region;name"], 4, path)
+
+
 def write_wide_town_file(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Towns as a tab file with one header line and four (name, code) pairs per row."""
-    n = table(spark, sf_dir, "nation")
-    slots = n.select((F.col("n_nationkey") / 4).cast("int").alias("r"),
-                     (F.col("n_nationkey") % 4).alias("slot"),
-                     F.concat_ws("\t", F.col("n_name"), town_code(F.col("n_nationkey"))).alias("pair"))
+    """Towns as tab files (three), each with one header line and four (name, code)
+    pairs per row."""
+    t = towns(spark, sf_dir)
+    slots = t.select((F.col("idx") / 4).cast("long").alias("r"), (F.col("idx") % 4).alias("slot"),
+                     F.concat_ws("\t", "name", "code").alias("pair"))
     rows = (slots.groupBy("r").pivot("slot", [0, 1, 2, 3]).agg(F.first("pair"))
-            .select("r", F.concat_ws("\t", *[F.coalesce(F.col(str(i)), F.lit("\t")) for i in range(4)]).alias("value")))
-    head = spark.createDataFrame([(-1, "#Town\tCode\tTown\tCode\tTown\tCode\tTown\tCode")], "r int, value string")
-    head.unionByName(rows).coalesce(1).sortWithinPartitions("r").select("value").write.text(path)
-    return path
+            .select((F.col("r") % 3).cast("int").alias("bucket"), F.col("r").alias("o"),
+                    F.concat_ws("\t", *[F.coalesce(F.col(str(i)), F.lit("\t")) for i in range(4)]).alias("value")))
+    return _write_with_headers(rows, ["#Town\tCode\tTown\tCode\tTown\tCode\tTown\tCode"], 3, path)

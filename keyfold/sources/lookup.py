@@ -1,5 +1,5 @@
-"""Small delimited lookup files: header lines skipped per file, columns picked,
-and 'pairs per row' layouts turned into (key, value) rows."""
+"""Delimited lookup files: header lines skipped per file, columns picked, and
+'pairs per row' layouts turned into (key, value) rows."""
 
 from __future__ import annotations
 
@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 def lookup_load(spark: SparkSession, path: str, *, sep: str = ";", header_lines: int = 0,
                 cols: Sequence[int] | None = None, names: Sequence[str] | None = None) -> DataFrame:
-    """Each file is one task (``wholetext``), so the first ``header_lines`` of every
-    file are dropped exactly (the CSV reader ignores ``skipRows``). ``cols`` picks
-    0-based fields; the result columns are ``names`` or ``c0, c1, ...``."""
-    lines = (spark.read.text(path, wholetext=True)
-             .select(F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
-             .where((F.col("pos") >= header_lines) & (F.length("line") > 0)))
+    """Read delimited lookup files, dropping the first ``header_lines`` lines of every
+    file (the CSV reader ignores ``skipRows``). ``cols`` picks 0-based fields; the
+    result columns are ``names`` or ``c0, c1, ...``.
+
+    Lines are read by the text source, split across tasks like any file. A file's
+    first block is never split and its lines arrive in order, so the header lines
+    are dropped inside each task (``mapInPandas``) by counting lines per file in
+    blocks that start at byte 0: no shuffle, no whole-file rows."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"))
+    if header_lines:
+        lines = lines.mapInPandas(_drop_first_lines(header_lines), lines.schema)
+    lines = lines.select(F.col("value").alias("line")).where(F.length("line") > 0)
     fields = F.split(F.col("line"), _regex_escape(sep))
     if cols is None:
         first = lines.select(F.size(fields).alias("n")).agg(F.max("n")).first()[0] or 0
@@ -25,6 +32,25 @@ def lookup_load(spark: SparkSession, path: str, *, sep: str = ";", header_lines:
     return lines.select(*[F.try_element_at(fields, F.lit(i + 1)).alias(n) for i, n in zip(cols, names)])
 
 
+def _drop_first_lines(n: int):
+    def run(batches):
+        seen: dict[str, int] = {}                 # lines met so far per file, in this task
+        for pdf in batches:
+            at_start = (pdf["_b"] == 0).to_numpy()
+            if not at_start.any():
+                yield pdf
+                continue
+            head = pdf[at_start]
+            ordinal = head.groupby("_f", sort=False).cumcount().to_numpy() + \
+                head["_f"].map(seen).fillna(0).astype("int64").to_numpy()
+            for f, c in head["_f"].value_counts(sort=False).items():
+                seen[f] = seen.get(f, 0) + int(c)
+            keep = ~at_start
+            keep[at_start] = ordinal >= n
+            yield pdf[keep]
+    return run
+
+
 def _regex_escape(s: str) -> str:
     return "".join("\\" + ch if ch in r"\.^$|?*+()[]{}" else ch for ch in s)
 

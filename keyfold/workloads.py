@@ -668,6 +668,11 @@ PEOPLE_SQL = """people AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS sur
 towns AS (SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code, n_name AS town_name FROM nation)"""
 
 
+TOWNS_FILE_SQL = """towns_file AS (
+  SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code, n_name AS town_name FROM nation
+  UNION ALL SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0'), s_name FROM supplier)"""  # the town lookup files
+
+
 def _name_sql(s: str, first: bool) -> str:
     cons = f"regexp_replace(upper({s}), '[^{fiscal.CONSONANTS}]', '', 'g')"
     vow = f"regexp_replace(upper({s}), '[^{fiscal.VOWELS}]', '', 'g')"
@@ -736,22 +741,22 @@ def q_fiscal_code(spark, sf_dir):
     return fiscal.fiscal_code(_people(spark, sf_dir), _towns(spark, sf_dir))
 
 
-@register("town_lookup", f"""WITH {PEOPLE_SQL}
-SELECT p_partkey, town, towns.town_code, towns.town_name IS NOT NULL AS town_found
-FROM people LEFT JOIN towns ON upper(people.town) = upper(towns.town_name)""")
+@register("town_lookup", f"""WITH {PEOPLE_SQL}, {TOWNS_FILE_SQL}
+SELECT p_partkey, town, towns_file.town_code, towns_file.town_name IS NOT NULL AS town_found
+FROM people LEFT JOIN towns_file ON upper(people.town) = upper(towns_file.town_name)""")
 def q_town_lookup(spark, sf_dir):
     path = fx.write_town_file(spark, sf_dir, scratch_path(spark, "towns"))
     towns = lookup.lookup_load(spark, path, sep=";", header_lines=2, cols=[0, 2], names=["town_code", "town_name"])
     return fiscal.town_lookup(_people(spark, sf_dir).select("p_partkey", "town"), towns)
 
 
-@register("lookup_load", "SELECT 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code, n_name AS town_name FROM nation")
+@register("lookup_load", f"WITH {TOWNS_FILE_SQL} SELECT town_code, town_name FROM towns_file")
 def q_lookup_load(spark, sf_dir):
     path = fx.write_town_file(spark, sf_dir, scratch_path(spark, "towns"))
     return lookup.lookup_load(spark, path, sep=";", header_lines=2, cols=[0, 2], names=["town_code", "town_name"])
 
 
-@register("lookup_unpivot", "SELECT n_name AS town_name, 'A' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS town_code FROM nation")
+@register("lookup_unpivot", f"WITH {TOWNS_FILE_SQL} SELECT town_name, town_code FROM towns_file")
 def q_lookup_unpivot(spark, sf_dir):
     path = fx.write_wide_town_file(spark, sf_dir, scratch_path(spark, "towns_wide"))
     wide = lookup.lookup_load(spark, path, sep="\t", header_lines=1, cols=list(range(8)))
