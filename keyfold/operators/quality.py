@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.operators.sizing import bounded_broadcast
@@ -124,17 +124,21 @@ def dq_policy(verdicts: DataFrame, *, fatal: Sequence[str] = DEFAULT_FATAL,
     (file to the error folder, run goes on), ``accept``; files ordered after the
     first fatal one are ``skip`` (left untouched).
 
-    The ordering window spans the verdict table, one row per file.
+    The first fatal file is found by a scalar subquery (a distributed ``min`` of the
+    file order over the stopping files); each file is then compared with it. No
+    window without a partition, so the verdict table never passes through one task.
     """
     code = F.col("code")
     raw = (F.when(code.isin(*fatal) if fatal else F.lit(False), F.lit("stop"))
            .when(code.isin(*non_fatal) if non_fatal else F.lit(False), F.lit("reject"))
            .otherwise(F.lit("accept")))
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    stopped_before = F.max(F.when(F.col("_raw_action") == "stop", 1).otherwise(0)).over(w)
-    return (verdicts.withColumn("_raw_action", raw)
-            .withColumn("action", F.when(F.coalesce(stopped_before, F.lit(0)) == 1, F.lit("skip"))
-                        .otherwise(F.col("_raw_action")))
+    with_raw = verdicts.withColumn("_raw_action", raw)
+    if not fatal:
+        return with_raw.withColumnRenamed("_raw_action", "action")
+    key = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    first_stop = with_raw.where(F.col("_raw_action") == "stop").select(F.min(key)).scalar()
+    after_stop = F.coalesce(key > first_stop, F.lit(False))
+    return (with_raw.withColumn("action", F.when(after_stop, F.lit("skip")).otherwise(F.col("_raw_action")))
             .drop("_raw_action"))
 
 

@@ -112,8 +112,8 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
 
     log.start("data_quality")
     verdicts = dq.dq_check(raw, keys, seq, listing=files_df.withColumnRenamed("name", "file_name"))
+    verdicts = verdicts.checkpoint(eager=True)   # one row per file; reliable storage, lineage cut
     verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_order", "file_name"])
-    verdicts = verdicts.checkpoint(eager=True)   # small; reliable storage, lineage cut
     log.end("data_quality")
     res.verdicts = verdicts
 

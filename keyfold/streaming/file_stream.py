@@ -45,9 +45,8 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
         if bronze.has_batch(tag):            # replay of a committed batch
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
-        verdicts = dq.dq_check(batch, keys, seq)
+        verdicts = dq.dq_check(batch, keys, seq).checkpoint(eager=True)
         verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_name"])
-        verdicts = verdicts.checkpoint(eager=True)
         rows = bronze_rows(batch, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
                            hook_kwargs=f_kwargs, bronze_schema=bronze_schema)
         bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
