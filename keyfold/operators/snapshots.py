@@ -163,7 +163,7 @@ class SnapshotTable:
         manifests whose attempt a log entry names count (see ``committed_files``)."""
         if files is None:
             return None
-        attempt = uuid.uuid4().hex[:12]
+        attempt = "a" + uuid.uuid4().hex[:12]     # never all digits: partition discovery keeps it a string
         files.write.mode("error").parquet(f"{self.files_path}/attempt={attempt}")
         return attempt
 

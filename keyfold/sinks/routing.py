@@ -28,7 +28,8 @@ def move_files(spark: SparkSession, manifest: DataFrame, path_col: str = "path",
     each call with a round trip; the manifest streams in, ``chunk`` rows at a time,
     and each destination folder is created once."""
     rows = (manifest.where(F.col("destination").isNotNull())
-            .select(F.col(path_col).alias("src"), F.col("destination").alias("dst")).toLocalIterator())
+            .select(F.col(path_col).alias("src"), F.col("destination").alias("dst"))
+            .toLocalIterator(prefetchPartitions=True))
     made: set[str] = set()
     n = 0
     with ThreadPoolExecutor(max_workers=threads) as pool:
