@@ -15,9 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyfold.operators import quality as dq
+from keyfold.operators.dedupe import latest_per_key, sequence_expr
+from keyfold.operators.merge import ACTION, first_load, fold_changes
+from keyfold.operators.sizing import bounded_broadcast
 from keyfold.operators.snapshots import SnapshotTable
 from keyfold.plans.ingest import bronze_rows
 
+_MTIME = "__kf_mtime"
+
 
 def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType,
                          bronze: SnapshotTable, keys: Sequence[str], checkpoint: str, *,
@@ -27,8 +32,16 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
                          clean_source: str | None = None, archive_dir: str | None = None,
                          bronze_func=None, f_args: Sequence = (), f_kwargs: dict | None = None,
                          bronze_schema: StructType | None = None, available_now: bool = True,
-                         read_options: dict | None = None):
-    """Start the stream; with ``available_now`` it processes what has landed and stops."""
+                         read_options: dict | None = None, write_mode: str = "append",
+                         op_col: str | None = None):
+    """Start the stream; with ``available_now`` it processes what has landed and stops.
+
+    ``write_mode``: ``append`` adds each micro-batch's accepted rows; ``merge`` folds
+    the batch's files in landing order (modification time, then name) with
+    ``fold_changes`` and merges them into bronze as one version per batch, the same
+    result as merging the files one after another."""
+    if write_mode not in ("append", "merge"):
+        raise ValueError(f"unknown write_mode {write_mode!r}")
     reader = (spark.readStream.schema(raw_schema)
               .option("delimiter", delimiter).option("header", header).options(**(read_options or {})))
     if max_files:
@@ -38,7 +51,9 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
     # the file name must be selected before foreachBatch
-    stream = reader.csv(f"{landing.rstrip('/')}/{pattern}").withColumn("file_name", F.col("_metadata.file_name"))
+    stream = (reader.csv(f"{landing.rstrip('/')}/{pattern}")
+              .withColumn("file_name", F.col("_metadata.file_name"))
+              .withColumn(_MTIME, F.col("_metadata.file_modification_time")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         tag = f"{checkpoint}#{batch_id}"
@@ -47,10 +62,26 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
         verdicts = dq.dq_check(batch, keys, seq).checkpoint(eager=True)
         verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_name"])
-        rows = bronze_rows(batch, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
-                           hook_kwargs=f_kwargs, bronze_schema=bronze_schema)
-        bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
-                      batch_id=tag)
+        rows = bronze_rows(batch.drop(_MTIME), verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
+                           hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=write_mode == "merge")
+        if write_mode == "append":
+            bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
+                          batch_id=tag)
+        else:
+            mtimes = batch.groupBy("file_name").agg(F.max(_MTIME).alias(_MTIME))    # one row per file
+            ordered = rows.join(bounded_broadcast(mtimes), "file_name")
+            order = [F.col(_MTIME), F.col("file_name")] + ([sequence_expr(ordered, seq).asc_nulls_first()] if seq else [])
+            if op_col:
+                changes, merge_op = fold_changes(ordered, keys, op_col, order), ACTION
+            else:
+                changes = latest_per_key(ordered, keys, seq or "file_name",
+                                         before_seq=[F.col(_MTIME), F.col("file_name")])
+                merge_op = None
+            changes = changes.drop("file_name", _MTIME)
+            if bronze.exists():
+                bronze.merge(changes, keys, merge_op, batch_id=tag)
+            else:
+                bronze.commit(first_load(changes, merge_op), "STREAM CREATE", batch_id=tag)
         batch.unpersist()
         stop = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
         if stop is not None:

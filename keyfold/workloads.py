@@ -658,6 +658,21 @@ def q_stream_raw_to_bronze(spark, sf_dir):
     return bronze.read()
 
 
+@register("stream_raw_to_bronze_merge", _merge_files_in_order_sql())
+def q_stream_raw_to_bronze_merge(spark, sf_dir):
+    """Merge-mode bronze fed by the file stream, one landing file per micro-batch
+    (files in landing order): each micro-batch is one merge, as in the oracle."""
+    from keyfold.streaming.file_stream import stream_raw_to_bronze
+    base = scratch_path(spark, "events_stream_merge")
+    landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    q = stream_raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], f"{base}/_checkpoint",
+                             seq="event_id", op_col="op", write_mode="merge", max_files=1,
+                             read_options=fx.CSV_OPTIONS)
+    q.awaitTermination()
+    return bronze.read()
+
+
 # ================================================================= fiscal code
 _ALPH = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PEOPLE_SQL = """people AS (SELECT p_partkey, string_split(p_name, ' ')[1] AS surname, string_split(p_name, ' ')[2] AS name,

@@ -160,3 +160,30 @@ def test_rerun_after_crash_midway_through_moves_writes_once(spark):
     fs.create_empty(spark, f"{base}/landing/gl_2025.01.05.csv", "K|SEQ|AMT|OP\nz|1|1.0|I\n")
     ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True)
     assert ("z",) in rows(bronze.read(), "K") and bronze.version() == 2
+
+
+def test_stream_merge_equals_batch_merge(spark):
+    import time as _time
+    files = {
+        "cdc_01.csv": "K|SEQ|AMT|OP\na|1|1.0|I\nb|1|1.0|I\nc|1|1.0|I\ne|1|1.0|U\n",
+        "cdc_02.csv": "K|SEQ|AMT|OP\na|2|2.0|U\nb|2|2.0|D\ne|2|2.0|U\n",
+        "cdc_03.csv": "K|SEQ|AMT|OP\nb|3|3.0|U\nc|3|3.0|D\nf|3|3.0|D\n",
+    }
+    base = scratch_path(spark, "stream_merge")
+    start = (int(_time.time()) - 10) * 1000
+    for i, (f, text) in enumerate(sorted(files.items())):
+        fs.create_empty(spark, f"{base}/landing/{f}", text)
+        fs.set_mtime(spark, f"{base}/landing/{f}", start + i * 1000)
+    seed = spark.createDataFrame([("c", "0", 0.0, None), ("e", "0", 0.0, None)], SCHEMA)
+    batch = SnapshotTable(spark, f"{base}/batch")
+    batch.commit(seed, "WRITE")
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, batch, ["K"], seq="SEQ", op_col="OP", write_mode="merge")
+    for per_trigger in (1, None):                 # one file per micro-batch, or all in one
+        stream = SnapshotTable(spark, f"{base}/stream_{per_trigger}")
+        stream.commit(seed, "WRITE")
+        q = stream_raw_to_bronze(spark, f"{base}/landing", SCHEMA, stream, ["K"], f"{base}/_chk_{per_trigger}",
+                                 seq="SEQ", op_col="OP", write_mode="merge", max_files=per_trigger)
+        q.awaitTermination()
+        assert rows(stream.read(), "K", "AMT") == [("a", 1.0), ("b", 3.0), ("e", 0.0)]
+        assert rows(stream.read()) == rows(batch.read())
+    assert stream.version() == 2 and SnapshotTable(spark, f"{base}/stream_1").version() == 4
