@@ -53,6 +53,7 @@ class SnapshotTable:
         self.data_path = f"{self.path}/data"
         self.log_path = f"{self.path}/_commits"
         self.files_path = f"{self.path}/_files"
+        self._hint = f"{self.log_path}/_latest"
         self.keys = list(keys)
         if buckets and not self.keys:
             raise ValueError("buckets need the key columns")
@@ -78,10 +79,9 @@ class SnapshotTable:
         if head is not None and (version is None or version == head["version"]):
             return head
         if version is None:
-            names = [f.rsplit("/", 1)[-1] for f in fs.list_files(self.spark, self.log_path, ".json")]
-            if not names:
+            version = self._latest_version()
+            if version is None:
                 return None
-            version = max(int(n[:-len(".json")]) for n in names)
             row = self._read_entry(version)
             self._head = row
             return row
@@ -89,6 +89,24 @@ class SnapshotTable:
             return None
         return self._read_entry(version)
 
+    def _latest_version(self) -> int | None:
+        """Latest committed version: the ``_latest`` hint, then probing the entries
+        after it (O(1) file-system calls); a full listing of the log only when the
+        hint is missing or unreadable."""
+        v = None
+        if fs.exists(self.spark, self._hint):
+            try:
+                v = int(fs.read_text(self.spark, self._hint).strip())
+            except Exception:       # a hint being rewritten: fall back to the listing
+                v = None
+        if v is None or not fs.exists(self.spark, self._entry(v)):
+            names = [f.rsplit("/", 1)[-1][:-len(".json")] for f in fs.list_files(self.spark, self.log_path, ".json")]
+            versions = [int(n) for n in names if n.isdigit()]
+            return max(versions) if versions else None
+        while fs.exists(self.spark, self._entry(v + 1)):      # committed after the hint was written
+            v += 1
+        return v
+
     def _read_entry(self, version: int) -> Row:
         d = json.loads(fs.read_text(self.spark, self._entry(version)))
         d["committed_at"] = _dt.datetime.strptime(d["committed_at"], _PY_TS_FORMAT)
@@ -98,8 +116,24 @@ class SnapshotTable:
         row = self._commit_row()
         return None if row is None else row["version"]
 
-    def has_batch(self, batch_id: str) -> bool:
-        return self.exists() and self.history().where(F.col("batch_id") == batch_id).limit(1).count() > 0
+    def has_batch(self, batch_id: str, writer_prefix: str | None = None) -> bool:
+        """True if a committed version carries ``batch_id``. With ``writer_prefix``
+        (the common prefix of one writer's batch ids, e.g. a stream's checkpoint),
+        only that writer's latest commit can be a replay: the log is walked back from
+        the head to it, usually one entry read, no Spark job. Otherwise the whole
+        log is searched."""
+        if not self.exists():
+            return False
+        if writer_prefix is None:
+            return self.history().where(F.col("batch_id") == batch_id).limit(1).count() > 0
+        v = self.version()
+        while v is not None and v >= 1:
+            row = self._commit_row(v)
+            b = (row["batch_id"] or "") if row is not None else ""
+            if b.startswith(writer_prefix):
+                return b == batch_id
+            v -= 1
+        return False
 
     # ---- reading -------------------------------------------------------------------
     def _read_folders(self, folders: Sequence[str], schema_json: str | None) -> DataFrame:
@@ -183,6 +217,10 @@ class SnapshotTable:
                      schema_json=schema_json, rewritten=rewritten, files_attempt=files_attempt)
         if not fs.create_new(self.spark, self._entry(version), json.dumps(entry)):
             raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        try:                        # a hint only: readers probe past it and list without it
+            fs.create_empty(self.spark, self._hint, str(version))
+        except Exception:
+            pass
         self._head = Row(**{**entry, "committed_at": now})
         return version
 

@@ -57,7 +57,7 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         tag = f"{checkpoint}#{batch_id}"
-        if bronze.has_batch(tag):            # replay of a committed batch
+        if bronze.has_batch(tag, writer_prefix=f"{checkpoint}#"):   # replay of a committed batch
             return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
         verdicts = dq.dq_check(batch, keys, seq).checkpoint(eager=True)

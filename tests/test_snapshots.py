@@ -74,3 +74,22 @@ def test_history_has_commit_times(spark):
     assert t.has_batch("b1") and not t.has_batch("b2")
     fresh = SnapshotTable(spark, t.path)               # resolves the version from the log folder
     assert fresh.version() == 1 and fresh._commit_row(1).num_rows == 1
+
+
+def test_latest_hint_and_writer_replay_check(spark):
+    path = scratch_path(spark, "t_hint")
+    t = SnapshotTable(spark, path)
+    df = spark.createDataFrame([(1,)], "k int")
+    t.commit(df, "WRITE", batch_id="chk#0")
+    t.commit(df, "WRITE", batch_id="other")
+    assert SnapshotTable(spark, path).version() == 2
+    # a writer that does not update the hint (or a stale hint): later entries are probed
+    from keyfold.sources import fs
+    fs.create_empty(spark, f"{path}/_commits/_latest", "1")
+    assert SnapshotTable(spark, path).version() == 2
+    fs.create_empty(spark, f"{path}/_commits/_latest", "garbage")
+    assert SnapshotTable(spark, path).version() == 2
+    fresh = SnapshotTable(spark, path)
+    assert fresh.has_batch("chk#0", writer_prefix="chk#")        # the writer's latest commit, behind another one
+    assert not fresh.has_batch("chk#1", writer_prefix="chk#")
+    assert fresh.has_batch("other") and not fresh.has_batch("nope")
