@@ -168,8 +168,10 @@ def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
     kept = kept.drop("__kf_op", _S)
     insertable = other | (delete if unmatched_delete == "insert" else F.lit(False))
     maybe = source.where(insertable)
-    matched = target.select(*keys).join(F.broadcast(maybe.select(*keys)), keys, "left_semi")
-    inserts = maybe.join(F.broadcast(matched), keys, "left_anti")   # matched <= change-set size
+    # distinct (map-side) bounds the matched keys by the change set even when the
+    # target repeats a key, so broadcasting them stays within the checked size
+    matched = target.select(*keys).join(F.broadcast(maybe.select(*keys)), keys, "left_semi").distinct()
+    inserts = maybe.join(F.broadcast(matched), keys, "left_anti")
     ins_null = bypass_s if unmatched_delete == "insert" else bypass_s.where(~delete)
     parts = [kept, source.where(replace), inserts, bypass_t, ins_null]
     return _union_all([_align(p, cols) for p in parts])
