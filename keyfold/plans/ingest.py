@@ -95,11 +95,12 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     res = BronzeResult(files=len(files))
     if not files:
         return res
-    # The same landed files always give the same batch id: a rerun after a crash
-    # between the bronze commit and the file moves does not write them twice.
+    # Files a committed version holds were taken out above (per-file manifests), so
+    # a batch id derived from the remaining files cannot have been committed; only
+    # an id the caller chose is looked up in the log.
+    already = batch_id is not None and bronze.has_batch(batch_id)
     batch_id = batch_id or "files:" + hashlib.sha1("\n".join(sorted(
         f"{r['name']}|{r['size']}|{r['modificationTime']}" for r in files)).encode()).hexdigest()
-    already = bronze.has_batch(batch_id)
     order = {r["name"]: i for i, r in enumerate(sorted(files, key=lambda r: (r["modificationTime"], r["name"])))}
     files_df = spark.createDataFrame(
         [(r["path"], r["name"], r["size"], r["modificationTime"], order[r["name"]]) for r in files],
