@@ -83,3 +83,18 @@ def test_reconcile_and_snapshot_deleted_reduce_keys_before_the_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_verdict_join_beyond_the_bound_is_not_broadcast(spark):
+    from keyfold.operators import quality, sizing
+    rows_df = spark.createDataFrame([("f1", 1), ("f2", 2)], "file_name string, v int")
+    verdicts = spark.createDataFrame([("f1", "accept"), ("f2", "reject")], "file_name string, action string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(quality.verdict_join(rows_df, verdicts, n_files=sizing.SMALL_MAX_ROWS + 1))
+        assert "BroadcastHashJoin" not in p and "BroadcastExchange" not in p
+        p = _plan(quality.verdict_join(rows_df, verdicts, n_files=2))
+        assert "BroadcastHashJoin" in p
+        assert [r.v for r in quality.verdict_join(rows_df, verdicts, n_files=sizing.SMALL_MAX_ROWS + 1).collect()] == [1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
