@@ -87,6 +87,9 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
         # the moves, perhaps midway): route them by their recorded verdict, never write
         # them again. Matched by name, size and modification time.
         ident = ["name", "size", "modificationTime"]
+        # a listed file can only match manifest rows as recent as the oldest listed file:
+        # the filter reaches the Parquet scan, and row-group statistics skip old manifests
+        done = done.where(F.col("modificationTime") >= min(r["modificationTime"] for r in files))
         listed = spark.createDataFrame(files, "path string, name string, size long, modificationTime long")
         seen = listed.join(done.select(*ident, "action").distinct(), ident, "inner")
         if move:
