@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyfold.llm import embed, simhash
+from keyfold.llm import embed, mixing, simhash
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_metric_range_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register("op7_curriculum_mix", mixing.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = mixing.curriculum(table(spark, sf_dir, "documents"))
+    return (placed.withColumn("position", F.try_element_at("positions", F.lit(1)))
+            .select("doc_id", "size", "source_size", "target", "taken", "copies", "position"))
