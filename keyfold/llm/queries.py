@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import embed, mixing, simhash
+from keyfold.llm import embed, mixing, secrets, simhash
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.curriculum(table(spark, sf_dir, "documents"))
     return (placed.withColumn("position", F.try_element_at("positions", F.lit(1)))
             .select("doc_id", "size", "source_size", "target", "taken", "copies", "position"))
+
+
+@register("op9_blob_ledger_scan", secrets.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_fresh(spark, table(spark, sf_dir, "documents"))
