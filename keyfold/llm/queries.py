@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import embed, mixing, secrets, simhash
+from keyfold.llm import embed, langid, mixing, packing, secrets, simhash
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_blob_ledger_scan", secrets.SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_fresh(spark, table(spark, sf_dir, "documents"))
+
+
+@register("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op3_marginal_unigrams")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
