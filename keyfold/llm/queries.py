@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import embed, langid, mixing, packing, secrets, simhash
+from keyfold.llm import decontam, embed, langid, mixing, packing, secrets, simhash
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_marginal_unigrams")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op1_latent_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
