@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import decontam, embed, langid, mixing, packing, secrets, simhash
+from keyfold.llm import brown, decontam, embed, langid, mixing, packing, secrets, simhash, spans
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_latent_decontamination")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op8_brown_classes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
+@register("op6_sentence_spans")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.remove_repeats(table(spark, sf_dir, "documents"))
