@@ -14,8 +14,9 @@ from keyfold.llm.common import cut, map_rows
 #: A sentence ends after its stops and the white space behind them, or at a line end.
 _END = re.compile(r"[.!?]+\s+|\n+")
 #: A sentence of more words than this is taken as parts, cut after the words whose hash
-#: is 0 modulo EVERY: where a passage begins does not move the cuts behind it.
-LONG, EVERY = 16, 8
+#: is 0 modulo EVERY (where a passage begins does not move the cuts behind it), or after
+#: MOST words without such a word, as when one word is repeated.
+LONG, EVERY, MOST = 16, 8, 24
 #: A run is the fewest consecutive sentences (or parts) with at least these many of each.
 RUN_SENTENCES, RUN_WORDS = 2, 16
 
@@ -36,7 +37,7 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
             stops = [start + m.end() for m in re.finditer(r"\S+\s*", text[start:end])]
             first = 0
             for k, w in enumerate(words):
-                if k == len(words) - 1 or not xxhash.xxh32_intdigest(w) % EVERY:
+                if k == len(words) - 1 or k - first == MOST - 1 or not xxhash.xxh32_intdigest(w) % EVERY:
                     out.append((start, stops[k], words[first:k + 1]))
                     start, first = stops[k], k + 1
         start = end
