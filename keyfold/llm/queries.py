@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import brown, decontam, embed, langid, mixing, packing, secrets, simhash, spans
+from keyfold.llm import brown, decontam, embed, langid, mixing, packing, pages, secrets, simhash, spans
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_sentence_spans")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op5_nearest_url_differencing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
