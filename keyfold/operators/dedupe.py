@@ -14,13 +14,14 @@ _RN = "__kf_rn"
 def sequence_expr(df: DataFrame, seq: str, seq_type: str = "numeric") -> Column:
     """Ordering value of a sequence column.
 
-    ``numeric``: a string sequence is compared as a number (so '10' is above '9');
-    text that is not a number becomes null and sorts last. ``string``/``as_is``:
-    the column as it is.
+    ``numeric``: a string sequence is compared as an exact number first ('10' is above
+    '9', '1.4' above '1.3'); text that is not a number is below every number and compared
+    as text, so ISO dates and times keep their order. ``string``/``as_is``: the column as
+    it is.
     """
     c = F.col(seq)
     if seq_type == "numeric" and isinstance(df.schema[seq].dataType, StringType):
-        return c.try_cast("decimal(38,0)")
+        return F.struct(c.try_cast("decimal(38,10)"), c)
     return c
 
 

@@ -12,6 +12,7 @@ the target row, as a lakehouse ``MERGE`` does when several source rows match.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -111,9 +112,10 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
         else:
             take_s = has_s
             drop = F.lit(False)
+        # columns the source lacks keep the target's value
         out = j.where(~drop).select(*[
-            F.when(take_s, _col_or_null(source, "source_table", c, dt))
-             .otherwise(_col_or_null(target, "target_table", c, dt)).alias(c) for c, dt in cols])
+            (F.when(take_s, F.col(f"source_table.{c}")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(dt)))
+            .otherwise(_col_or_null(target, "target_table", c, dt)).alias(c) for c, dt in cols])
 
     if bypass_t is not None:
         ins = bypass_s
@@ -123,58 +125,49 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
     return out
 
 
-# Change sets within both bounds take the broadcast path (keys + op only are shipped).
+# Change sets within both bounds are broadcast whole.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 << 20
 
 
-def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int,
-              op_col: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+def _is_small(source: DataFrame, strategy: str, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     if strategy == "shuffle":
         return False
     if strategy == "broadcast":
         return True
     if strategy != "auto":
         raise ValueError(f"unknown merge strategy {strategy!r}")
-    # size check of what would be broadcast: rows and bytes of the change set's keys
-    # (and op), one distributed pass; the target is never counted
-    shipped = source.select(*keys, *([op_col] if op_col else []))
-    return sizing.within(shipped, max_rows, max_bytes)
+    # rows and bytes of the change set, one distributed pass; the target is never counted
+    return sizing.within(source, max_rows, max_bytes)
 
 
 def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
                      op_col: str | None, unmatched_delete: str) -> DataFrame:
-    """Same result as the full outer join when the change set is small: its keys
-    (and op) are broadcast, the target streams through map-side hash joins
-    (no shuffle of the target), and change rows are unioned back."""
+    """The rows of the full outer join when the change set is small: it is broadcast, and
+    the target streams through a map-side join that updates, keeps or drops each of its
+    rows, a repeated key's rows all alike; change rows without a target row are unioned."""
     keys = list(keys)
     cols = _out_columns(target, source)
-    bypass_t = target.where(_any_null(keys))
-    bypass_s = source.where(_any_null(keys))
-    target = target.where(~_any_null(keys))
-    source = source.where(~_any_null(keys))
-    if op_col is None:
-        kept = target.join(F.broadcast(one_row_per_key(source.select(*keys), keys)), keys, "left_anti")
-        parts = [kept, source, bypass_t, bypass_s]
-        return _union_all([_align(p, cols) for p in parts])
-    op = F.col(op_col)
-    replace = op.isNull() | op.eqNullSafe(INSERT)
-    delete = op.eqNullSafe(DELETE)
-    other = ~replace & ~delete
-    marks = one_row_per_key(source.select(*keys, op.alias("__kf_op")), keys).withColumn(_S, F.lit(True))
-    tagged = target.join(F.broadcast(marks), keys, "left")
-    t_op = F.col("__kf_op")
-    kept = tagged.where(F.col(_S).isNull() | (~(t_op.isNull() | t_op.eqNullSafe(INSERT) | t_op.eqNullSafe(DELETE))))
-    kept = kept.drop("__kf_op", _S)
-    insertable = other | (delete if unmatched_delete == "insert" else F.lit(False))
-    maybe = source.where(insertable)
-    # distinct (map-side) bounds the matched keys by the change set even when the
-    # target repeats a key, so broadcasting them stays within the checked size
-    matched = target.select(*keys).join(F.broadcast(maybe.select(*keys)), keys, "left_semi").distinct()
-    inserts = maybe.join(F.broadcast(matched), keys, "left_anti")
-    ins_null = bypass_s if unmatched_delete == "insert" else bypass_s.where(~delete)
-    parts = [kept, source.where(replace), inserts, bypass_t, ins_null]
-    return _union_all([_align(p, cols) for p in parts])
+    bypass_t, bypass_s = target.where(_any_null(keys)), source.where(_any_null(keys))
+    target, source = target.where(~_any_null(keys)), one_row_per_key(source.where(~_any_null(keys)), keys)
+    t = target.alias("target_table")
+    s = source.withColumn(_S, F.lit(True)).alias("source_table")
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(f"target_table.{k}") == F.col(f"source_table.{k}"))
+    tagged = t.join(F.broadcast(s), on, "left")
+    hit = F.col(f"source_table.{_S}").isNotNull()
+    op = F.col(f"source_table.{op_col}") if op_col else F.lit(None).cast("string")
+    take = hit & (op.isNull() | op.eqNullSafe(INSERT))
+    kept = tagged.where(~(hit & op.eqNullSafe(DELETE))).select(*[
+        (F.when(take, F.col(f"source_table.{c}")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(dt)))
+        .otherwise(_col_or_null(target, "target_table", c, dt)).alias(c) for c, dt in cols])
+    # distinct (map-side) bounds the matched keys by the change set, whatever the target repeats
+    matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
+    inserts = source.join(F.broadcast(matched), keys, "left_anti").unionByName(bypass_s)
+    if op_col and unmatched_delete == "skip":
+        inserts = inserts.where(~F.col(op_col).eqNullSafe(DELETE))
+    return _union_all([_align(p, cols) for p in (kept, inserts, bypass_t)])
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -191,12 +184,14 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
     nulls included); matched & another op → target row stays; not matched → insert,
     except op ``D`` which is skipped unless ``unmatched_delete='insert'``.
 
-    ``strategy``: ``shuffle`` (full outer join), ``broadcast`` (change-set keys
-    broadcast), or ``auto`` (broadcast when the change set has at most
-    ``broadcast_max_rows`` rows, checked by a count of the change set)."""
+    Every target row of a repeated target key is treated alike, and columns the change set
+    lacks keep the target's value. ``strategy``: ``shuffle`` (full outer join),
+    ``broadcast`` (change set broadcast), or ``auto`` (broadcast when the change set is
+    measured to be within ``broadcast_max_rows`` rows and ``BROADCAST_MAX_BYTES``); all
+    give the same rows."""
     if unmatched_delete not in ("skip", "insert"):
         raise ValueError("unmatched_delete must be 'skip' or 'insert'")
-    if _is_small(source, keys, strategy, broadcast_max_rows, op_col):
+    if _is_small(source, strategy, broadcast_max_rows):
         out = _merge_broadcast(target, source, keys, op_col, unmatched_delete)
     else:
         out = _merge(target, source, keys=keys, condition=None, op_col=op_col,
@@ -207,7 +202,7 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, strategy: str = "auto",
                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Matched → source row; not matched → insert."""
-    if _is_small(source, keys, strategy, broadcast_max_rows):
+    if _is_small(source, strategy, broadcast_max_rows):
         return _merge_broadcast(target, source, keys, None, "insert")
     return _merge(target, source, keys=keys, condition=None, op_col=None,
                   unmatched_delete="insert", coalesce_values=False)
@@ -215,8 +210,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, s
 
 def merge_condition(target: DataFrame, source: DataFrame, condition: str, *,
                     op_col: str | None = None, unmatched_delete: str = "skip") -> DataFrame:
-    """Merge on a SQL condition over ``target_table`` / ``source_table``. Keep an
-    equality in it: Spark pulls equi-parts out of the condition and hash-partitions on them."""
+    """Merge on a SQL condition over ``target_table`` / ``source_table``. The condition must
+    hold an equality between the two, on which Spark hash-partitions; without one every
+    pair would be compared, so it raises. A target row that several source rows match
+    raises too, as in a lakehouse ``MERGE``; checked by one job before the result is built."""
+    t = target.withColumn(_ROW, F.monotonically_increasing_id()).alias("target_table")
+    pairs = t.join(source.alias("source_table"), F.expr(condition), "inner").select(_ROW)
+    if re.search("NestedLoop|Cartesian", pairs._jdf.queryExecution().sparkPlan().toString()):
+        raise ValueError(f"the merge condition needs an equality between target_table and source_table: {condition}")
+    if not pairs.groupBy(_ROW).count().where("count > 1").isEmpty():
+        raise ValueError(f"several source rows match one target row: {condition}")
     return _merge(target, source, keys=None, condition=condition, op_col=op_col,
                   unmatched_delete=unmatched_delete, coalesce_values=False)
 

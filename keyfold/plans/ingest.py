@@ -133,6 +133,8 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
         rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")   # one row
     if already:                       # this file set is committed already
         res.version = bronze.version()
+    elif verdicts.where(F.col("action") == "accept").isEmpty():
+        res.version = bronze.version() if bronze.exists() else None   # nothing to write: the table stays as it is
     elif write_mode == "merge":
         ordered = rows.join(bounded_broadcast(verdicts.select("file_name", "file_order"), known_rows=len(files)),
                             "file_name")

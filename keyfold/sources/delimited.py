@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def file_name() -> Column:
+    """Name of a row's source file as the listing has it: Spark's metadata gives it
+    URL-encoded, in which a plus sign stands for itself."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def delimited_read(spark: SparkSession, paths: str | Sequence[str], schema: StructType, *,
                    delimiter: str = "|", header: bool = True, file_col: str | None = "file_name",
                    file_meta: bool = False, **options) -> DataFrame:
@@ -18,7 +24,7 @@ def delimited_read(spark: SparkSession, paths: str | Sequence[str], schema: Stru
     df = (spark.read.options(delimiter=delimiter, header=header, **options)
           .schema(schema).csv(paths))
     if file_col:
-        df = df.withColumn(file_col, F.col("_metadata.file_name"))
+        df = df.withColumn(file_col, file_name())
     if file_meta:
         df = df.withColumns({"file_path": F.col("_metadata.file_path"),
                              "file_size": F.col("_metadata.file_size"),

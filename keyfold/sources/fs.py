@@ -52,7 +52,9 @@ def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) ->
     if make_parent:
         fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
-        raise OSError(f"cannot rename {src} to {dst}")
+        # a name that landed before: the newer file takes its place
+        if not (fs.exists(s) and fs.exists(d) and fs.delete(d, False) and fs.rename(s, d)):
+            raise OSError(f"cannot rename {src} to {dst}")
 
 
 def move(spark: SparkSession, src: str, dst_dir: str) -> str:

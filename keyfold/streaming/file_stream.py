@@ -1,8 +1,9 @@
 """Incremental landing → bronze with Structured Streaming's file source.
 
 Every micro-batch holds whole files, so the per-file checks hold inside
-``foreachBatch``. The checkpoint says which files were processed; a batch that
-is replayed after a failure is recognised by its id in the bronze commit log.
+``foreachBatch``. The checkpoint says which micro-batches were processed; every commit
+records its files and their verdicts, so a replayed batch goes on with the files that no
+commit decided: after a crash, or after a fatal verdict, those behind the fatal file.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from keyfold.operators.merge import ACTION, first_load, fold_changes
 from keyfold.operators.sizing import bounded_broadcast
 from keyfold.operators.snapshots import SnapshotTable
 from keyfold.plans.ingest import bronze_rows
+from keyfold.sources.delimited import file_name
 
-_MTIME = "__kf_mtime"
+_MTIME, _SIZE = "__kf_mtime", "__kf_size"
 
 
 def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType,
@@ -52,24 +54,38 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
             reader = reader.option("sourceArchiveDir", archive_dir)
     # the file name must be selected before foreachBatch
     stream = (reader.csv(f"{landing.rstrip('/')}/{pattern}")
-              .withColumn("file_name", F.col("_metadata.file_name"))
-              .withColumn(_MTIME, F.col("_metadata.file_modification_time")))
+              .withColumn("file_name", file_name())
+              .withColumn(_MTIME, F.unix_millis(F.col("_metadata.file_modification_time")))
+              .withColumn(_SIZE, F.col("_metadata.file_size")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{checkpoint}#{batch_id}"
-        if bronze.has_batch(tag, writer_prefix=f"{checkpoint}#"):   # replay of a committed batch
-            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
-        verdicts = dq.dq_check(batch, keys, seq).checkpoint(eager=True)
+        try:
+            decide(batch, f"{checkpoint}#{batch_id}")
+        finally:
+            batch.unpersist()
+
+    def decide(batch: DataFrame, tag: str) -> None:
+        # one row per file of the batch
+        files = batch.groupBy("file_name").agg(F.max(_MTIME).alias(_MTIME), F.max(_SIZE).alias(_SIZE))
+        done = bronze.committed_files()
+        if done is not None:
+            seen = files.join(done.select(F.col("name").alias("file_name"), F.col("size").alias(_SIZE),
+                                          F.col("modificationTime").alias(_MTIME)), ["file_name", _SIZE, _MTIME], "left_semi")
+            batch = batch.join(bounded_broadcast(seen.select("file_name")), "file_name", "left_anti")
+            if batch.isEmpty():
+                return
+        verdicts = dq.dq_check(batch.drop(_MTIME, _SIZE), keys, seq).checkpoint(eager=True)
         verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_name"])
-        rows = bronze_rows(batch.drop(_MTIME), verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
+        landed = verdicts.where(F.col("action") != "skip").select("file_name", "action").join(files, "file_name").select(
+            F.col("file_name").alias("name"), F.col(_SIZE).alias("size"), F.col(_MTIME).alias("modificationTime"), "action")
+        rows = bronze_rows(batch.drop(_MTIME, _SIZE), verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
                            hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=write_mode == "merge")
         if write_mode == "append":
             bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
-                          batch_id=tag)
+                          batch_id=tag, files=landed)
         else:
-            mtimes = batch.groupBy("file_name").agg(F.max(_MTIME).alias(_MTIME))    # one row per file
-            ordered = rows.join(bounded_broadcast(mtimes), "file_name")
+            ordered = rows.join(bounded_broadcast(files.select("file_name", _MTIME)), "file_name")
             order = [F.col(_MTIME), F.col("file_name")] + ([sequence_expr(ordered, seq).asc_nulls_first()] if seq else [])
             if op_col:
                 changes, merge_op = fold_changes(ordered, keys, op_col, order), ACTION
@@ -79,10 +95,9 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
                 merge_op = None
             changes = changes.drop("file_name", _MTIME)
             if bronze.exists():
-                bronze.merge(changes, keys, merge_op, batch_id=tag)
+                bronze.merge(changes, keys, merge_op, batch_id=tag, files=landed)
             else:
-                bronze.commit(first_load(changes, merge_op), "STREAM CREATE", batch_id=tag)
-        batch.unpersist()
+                bronze.commit(first_load(changes, merge_op), "STREAM CREATE", batch_id=tag, files=landed)
         stop = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
         if stop is not None:
             raise dq.DataQualityError(stop["file_name"], stop["code"])

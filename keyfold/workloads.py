@@ -778,18 +778,19 @@ def q_lookup_unpivot(spark, sf_dir):
     return lookup.lookup_unpivot(wide, 4, key="town_name", value="town_code")
 
 
-_VALID = {k: v.replace("'", "''") for k, v in fiscal.PATTERNS.items()}   # SQL-quoted
+def _plain_sql(c: str) -> str:
+    return f"coalesce({c} <> '' AND regexp_replace({c}, '[A-Za-z''\\s]', '', 'g') = '', false)"
 
 
 @register("person_validate", f"""WITH {PEOPLE_SQL},
 f AS (SELECT *,
-  coalesce(regexp_matches(surname, '{_VALID['str']}'), false) AS surname_ok,
-  coalesce(regexp_matches(name, '{_VALID['str']}'), false) AS name_ok,
-  coalesce(regexp_matches(year, '{_VALID['year']}'), false) AS year_ok,
-  coalesce(regexp_matches(month, '{_VALID['month']}'), false) AS month_ok,
-  coalesce(regexp_matches(day, '{_VALID['day']}'), false) AS day_ok,
-  coalesce(regexp_matches(gender, '{_VALID['gender']}'), false) AS gender_ok,
-  coalesce(regexp_matches(town, '{_VALID['str']}'), false) AS town_ok,
+  {_plain_sql('surname')} AS surname_ok,
+  {_plain_sql('name')} AS name_ok,
+  coalesce(regexp_matches(year, '^[0-9]{{4}}$') AND TRY_CAST(year AS INT) BETWEEN 1800 AND 2022, false) AS year_ok,
+  coalesce(regexp_matches(month, '^[0-9]{{1,2}}$') AND TRY_CAST(month AS INT) BETWEEN 1 AND 12, false) AS month_ok,
+  coalesce(regexp_matches(day, '^[0-9]{{1,2}}$') AND TRY_CAST(day AS INT) BETWEEN 1 AND 31, false) AS day_ok,
+  coalesce(gender IN ('M', 'F', 'm', 'f'), false) AS gender_ok,
+  {_plain_sql('town')} AS town_ok,
   try_cast(make_date(TRY_CAST(year AS BIGINT), TRY_CAST(month AS BIGINT), TRY_CAST(day AS BIGINT)) AS DATE) IS NOT NULL AS date_valid
   FROM people)
 SELECT *, surname_ok AND name_ok AND year_ok AND month_ok AND day_ok AND gender_ok AND town_ok AND date_valid AS valid FROM f""")

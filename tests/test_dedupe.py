@@ -45,3 +45,9 @@ def test_dup_keys_and_inspect(spark):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n"), (None, "m")], "k int, v string")
     assert rows(dedupe.dup_keys(df, ["k"])) == [(1, 2)]
     assert rows(dedupe.dup_inspect(df, ["k"]), "k", "v", "cnt") == [(1, "x", 2), (1, "y", 2)]
+
+
+def test_text_sequences_keep_their_order(spark):
+    df = spark.createDataFrame([(1, "1.3", "z"), (1, "1.4", "a"), (2, "2025-01-02T10:00", "a"), (2, "2025-01-01T10:00", "z"), (3, "9", "z"), (3, "10", "a")],
+                               "k int, s string, v string")
+    assert rows(dedupe.latest_per_key(df, ["k"], "s"), "k", "s") == [(1, "1.4"), (2, "2025-01-02T10:00"), (3, "10")]

@@ -187,3 +187,36 @@ def test_stream_merge_equals_batch_merge(spark):
         assert rows(stream.read(), "K", "AMT") == [("a", 1.0), ("b", 3.0), ("e", 0.0)]
         assert rows(stream.read()) == rows(batch.read())
     assert stream.version() == 2 and SnapshotTable(spark, f"{base}/stream_1").version() == 4
+
+
+def test_stream_goes_on_behind_a_fatal_file(spark):
+    base = _landing(spark, "stream_fatal")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+
+    def run():
+        stream_raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], f"{base}/_chk", seq="SEQ",
+                             fatal=(dq.DUPLICATED,)).awaitTermination()
+
+    with pytest.raises(Exception, match="gl_2025.01.02"):
+        run()
+    assert rows(bronze.read(), "K") == [("a",), ("b",)]
+    run()
+    assert rows(bronze.read(), "K", "SEQ") == [("a", "2"), ("b", "1"), ("b", "10"), ("d", "1")]
+    run()
+    assert rows(bronze.read(), "K", "SEQ") == [("a", "2"), ("b", "1"), ("b", "10"), ("d", "1")]
+
+
+def test_rejected_files_leave_the_table_and_names_may_hold_blanks(spark):
+    base = scratch_path(spark, "ingest_names")
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+
+    def land(name, text, **kw):
+        fs.create_empty(spark, f"{base}/landing/{name}", text)
+        return ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True, **kw)
+
+    land("gl 2025 a+b%.csv", "K|SEQ|AMT|OP\na|1|1.0|I\n")
+    assert rows(bronze.read(), "K") == [("a",)]
+    for mode in ("overwrite", "append", "merge"):
+        land("empty.csv", "K|SEQ|AMT|OP\n", write_mode=mode)      # lands again: replaces the routed one
+        assert rows(bronze.read(), "K") == [("a",)] and bronze.version() == 1
+    assert len(fs.list_files(spark, f"{base}/landing/error", ".csv")) == 1

@@ -129,3 +129,24 @@ def test_fold_of_batches_equals_merging_them_in_order(spark):
         assert rows(out) == rows(seq_out)
     assert rows(merge.first_load(merge.fold_changes(allb, ["k"], "op", ["batch"]).drop("batch"), merge.ACTION)) == \
         rows(merge.merge_ops(t.limit(0), folded, ["k"], merge.ACTION))
+
+
+def test_plans_agree_on_repeated_target_keys_and_missing_columns(spark):
+    target = spark.createDataFrame([(1, "a", "t1"), (1, "b", "t2"), (2, "c", "t3"), (None, "d", "t4"), (5, "e", "t5")],
+                                   "k int, v string, only_target string")
+    source = spark.createDataFrame([(1, "new", "I"), (2, None, "D"), (3, "ins", "U"), (4, "gone", "D"), (5, "kept", "U"), (None, "n", None)],
+                                   "k int, v string, op string")
+    got = [rows(merge.merge_ops(target, source, ["k"], "op", strategy=s)) for s in ("shuffle", "broadcast")]
+    assert got[0] == got[1]
+    assert {(1, "new", "t1", "I"), (1, "new", "t2", "I"), (3, "ins", None, "U"), (5, "e", "t5", None)} < set(got[0]) and len(got[0]) == 6
+    up = [rows(merge.merge_upsert(target, source.drop("op"), ["k"], strategy=s)) for s in ("shuffle", "broadcast")]
+    assert up[0] == up[1] and {(1, "new", "t1"), (1, "new", "t2")} < set(up[0])
+
+
+def test_condition_needs_an_equality_and_one_match(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    source = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
+    with pytest.raises(ValueError, match="several source rows"):
+        merge.merge_condition(target, source, "target_table.k = source_table.k")
+    with pytest.raises(ValueError, match="equality"):
+        merge.merge_condition(target, source, "target_table.k < source_table.k")

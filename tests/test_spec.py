@@ -1,6 +1,6 @@
 import pytest
 
-from keyfold.spec import EntitySpec, Registry
+from keyfold.spec import EntitySpec, Layout, Registry
 
 
 def _spec(**kw):
@@ -9,9 +9,11 @@ def _spec(**kw):
 
 def test_layer_names():
     s = _spec()
-    assert s.raw_path == "/Volumes/qlt_finance/accounting_raw_fact_erp_general_ledger/delta/GL_4/"
-    assert s.bronze_name == "qlt_finance.accounting_bronze_fact_erp_general_ledger.GL_4"
-    assert s.silver_name == "qlt_finance.accounting_silver_fact_general_ledger.GL_4"
+    assert s.raw_path == "lake/qlt/raw/finance/accounting/erp/general_ledger/GL_4/delta"
+    assert s.bronze_name == "qlt_bronze_finance.accounting_erp_general_ledger_GL_4"
+    assert s.silver_name == "qlt_silver_finance.accounting_general_ledger_GL_4"
+    own = _spec(layout=Layout(silver="{entity}_{env}"))
+    assert own.silver_name == "general_ledger_qlt" and own.raw_path == s.raw_path
 
 
 def test_mandatory_names_and_registry():
