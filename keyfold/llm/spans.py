@@ -65,19 +65,18 @@ def runs(text: str | None) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _without(text: str, removed: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """(text without the sentences of the runs, sentences, removed sentences)."""
-    found = sentences(text)
+def _without(text: str, removed: list[tuple[int, int]]) -> tuple[str, int]:
+    """(text without the sentences of the runs, number of removed sentences)."""
+    if not removed:
+        return text, 0
     gone = set()
     for first, last in removed:
         gone.update(range(first, last + 1))
-    if not gone:
-        return text, len(found), 0
-    return "".join(text[a:b] for k, (a, b, _) in enumerate(found) if k not in gone), len(found), len(gone)
+    return "".join(text[a:b] for k, (a, b, _) in enumerate(sentences(text)) if k not in gone), len(gone)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_sentences, n_removed) of every row: the text without the sentences
+    """(doc_id, text, n_removed) of every row: the text without the sentences
     that lie in a repeated run other than its first occurrence (smallest doc_id, then
     first in the text) in the whole table.
 
@@ -87,7 +86,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents share is never gathered in one task, and a hot hash meets one row of the
     other side, which a skewed join splits. Texts move once, to meet their runs.
 
-    Null text: null, 0 sentences. Empty and blank texts: as they are. Null doc_id: its runs
+    Null text: null. Empty and blank texts: as they are. Null doc_id: its runs
     count, after all others, but its text is returned whole. Repeated rows with the same
     doc_id are one document: their equal runs are the same occurrence. Empty table: empty
     result. Other columns are not read."""
@@ -110,10 +109,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out = []
             for k in range(b.num_rows):
                 doc, text, gone = (b.column(i)[k].as_py() for i in range(3))
-                out.append((doc, text, 0, 0) if text is None else
+                out.append((doc, text, 0) if text is None else
                            (doc, *_without(text, [(g["first"], g["last"]) for g in gone or []])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*out) if out else [()] * 4, (pa.int64(), pa.string(), pa.int32(), pa.int32()))],
-                names=["doc_id", "text", "n_sentences", "n_removed"])
+                zip(*out) if out else [()] * 3, (pa.int64(), pa.string(), pa.int32()))],
+                names=["doc_id", "text", "n_removed"])
 
-    return joined.mapInArrow(rewrite, "doc_id long, text string, n_sentences int, n_removed int")
+    return joined.mapInArrow(rewrite, "doc_id long, text string, n_removed int")
