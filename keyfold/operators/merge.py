@@ -130,13 +130,18 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 << 20
 
 
-def _is_small(source: DataFrame, strategy: str, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int,
+              op_col: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the change set is broadcast. All of its columns are, so all are measured."""
     if strategy == "shuffle":
         return False
     if strategy == "broadcast":
         return True
     if strategy != "auto":
         raise ValueError(f"unknown merge strategy {strategy!r}")
+    missing = [c for c in (*keys, *([op_col] if op_col else [])) if c not in source.columns]
+    if missing:
+        raise ValueError(f"the change set lacks {missing}")
     # rows and bytes of the change set, one distributed pass; the target is never counted
     return sizing.within(source, max_rows, max_bytes)
 
@@ -191,7 +196,7 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
     give the same rows."""
     if unmatched_delete not in ("skip", "insert"):
         raise ValueError("unmatched_delete must be 'skip' or 'insert'")
-    if _is_small(source, strategy, broadcast_max_rows):
+    if _is_small(source, keys, strategy, broadcast_max_rows, op_col):
         out = _merge_broadcast(target, source, keys, op_col, unmatched_delete)
     else:
         out = _merge(target, source, keys=keys, condition=None, op_col=op_col,
@@ -202,7 +207,7 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, strategy: str = "auto",
                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Matched → source row; not matched → insert."""
-    if _is_small(source, strategy, broadcast_max_rows):
+    if _is_small(source, keys, strategy, broadcast_max_rows):
         return _merge_broadcast(target, source, keys, None, "insert")
     return _merge(target, source, keys=keys, condition=None, op_col=None,
                   unmatched_delete="insert", coalesce_values=False)
