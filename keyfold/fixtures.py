@@ -35,8 +35,19 @@ def cdc_target(spark, sf_dir) -> DataFrame:
     return orders_cdc(spark, sf_dir).where(F.col("o_orderkey") % 10 != 0)
 
 
+def cdc_target_repeated(spark, sf_dir) -> DataFrame:
+    """The target with every key divisible by 7 twice, as an appended bronze table holds it."""
+    t = cdc_target(spark, sf_dir)
+    return t.unionByName(t.where(F.col("o_orderkey") % 7 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 7))
+
+
+def in_source() -> Column:
+    """Orders in the change set: with the target's rows, every order has a part."""
+    return (F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 10 == 0)
+
+
 def cdc_source(spark, sf_dir) -> DataFrame:
-    return (orders_cdc(spark, sf_dir).where(F.col("o_orderkey") % 3 == 0)
+    return (orders_cdc(spark, sf_dir).where(in_source())
             .withColumn("o_totalprice", F.col("o_totalprice") + 100))
 
 
@@ -95,7 +106,7 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_file_index(ts: Column) -> Column:
-    return F.floor((F.dayofmonth(ts) - 1) / 6).cast("int")
+    return F.least(F.floor((F.dayofmonth(ts) - 1) / 6), F.lit(4)).cast("int")   # day 31: last file
 
 
 def events_file_name(ts: Column) -> Column:

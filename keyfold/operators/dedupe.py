@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from keyfold.operators.sizing import bounded_broadcast
+from keyfold.session import shared_dir
+
 _RN = "__kf_rn"
 
 
@@ -66,8 +69,12 @@ def dup_keys(df: DataFrame, keys: Sequence[str], *, drop_null_keys_first: bool =
 def dup_inspect(df: DataFrame, keys: Sequence[str], count_col: str = "cnt") -> DataFrame:
     """All rows whose key is duplicated, with the key's count.
 
-    Written as aggregate-then-join rather than ``count() over (partition by key)``:
-    the aggregation is combined map-side and AQE can split a skewed join
-    partition, whereas a window would load a hot key into one task.
+    Written as aggregate-then-join rather than ``count() over (partition by key)``, which
+    would load a hot key into one task: the aggregation is combined map-side, and its
+    result is written to the checkpoint folder. Within the bounds of ``sizing`` the keys
+    are broadcast and ``df`` is not shuffled; beyond them both sides of the join are plain
+    shuffles, so AQE splits the partition of a hot key.
     """
-    return df.join(dup_keys(df, keys, count_col=count_col), list(keys), "inner")
+    shared_dir(df.sparkSession)
+    dups = dup_keys(df, keys, count_col=count_col).checkpoint()
+    return df.join(bounded_broadcast(dups), list(keys), "inner")

@@ -69,7 +69,7 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
                   header: bool = True, read_options: dict | None = None,
                   bronze_func: Callable | None = None, f_args: Sequence = (), f_kwargs: dict | None = None,
                   bronze_schema: StructType | None = None, archive_dir: str | None = None,
-                  error_dir: str | None = None, move: bool = False, pattern: str = "*.csv",
+                  error_dir: str | None = None, move: bool = False, pattern: str = "*",
                   quarantine: SnapshotTable | None = None, log_table: SnapshotTable | None = None,
                   batch_id: str | None = None) -> BronzeResult:
     if bronze_func is not None and bronze_schema is None:

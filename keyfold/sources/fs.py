@@ -1,52 +1,36 @@
 """Metadata-only file-system calls through Hadoop's FileSystem API (works for any
-scheme the cluster mounts). No file content passes through the driver. Without
-a JVM gateway (Spark Connect) local paths fall back to the Python file system."""
+scheme the cluster mounts). No file content passes through the driver. They need a
+session with a JVM gateway and raise without one (Spark Connect), rather than touch the
+driver's own disk."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 
 def _jvm(spark: SparkSession):
     try:
         return spark.sparkContext._jvm
-    except Exception:  # Spark Connect: no gateway
-        return None
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    except Exception as e:
+        raise RuntimeError("file-system calls need a session with a JVM gateway") from e
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = _jvm(spark)
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = _jvm(spark).org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    if _jvm(spark) is None:
-        return os.path.exists(_local(path))
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
-    if _jvm(spark) is None:
-        os.makedirs(_local(path), exist_ok=True)
-        return
     fs, p = _fs(spark, path)
     fs.mkdirs(p)
 
 
 def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) -> None:
-    if _jvm(spark) is None:
-        if make_parent:
-            os.makedirs(os.path.dirname(_local(dst)), exist_ok=True)
-        os.replace(_local(src), _local(dst))
-        return
     fs, s = _fs(spark, src)
     d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
     if make_parent:
@@ -57,19 +41,7 @@ def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) ->
             raise OSError(f"cannot rename {src} to {dst}")
 
 
-def move(spark: SparkSession, src: str, dst_dir: str) -> str:
-    """Move one file into a folder (a rename on the same file system)."""
-    target = f"{dst_dir.rstrip('/')}/{src.rstrip('/').rsplit('/', 1)[-1]}"
-    rename(spark, src, target)
-    return target
-
-
 def create_empty(spark: SparkSession, path: str, text: str = "") -> None:
-    if _jvm(spark) is None:
-        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
-        with open(_local(path), "w", encoding="utf-8") as f:
-            f.write(text)
-        return
     fs, p = _fs(spark, path)
     out = fs.create(p, True)
     if text:
@@ -78,12 +50,6 @@ def create_empty(spark: SparkSession, path: str, text: str = "") -> None:
 
 
 def _list(spark: SparkSession, folder: str, dirs: bool) -> list[str]:
-    if _jvm(spark) is None:
-        d = _local(folder)
-        if not os.path.isdir(d):
-            return []
-        return sorted(os.path.join(d, n) for n in os.listdir(d)
-                      if os.path.isdir(os.path.join(d, n)) == dirs)
     fs, p = _fs(spark, folder)
     if not fs.exists(p):
         return []
@@ -100,10 +66,6 @@ def list_dirs(spark: SparkSession, folder: str) -> list[str]:
 
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a staging folder this library created."""
-    if _jvm(spark) is None:
-        import shutil
-        shutil.rmtree(_local(path), ignore_errors=True)
-        return
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -111,14 +73,6 @@ def delete(spark: SparkSession, path: str) -> None:
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file that must not exist yet; False if it does (another
     writer got there first). One exclusive-create call, no Spark job."""
-    if _jvm(spark) is None:
-        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
-        try:
-            with open(_local(path), "x", encoding="utf-8") as f:
-                f.write(text)
-        except FileExistsError:
-            return False
-        return True
     fs, p = _fs(spark, path)
     if fs.exists(p):
         return False
@@ -133,9 +87,6 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """Content of a small file (a commit entry), read by the driver."""
-    if _jvm(spark) is None:
-        with open(_local(path), encoding="utf-8") as f:
-            return f.read()
     fs, p = _fs(spark, path)
     jvm = _jvm(spark)
     stream = fs.open(p)
@@ -147,8 +98,5 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
     """Set a file's modification time (epoch milliseconds); a metadata call."""
-    if _jvm(spark) is None:
-        os.utime(_local(path), ns=(millis * 1_000_000, millis * 1_000_000))
-        return
     fs, p = _fs(spark, path)
     fs.setTimes(p, millis, -1)

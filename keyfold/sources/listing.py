@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_listing(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Files (not folders) directly in ``folder``: path, name, size, modificationTime
-    (epoch milliseconds). File contents are never read: ``content`` is pruned."""
-    folder = folder.rstrip("/")
-    return (spark.read.format("binaryFile").load(f"{folder}/{pattern}")
+def file_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Files (not folders) directly in ``folder`` whose names match ``pattern`` (default:
+    all but hidden ones, which begin with ``_`` or ``.``): path, name, size,
+    modificationTime (epoch milliseconds). File contents are never read: ``content`` is
+    pruned. A folder without such files gives no rows."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
             .select(F.col("path"),
                     F.element_at(F.split(F.col("path"), "/"), -1).alias("name"),
                     F.col("length").alias("size"),

@@ -29,7 +29,7 @@ _MTIME, _SIZE = "__kf_mtime", "__kf_size"
 def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType,
                          bronze: SnapshotTable, keys: Sequence[str], checkpoint: str, *,
                          seq: str | None = None, delimiter: str = "|", header: bool = True,
-                         pattern: str = "*.csv", fatal: Sequence[str] = dq.DEFAULT_FATAL,
+                         pattern: str = "*", fatal: Sequence[str] = dq.DEFAULT_FATAL,
                          non_fatal: Sequence[str] = dq.DEFAULT_NON_FATAL, max_files: int | None = None,
                          clean_source: str | None = None, archive_dir: str | None = None,
                          bronze_func=None, f_args: Sequence = (), f_kwargs: dict | None = None,
@@ -53,7 +53,7 @@ def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructTy
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
     # the file name must be selected before foreachBatch
-    stream = (reader.csv(f"{landing.rstrip('/')}/{pattern}")
+    stream = (reader.option("pathGlobFilter", pattern).csv(landing)
               .withColumn("file_name", file_name())
               .withColumn(_MTIME, F.unix_millis(F.col("_metadata.file_modification_time")))
               .withColumn(_SIZE, F.col("_metadata.file_size")))

@@ -38,8 +38,11 @@ CDC = """cdc AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_or
   CASE WHEN o_orderkey % 5 = 1 THEN 'U' WHEN o_orderstatus = 'F' THEN 'D' WHEN o_orderstatus = 'O' THEN 'I' END AS op
   FROM orders),
 t AS (SELECT *, true AS _t FROM cdc WHERE o_orderkey % 10 <> 0)"""
+CDC_REPEATED = CDC.removesuffix(")") + """
+  UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 7, o_orderdate, o_orderpriority, op, true
+  FROM cdc WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 = 0)"""
 SRC = """s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 100 AS o_totalprice, o_orderdate,
-  o_orderpriority, op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0)"""
+  o_orderpriority, op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0 OR o_orderkey % 10 = 0)"""
 
 
 def _pick(take_s: str, on: str, where: str = "true", cols=ORDER_COLS) -> str:
@@ -65,8 +68,8 @@ def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "op"]
 EV_RAW = """ev AS (SELECT event_id, ts, user_id, event_type, value, props,
   CASE WHEN event_type = 'error' THEN 'D' WHEN event_type = 'signup' THEN 'I' WHEN event_type = 'click' THEN 'U' END AS op,
-  CAST(floor((day(ts) - 1) / 6) AS INTEGER) AS file_idx,
-  'events_2024.01.' || lpad(CAST(CAST(floor((day(ts) - 1) / 6) AS INTEGER) * 6 + 1 AS VARCHAR), 2, '0') || '.csv' AS file_name
+  CAST(least(floor((day(ts) - 1) / 6), 4) AS INTEGER) AS file_idx,
+  'events_2024.01.' || lpad(CAST(CAST(least(floor((day(ts) - 1) / 6), 4) AS INTEGER) * 6 + 1 AS VARCHAR), 2, '0') || '.csv' AS file_name
   FROM events)"""
 _ev_sel = ", ".join(EV_COLS)
 _ev_pick = ", ".join(f"CASE WHEN s._s IS NOT NULL AND (t._t IS NULL OR s.op IS NOT DISTINCT FROM 'I' OR s.op IS NULL) "
@@ -91,27 +94,27 @@ def q_latest_per_key(spark, sf_dir):
 
 
 # ================================================================= 2.2 merges
-@register("merge_ops", f"WITH {CDC}, {SRC} " + _pick(
+@register("merge_ops", f"WITH {CDC_REPEATED}, {SRC} " + _pick(
     "s._s IS NOT NULL AND (t._t IS NULL OR s.op IS NOT DISTINCT FROM 'I' OR s.op IS NULL)", ON_KEY,
     "NOT (s._s IS NOT NULL AND s.op IS NOT DISTINCT FROM 'D')"))
 def q_merge_ops(spark, sf_dir):
-    return merge.merge_ops(fx.cdc_target(spark, sf_dir), fx.cdc_source(spark, sf_dir), ["o_orderkey"], "op")
+    return merge.merge_ops(fx.cdc_target_repeated(spark, sf_dir), fx.cdc_source(spark, sf_dir), ["o_orderkey"], "op")
 
 
-@register("merge_upsert", f"WITH {CDC}, {SRC} " + _pick("s._s IS NOT NULL", ON_KEY))
+@register("merge_upsert", f"WITH {CDC_REPEATED}, {SRC} " + _pick("s._s IS NOT NULL", ON_KEY))
 def q_merge_upsert(spark, sf_dir):
-    return merge.merge_upsert(fx.cdc_target(spark, sf_dir), fx.cdc_source(spark, sf_dir), ["o_orderkey"])
+    return merge.merge_upsert(fx.cdc_target_repeated(spark, sf_dir), fx.cdc_source(spark, sf_dir), ["o_orderkey"])
 
 
 SRC_COND = """s AS (SELECT o_orderkey, o_custkey, o_orderstatus,
   o_totalprice + CASE WHEN o_orderkey % 2 = 0 THEN 100 ELSE -100 END AS o_totalprice, o_orderdate,
-  o_orderpriority, op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0)"""
+  o_orderpriority, op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0 OR o_orderkey % 10 = 0)"""
 
 
 @register("merge_condition", f"WITH {CDC}, {SRC_COND} " + _pick(
     "s._s IS NOT NULL", "t.o_orderkey = s.o_orderkey AND s.o_totalprice > t.o_totalprice"))
 def q_merge_condition(spark, sf_dir):
-    src = (fx.orders_cdc(spark, sf_dir).where(F.col("o_orderkey") % 3 == 0)
+    src = (fx.orders_cdc(spark, sf_dir).where(fx.in_source())
            .withColumn("o_totalprice", F.col("o_totalprice") +
                        F.when(F.col("o_orderkey") % 2 == 0, F.lit(100)).otherwise(F.lit(-100))))
     return merge.merge_condition(
@@ -122,12 +125,12 @@ def q_merge_condition(spark, sf_dir):
 SRC_NULLS = """s AS (SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice + 100 END AS o_totalprice, o_orderdate,
   CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE op END AS op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0)"""
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE op END AS op, true AS _s FROM cdc WHERE o_orderkey % 3 = 0 OR o_orderkey % 10 = 0)"""
 
 
 def _source_with_nulls(spark, sf_dir):
     k = F.col("o_orderkey")
-    return (fx.orders_cdc(spark, sf_dir).where(k % 3 == 0).select(
+    return (fx.orders_cdc(spark, sf_dir).where(fx.in_source()).select(
         "o_orderkey", "o_custkey", "o_orderstatus",
         F.when(k % 6 == 0, F.lit(None)).otherwise(F.col("o_totalprice") + 100).alias("o_totalprice"),
         "o_orderdate",
@@ -143,11 +146,11 @@ def q_merge_coalesce(spark, sf_dir):
                                 ["o_orderkey"], op_col="op")
 
 
-@register("create_if_absent", f"WITH {CDC}, {SRC} SELECT {', '.join(ORDER_COLS)} FROM s "
+@register("create_if_absent", f"WITH {CDC} SELECT {', '.join(ORDER_COLS)} FROM cdc "
           "WHERE op IS DISTINCT FROM 'D'")
 def q_create_if_absent(spark, sf_dir):
     tbl = SnapshotTable(spark, scratch_path(spark, "create_if_absent"))
-    existed = tbl.create_if_absent(fx.cdc_source(spark, sf_dir), "op")
+    existed = tbl.create_if_absent(fx.orders_cdc(spark, sf_dir), "op")
     assert not existed
     return tbl.read()
 

@@ -51,3 +51,26 @@ def test_text_sequences_keep_their_order(spark):
     df = spark.createDataFrame([(1, "1.3", "z"), (1, "1.4", "a"), (2, "2025-01-02T10:00", "a"), (2, "2025-01-01T10:00", "z"), (3, "9", "z"), (3, "10", "a")],
                                "k int, s string, v string")
     assert rows(dedupe.latest_per_key(df, ["k"], "s"), "k", "s") == [(1, "1.4"), (2, "2025-01-02T10:00"), (3, "10")]
+
+
+def test_dup_inspect_splits_a_hot_key_beyond_the_broadcast_bound(spark, monkeypatch):
+    from keyfold.operators import sizing
+    df = spark.range(60_000, numPartitions=8).selectExpr(
+        "IF(id % 3 = 0, 0, id DIV 2) AS k", "concat('some payload of a row ', id) AS v")
+    want = df.groupBy("k").count().where("count > 1").agg({"count": "sum"}).first()[0]
+    assert dedupe.dup_inspect(df, ["k"]).count() == want
+    monkeypatch.setattr(sizing, "within", lambda *a: False)
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        out = dedupe.dup_inspect(df, ["k"])
+        assert len(out.collect()) == want
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

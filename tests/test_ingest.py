@@ -220,3 +220,26 @@ def test_rejected_files_leave_the_table_and_names_may_hold_blanks(spark):
         land("empty.csv", "K|SEQ|AMT|OP\n", write_mode=mode)      # lands again: replaces the routed one
         assert rows(bronze.read(), "K") == [("a",)] and bronze.version() == 1
     assert len(fs.list_files(spark, f"{base}/landing/error", ".csv")) == 1
+
+
+def test_every_landed_file_is_read_and_subfolders_are_not(spark):
+    base = scratch_path(spark, "any_name")
+    for name in ("a.csv", "b.txt", "no_suffix", "archive/old.csv", "_hidden.csv"):
+        fs.create_empty(spark, f"{base}/landing/{name}", f"K|SEQ|AMT|OP\n{name}|1|1.0|I\n")
+    assert rows(listing.file_listing(spark, f"{base}/landing"), "name") == [("a.csv",), ("b.txt",), ("no_suffix",)]
+    assert rows(listing.file_listing(spark, f"{base}/landing", "*.txt"), "name") == [("b.txt",)]
+    bronze, stream = SnapshotTable(spark, f"{base}/bronze"), SnapshotTable(spark, f"{base}/stream")
+    stream_raw_to_bronze(spark, f"{base}/landing", SCHEMA, stream, ["K"], f"{base}/_chk", seq="SEQ").awaitTermination()
+    ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True)
+    assert rows(bronze.read(), "K") == rows(stream.read(), "K") == [("a.csv",), ("b.txt",), ("no_suffix",)]
+    # all files are moved: an empty landing folder is no error
+    assert ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", move=True).files == 0
+
+
+def test_file_calls_raise_without_a_gateway():
+    class Connect:
+        @property
+        def sparkContext(self):
+            raise NotImplementedError
+    with pytest.raises(RuntimeError, match="gateway"):
+        fs.exists(Connect(), "/tmp")
