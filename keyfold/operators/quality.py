@@ -9,18 +9,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.operators.sizing import bounded_broadcast
+from keyfold.session import shared_dir
 
 # Verdict codes and severities (00 stop flow, 10 stop step, 20 warn, 30 info).
 EMPTY = "EmptyError"
 KEYS_NULL = "KeysNull"
 DUPLICATED = "DuplicatedFound"
 DUP_NEWER_SEQUENCE = "DuplicatedKeyNewerSequence"
-SEVERITY = {EMPTY: "10", KEYS_NULL: "10", DUPLICATED: "10", DUP_NEWER_SEQUENCE: "20"}
+READ_ERROR = "ReadError"
+SEVERITY = {READ_ERROR: "10", EMPTY: "10", KEYS_NULL: "10", DUPLICATED: "10", DUP_NEWER_SEQUENCE: "20"}
 
 # Default policy: no fatal verdict; empty files and true duplicates reject the file.
 DEFAULT_FATAL: tuple[str, ...] = ()
 DEFAULT_NON_FATAL: tuple[str, ...] = (EMPTY, DUPLICATED)
 
+#: Column that keeps a malformed record's text in a strict read.
+CORRUPT = "__kf_corrupt"
+
 
 class DataQualityError(Exception):
     def __init__(self, file_name: str, code: str):
@@ -91,6 +96,19 @@ def dq_check(df: DataFrame, keys: Sequence[str], seq: str | None = None, *,
     return counters.withColumn("code", code).withColumn("severity", _severity(F.col("code")))
 
 
+def mark_malformed(verdicts: DataFrame, df: DataFrame, file_col: str = "file_name") -> DataFrame:
+    """``verdicts`` with ``ReadError`` for every file of ``df`` that holds a malformed record
+    (``CORRUPT`` is set). One pass, combined map-side to a row per file."""
+    shared_dir(df.sparkSession)
+    # the CSV source converts only the columns that a query needs: the hash needs them all
+    data = [F.col(c) for c in df.columns if c not in (file_col, CORRUPT)]
+    bad = (df.where(F.col(CORRUPT).isNotNull()).groupBy(file_col)
+           .agg(F.count(F.lit(1)).alias("n_malformed"), F.max(F.xxhash64(*data)).alias("_all")).checkpoint().drop("_all"))
+    return (verdicts.join(bounded_broadcast(bad), file_col, "left").fillna(0, ["n_malformed"])
+            .withColumn("code", F.when(F.col("n_malformed") > 0, F.lit(READ_ERROR)).otherwise(F.col("code")))
+            .withColumn("severity", _severity(F.col("code"))))
+
+
 def dq_empty(df: DataFrame, listing: DataFrame, file_col: str = "file_name") -> DataFrame:
     """Files of the listing without any row."""
     return listing.join(df.select(file_col).distinct(), file_col, "left_anti")

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyfold.operators import merge as _merge
+from keyfold.operators.sizing import bounded_broadcast
+from keyfold.session import shared_dir
 from keyfold.sources import fs
 
 COMMIT_SCHEMA = T.StructType([
@@ -310,8 +312,11 @@ def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    # null keys never match, so those rows are gone by definition and skip the join
-    # the new version's keys are de-duplicated first: combined map-side, so a hot key
-    # is one row per map partition before the shuffle, and the join reuses that partitioning
-    return (old.where(~any_null).join(new.select(*keys).where(~any_null).distinct(), list(keys), "left_anti")
+    # null keys never match, so those rows are gone by definition and skip the join.
+    # The new version's keys are de-duplicated (combined map-side) and written to the
+    # checkpoint folder: broadcast within the bounds of ``sizing``, beyond them both sides
+    # of the join are plain shuffles, so AQE splits the partition of a hot key.
+    shared_dir(new.sparkSession)
+    kept = new.select(*keys).where(~any_null).distinct().checkpoint()
+    return (old.where(~any_null).join(bounded_broadcast(kept), list(keys), "left_anti")
             .unionByName(old.where(any_null)))

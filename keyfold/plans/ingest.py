@@ -61,6 +61,21 @@ def _with(schema: StructType | None, col: str) -> StructType | None:
     return StructType([*schema.fields, StructField(col, StringType())])
 
 
+def _to_quarantine(quarantine: SnapshotTable, raw: DataFrame, verdicts: DataFrame, landed: DataFrame,
+                   n_files: int) -> None:
+    """Rows of the rejected files that no earlier quarantine commit holds."""
+    ident = ["name", "size", "modificationTime"]
+    bad, done = landed.where(F.col("action").isin("reject", "stop")), quarantine.committed_files()
+    if done is not None:
+        bad = bad.join(done.select(*ident), ident, "left_anti")
+    bad = bad.checkpoint()
+    if bad.isEmpty():
+        return
+    fresh = verdicts.join(bad.select(F.col("name").alias("file_name")), "file_name", "left_semi")
+    quarantine.commit(dq.rejected_rows(raw, fresh, n_files=n_files), "QUARANTINE",
+                      mode="append" if quarantine.exists() else "overwrite", files=bad)
+
+
 def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bronze: SnapshotTable,
                   keys: Sequence[str], *, seq: str | None = None, op_col: str | None = None,
                   write_mode: str = "append", process_file: str = "multiple",
@@ -72,10 +87,23 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
                   error_dir: str | None = None, move: bool = False, pattern: str = "*",
                   quarantine: SnapshotTable | None = None, log_table: SnapshotTable | None = None,
                   batch_id: str | None = None) -> BronzeResult:
+    """All landed files into bronze, in one plan.
+
+    With ``read_options={"mode": "FAILFAST"}`` a malformed record does not end the run: its
+    file gets the verdict ``ReadError`` and is rejected, or stops the run if that verdict is
+    in ``fatal``. Rows of rejected files go to ``quarantine`` before bronze is committed, each
+    file once, also when the run is repeated."""
     if bronze_func is not None and bronze_schema is None:
         raise ValueError("bronze_schema is required with bronze_func")
     if write_mode not in ("append", "overwrite", "merge"):
         raise ValueError(f"unknown write_mode {write_mode!r}")
+    options, read_schema = dict(read_options or {}), raw_schema
+    strict = str(options.get("mode", "")).upper() == "FAILFAST"
+    if strict:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": dq.CORRUPT}
+        read_schema = _with(raw_schema, dq.CORRUPT)
+        if dq.READ_ERROR not in fatal:
+            non_fatal = [*non_fatal, dq.READ_ERROR]
     log = StepLog()
     base = landing.rstrip("/")
     archive, error = archive_dir or f"{base}/archive", error_dir or f"{base}/error"
@@ -110,12 +138,14 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
         "path string, name string, size long, modificationTime long, file_order int")
 
     log.start("read")
-    raw = delimited_read(spark, [r["path"] for r in files], raw_schema, delimiter=delimiter,
-                         header=header, **(read_options or {}))
+    raw = delimited_read(spark, [r["path"] for r in files], read_schema, delimiter=delimiter,
+                         header=header, **options)
     log.end("read")
 
     log.start("data_quality")
     verdicts = dq.dq_check(raw, keys, seq, listing=files_df.withColumnRenamed("name", "file_name"))
+    if strict:
+        verdicts, raw = dq.mark_malformed(verdicts, raw), raw.drop(dq.CORRUPT)
     verdicts = verdicts.checkpoint(eager=True)   # one row per file; reliable storage, lineage cut
     verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_order", "file_name"])
     log.end("data_quality")
@@ -125,6 +155,8 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
     landed = verdicts.where(F.col("action") != "skip").select(
         F.col("file_name").alias("name"), "size", "modificationTime", "action")
     log.start("write")
+    if quarantine is not None:
+        _to_quarantine(quarantine, raw, verdicts, landed, len(files))
     rows = bronze_rows(raw, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
                        hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=True,
                        n_files=len(files))
@@ -156,9 +188,6 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
         res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
                                     mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id,
                                     files=landed)
-    if quarantine is not None and not already:
-        quarantine.commit(dq.rejected_rows(raw, verdicts, n_files=len(files)), "QUARANTINE",
-                          mode="append" if quarantine.exists() else "overwrite")
     log.end("write")
 
     log.start("archive")

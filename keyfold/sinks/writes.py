@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append_write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
+def _write(df: DataFrame, target: str, mode: str, fmt: str, location: str | None) -> None:
+    writer = df.write.mode(mode).format(fmt)
+    if "/" in target:
+        writer.save(target)
+    elif location:
+        writer.option("path", location).saveAsTable(target)
+    else:
+        writer.saveAsTable(target)
 
 
-def overwrite_write(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace the contents of a folder. Never point this at a folder the plan reads."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def append_write(df: DataFrame, target: str, fmt: str = "parquet", *, location: str | None = None) -> None:
+    """Append to a path (contains ``/``) or to a catalog table, which is created if absent:
+    at ``location``, or in the warehouse."""
+    _write(df, target, "append", fmt, location)
+
+
+def overwrite_write(df: DataFrame, target: str, fmt: str = "parquet", *, location: str | None = None) -> None:
+    """Replace a folder or a catalog table. Never point this at what the plan reads."""
+    _write(df, target, "overwrite", fmt, location)
 
 
 def read_evolved(spark: SparkSession, path: str) -> DataFrame:

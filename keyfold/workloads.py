@@ -4,6 +4,7 @@ that computes the same result on the same parquet tables."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -501,26 +502,32 @@ def q_file_select(spark, sf_dir):
     return delimited.delimited_read(spark, paths, schema, file_col=None, **fx.CSV_OPTIONS)
 
 
-@register("table_scan", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 250000")
+def _table_name(what: str) -> str:
+    return f"kf_{what}_{uuid.uuid4().hex[:12]}"
+
+
+@register("table_scan", "SELECT * FROM orders")
 def q_table_scan(spark, sf_dir):
-    o = tables.table_scan(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
-    return o.where(F.col("o_totalprice") > 250000).select("o_orderkey", "o_custkey", "o_totalprice")
+    """Orders by the name of a catalog table over the given files."""
+    name = _table_name("orders")
+    spark.catalog.createTable(name, path=f"{sf_dir.rstrip('/')}/orders.parquet", source="parquet")
+    return tables.table_scan(spark, name)
 
 
 @register("append_write", "SELECT * FROM orders")
 def q_append_write(spark, sf_dir):
-    o, path = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "append_orders")
-    writes.append_write(o.where(F.col("o_orderstatus") == "F"), path)
-    writes.append_write(o.where(F.col("o_orderstatus") != "F"), path)
-    return spark.read.parquet(path)
+    o, name, path = fx.table(spark, sf_dir, "orders"), _table_name("append"), scratch_path(spark, "append_orders")
+    writes.append_write(o.where(F.col("o_orderstatus") == "F"), name, location=path)
+    writes.append_write(o.where(F.col("o_orderstatus") != "F"), name, location=path)
+    return tables.table_scan(spark, name)
 
 
 @register("overwrite_write", "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'")
 def q_overwrite_write(spark, sf_dir):
-    o, path = fx.table(spark, sf_dir, "orders"), scratch_path(spark, "overwrite_orders")
-    writes.overwrite_write(o, path)
-    writes.overwrite_write(o.where(F.col("o_orderpriority") == "1-URGENT"), path)
-    return spark.read.parquet(path)
+    o, name, path = fx.table(spark, sf_dir, "orders"), _table_name("overwrite"), scratch_path(spark, "overwrite_orders")
+    writes.overwrite_write(o, name, location=path)
+    writes.overwrite_write(o.where(F.col("o_orderpriority") == "1-URGENT"), name, location=path)
+    return tables.table_scan(spark, name)
 
 
 @register("schema_evolve", """

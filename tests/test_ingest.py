@@ -243,3 +243,36 @@ def test_file_calls_raise_without_a_gateway():
             raise NotImplementedError
     with pytest.raises(RuntimeError, match="gateway"):
         fs.exists(Connect(), "/tmp")
+
+
+def test_malformed_file_is_rejected_and_the_others_are_written(spark):
+    base = scratch_path(spark, "ingest_malformed")
+    for f, text in {"a_1.csv": "K|SEQ|AMT|OP\na|1|1.0|I\n", "a_2.csv": "K|SEQ|AMT|OP\nb|1|1.0|I\nc|1|no number|I\n",
+                    "a_3.csv": "K|SEQ|AMT|OP\nd|1|2.0|I\n"}.items():
+        fs.create_empty(spark, f"{base}/landing/{f}", text)
+    bronze, strict = SnapshotTable(spark, f"{base}/bronze"), {"mode": "FAILFAST"}
+    res = ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", read_options=strict, move=True)
+    assert rows(bronze.read(), "K", "AMT") == [("a", 1.0), ("d", 2.0)] and dq.CORRUPT not in bronze.read().columns
+    assert rows(res.verdicts.where("code IS NOT NULL"), "file_name", "code", "action") == [("a_2.csv", dq.READ_ERROR, "reject")]
+    assert [f.rsplit("/", 1)[-1] for f in fs.list_files(spark, f"{base}/landing/error", ".csv")] == ["a_2.csv"]
+    fs.create_empty(spark, f"{base}/landing/a_4.csv", "K|SEQ|AMT|OP\ne|1|no number|I\n")
+    with pytest.raises(dq.DataQualityError):
+        ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", read_options=strict,
+                             fatal=(dq.READ_ERROR,))
+
+
+def test_quarantine_holds_each_rejected_file_once(spark):
+    base = _landing(spark, "ingest_quarantine")
+    held = SnapshotTable(spark, f"{base}/held")
+    failing = SnapshotTable(spark, f"{base}/bronze")
+    failing.commit = failing.merge = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("crash"))
+    with pytest.raises(RuntimeError):
+        ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, failing, ["K"], seq="SEQ", quarantine=held)
+    fs.create_empty(spark, f"{base}/landing/gl_2025.01.05.csv", "K|SEQ|AMT|OP\nx|1|1.0|I\nx|1|2.0|I\n")
+    expected = [("c", 1.0, dq.DUPLICATED), ("c", 9.0, dq.DUPLICATED)]
+    assert rows(held.read(), "K", "AMT", "code") == expected
+    bronze = SnapshotTable(spark, f"{base}/bronze")
+    for _ in range(2):
+        ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", quarantine=held)
+    assert rows(held.read(), "K", "AMT", "code") == expected + [("x", 1.0, dq.DUPLICATED), ("x", 2.0, dq.DUPLICATED)]
+    assert rows(bronze.read(), "K") == [("a",), ("b",), ("b",), ("d",)]

@@ -78,8 +78,7 @@ def test_reconcile_and_snapshot_deleted_reduce_keys_before_the_shuffle(spark):
         assert p.count("Exchange hashpartitioning") == 2
         assert all("Aggregate" in x for x in _exchange_inputs(p))
         p = _plan(snapshot_deleted(a, b, ["k"]))
-        assert p.count("Exchange hashpartitioning") == 2
-        assert any("HashAggregate" in x for x in _exchange_inputs(p))
+        assert p.count("BroadcastExchange") == 1 and "Exchange hashpartitioning" not in p   # proven small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")

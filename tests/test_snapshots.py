@@ -35,6 +35,30 @@ def test_merge_and_create_if_absent(spark):
         t.commit(src, "BAD", mode="upsert")
 
 
+def test_snapshot_deleted_splits_a_hot_key_beyond_the_broadcast_bound(spark, monkeypatch):
+    from keyfold.operators import sizing
+    old = spark.range(60_000, numPartitions=8).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS k", "concat('some payload of a row ', id) AS v")
+    new = spark.range(60_000, numPartitions=8).selectExpr("IF(id % 3 = 0, -1, id + 30000) AS k")
+    want = old.join(new, "k", "left_anti").count()
+    assert snapshot_deleted(old, new, ["k"]).count() == want
+    monkeypatch.setattr(sizing, "within", lambda *a: False)
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        out = snapshot_deleted(old, new, ["k"])
+        assert len(out.collect()) == want
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("layout", [{"partition_by": ["p"]}, {"buckets": 4, "keys": ["p", "k"]}])
 def test_partition_wise_merge_equals_full_merge(spark, layout):
     target = spark.createDataFrame([(p, k, f"t{p}{k}", None) for p in range(3) for k in range(5)],
