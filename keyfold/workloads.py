@@ -373,20 +373,18 @@ def q_snapshot_history(spark, sf_dir):
 
 # ================================================================= 2.9 labels and timing
 def _label_sql(v: str, units) -> str:
-    parts, scale = [], 1
-    for name, radix in units:
-        q = f"({v} // {scale})" if scale > 1 else f"({v})"
-        if radix:
-            q = f"({q} % {radix})"
+    """``units``: (name, size in the smallest unit, how many make the next unit), smallest first."""
+    parts = []
+    for name, size, radix in units:
+        q = f"(({v}) // {size} % {radix})" if radix else f"(({v}) // {size})"
         parts.append(f"CASE WHEN {q} > 0 THEN CAST({q} AS VARCHAR) || ' {name}' || "
                      f"CASE WHEN {q} > 1 THEN 's' ELSE '' END END")
-        if radix:
-            scale *= radix
     return f"concat_ws(' ', {', '.join(reversed(parts))})"
 
 
 def _time_sql(seconds: str) -> str:
-    return _label_sql(f"CAST(round({seconds} * 1000) AS BIGINT)", labels.TIME_UNITS)
+    return _label_sql(f"CAST(round({seconds} * 1000) AS BIGINT)", [
+        ("millisecond", 1, 1000), ("second", 1000, 60), ("minute", 60000, 60), ("hour", 3600000, 24), ("day", 86400000, None)])
 
 
 _TIMING = ("round(sum(value), 6) AS total_duration_s, round(avg(value), 6) AS avg_duration_s, "
@@ -409,7 +407,8 @@ def q_timing_total(spark, sf_dir):
 
 
 @register("bytes_label", f"""
-SELECT doc_id, n_chars * 1000003 AS bytes, {_label_sql('n_chars * 1000003', labels.BYTE_UNITS)} AS label FROM documents""")
+SELECT doc_id, n_chars * 1000003 AS bytes, {_label_sql('n_chars * 1000003', [
+    ('byte', 1, 1024), ('kilobyte', 1024, 1024), ('megabyte', 1048576, 1024), ('gigabyte', 1073741824, None)])} AS label FROM documents""")
 def q_bytes_label(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents")
     b = F.col("n_chars") * 1000003
@@ -480,11 +479,15 @@ def q_delimited_read_untyped(spark, sf_dir):
     return delimited.delimited_read_untyped(spark, path, delimiter=";")
 
 
-def _orders_landing(spark, sf_dir) -> str:
+def _orders_landing(spark, sf_dir, rows_per_file: int = 500_000) -> str:
+    """Orders as files per status and key hash, so many that none holds more than about
+    ``rows_per_file`` rows; each is written by one task."""
     folder = scratch_path(spark, "orders_landing")
     o = fx.table(spark, sf_dir, "orders")
-    fx.write_named_files(spark, o, F.concat(F.lit("orders_"), F.col("o_orderstatus"), F.lit(".csv")), folder,
-                         options=fx.CSV_OPTIONS)
+    n = -(-o.count() // rows_per_file) or 1
+    part = F.pmod(F.xxhash64("o_orderkey"), F.lit(n)).cast("string")
+    fx.write_named_files(spark, o, F.concat(F.lit("orders_"), F.col("o_orderstatus"), F.lit("_"), part, F.lit(".csv")),
+                         folder, options=fx.CSV_OPTIONS)
     return folder
 
 
@@ -494,9 +497,9 @@ def q_file_listing(spark, sf_dir):
 
 
 @register("file_select", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
-def q_file_select(spark, sf_dir):
-    folder = _orders_landing(spark, sf_dir)
-    chosen = listing.file_select(listing.file_listing(spark, folder), "single", "orders_O.csv")
+def q_file_select(spark, sf_dir, rows_per_file: int = 500_000):
+    folder = _orders_landing(spark, sf_dir, rows_per_file)
+    chosen = listing.file_select(listing.file_listing(spark, folder, "orders_O_*.csv"), "multiple")
     paths = [r["path"] for r in chosen.select("path").collect()]       # one row per file
     schema = fx.table(spark, sf_dir, "orders").schema
     return delimited.delimited_read(spark, paths, schema, file_col=None, **fx.CSV_OPTIONS)
@@ -699,8 +702,8 @@ TOWNS_FILE_SQL = """towns_file AS (
 
 
 def _name_sql(s: str, first: bool) -> str:
-    cons = f"regexp_replace(upper({s}), '[^{fiscal.CONSONANTS}]', '', 'g')"
-    vow = f"regexp_replace(upper({s}), '[^{fiscal.VOWELS}]', '', 'g')"
+    cons = f"regexp_replace(upper({s}), '[^BCDFGHJKLMNPQRSTVWXYZ]', '', 'g')"
+    vow = f"regexp_replace(upper({s}), '[^AEIOU]', '', 'g')"
     plain = f"substr({cons} || {vow} || 'XX', 1, 3)"
     if not first:
         return plain
@@ -709,13 +712,14 @@ def _name_sql(s: str, first: bool) -> str:
 
 
 _M, _D = "TRY_CAST(month AS INTEGER)", "TRY_CAST(day AS INTEGER)"
-BIRTH_SQL = (f"substr(year, 3) || CASE WHEN {_M} BETWEEN 1 AND 12 THEN substr('{fiscal.MONTH_LETTERS}', {_M}, 1) END || "
+BIRTH_SQL = (f"substr(year, 3) || CASE WHEN {_M} BETWEEN 1 AND 12 THEN substr('ABCDEHLMPRST', {_M}, 1) END || "
              f"CASE WHEN upper(gender) = 'M' THEN lpad(CAST({_D} AS VARCHAR), 2, '0') ELSE CAST({_D} + 40 AS VARCHAR) END")
 
 
 def _check_sql(c: str) -> str:
-    odd = "[" + ", ".join(str(fiscal.ODD_VALUES[ch]) for ch in _ALPH) + "]"
-    even = "[" + ", ".join(str(fiscal.EVEN_VALUES[ch]) for ch in _ALPH) + "]"
+    # the published values, 0 to 9 and A to Z, written out again: the oracle shares no table with the function
+    odd = "[1,0,5,7,9,13,15,17,19,21, 1,0,5,7,9,13,15,17,19,21,2,4,18,20,11,3,6,8,12,14,16,10,22,25,24,23]"
+    even = "[0,1,2,3,4,5,6,7,8,9, 0,1,2,3,4,5,6,7,8,9,10,11,12,13,14,15,16,17,18,19,20,21,22,23,24,25]"
     pos = f"strpos('{_ALPH}', substr({c}, i, 1))"
     total = (f"list_sum(list_transform(range(1, 16), lambda i: coalesce(CASE WHEN i % 2 = 1 THEN {odd}[{pos}] "
              f"ELSE {even}[{pos}] END, 0)))")

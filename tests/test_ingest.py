@@ -276,3 +276,14 @@ def test_quarantine_holds_each_rejected_file_once(spark):
         ingest.raw_to_bronze(spark, f"{base}/landing", SCHEMA, bronze, ["K"], seq="SEQ", quarantine=held)
     assert rows(held.read(), "K", "AMT", "code") == expected + [("x", 1.0, dq.DUPLICATED), ("x", 2.0, dq.DUPLICATED)]
     assert rows(bronze.read(), "K") == [("a",), ("b",), ("b",), ("d",)]
+
+
+def test_orders_landing_files_grow_with_the_rows(spark):
+    from keyfold import workloads
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test data not present")
+    few, many = (listing.file_listing(spark, workloads._orders_landing(spark, sf, n)).count() for n in (2000, 200))
+    assert few == 3 and many > 12
+    orders = spark.read.parquet(f"{sf}/orders.parquet").where("o_orderstatus = 'O'")
+    assert rows(workloads.q_file_select(spark, sf, 200), "o_orderkey") == rows(orders, "o_orderkey")
