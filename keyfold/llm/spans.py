@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 
 import pyarrow as pa
 import xxhash
@@ -19,6 +20,9 @@ _END = re.compile(r"[.!?]+\s+|\n+")
 LONG, EVERY, MOST = 16, 8, 24
 #: A run is the fewest consecutive sentences (or parts) with at least these many of each.
 RUN_SENTENCES, RUN_WORDS = 2, 16
+#: A hashed run has at most as many sentences as it needs words, so its place in a text is
+#: one number: first sentence times SPAN, plus its sentences after the first.
+SPAN = 1 << max(RUN_SENTENCES, RUN_WORDS).bit_length()
 
 
 def sentences(text: str) -> list[tuple[int, int, list[str]]]:
@@ -44,27 +48,54 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     return out
 
 
-def runs(text: str | None) -> list[tuple[int, int, int, int]]:
-    """(hash, check, first, last) of every run: from each sentence, the fewest sentences
-    with ``RUN_SENTENCES`` and ``RUN_WORDS``; 96 bits identify its words."""
+def _starts(text: str | None, longer: bool = True) -> list[tuple[int, int, int, int, list[tuple[int, int, int]]]]:
+    """(hash, check, first, last, more) of the shortest run from each sentence: the fewest
+    sentences with ``RUN_SENTENCES`` and ``RUN_WORDS``; 96 bits identify its words. ``more``
+    holds (hash, check, last) of the longer runs from there whose last sentence ends no
+    shortest run: the fewest sentences back from it. Both kinds together cover a repeated
+    passage of any length whole, the shortest runs up to the last that lies in it and a
+    longer one from there to its end; and a longer one repeats only where its own shortest
+    run does. Without ``longer``, ``more`` is empty."""
     found = [w for _, _, w in sentences(text or "")]
     joined = [" ".join(w) for w in found]
     sizes = [len(w) for w in found]
+
+    def key(first, last):
+        h = xxhash.xxh3_128_intdigest(" ".join(joined[first:last]))
+        return (h >> 64) - (1 << 63), (h & 0xFFFFFFFF) - (1 << 31)
+
     out, last, words = [], 0, 0
     for first in range(len(found)):
         if last < first:
             last, words = first, 0
+        ended = last
         while last < len(found) and (words < RUN_WORDS or last - first < RUN_SENTENCES):
             words += sizes[last]
             last += 1
-        if words < RUN_WORDS or last - first < RUN_SENTENCES:
+        short = words < RUN_WORDS or last - first < RUN_SENTENCES
+        if out and longer:
+            out[-1][4].extend((*key(first - 1, k), k - 1) for k in range(ended + 1, last + short))
+        if short:
             break
-        h = xxhash.xxh3_128_intdigest(" ".join(joined[first:last]))
-        out.append(((h >> 64) - (1 << 63), (h & 0xFFFFFFFF) - (1 << 31), first, last - 1))
+        out.append((*key(first, last), first, last - 1, []))
         words -= sizes[first]
     return out
 
 
+def runs(text: str | None) -> list[tuple[int, int, int, int]]:
+    """(hash, check, first, last) of every run that is hashed (``_starts``)."""
+    return [x for h, c, first, last, more in _starts(text)
+            for x in [(h, c, first, last), *[(mh, mc, first, to) for mh, mc, to in more]]]
+
+
+#: Hash and check of a longer run; the runs from one sentence end at consecutive sentences.
+_MORE = "<qi"
+
+
+def _packed(more: list[tuple[int, int, int]]) -> bytes | None:
+    return b"".join(struct.pack(_MORE, h, c) for h, c, _ in more) or None
+
+
 def _without(text: str, removed: list[tuple[int, int]]) -> tuple[str, int]:
     """(text without the sentences of the runs, number of removed sentences)."""
     if not removed:
@@ -80,28 +111,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     that lie in a repeated run other than its first occurrence (smallest doc_id, then
     first in the text) in the whole table.
 
-    Every run of sentences of every text is hashed. Hashes that occur more than once are
-    found by a count that is combined map-side; only runs with such a hash are joined on,
-    and the first occurrence is again an aggregate, so a passage that a third of all
-    documents share is never gathered in one task, and a hot hash meets one row of the
-    other side, which a skewed join splits. Texts move once, to meet their runs.
+    The runs of ``_starts`` are hashed: what they cover is what all runs of every length
+    cover. Hashes of shortest runs that occur more than once are found by a count that is
+    combined map-side; only runs with such a hash are joined on, with the longer runs from
+    the same sentence, which no other can repeat; and the first occurrence is again an
+    aggregate, so a passage that a third of all documents share is never gathered in one
+    task, and a hot hash meets one row of the other side, which a skewed join splits. Texts
+    move once, to meet their runs.
 
     Null text: null. Empty and blank texts: as they are. Null doc_id: its runs
     count, after all others, but its text is returned whole. Repeated rows with the same
     doc_id are one document: their equal runs are the same occurrence. Empty table: empty
     result. Other columns are not read."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    hashes = map_rows(rows.select("text"), lambda: lambda r: [(x[0],) for x in runs(r[0])], "h long", per_batch=65536)
+    hashes = map_rows(rows.select("text"), lambda: lambda r: [(x[0],) for x in _starts(r[0], False)], "h long", per_batch=65536)
     twice = cut(hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("h").alias("again")))
-    places = map_rows(rows, lambda: lambda r: [(*x, r[0]) for x in runs(r[1])],
-                      "h long, c int, first int, last int, doc_id long", per_batch=65536)
+    places = map_rows(rows, lambda: lambda r: [(h, c, first * SPAN + last - first, r[0], _packed(more)) for h, c, first, last, more in _starts(r[1])],
+                      "h long, c int, at long, doc_id long, more binary", per_batch=65536)
     held = cut(places.join(twice, F.col("h") == F.col("again")).drop("again"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "first")
+    longer = map_rows(held.where("more IS NOT NULL").select("at", "doc_id", "more"),
+                      lambda: lambda r: [(h, c, r[0] + k + 1, r[1]) for k, (h, c) in enumerate(struct.iter_unpack(_MORE, r[2]))],
+                      "h long, c int, at long, doc_id long", per_batch=65536)
+    held = held.drop("more").unionByName(longer)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")
     firsts = cut(held.groupBy("h", "c").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("n")).where("n > 1")
-                 .select(F.col("h").alias("fh"), F.col("c").alias("fc"), F.col("p.doc_id").alias("fd"), F.col("p.first").alias("ff")))
+                 .select(F.col("h").alias("fh"), F.col("c").alias("fc"), F.col("p.doc_id").alias("fd"), F.col("p.at").alias("fat")))
     removed = (held.join(firsts, (F.col("h") == F.col("fh")) & (F.col("c") == F.col("fc")))
-               .where("NOT (doc_id <=> fd AND first = ff)").select(F.col("doc_id").alias("in_doc"), "first", "last").distinct()
-               .groupBy("in_doc").agg(F.collect_list(F.struct("first", "last")).alias("removed")))
+               .where("doc_id IS NOT NULL AND NOT (doc_id <=> fd AND at = fat)")
+               .groupBy(F.col("doc_id").alias("in_doc")).agg(F.collect_set("at").alias("removed")))
     joined = rows.join(removed, F.col("doc_id") == F.col("in_doc"), "left").select("doc_id", "text", "removed")
 
     def rewrite(batches):
@@ -110,7 +147,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for k in range(b.num_rows):
                 doc, text, gone = (b.column(i)[k].as_py() for i in range(3))
                 out.append((doc, text, 0) if text is None else
-                           (doc, *_without(text, [(g["first"], g["last"]) for g in gone or []])))
+                           (doc, *_without(text, [(g // SPAN, g // SPAN + g % SPAN) for g in gone or []])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out) if out else [()] * 3, (pa.int64(), pa.string(), pa.int32()))],
                 names=["doc_id", "text", "n_removed"])

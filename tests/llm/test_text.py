@@ -135,6 +135,43 @@ def test_spans(spark):
     assert {i: len(g) for i, g in gone.items()} == {i: r["n_removed"] for i, r in got.items() if r["n_removed"]}
 
 
+def every_run(text):
+    """(words, first, last) of every run of every length."""
+    found = [w for _, _, w in spans.sentences(text or "")]
+    for first in range(len(found)):
+        for last in range(first + spans.RUN_SENTENCES, len(found) + 1):
+            if sum(map(len, found[first:last])) >= spans.RUN_WORDS:
+                yield tuple(map(tuple, found[first:last])), first, last - 1
+
+
+def test_spans_equal_every_run_of_every_length(spark):
+    rng = random.Random(9)
+
+    def text(sizes):
+        return [" ".join(f"s{rng.randrange(5000)}" for _ in range(n)) + "." for n in sizes]
+
+    shared = text([9, 9, 5])                                        # its last sentence ends no shortest run
+    rows = [(0, " ".join([*text([7]), *shared, *text([12])])), (1, " ".join([*text([15]), *shared, *text([14, 3])]))]
+    pool = text([rng.randrange(1, 16) for _ in range(200)])
+    for k in range(2, 60):
+        parts = []
+        for _ in range(3):
+            at = rng.randrange(190)
+            parts += pool[at:at + rng.randrange(2, 9)] + text([rng.randrange(1, 14)])
+        rows.append((k, " ".join(parts)))
+    first, gone = {}, {}
+    for i, t in rows:
+        for key, f, last in every_run(t):
+            if first.setdefault(key, (i, f)) != (i, f):
+                gone.setdefault(i, set()).update(range(f, last + 1))
+    got = {r["doc_id"]: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["n_removed"] == 3 and shared[2] not in got[1]["text"]
+    assert {i: len(g) for i, g in gone.items()} == {i: r["n_removed"] for i, r in got.items() if r["n_removed"]}
+    for i, t in rows:
+        want = "".join(t[a:b] for k, (a, b, _) in enumerate(spans.sentences(t)) if k not in gone.get(i, ()))
+        assert got[i]["text"] == want
+
+
 @given(st.text(alphabet="ab .!?\n\t", max_size=200))
 def test_sentences_cover_the_text(text):
     found = spans.sentences(text)
