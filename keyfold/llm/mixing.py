@@ -49,7 +49,7 @@ def targets(sizes: DataFrame, *, share: float = 1.5, most: float = 2.0, weights=
 
 
 def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               *, share: float = 1.5, most: float = 2.0, weights=WEIGHTS, ramps=RAMPS) -> DataFrame:
+               *, share: float = 1.5, most: float = 2.0, weights=WEIGHTS, ramps=RAMPS, row_col: str | None = None) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, positions) of every row of
     ``docs``, range-sorted by first position (rows not taken last).
 
@@ -71,11 +71,14 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null, empty and blank texts: size 0. Null source: a source of its own, the last. Null
     doc_id: hashed as an empty id. A source without words: each document is taken once, 0
     words. Repeated rows are documents of their own. Empty table: empty result. Other
-    columns are not read."""
+    columns are not read, but for ``row_col``, which is handed on as row, last, and orders
+    rows of the same id and size."""
+    key = [F.col(f"`{row_col}`").alias("row")] if row_col else []
+    row_names = ["row"] if row_col else []
     text = F.col(f"`{text_col}`").cast("string")
     sizes = cut(docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *key)
         .withColumn("skey", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
         .withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
         .withColumn("bucket", F.substring("h", 1, 3)))
@@ -84,7 +87,7 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     offsets = cut(sizes.groupBy("skey", "bucket").agg(F.sum("size").alias("n"))
                   .withColumn("offset", F.coalesce(F.sum("n").over(preceding), F.lit(0)))
                   .join(goal, "skey").drop("n"))
-    inside = (Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size")
+    inside = (Window.partitionBy("skey", "bucket").orderBy("h", "doc_id", "size", *row_names)
               .rowsBetween(Window.unboundedPreceding, -1))
     row = (sizes.join(offsets, ["skey", "bucket"])
            .withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -103,7 +106,7 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = row.select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies",
         F.when(F.col("copies") > 0, F.transform(F.sequence(F.lit(0), F.col("copies") - 1), position))
-        .otherwise(F.array().cast("array<double>")).alias("positions"),
+        .otherwise(F.array().cast("array<double>")).alias("positions"), *row_names,
         (F.conv(F.substring("h", 4, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)).alias("spread"))
     return (cut(placed).withColumn("first", F.coalesce(F.try_element_at("positions", F.lit(1)), F.lit(1.0) + F.col("spread")))
             .orderBy("first").drop("first", "spread"))
@@ -111,13 +114,19 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix: each row as often as it is taken, in training order, with
-    the columns of ``docs``. Rows that share a doc_id (null included) share one placing."""
-    placed = (curriculum(docs).groupBy(F.col("doc_id").alias("__kf_id"))
-              .agg(F.min("positions").alias("__kf_at")).where(F.size("__kf_at") > 0))
-    return (docs.join(placed, docs["doc_id"].eqNullSafe(placed["__kf_id"]))
-            .withColumn("__kf_at", F.explode("__kf_at"))
+    the columns of ``docs``.
+
+    A row is known by a hash of all its columns, so rows that share a doc_id (null
+    included) have placings of their own. Rows equal in every column cannot be told apart:
+    one of them meets the placings of all, which a skewed join splits."""
+    # JSON tells nulls and columns apart; times are written to the microsecond.
+    times = {k: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + zone for k, zone in (("timestampFormat", "XXX"), ("timestampNTZFormat", ""))}
+    keyed = docs.withColumn("__kf_row", F.md5(F.to_json(F.struct(*[docs[c] for c in docs.columns]), times).cast("binary")))
+    placed = (curriculum(keyed, row_col="__kf_row")
+              .select(F.col("row").alias("__kf_row"), F.explode("positions").alias("__kf_at")))
+    return (keyed.dropDuplicates(["__kf_row"]).join(placed, "__kf_row")
             .repartitionByRange("__kf_at").sortWithinPartitions("__kf_at")
-            .select(*[docs[c] for c in docs.columns]))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 #: The same rows in DuckDB: the water level, the running sums and the inverse written out.

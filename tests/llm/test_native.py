@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -56,6 +57,28 @@ def test_mixed_rows(docs, no_docs):
     assert mixing.mixed(no_docs).count() == 0
 
 
+def test_mixed_null_and_repeated_ids(spark):
+    """Rows without an id, and rows that share one, of which only some are taken."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"{'word ' * (k % 9)}n{k // 2}", None if k % 5 == 4 else "abcd"[k % 5], k % 2)
+            for k in range(600)] + [(None, "same text", "a", 0)] * 40 + [(7, None, "c", None), (7, None, None, None), (5000, "b " * 8, "b", 1), (5001, "d " * 6, "d", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, side int").repartition(3)
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    assert set(got) <= set(rows)
+    goal = {r["source_size"]: r["target"] for r in mixing.curriculum(docs).collect()}
+    assert len(goal) == 5
+    for source in (None, *"abcd"):
+        size = sum(len(t.split()) for _, t, s, _ in rows if t and s == source)
+        assert abs(sum(len(t.split()) for _, t, s, _ in got if t and s == source) - goal[size]) <= 5
+    for share in (None, 7):
+        assert len({r for r in got if r[0] == share}) < len({r for r in rows if r[0] == share})    # some are not taken
+        assert any(r[0] == share for r in got)
+    copies = Counter(got)
+    assert max(copies[r] for r in set(rows) if rows.count(r) == 1) <= 2
+    assert copies[(None, "same text", "a", 0)] <= 80
+
+
 BASE = [("assign", r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 12),
         ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)]
 
