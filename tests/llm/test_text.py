@@ -107,6 +107,33 @@ def test_decontamination(spark):
     assert decontam.find(docs.limit(0), bench).count() == 0 and decontam.find(docs, bench.limit(0)).count() == 0
 
 
+def paraphrases(rng, n_items, answer_words, vocabulary=3000, size=40, kept=0.66):
+    """(items, documents): each document holds its item with words of the body left out,
+    ``kept`` of the item's words in order, the answer whole."""
+    vocab = [f"w{k}" for k in range(vocabulary)]
+    items, docs = [], []
+    for k in range(n_items):
+        body, answer = rng.sample(vocab, size - answer_words(k)), rng.sample(vocab, answer_words(k))
+        gone = set(rng.sample(range(len(body)), size - round(size * kept)))
+        items.append((k, " ".join(body) + ". " + " ".join(answer) + "."))
+        said = [rng.choice(vocab) if i in gone and k % 2 else w for i, w in enumerate(body) if i not in gone or k % 2]
+        docs.append((k, " ".join([*rng.choices(vocab, k=80), *said, *answer, *rng.choices(vocab, k=60)])))
+    return items, docs
+
+
+def test_decontamination_of_paraphrases_by_answer_length(spark):
+    rng = random.Random(3)
+    items, docs = paraphrases(rng, 24, lambda k: 1 + k % 12)
+    one = [f"w{x}" for x in rng.sample(range(3000), 40)]                             # one sentence
+    items.append((24, " ".join(one)))
+    docs.append((24, " ".join(w for k, w in enumerate(one) if k >= 30 or k % 2)))
+    docs += [(100 + k, " ".join(t.split()[:24])) for k, t in items[:25]]             # no answer, 0.6 of the words
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontam.find(docs, spark.createDataFrame(items, "item_id long, text string"), cosine=0.1).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(25)}
+    assert all(0.6 <= r["lcs"] < 0.8 <= r["answer"] for r in found)
+
+
 # ------------------------------------------------------------------ substring dedup
 def test_spans(spark):
     random.seed(4)
