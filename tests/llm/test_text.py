@@ -134,6 +134,16 @@ def test_decontamination_of_paraphrases_by_answer_length(spark):
     assert all(0.6 <= r["lcs"] < 0.8 <= r["answer"] for r in found)
 
 
+def test_candidate_of_low_cosine_is_checked():
+    """A copy without the one word that rules its item's latent vector: cosine 0.43."""
+    items = decontam.Items([(1, " ".join(f"w{k}" for k in range(20)).encode())])
+    terms = np.zeros((items.terms, 2), np.float32)
+    terms[1:] = (0, 0.1)
+    terms[1] = (4, 0)
+    found = decontam.Searcher(items, np.r_[0, np.ones(items.terms - 1)], terms, decontam.COSINE).hits([items.ids[0][1:]])
+    assert [(x[0], x[1], x[3]) for x in found] == [(0, 0, 0.95)]
+
+
 # ------------------------------------------------------------------ substring dedup
 def test_spans(spark):
     random.seed(4)
