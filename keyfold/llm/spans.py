@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from keyfold.llm.common import cut, map_rows
 
 #: A sentence ends after its stops and the white space behind them, or at a line end.
-_END = re.compile(r"[.!?]+\s+|\n+")
+_END = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)[.!?]*\s+)")
+_WORD = re.compile(r"\S+\s*")
 #: A sentence of more words than this is taken as parts, cut after the words whose hash
 #: is 0 modulo EVERY (where a passage begins does not move the cuts behind it), or after
 #: MOST words without such a word, as when one word is repeated.
@@ -25,11 +26,12 @@ RUN_SENTENCES, RUN_WORDS = 2, 16
 SPAN = 1 << max(RUN_SENTENCES, RUN_WORDS).bit_length()
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str]]]:
+def sentences(text: str, *, places: bool = True) -> list[tuple[int, int, list[str]]]:
     """(start, end, lower-cased words) of each sentence or part, in order; together they
-    cover the text; blank pieces join the sentence before them."""
+    cover the text; blank pieces join the sentence before them. Without ``places``, start
+    and end are not worked out for parts."""
     out: list[tuple[int, int, list[str]]] = []
-    start = 0
+    digest, start = xxhash.xxh32_intdigest, 0
     for end in [*[m.end() for m in _END.finditer(text)], len(text)]:
         words = text[start:end].lower().split()
         if not words:
@@ -38,12 +40,14 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
         elif len(words) <= LONG:
             out.append((start, end, words))
         else:
-            stops = [start + m.end() for m in re.finditer(r"\S+\s*", text[start:end])]
-            first = 0
-            for k, w in enumerate(words):
-                if k == len(words) - 1 or k - first == MOST - 1 or not xxhash.xxh32_intdigest(w) % EVERY:
-                    out.append((start, stops[k], words[first:k + 1]))
-                    start, first = stops[k], k + 1
+            stops = [start + m.end() for m in _WORD.finditer(text[start:end])] if places else []
+            first, n = 0, len(words) - 1
+            for k in [*[k for k, w in enumerate(words) if not digest(w) % EVERY], n]:
+                while first <= k:
+                    last = min(k, first + MOST - 1)
+                    stop = stops[last] if places else end
+                    out.append((start, stop, words[first:last + 1]))
+                    start, first = stop, last + 1
         start = end
     return out
 
@@ -56,7 +60,7 @@ def _starts(text: str | None, longer: bool = True) -> list[tuple[int, int, int,
     passage of any length whole, the shortest runs up to the last that lies in it and a
     longer one from there to its end; and a longer one repeats only where its own shortest
     run does. Without ``longer``, ``more`` is empty."""
-    found = [w for _, _, w in sentences(text or "")]
+    found = [w for _, _, w in sentences(text or "", places=False)]
     joined = [" ".join(w) for w in found]
     sizes = [len(w) for w in found]
 
