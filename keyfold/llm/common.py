@@ -38,6 +38,13 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(n))
 
 
+def crc_sql(text: str) -> str:
+    """crc32 of an ASCII text expression in DuckDB, which has no such function: bit by bit."""
+    mixed = f"(CASE WHEN k % 8 = 0 THEN xor(a, ascii({text}[(k // 8 + 1)::INT])::BIGINT) ELSE a END)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, range(0, 8 * strlen({text}))), lambda a, k: "
+            f"xor({mixed} >> 1, CASE WHEN {mixed} & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)), 4294967295::BIGINT)")
+
+
 def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
     """Rows of a batch one at a time, so only one text is a Python object at once."""
     columns = [batch.column(i) for i in range(batch.num_columns)]

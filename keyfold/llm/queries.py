@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyfold.llm import brown, decontam, embed, langid, mixing, packing, pages, secrets, simhash, spans
+from keyfold.llm import brown, decontam, embed, exact, langid, mixing, packing, pages, repair, secrets, simhash, spans, trie
 from keyfold.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_nearest_url_differencing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op11_four_russians_repair", repair.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), gone_col="gone")
+
+
+@register("op12_radix_prefix_trie", trie.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.grafted(table(spark, sf_dir, "conversations")))
+
+
+@register("op13_heavy_hitter_dedup", exact.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(table(spark, sf_dir, "documents"))
