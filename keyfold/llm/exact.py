@@ -41,7 +41,7 @@ def frequent(rows: DataFrame) -> DataFrame:
     keyed = rows.select(F.xxhash64("digest").alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
     parts = keyed.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(key, {COUNTERS})").alias("summary"))
     # grouped by a constant: an empty table then gives no summary instead of an error
-    found = parts.groupBy(F.lit(0)).agg(F.expr("approx_top_k_combine(summary)").alias("summary"))
+    found = parts.groupBy(F.lit("all")).agg(F.expr("approx_top_k_combine(summary)").alias("summary"))
     keys = cut(found.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {round(1 / SHARE)})")).alias("f"))
                .select(F.col("f.item").alias("key")))
     least = rows.count() * SHARE
