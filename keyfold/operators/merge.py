@@ -12,14 +12,14 @@ the target row, as a lakehouse ``MERGE`` does when several source rows match.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, NullType
 
-from keyfold.operators import sizing
+from keyfold.operators import ranges, sizing
+from keyfold.session import shared_dir
 
 _T, _S, _N, _ROW = "__kf_t", "__kf_s", "__kf_n", "__kf_row"
 DELETE, INSERT = "D", "I"
@@ -213,20 +213,56 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, s
                   unmatched_delete="insert", coalesce_values=False)
 
 
-def merge_condition(target: DataFrame, source: DataFrame, condition: str, *,
+def _content(df: DataFrame) -> Column:
+    """Digest of all columns of a row. JSON tells nulls and columns apart; times are written
+    to the microsecond."""
+    times = {k: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + zone for k, zone in (("timestampFormat", "XXX"), ("timestampNTZFormat", ""))}
+    return F.unhex(F.md5(F.to_json(F.struct(*[df[f"`{c}`"] for c in df.columns]), times).cast("binary")))
+
+
+def merge_condition(target: DataFrame, source: DataFrame, condition: str, *, overlap: ranges.Overlap | None = None,
                     op_col: str | None = None, unmatched_delete: str = "skip") -> DataFrame:
-    """Merge on a SQL condition over ``target_table`` / ``source_table``. The condition must
-    hold an equality between the two, on which Spark hash-partitions; without one every
-    pair would be compared, so it raises. A target row that several source rows match
-    raises too, as in a lakehouse ``MERGE``; checked by one job before the result is built."""
-    t = target.withColumn(_ROW, F.monotonically_increasing_id()).alias("target_table")
-    pairs = t.join(source.alias("source_table"), F.expr(condition), "inner").select(_ROW)
-    if re.search("NestedLoop|Cartesian", pairs._jdf.queryExecution().sparkPlan().toString()):
-        raise ValueError(f"the merge condition needs an equality between target_table and source_table: {condition}")
-    if not pairs.groupBy(_ROW).count().where("count > 1").isEmpty():
+    """Merge on a SQL condition over ``target_table`` / ``source_table``: matched → source row
+    (by ``op_col`` as in ``merge_ops``), not matched → insert.
+
+    With an equality between the two, Spark hash-partitions on it. Otherwise the condition
+    must be a range: comparisons of a target column with a source column both ways
+    (``target_table.lo <= source_table.x AND source_table.x < target_table.hi``, or BETWEEN),
+    or ``overlap`` names the columns; it is joined on bins (``ranges.pairs``). Any other
+    condition would compare every pair, so it raises. A target row that several different
+    source rows match raises too, as in a lakehouse ``MERGE``.
+
+    Rows are known by their content: the pairs are joined once, written to the checkpoint
+    folder, and met again by both sides. Rows whose condition is null match nothing."""
+    if unmatched_delete not in ("skip", "insert"):
+        raise ValueError("unmatched_delete must be 'skip' or 'insert'")
+    cols = _out_columns(target, source)
+    t, s = target.withColumn(_T, _content(target)), source.withColumn(_S, _content(source))
+    on = F.expr(condition)
+    if ranges.has_equality(condition):
+        found = t.alias("target_table").join(s.alias("source_table"), on, "inner")
+    else:
+        overlap = overlap or ranges.overlap_of(condition)
+        if overlap is None:
+            raise ValueError("the merge condition needs an equality between target_table and source_table, "
+                             f"or a range that bounds their columns both ways: {condition}")
+        found = ranges.pairs(t.dropDuplicates([_T]), s.dropDuplicates([_S]), overlap, on)
+    shared_dir(target.sparkSession)
+    source_row = F.struct(*[F.col(f"source_table.`{c}`").alias(c) for c in source.columns])
+    found = found.select(_T, _S, source_row.alias(_ROW)).checkpoint()
+    once = found.groupBy(F.col(_T).alias(_N)).agg(F.min(_S).alias("lo"), F.max(_S).alias("hi"), F.any_value(_ROW).alias(_ROW))
+    if not once.where("lo <> hi").isEmpty():
         raise ValueError(f"several source rows match one target row: {condition}")
-    return _merge(target, source, keys=None, condition=condition, op_col=op_col,
-                  unmatched_delete=unmatched_delete, coalesce_values=False)
+    hit, op = F.col(_ROW).isNotNull(), (F.col(f"{_ROW}.`{op_col}`") if op_col else F.lit(None).cast("string"))
+    take = hit & (op.isNull() | op.eqNullSafe(INSERT)) if op_col else hit
+    drop = hit & op.eqNullSafe(DELETE) if op_col else F.lit(False)
+    kept = t.join(once.select(_N, _ROW), F.col(_T) == F.col(_N), "left").where(~drop).select(*[
+        (F.when(take, F.col(f"{_ROW}.`{c}`")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(dt)))
+        .otherwise(F.col(f"`{c}`") if c in target.columns else F.lit(None).cast(dt)).alias(c) for c, dt in cols])
+    inserts = s.join(found.select(F.col(_S).alias(_N)).distinct(), F.col(_S) == F.col(_N), "left_anti")
+    if op_col and unmatched_delete == "skip":
+        inserts = inserts.where(~F.col(f"`{op_col}`").eqNullSafe(DELETE))
+    return kept.unionByName(_align(inserts, cols))
 
 
 def merge_coalesce(target: DataFrame, source: DataFrame, keys: Sequence[str], *,

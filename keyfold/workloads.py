@@ -123,6 +123,28 @@ def q_merge_condition(spark, sf_dir):
         "target_table.o_orderkey = source_table.o_orderkey AND source_table.o_totalprice > target_table.o_totalprice")
 
 
+@register("merge_condition_range", """
+WITH t AS (SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders),
+s AS (SELECT p_partkey * 50.0 AS lo, p_partkey * 50.0 + p_size AS hi, p_brand AS o_orderpriority,
+             CASE WHEN p_size % 7 = 0 THEN 'D' WHEN p_size % 5 = 0 THEN 'U' WHEN p_size % 2 = 0 THEN 'I' END AS op FROM part),
+j AS (SELECT t.*, s.lo, s.hi, s.o_orderpriority AS new_priority, s.op, s.lo IS NOT NULL AS hit
+      FROM t LEFT JOIN s ON s.lo <= t.o_totalprice AND t.o_totalprice < s.hi)
+SELECT o_orderkey, o_totalprice, CASE WHEN hit AND op IS DISTINCT FROM 'U' THEN new_priority ELSE o_orderpriority END AS o_orderpriority,
+  CASE WHEN op IS DISTINCT FROM 'U' THEN lo END AS lo, CASE WHEN op IS DISTINCT FROM 'U' THEN hi END AS hi,
+  CASE WHEN op IS DISTINCT FROM 'U' THEN op END AS op FROM j WHERE op IS DISTINCT FROM 'D'
+UNION ALL SELECT NULL, NULL, o_orderpriority, lo, hi, op FROM s
+WHERE op IS DISTINCT FROM 'D' AND NOT EXISTS (SELECT 1 FROM t WHERE s.lo <= t.o_totalprice AND t.o_totalprice < s.hi)""")
+def q_merge_condition_range(spark, sf_dir):
+    """Price bands (a part's, disjoint) applied to the orders whose price lies in them: a range, no equality."""
+    p, size = fx.table(spark, sf_dir, "part"), F.col("p_size")
+    bands = p.select((F.col("p_partkey") * 50.0).alias("lo"), (F.col("p_partkey") * 50.0 + size).alias("hi"),
+                     F.col("p_brand").alias("o_orderpriority"),
+                     F.when(size % 7 == 0, "D").when(size % 5 == 0, "U").when(size % 2 == 0, "I").alias("op"))
+    return merge.merge_condition(
+        fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"), bands,
+        "source_table.lo <= target_table.o_totalprice AND target_table.o_totalprice < source_table.hi", op_col="op")
+
+
 SRC_NULLS = """s AS (SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice + 100 END AS o_totalprice, o_orderdate,
   CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
