@@ -18,16 +18,31 @@ def sequence_expr(df: DataFrame, seq: str, seq_type: str = "numeric") -> Column:
     """Ordering value of a sequence column.
 
     ``numeric``: a string sequence is compared as an exact number first ('10' is above
-    '9', '1.4' above '1.3'); text that is not a number is below every number and compared
-    as text, so ISO dates and times keep their order. ``string``/``as_is``: the column as
-    it is.
+    '9', '1.4' above '1.3'), of any length; text that is not a number is below every number
+    and compared as text, so ISO dates and times keep their order. ``string``/``as_is``: the
+    column as it is.
     """
     c = F.col(seq)
     if seq_type == "numeric" and isinstance(df.schema[seq].dataType, StringType):
-        return F.struct(c.try_cast("decimal(38,10)"), c)
+        return _number_order(c)
     return c
 
 
+def _number_order(c: Column) -> Column:
+    """Struct that orders texts of numbers by value: sign, then the length and digits of the
+    whole part, then the digits of the fraction. Below zero all of these run backward."""
+    # other spellings of a number (1e5) as far as a decimal holds them
+    plain = F.when(c.rlike(r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)\s*$"), F.trim(c)).otherwise(c.try_cast("decimal(38,10)").cast("string"))
+    whole = F.regexp_extract(plain, r"^[+-]?0*([0-9]*)", 1)
+    part = F.regexp_extract(plain, r"[.]([0-9]*?)0*$", 1)
+    below = plain.startswith("-")
+    sign = F.when(plain.isNull(), F.lit(None)).when((whole == "") & (part == ""), 0).when(below, -1).otherwise(1)
+    mirrored = lambda digits: F.translate(digits, "0123456789", "9876543210")
+    return F.struct(sign.alias("sign"), F.when(below, -F.length(whole)).otherwise(F.length(whole)).alias("length"),
+                    F.when(below, mirrored(whole)).otherwise(whole).alias("whole"),
+                    F.when(below, F.concat(mirrored(part), F.lit("~"))).otherwise(part).alias("part"), c.alias("text"))
+
+
 def _orderable(df: DataFrame, name: str) -> bool:
     return not isinstance(df.schema[name].dataType, (MapType, ArrayType, StructType))
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, NullType
+from pyspark.sql.types import MapType, NullType, StructType
 
 from keyfold.operators import ranges, sizing
 from keyfold.session import shared_dir
@@ -50,6 +50,12 @@ def _align(df: DataFrame, cols: list[tuple[str, object]]) -> DataFrame:
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in cols])
 
 
+def align(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` in the columns of ``schema``: missing ones null, types cast."""
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
 def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` with a check that no key repeats (a repeated key raises).
 
@@ -69,31 +75,19 @@ def one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
                             for c in source.columns])
 
 
-def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
-           condition: str | None, op_col: str | None, unmatched_delete: str,
-           coalesce_values: bool) -> DataFrame:
-    if not keys and not condition:
-        raise ValueError("either keys or a merge condition is required")
-    if unmatched_delete not in ("skip", "insert"):
-        raise ValueError("unmatched_delete must be 'skip' or 'insert'")
+def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str], op_col: str | None, unmatched_delete: str,
+           coalesce_values: bool, checked: bool = False) -> DataFrame:
+    """One full outer join. ``checked``: the source is known to have one row per key."""
     cols = _out_columns(target, source)
-    bypass_t = bypass_s = None
-    if keys and not condition:
-        bypass_t = target.where(_any_null(keys))
-        bypass_s = source.where(_any_null(keys))
-        target = target.where(~_any_null(keys))
-        source = one_row_per_key(source.where(~_any_null(keys)), keys)
+    bypass_t = target.where(_any_null(keys))
+    bypass_s = source.where(_any_null(keys))
+    target = target.where(~_any_null(keys))
+    source = source.where(~_any_null(keys))
+    source = source if checked else one_row_per_key(source, keys)
 
     t = target.withColumn(_T, F.lit(True)).alias("target_table")
     s = source.withColumn(_S, F.lit(True)).alias("source_table")
-    if condition:
-        cond = F.expr(condition)
-    else:
-        cond = None
-        for k in keys:
-            e = F.col(f"target_table.{k}") == F.col(f"source_table.{k}")
-            cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
+    j = t.join(s, _on(keys), "full_outer")
 
     has_t = F.col(f"target_table.{_T}").isNotNull()
     has_s = F.col(f"source_table.{_S}").isNotNull()
@@ -117,12 +111,10 @@ def _merge(target: DataFrame, source: DataFrame, *, keys: Sequence[str] | None,
             (F.when(take_s, F.col(f"source_table.{c}")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(dt)))
             .otherwise(_col_or_null(target, "target_table", c, dt)).alias(c) for c, dt in cols])
 
-    if bypass_t is not None:
-        ins = bypass_s
-        if op_col and unmatched_delete == "skip":
-            ins = ins.where(~F.col(op_col).eqNullSafe(DELETE))
-        out = out.unionByName(_align(bypass_t, cols)).unionByName(_align(ins, cols))
-    return out
+    ins = bypass_s
+    if op_col and unmatched_delete == "skip":
+        ins = ins.where(~F.col(op_col).eqNullSafe(DELETE))
+    return out.unionByName(_align(bypass_t, cols)).unionByName(_align(ins, cols))
 
 
 # Change sets within both bounds are broadcast whole.
@@ -133,12 +125,8 @@ BROADCAST_MAX_BYTES = 256 << 20
 def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: int,
               op_col: str | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Whether the change set is broadcast. All of its columns are, so all are measured."""
-    if strategy == "shuffle":
-        return False
-    if strategy == "broadcast":
-        return True
     if strategy != "auto":
-        raise ValueError(f"unknown merge strategy {strategy!r}")
+        return strategy == "broadcast"
     missing = [c for c in (*keys, *([op_col] if op_col else [])) if c not in source.columns]
     if missing:
         raise ValueError(f"the change set lacks {missing}")
@@ -146,33 +134,33 @@ def _is_small(source: DataFrame, keys: Sequence[str], strategy: str, max_rows: i
     return sizing.within(source, max_rows, max_bytes)
 
 
-def _merge_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                     op_col: str | None, unmatched_delete: str) -> DataFrame:
-    """The rows of the full outer join when the change set is small: it is broadcast, and
-    the target streams through a map-side join that updates, keeps or drops each of its
-    rows, a repeated key's rows all alike; change rows without a target row are unioned."""
-    keys = list(keys)
-    cols = _out_columns(target, source)
-    bypass_t, bypass_s = target.where(_any_null(keys)), source.where(_any_null(keys))
-    target, source = target.where(~_any_null(keys)), one_row_per_key(source.where(~_any_null(keys)), keys)
-    t = target.alias("target_table")
-    s = source.withColumn(_S, F.lit(True)).alias("source_table")
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(f"target_table.{k}") == F.col(f"source_table.{k}"))
-    tagged = t.join(F.broadcast(s), on, "left")
-    hit = F.col(f"source_table.{_S}").isNotNull()
-    op = F.col(f"source_table.{op_col}") if op_col else F.lit(None).cast("string")
-    take = hit & (op.isNull() | op.eqNullSafe(INSERT))
-    kept = tagged.where(~(hit & op.eqNullSafe(DELETE))).select(*[
-        (F.when(take, F.col(f"source_table.{c}")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(dt)))
-        .otherwise(_col_or_null(target, "target_table", c, dt)).alias(c) for c, dt in cols])
+def _merge_keyed(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col: str | None, unmatched_delete: str,
+                 strategy: str, max_rows: int) -> DataFrame:
+    """A keyed merge by the strategy. Unless it is ``shuffle``, the change set is checked for
+    repeated keys and written to the checkpoint folder once; its size, the merge and the
+    inserts read that. The target is scanned whole once, and a second time for its keys."""
+    if unmatched_delete not in ("skip", "insert"):
+        raise ValueError("unmatched_delete must be 'skip' or 'insert'")
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+    missing = [c for c in (*keys, *([op_col] if op_col else [])) if c not in source.columns]
+    if missing:
+        raise ValueError(f"the change set lacks {missing}")
+    if strategy == "shuffle":
+        return _merge(target, source, keys=keys, op_col=op_col, unmatched_delete=unmatched_delete, coalesce_values=False)
+    shared_dir(target.sparkSession)
+    written = one_row_per_key_or_null(source, keys).checkpoint()
+    if not _is_small(written, keys, strategy, max_rows, op_col):
+        return _merge(target, written, keys=keys, op_col=op_col, unmatched_delete=unmatched_delete, coalesce_values=False, checked=True)
+    null = _any_null(keys)
+    changes = written.where(~null)
     # distinct (map-side) bounds the matched keys by the change set, whatever the target repeats
-    matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
-    inserts = source.join(F.broadcast(matched), keys, "left_anti").unionByName(bypass_s)
-    if op_col and unmatched_delete == "skip":
-        inserts = inserts.where(~F.col(op_col).eqNullSafe(DELETE))
-    return _union_all([_align(p, cols) for p in (kept, inserts, bypass_t)])
+    met = target.select(*keys).join(F.broadcast(changes.select(*keys)), list(keys), "left_semi").distinct()
+    parts = [matched_outcomes(target, changes, keys, op_col),
+             unmatched_outcomes(changes, met, keys, op_col, unmatched_delete),
+             unmatched_outcomes(written.where(null), met.where("false"), keys, op_col, unmatched_delete)]
+    cols = [(c, t) for c, t in _out_columns(target, written) if c != ACTION]
+    return _union_all([_align(p.where(~F.col(OUTCOME).isin("deleted", "skipped")), cols) for p in parts])
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -194,23 +182,14 @@ def merge_ops(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col:
     ``broadcast`` (change set broadcast), or ``auto`` (broadcast when the change set is
     measured to be within ``broadcast_max_rows`` rows and ``BROADCAST_MAX_BYTES``); all
     give the same rows."""
-    if unmatched_delete not in ("skip", "insert"):
-        raise ValueError("unmatched_delete must be 'skip' or 'insert'")
-    if _is_small(source, keys, strategy, broadcast_max_rows, op_col):
-        out = _merge_broadcast(target, source, keys, op_col, unmatched_delete)
-    else:
-        out = _merge(target, source, keys=keys, condition=None, op_col=op_col,
-                     unmatched_delete=unmatched_delete, coalesce_values=False)
+    out = _merge_keyed(target, source, keys, op_col, unmatched_delete, strategy, broadcast_max_rows)
     return out.drop(ACTION) if op_col == ACTION else out
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, strategy: str = "auto",
                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Matched → source row; not matched → insert."""
-    if _is_small(source, keys, strategy, broadcast_max_rows):
-        return _merge_broadcast(target, source, keys, None, "insert")
-    return _merge(target, source, keys=keys, condition=None, op_col=None,
-                  unmatched_delete="insert", coalesce_values=False)
+    return _merge_keyed(target, source, keys, None, "insert", strategy, broadcast_max_rows)
 
 
 def _content(df: DataFrame) -> Column:
@@ -269,11 +248,76 @@ def merge_coalesce(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                    op_col: str | None = None) -> DataFrame:
     """Per column: source value if not null, else target value; then rows whose
     resulting op is ``D`` are dropped (a null op is kept)."""
-    return _merge(target, source, keys=keys, condition=None, op_col=op_col,
-                  unmatched_delete="insert", coalesce_values=True)
+    return _merge(target, source, keys=keys, op_col=op_col, unmatched_delete="insert", coalesce_values=True)
 
 
 ACTION = "__kf_action"
+#: What became of a row: kept, updated, left (matched by an op without effect), deleted,
+#: inserted, skipped (an unmatched delete); and the file that a change came from.
+OUTCOME, FILE = "__kf_outcome", "__kf_file"
+
+
+def one_row_per_key_or_null(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``one_row_per_key`` for rows with whole keys; rows with a null key pass."""
+    null = _any_null(keys)
+    return one_row_per_key(source.where(~null), keys).unionByName(source.where(null))
+
+
+def _decide(has_t: Column, has_s: Column, op: Column | None, unmatched_delete: str) -> Column:
+    gone = op.eqNullSafe(DELETE) if op is not None else F.lit(False)
+    sets = op.isNull() | (op == INSERT) if op is not None else F.lit(True)
+    return (F.when(~has_s, "kept").when(~has_t & gone & F.lit(unmatched_delete == "skip"), "skipped").when(~has_t, "inserted")
+            .when(gone, "deleted").when(sets, "updated").otherwise("left"))
+
+
+def _on(keys: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(f"target_table.`{k}`") == F.col(f"source_table.`{k}`"))
+    return on
+
+
+def _judged(joined: DataFrame, target: DataFrame, source: DataFrame, op_col: str | None, unmatched_delete: str) -> DataFrame:
+    """The joined rows with their outcome: the source's values where they count, else the
+    target's, which a column the source lacks keeps."""
+    op = F.col(f"source_table.`{op_col}`") if op_col else None
+    outcome = _decide(F.col(f"target_table.{_T}").isNotNull(), F.col(f"source_table.{_S}").isNotNull(), op, unmatched_delete)
+    taken = outcome.isin("updated", "inserted")
+    cols = [(c, t) for c, t in _out_columns(target, source) if c not in (FILE, ACTION)]
+    values = [(F.when(taken, F.col(f"source_table.`{c}`")) if c in source.columns else F.when(F.lit(False), F.lit(None).cast(t)))
+              .otherwise(F.col(f"target_table.`{c}`") if c in target.columns else F.lit(None).cast(t)).alias(c) for c, t in cols]
+    file = [F.col(f"source_table.{FILE}").alias(FILE)] if FILE in source.columns else []
+    return joined.select(*values, *file, outcome.alias(OUTCOME))
+
+
+def outcomes(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col: str | None,
+             unmatched_delete: str = "skip") -> DataFrame:
+    """Every row of the merge with its outcome, dropped ones too: one full outer join; rows
+    with a null key bypass it. ``source`` holds one row per key."""
+    null = _any_null(keys)
+    t, s = target.withColumn(_T, F.lit(True)), source.withColumn(_S, F.lit(True))
+    joined = t.where(~null).alias("target_table").join(s.where(~null).alias("source_table"), _on(keys), "full_outer")
+    whole = _judged(joined, target, source, op_col, unmatched_delete)
+    never = F.lit(False)
+    lone_t = t.where(null).alias("target_table").join(s.where(never).alias("source_table"), never, "left")
+    lone_s = s.where(null).alias("source_table").join(t.where(never).alias("target_table"), never, "left")
+    return whole.unionByName(_judged(lone_t, target, source, op_col, unmatched_delete)).unionByName(
+        _judged(lone_s, target, source, op_col, unmatched_delete))
+
+
+def matched_outcomes(target: DataFrame, source: DataFrame, keys: Sequence[str], op_col: str | None) -> DataFrame:
+    """The target's rows with their outcome. ``source``, of a checked size, is broadcast, and
+    the target streams through."""
+    t, s = target.withColumn(_T, F.lit(True)).alias("target_table"), source.withColumn(_S, F.lit(True)).alias("source_table")
+    return _judged(t.join(F.broadcast(s), _on(keys), "left"), target, source, op_col, "skip")
+
+
+def unmatched_outcomes(source: DataFrame, met: DataFrame, keys: Sequence[str], op_col: str | None,
+                       unmatched_delete: str = "skip") -> DataFrame:
+    """The rows of ``source`` whose key is not in ``met`` (no larger than ``source``)."""
+    alone = source.join(F.broadcast(met), list(keys), "left_anti").select(*[F.col(f"`{c}`") for c in source.columns])
+    outcome = _decide(F.lit(False), F.lit(True), F.col(f"`{op_col}`") if op_col else None, unmatched_delete)
+    return alone.withColumn(OUTCOME, outcome).drop(ACTION)
 
 
 def fold_changes(changes: DataFrame, keys: Sequence[str], op_col: str,
@@ -324,24 +368,3 @@ def first_load(source: DataFrame, op_col: str | None = None) -> DataFrame:
         out = source.where(~F.col(op_col).eqNullSafe(DELETE))
         return out.drop(ACTION) if op_col == ACTION else out
     return source
-
-
-def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], op_col: str | None = None,
-                     *, unmatched_delete: str = "skip") -> None:
-    """Native row-level merge for catalogs that support it (``DataFrame.mergeInto``),
-    with the same rules as ``merge_ops`` / ``merge_upsert``. Plain Parquet tables
-    reject it; use ``SnapshotTable.merge`` there."""
-    cond = None
-    for k in keys:
-        e = F.col(f"{table}.{k}") == F.col(f"source.{k}")
-        cond = e if cond is None else cond & e
-    w = source.alias("source").mergeInto(table, cond)
-    if op_col is None:
-        w = w.whenMatched().updateAll().whenNotMatched().insertAll()
-    else:
-        op = F.col(f"source.{op_col}")
-        w = (w.whenMatched(op == DELETE).delete()
-              .whenMatched(op.isNull() | (op == INSERT)).updateAll())
-        w = w.whenNotMatched() if unmatched_delete == "insert" else w.whenNotMatched(~op.eqNullSafe(DELETE))
-        w = w.insertAll()
-    w.merge()

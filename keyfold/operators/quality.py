@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.operators.sizing import bounded_broadcast
-from keyfold.session import shared_dir
 
 # Verdict codes and severities (00 stop flow, 10 stop step, 20 warn, 30 info).
 EMPTY = "EmptyError"
@@ -48,8 +47,9 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def quality_counters(df: DataFrame, keys: Sequence[str], seq: str | None,
-                     file_col: str = "file_name") -> DataFrame:
+                     file_col: str = "file_name", *, with_keys: bool = False) -> DataFrame:
     """Per file: rows, rows with all keys null, duplicated keys, duplicated (key, sequence).
+    ``with_keys`` adds the whole keys (n_keys) and their rows (n_keyed_rows).
 
     Three nested aggregations over one read of (file, keys, seq): each level is
     combined map-side, so a hot key is reduced before every shuffle.
@@ -61,8 +61,10 @@ def quality_counters(df: DataFrame, keys: Sequence[str], seq: str | None,
     l2 = l1.groupBy(file_col, *keys).agg(
         F.sum("_c").alias("_n"),
         F.count_if(seq_dup).alias("_seq_dups"))
+    keyed = F.when(~_any_null(keys), F.col("_n"))
+    more = [F.count(keyed).alias("n_keys"), F.coalesce(F.sum(keyed), F.lit(0)).cast("long").alias("n_keyed_rows")] if with_keys else []
     return l2.groupBy(file_col).agg(
-        F.sum("_n").cast("long").alias("n_rows"),
+        *more, F.sum("_n").cast("long").alias("n_rows"),
         F.sum(F.when(_all_null(keys), F.col("_n")).otherwise(0)).cast("long").alias("n_all_null_keys"),
         F.count_if(~_any_null(keys) & (F.col("_n") > 1)).cast("long").alias("n_dup_keys"),
         F.sum(F.when(~_any_null(keys), F.col("_seq_dups")).otherwise(0)).cast("long").alias("n_dup_key_seq"))
@@ -82,30 +84,31 @@ def _severity(code: Column) -> Column:
 
 
 def dq_check(df: DataFrame, keys: Sequence[str], seq: str | None = None, *,
-             file_col: str = "file_name", listing: DataFrame | None = None) -> DataFrame:
+             file_col: str = "file_name", listing: DataFrame | None = None, with_keys: bool = False) -> DataFrame:
     """One verdict row per file. ``listing`` (one row per file, column ``file_col``)
     brings in files without rows, which no ``groupBy`` can see.
 
     Without a sequence column a repeated key is a ``DuplicatedFound``.
     """
-    counters = quality_counters(df, keys, seq, file_col)
+    counters = quality_counters(df, keys, seq, file_col, with_keys=with_keys)
     if listing is not None:
         counters = listing.join(counters, file_col, "left").fillna(
-            0, ["n_rows", "n_all_null_keys", "n_dup_keys", "n_dup_key_seq"])
+            0, [c for c in counters.columns if c.startswith("n_")])
     code = verdict_expr()
     return counters.withColumn("code", code).withColumn("severity", _severity(F.col("code")))
 
 
 def mark_malformed(verdicts: DataFrame, df: DataFrame, file_col: str = "file_name") -> DataFrame:
     """``verdicts`` with ``ReadError`` for every file of ``df`` that holds a malformed record
-    (``CORRUPT`` is set). One pass, combined map-side to a row per file."""
-    shared_dir(df.sparkSession)
-    # the CSV source converts only the columns that a query needs: the hash needs them all
-    data = [F.col(c) for c in df.columns if c not in (file_col, CORRUPT)]
-    bad = (df.where(F.col(CORRUPT).isNotNull()).groupBy(file_col)
-           .agg(F.count(F.lit(1)).alias("n_malformed"), F.max(F.xxhash64(*data)).alias("_all")).checkpoint().drop("_all"))
-    return (verdicts.join(bounded_broadcast(bad), file_col, "left").fillna(0, ["n_malformed"])
-            .withColumn("code", F.when(F.col("n_malformed") > 0, F.lit(READ_ERROR)).otherwise(F.col("code")))
+    (``CORRUPT`` is set). One pass, combined map-side to a row per file. ``df`` must be parsed
+    rows: a CSV scan converts only the columns that a query needs and misses bad values."""
+    bad = df.where(F.col(CORRUPT).isNotNull()).groupBy(file_col).agg(F.count(F.lit(1)).alias("n_malformed"))
+    return mark_unreadable(verdicts.join(bad, file_col, "left").fillna(0, ["n_malformed"]), F.col("n_malformed") > 0)
+
+
+def mark_unreadable(verdicts: DataFrame, which: Column) -> DataFrame:
+    """``verdicts`` with ``ReadError`` where ``which`` holds, before any other finding."""
+    return (verdicts.withColumn("code", F.when(which, F.lit(READ_ERROR)).otherwise(F.col("code")))
             .withColumn("severity", _severity(F.col("code"))))
 
 

@@ -69,6 +69,30 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.where(F.col("status").isNotNull()).unionByName(null_rows)
 
 
+def reconcile_copies(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                     columns: Sequence[str] | None = None) -> DataFrame:
+    """The multiset difference of two tables whose keys may repeat: every content (keys and
+    compared columns) that one side holds more often than the other, with ``left_n`` and
+    ``right_n``, and ``left_rows`` / ``right_rows`` of its key.
+
+    Contents are counted on both sides in one aggregation of the union; equal copies combine
+    map-side, and different copies of a hot key spread by content, so no key's rows meet in
+    one task. Nulls equal nulls, in keys too."""
+    keys = list(keys)
+    cols = list(columns) if columns is not None else [c for c in left.columns if c not in keys and c in right.columns]
+    names = [*keys, *cols]
+    tagged = [df.select(*[F.col(f"`{c}`") for c in names], F.lit(n).cast("long").alias(_L), F.lit(1 - n).cast("long").alias(_R))
+              for df, n in ((left, 1), (right, 0))]
+    whole = tagged[0].unionByName(tagged[1])
+    both = whole.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.sum(_L).alias("left_n"), F.sum(_R).alias("right_n"))
+    differing = both.where("left_n <> right_n")
+    per_key = whole.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.sum(_L).alias("left_rows"), F.sum(_R).alias("right_rows"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"d.`{k}`").eqNullSafe(F.col(f"k.`{k}`"))
+    return differing.alias("d").join(per_key.alias("k"), same).select("d.*", "left_rows", "right_rows")
+
+
 def diff_count(recon: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per compared column, the number of matched rows whose values differ; plus
     rows ``(left_only)`` and ``(right_only)``. One aggregation, then unpivot."""

@@ -1,309 +1,50 @@
-"""Versioned snapshot tables on plain Parquet: each commit writes a new folder
-and then creates the version's entry in the commit log (one small JSON file per
-version, created exclusively: of two writers racing for a version, one fails).
-Readers resolve a version through the log, so a write that failed before its
-entry is invisible, and no table is ever overwritten while it is read.
-
-Append commits add a folder to the version's folder list (no copy of old data);
-overwrite and merge commits start a new list.
-"""
+"""Versions of a table: a partition per version and a table of commits, and what one version
+has lost against another."""
 
 from __future__ import annotations
 
-import datetime as _dt
-import json
-import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from keyfold.operators import merge as _merge
 from keyfold.operators.sizing import bounded_broadcast
 from keyfold.session import shared_dir
-from keyfold.sources import fs
-
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("committed_at", T.TimestampType(), False),
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("folders", T.ArrayType(T.StringType()), False),
-    T.StructField("num_rows", T.LongType(), True),
-    T.StructField("batch_id", T.StringType(), True),
-    T.StructField("schema_json", T.StringType(), True),
-    T.StructField("rewritten", T.LongType(), True),
-    T.StructField("files_attempt", T.StringType(), True),
-])
-BUCKET = "__kf_bucket"
-# commit time as written in the log (UTC), for Python and for Spark's JSON reader
-_PY_TS_FORMAT = "%Y-%m-%d %H:%M:%S.%fZ"
-_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
-_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
-
-
-class SnapshotTable:
-    """``partition_by`` (columns that are part of the key, e.g. a period) or
-    ``buckets`` (a hash of the key) lay the data out in partitions; a merge then
-    reads and rewrites only the partitions its change set touches, and later
-    versions refer to untouched partition folders of earlier ones."""
-
-    def __init__(self, spark: SparkSession, path: str, *, partition_by: Sequence[str] = (),
-                 buckets: int | None = None, keys: Sequence[str] = ()):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.data_path = f"{self.path}/data"
-        self.log_path = f"{self.path}/_commits"
-        self.files_path = f"{self.path}/_files"
-        self._hint = f"{self.log_path}/_latest"
-        self.keys = list(keys)
-        if buckets and not self.keys:
-            raise ValueError("buckets need the key columns")
-        self.buckets = buckets
-        self.partition_by = [BUCKET] if buckets else list(partition_by)
-
-    def exists(self) -> bool:
-        return getattr(self, "_head", None) is not None or fs.exists(self.spark, self.log_path)
-
-    def history(self) -> DataFrame:
-        """Commit log, newest first (``DESCRIBE HISTORY``)."""
-        return (self.spark.read.schema(COMMIT_SCHEMA).option("timestampFormat", _TS_FORMAT)
-                .json(f"{self.log_path}/*.json").orderBy(F.desc("version")))
-
-    def _entry(self, version: int) -> str:
-        return f"{self.log_path}/{version:020d}.json"
-
-    def _commit_row(self, version: int | None = None):
-        """Commit entry of a version (latest by default), read by the driver from the
-        log folder (metadata calls, no Spark job). The latest entry is kept after
-        this object's own commits."""
-        head = getattr(self, "_head", None)
-        if head is not None and (version is None or version == head["version"]):
-            return head
-        if version is None:
-            version = self._latest_version()
-            if version is None:
-                return None
-            row = self._read_entry(version)
-            self._head = row
-            return row
-        if not fs.exists(self.spark, self._entry(version)):
-            return None
-        return self._read_entry(version)
-
-    def _latest_version(self) -> int | None:
-        """Latest committed version: the ``_latest`` hint, then probing the entries
-        after it (O(1) file-system calls); a full listing of the log only when the
-        hint is missing or unreadable."""
-        v = None
-        if fs.exists(self.spark, self._hint):
-            try:
-                v = int(fs.read_text(self.spark, self._hint).strip())
-            except Exception:       # a hint being rewritten: fall back to the listing
-                v = None
-        if v is None or not fs.exists(self.spark, self._entry(v)):
-            names = [f.rsplit("/", 1)[-1][:-len(".json")] for f in fs.list_files(self.spark, self.log_path, ".json")]
-            versions = [int(n) for n in names if n.isdigit()]
-            return max(versions) if versions else None
-        while fs.exists(self.spark, self._entry(v + 1)):      # committed after the hint was written
-            v += 1
-        return v
-
-    def _read_entry(self, version: int) -> Row:
-        d = json.loads(fs.read_text(self.spark, self._entry(version)))
-        d["committed_at"] = _dt.datetime.strptime(d["committed_at"], _PY_TS_FORMAT)
-        return Row(**{f.name: d.get(f.name) for f in COMMIT_SCHEMA.fields})
-
-    def version(self) -> int | None:
-        row = self._commit_row()
-        return None if row is None else row["version"]
-
-    def has_batch(self, batch_id: str, writer_prefix: str | None = None) -> bool:
-        """True if a committed version carries ``batch_id``. With ``writer_prefix``
-        (the common prefix of one writer's batch ids, e.g. a stream's checkpoint),
-        only that writer's latest commit can be a replay: the log is walked back from
-        the head to it, usually one entry read, no Spark job. Otherwise the whole
-        log is searched."""
-        if not self.exists():
-            return False
-        if writer_prefix is None:
-            return self.history().where(F.col("batch_id") == batch_id).limit(1).count() > 0
-        v = self.version()
-        while v is not None and v >= 1:
-            row = self._commit_row(v)
-            b = (row["batch_id"] or "") if row is not None else ""
-            if b.startswith(writer_prefix):
-                return b == batch_id
-            v -= 1
-        return False
-
-    # ---- reading -------------------------------------------------------------------
-    def _read_folders(self, folders: Sequence[str], schema_json: str | None) -> DataFrame:
-        """Read with the schema recorded in the log (the union of all appended
-        columns): no footer of any file is opened to plan the read, and files
-        written before a column was added read it as null."""
-        if not schema_json:
-            return self.spark.read.option("mergeSchema", "true").parquet(*folders)
-        schema = T.StructType.fromJson(json.loads(schema_json))
-        if not self.partition_by:
-            return self.spark.read.schema(schema).parquet(*folders)
-        by_version: dict[str, list[str]] = {}
-        for f in folders:
-            by_version.setdefault(f.split("/version=")[0] + "/version=" + f.split("/version=")[1].split("/")[0], []).append(f)
-        parts = [self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-                 for base, paths in sorted(by_version.items())]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out = out.select(*schema.names)          # partition columns back in their place
-        return out.drop(BUCKET) if self.buckets else out
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """Content at a version (latest by default); ``VERSION AS OF n``."""
-        row = self._commit_row(version)
-        if row is None:
-            raise FileNotFoundError(f"no version {version} of {self.path}")
-        return self._read_folders(row["folders"], row["schema_json"])
-
-    # ---- writing -------------------------------------------------------------------
-    def _laid_out(self, df: DataFrame) -> DataFrame:
-        if self.buckets:
-            return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-        return df
-
-    def _leaf_folders(self, folder: str) -> list[str]:
-        """Partition folders written under ``folder`` (metadata listing)."""
-        out, level = [folder], 0
-        while level < len(self.partition_by):
-            nxt = []
-            for f in out:
-                nxt += [d for d in fs.list_dirs(self.spark, f) if "=" in d.rsplit("/", 1)[-1]]
-            out, level = nxt, level + 1
-        return out
-
-    def _write(self, df: DataFrame, version: int) -> tuple[list[str], int, str]:
-        # one folder per attempt: a retry after a crash before the log entry never
-        # meets the folder of the failed attempt (which no entry refers to)
-        folder = f"{self.data_path}/version={version}_{uuid.uuid4().hex[:12]}"
-        obs = Observation(f"kf_commit_{version}")
-        laid = self._laid_out(df)
-        w = laid.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("error")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(folder)
-        folders = self._leaf_folders(folder) if self.partition_by else [folder]
-        return folders, obs.get.get("n", 0), laid.schema.json()
-
-    def _write_files(self, files: DataFrame | None) -> str | None:
-        """Manifest of the source files of a commit, written before its log entry; only
-        manifests whose attempt a log entry names count (see ``committed_files``)."""
-        if files is None:
-            return None
-        attempt = "a" + uuid.uuid4().hex[:12]     # never all digits: partition discovery keeps it a string
-        files.write.mode("error").parquet(f"{self.files_path}/attempt={attempt}")
-        return attempt
-
-    def committed_files(self) -> DataFrame | None:
-        """Source files of all committed versions (one row per file and commit), or
-        None when no commit recorded files. A semi join with the log, no driver list."""
-        if not self.exists() or not fs.exists(self.spark, self.files_path):
-            return None
-        ok = self.history().where(F.col("files_attempt").isNotNull()).select(F.col("files_attempt").alias("attempt"))
-        return self.spark.read.parquet(self.files_path).join(ok, "attempt", "left_semi").drop("attempt")
+from keyfold.sinks.evolve import create_table, evolve
 
-    def _log(self, version, operation, folders, num_rows, batch_id, schema_json, rewritten,
-             files_attempt: str | None = None) -> int:
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        entry = dict(version=version, committed_at=now.strftime(_PY_TS_FORMAT), operation=operation,
-                     folders=list(folders), num_rows=num_rows, batch_id=batch_id,
-                     schema_json=schema_json, rewritten=rewritten, files_attempt=files_attempt)
-        if not fs.create_new(self.spark, self._entry(version), json.dumps(entry)):
-            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
-        try:                        # a hint only: readers probe past it and list without it
-            fs.create_empty(self.spark, self._hint, str(version))
-        except Exception:
-            pass
-        self._head = Row(**{**entry, "committed_at": now})
-        return version
+VERSION = "version"
 
-    def commit(self, df: DataFrame, operation: str, mode: str = "overwrite",
-               batch_id: str | None = None, files: DataFrame | None = None) -> int:
-        """Write ``df`` as the next version; ``mode`` is ``overwrite`` or ``append``.
-        ``files``: manifest of the source files, recorded with the version."""
-        if mode not in ("overwrite", "append"):
-            raise ValueError(f"unknown write mode {mode!r}")
-        prev = self._commit_row()
-        version = 1 if prev is None else prev["version"] + 1
-        folders, n, schema_json = self._write(df, version)
-        if mode == "append" and prev is not None:
-            folders = [*prev["folders"], *folders]
-            n += prev["num_rows"] or 0
-            schema_json = _union_schema(prev["schema_json"], schema_json)
-        attempt = self._write_files(files)
-        return self._log(version, operation, folders, n, batch_id, schema_json, len(folders), attempt)
 
-    def create_if_absent(self, df: DataFrame, op_col: str | None = None) -> bool:
-        """True if the table exists; otherwise create it from ``df`` without deletes."""
-        if self.exists():
-            return True
-        self.commit(_merge.first_load(df, op_col), "CREATE")
-        return False
+def save_version(df: DataFrame, table: str, operation: str, *, append: bool = False, location: str | None = None) -> int:
+    """Write ``df`` as the next version of the catalog table ``table``, with ``append`` after
+    the rows of the one before. A version is a partition; ``<table>_commits`` has its row
+    count. One writer at a time; a version counts once its commit is written."""
+    spark = df.sparkSession
+    commits = f"{table}_commits"
+    last = spark.table(commits).agg(F.max(VERSION)).first()[0] if spark.catalog.tableExists(commits) else None
+    version = (last or 0) + 1
+    rows = read_version(spark, table, last).unionByName(df, allowMissingColumns=True) if append and last else df
+    seen = Observation(f"version_{version}")
+    _add(rows.observe(seen, F.count(F.lit(1)).alias("n")).withColumn(VERSION, F.lit(version).cast("long")), table, location, [VERSION])
+    note = spark.createDataFrame([(version, operation, seen.get["n"])], "version long, operation string, num_rows long")
+    _add(note.withColumn("committed_at", F.current_timestamp()).coalesce(1), commits, f"{location}_commits" if location else None, [])
+    return version
 
-    def merge(self, source: DataFrame, keys: Sequence[str], op_col: str | None = None,
-              unmatched_delete: str = "skip", batch_id: str | None = None,
-              strategy: str = "auto", files: DataFrame | None = None) -> int:
-        """Apply a change set as a new version. On a partitioned table only the
-        partitions holding the change set's keys are read, merged and rewritten.
-        ``strategy`` as in ``merge_ops``; pass ``shuffle`` when the change set is
-        known to be large, so that no size check recomputes it."""
-        prev = self._commit_row()
-        if prev is None:
-            raise FileNotFoundError(f"{self.path} does not exist")
-        if not self.partition_by:
-            out = self._merge_frames(self.read(), source, keys, op_col, unmatched_delete, strategy)
-            return self.commit(out, "MERGE", batch_id=batch_id, files=files)
-        if not self.buckets and not set(self.partition_by) <= set(keys):
-            raise ValueError("partition columns must be part of the key for a partition-wise merge")
-        laid = self._laid_out(source)
-        # distinct partition values of the change set: bounded by the partition count
-        touched = {self._spec(r) for r in laid.select(*self.partition_by).distinct().collect()}
-        hit = [f for f in prev["folders"] if self._folder_spec(f) in touched]
-        keep = [f for f in prev["folders"] if self._folder_spec(f) not in touched]
-        if hit:
-            cur = self._read_folders(hit, prev["schema_json"])
-            replaced = cur.count()                 # rows of the touched partitions only
-        else:
-            cur, replaced = self.spark.createDataFrame([], self.read().schema), 0
-        out = self._merge_frames(cur, source, keys, op_col, unmatched_delete, strategy)
-        version = prev["version"] + 1
-        written, n, schema_json = self._write(out, version)
-        total = (prev["num_rows"] or 0) - replaced + n
-        attempt = self._write_files(files)
-        return self._log(version, "MERGE", [*keep, *written], total, batch_id, schema_json, len(written), attempt)
 
-    @staticmethod
-    def _merge_frames(cur, source, keys, op_col, unmatched_delete, strategy):
-        return (_merge.merge_ops(cur, source, keys, op_col, unmatched_delete=unmatched_delete, strategy=strategy)
-                if op_col else _merge.merge_upsert(cur, source, keys, strategy=strategy))
+def _add(df: DataFrame, table: str, location: str | None, parts: list[str]) -> None:
+    if not df.sparkSession.catalog.tableExists(table):
+        create_table(df.sparkSession, table, df.schema, partition_by=parts, location=location)
+    evolve(df, table).write.insertInto(table)
 
-    def _spec(self, row) -> str:
-        return "/".join(f"{c}={_NULL_PART if row[c] is None else row[c]}" for c in self.partition_by)
 
-    def _folder_spec(self, folder: str) -> str:
-        segs = folder.rstrip("/").split("/")[-len(self.partition_by):]
-        return "/".join(unquote(s) for s in segs)
+def read_version(spark: SparkSession, table: str, version: int) -> DataFrame:
+    """The table as of a version: one partition is read."""
+    return spark.table(table).where(F.col(VERSION) == version).drop(VERSION)
 
 
-def _union_schema(prev_json: str | None, new_json: str) -> str:
-    """Columns of the earlier version, then those the appended data adds; all
-    nullable, since older files lack the new columns."""
-    if not prev_json:
-        return new_json
-    prev = T.StructType.fromJson(json.loads(prev_json))
-    new = T.StructType.fromJson(json.loads(new_json))
-    seen = set(prev.names)
-    fields = [*prev.fields, *[f for f in new.fields if f.name not in seen]]
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in fields]).json()
+def history(spark: SparkSession, table: str) -> DataFrame:
+    """The commits, newest first."""
+    return spark.table(f"{table}_commits").orderBy(F.desc(VERSION))
 
 
 def snapshot_deleted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,15 +1,14 @@
 """Landing → bronze → silver as single DataFrame plans over all files.
 
-raw_to_bronze: list → select → one CSV read of all chosen files → quality
-verdicts for every file in one pass → policy → rows of accepted files →
+raw_to_bronze: list → select → one CSV read of all chosen files into the shared folder →
+quality verdicts for every file in one pass → policy → rows of accepted files →
 hook → latest row per (file, key) → null keys dropped → write → route → log.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +20,12 @@ from keyfold.operators import merge as merge_mod
 from keyfold.operators import quality as dq
 from keyfold.operators.dedupe import drop_null_keys, latest_per_key, sequence_expr
 from keyfold.operators.sizing import bounded_broadcast
-from keyfold.operators.snapshots import SnapshotTable
 from keyfold.plans.steplog import StepLog
+from keyfold.session import scratch_path, shared_dir
+from keyfold.sinks.layers import IDENT, LOAD, LayerTable, new_load
 from keyfold.sinks.routing import move_files, route_files
 from keyfold.sources.delimited import delimited_read
-from keyfold.sources.listing import file_listing, file_select
+from keyfold.sources.listing import file_listing, file_select, is_compressed, read_errors
 
 
 @dataclass
@@ -33,9 +33,8 @@ class BronzeResult:
     verdicts: DataFrame | None = None
     manifest: DataFrame | None = None
     log: DataFrame | None = None
-    version: int | None = None
+    load: str | None = None
     files: int = 0
-    warnings: list = field(default_factory=list)
 
 
 def bronze_rows(raw: DataFrame, verdicts: DataFrame, keys: Sequence[str], seq: str | None, *,
@@ -61,22 +60,142 @@ def _with(schema: StructType | None, col: str) -> StructType | None:
     return StructType([*schema.fields, StructField(col, StringType())])
 
 
-def _to_quarantine(quarantine: SnapshotTable, raw: DataFrame, verdicts: DataFrame, landed: DataFrame,
-                   n_files: int) -> None:
-    """Rows of the rejected files that no earlier quarantine commit holds."""
-    ident = ["name", "size", "modificationTime"]
-    bad, done = landed.where(F.col("action").isin("reject", "stop")), quarantine.committed_files()
-    if done is not None:
-        bad = bad.join(done.select(*ident), ident, "left_anti")
-    bad = bad.checkpoint()
-    if bad.isEmpty():
-        return
-    fresh = verdicts.join(bad.select(F.col("name").alias("file_name")), "file_name", "left_semi")
-    quarantine.commit(dq.rejected_rows(raw, fresh, n_files=n_files), "QUARANTINE",
-                      mode="append" if quarantine.exists() else "overwrite", files=bad)
+def strict_read(raw_schema: StructType, read_options: dict | None) -> tuple[StructType, dict, bool]:
+    """Schema and options of a read that a bad file cannot end, and whether malformed records
+    are findings (``mode=FAILFAST``): they are then kept in a column and the file rejected."""
+    options = {"ignoreCorruptFiles": "true", **(read_options or {})}
+    strict = str(options.get("mode", "")).upper() == "FAILFAST"
+    if strict:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": dq.CORRUPT}
+    return (_with(raw_schema, dq.CORRUPT) if strict else raw_schema), options, strict
+
+
+def per_file(files: DataFrame, n_files: int) -> DataFrame:
+    """A side with a row per file, names of at most 1,024 bytes: broadcast up to 100,000 files."""
+    return bounded_broadcast(files, known_rows=n_files, max_rows=100_000, max_bytes=None)
+
+
+@dataclass
+class Load:
+    """What one load does with its files, for the batch run and for the stream."""
+    bronze: LayerTable
+    keys: Sequence[str]
+    seq: str | None = None
+    op_col: str | None = None
+    write_mode: str = "append"
+    fatal: Sequence[str] = dq.DEFAULT_FATAL
+    non_fatal: Sequence[str] = dq.DEFAULT_NON_FATAL
+    strict: bool = False
+    hook: Callable | None = None
+    hook_args: Sequence = ()
+    hook_kwargs: dict | None = None
+    bronze_schema: StructType | None = None
+    quarantine: LayerTable | None = None
+
+    def __post_init__(self):
+        if self.hook is not None and self.bronze_schema is None:
+            raise ValueError("bronze_schema is required with bronze_func")
+        if self.write_mode not in ("append", "overwrite", "merge"):
+            raise ValueError(f"unknown write_mode {self.write_mode!r}")
+
+    def judge(self, rows: DataFrame, files: DataFrame) -> DataFrame:
+        """A verdict and an action per file (file_name, size, modificationTime, unreadable),
+        in landing order: modification time, then name. Written to the checkpoint folder."""
+        verdicts = dq.dq_check(rows, self.keys, self.seq, listing=files, with_keys=True)
+        if self.strict:
+            verdicts = dq.mark_malformed(verdicts, rows)
+        verdicts = dq.mark_unreadable(verdicts, F.col("unreadable")).checkpoint()
+        # a read error rejects its file, unless it is to stop the run
+        non_fatal = self.non_fatal if dq.READ_ERROR in self.fatal else [*self.non_fatal, dq.READ_ERROR]
+        return dq.dq_policy(verdicts, fatal=self.fatal, non_fatal=non_fatal, order=["modificationTime", "file_name"])
+
+    def write(self, rows: DataFrame, verdicts: DataFrame, load: str, n_files: int) -> tuple[DataFrame | None, dict]:
+        """Rejected rows to the quarantine, accepted ones to bronze, the files on record before
+        and after. Returns per file what became of its rows (file_name, outcome, n) in merge
+        mode, and the number of files per action."""
+        rows = rows.drop(dq.CORRUPT)
+        landed = verdicts.where(F.col("action") != "skip").select(
+            F.col("file_name").alias("name"), "size", "modificationTime", "action")
+        counts = {r["action"]: r["n"] for r in verdicts.groupBy("action").agg(F.count(F.lit(1)).alias("n")).collect()}
+        self.bronze.plan(load, landed)
+        if self.quarantine is not None and counts.get("reject", 0) + counts.get("stop", 0):
+            self._hold_back(rows, verdicts, landed, load, n_files)
+        done = None
+        if counts.get("accept"):                # else the table stays as it is
+            done = self._to_bronze(rows, verdicts, load, n_files)
+        self.bronze.finish(load, landed)
+        return done, counts
+
+    def _hold_back(self, rows, verdicts, landed, load, n_files) -> None:
+        """Rows of the rejected files that no earlier run held back, each file once."""
+        bad = landed.where(F.col("action").isin("reject", "stop")).join(self.quarantine.done_files().select(*IDENT), IDENT, "left_anti")
+        bad = bad.checkpoint()
+        if bad.isEmpty():
+            return
+        fresh = verdicts.join(bad.select(F.col("name").alias("file_name")), "file_name", "left_semi")
+        self.quarantine.recover()
+        self.quarantine.plan(load, bad)
+        self.quarantine.append(dq.rejected_rows(rows, fresh, n_files=n_files), load)
+        self.quarantine.finish(load, bad)
+
+    def _to_bronze(self, rows, verdicts, load, n_files) -> DataFrame | None:
+        rows = bronze_rows(rows, verdicts, self.keys, self.seq, hook=self.hook, hook_args=self.hook_args, hook_kwargs=self.hook_kwargs,
+                           bronze_schema=self.bronze_schema, keep_file_col=True, n_files=n_files)
+        if self.write_mode == "append":
+            self.bronze.append(rows.drop("file_name"), load)
+            return None
+        landing_order = [F.col("modificationTime"), F.col("file_name")]
+        if self.write_mode == "overwrite":
+            last = verdicts.where(F.col("action") == "accept").orderBy(*[c.desc() for c in landing_order]).limit(1)
+            rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")   # one row
+            self.bronze.overwrite(rows.drop("file_name"), load)
+            return None
+        times = per_file(verdicts.select("file_name", "modificationTime"), n_files)
+        ordered = rows.join(times, "file_name")
+        if self.op_col:
+            # exact equivalent of merging the files one after another (see fold_changes)
+            order = [*landing_order, *([sequence_expr(ordered, self.seq).asc_nulls_first()] if self.seq else [])]
+            changes, merge_op = merge_mod.fold_changes(ordered, self.keys, self.op_col, order), merge_mod.ACTION
+        else:                                   # upserts: the last file's row wins
+            changes = latest_per_key(ordered, self.keys, self.seq or "file_name", before_seq=landing_order)
+            merge_op = None
+        changes = changes.drop("modificationTime").withColumnRenamed("file_name", merge_mod.FILE)
+        return self.bronze.merge(changes, merge_op, load=load)
+
+    def file_counts(self, verdicts: DataFrame, merged: DataFrame | None) -> DataFrame:
+        """Per file what was read, rejected and, by outcome, written; files without that
+        activity have nulls. A merge counts a key at the file whose row decided."""
+        taken, out = F.col("action") == "accept", F.col("action").isin("reject", "stop")
+        files = verdicts.select(
+            F.col("file_name").alias("name"), "size", "action", F.when(F.col("action") != "skip", F.col("n_rows")).alias("n_read"),
+            F.when(out, F.col("n_rows")).when(taken, F.lit(0)).alias("n_rejected"),
+            F.when(taken, F.col("n_keys" if self.seq else "n_keyed_rows")).alias("n_inserted"))
+        if merged is None:
+            return files.withColumns({c: F.when(taken, F.lit(0)) for c in ("n_updated", "n_deleted", "n_left")}).drop("action")
+        by_file = merged.where("file_name IS NOT NULL").groupBy(F.col("file_name").alias("of")).pivot(
+            "outcome", ["inserted", "updated", "deleted", "left"]).agg(F.sum("n"))
+        joined = files.drop("n_inserted").join(by_file, F.col("name") == F.col("of"), "left")
+        return joined.select("name", "size", "n_read", "n_rejected", *[
+            F.when(taken, F.coalesce(F.col(c), F.lit(0))).alias(f"n_{c}") for c in ("inserted", "updated", "deleted", "left")])
+
+
+def probed(spark: SparkSession, files: DataFrame, packed: int) -> DataFrame:
+    """The files as ``judge`` takes them; ``packed``: how many are compressed, so are opened."""
+    if packed:
+        bad = read_errors(spark, files).select("name", F.lit(True).alias("unreadable"))
+        files = files.join(bad, "name", "left").fillna(False, ["unreadable"]).checkpoint()
+    else:
+        files = files.withColumn("unreadable", F.lit(False))
+    return files.withColumnRenamed("name", "file_name")
+
+
+def stop_if_fatal(verdicts: DataFrame) -> None:
+    stop = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
+    if stop is not None:
+        raise dq.DataQualityError(stop["file_name"], stop["code"])
 
 
-def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bronze: SnapshotTable,
+def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bronze: LayerTable,
                   keys: Sequence[str], *, seq: str | None = None, op_col: str | None = None,
                   write_mode: str = "append", process_file: str = "multiple",
                   file_name: str | None = None, fatal: Sequence[str] = dq.DEFAULT_FATAL,
@@ -85,135 +204,85 @@ def raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bro
                   bronze_func: Callable | None = None, f_args: Sequence = (), f_kwargs: dict | None = None,
                   bronze_schema: StructType | None = None, archive_dir: str | None = None,
                   error_dir: str | None = None, move: bool = False, pattern: str = "*",
-                  quarantine: SnapshotTable | None = None, log_table: SnapshotTable | None = None,
+                  quarantine: LayerTable | None = None, log_table: LayerTable | None = None,
                   batch_id: str | None = None) -> BronzeResult:
     """All landed files into bronze, in one plan.
 
-    With ``read_options={"mode": "FAILFAST"}`` a malformed record does not end the run: its
-    file gets the verdict ``ReadError`` and is rejected, or stops the run if that verdict is
-    in ``fatal``. Rows of rejected files go to ``quarantine`` before bronze is committed, each
-    file once, also when the run is repeated."""
-    if bronze_func is not None and bronze_schema is None:
-        raise ValueError("bronze_schema is required with bronze_func")
-    if write_mode not in ("append", "overwrite", "merge"):
-        raise ValueError(f"unknown write_mode {write_mode!r}")
-    options, read_schema = dict(read_options or {}), raw_schema
-    strict = str(options.get("mode", "")).upper() == "FAILFAST"
-    if strict:
-        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": dq.CORRUPT}
-        read_schema = _with(raw_schema, dq.CORRUPT)
-        if dq.READ_ERROR not in fatal:
-            non_fatal = [*non_fatal, dq.READ_ERROR]
+    The files are parsed once, into the shared folder; checks and writes read that. The list
+    of files stays a DataFrame: the landing folder is read as a whole, and rows of files that
+    the listing does not have wait for the next run.
+
+    A file fails alone: a compressed file that cannot be read to its end gets the verdict
+    ``ReadError`` and is rejected, and with ``read_options={"mode": "FAILFAST"}`` so does one
+    with a malformed record, unless that verdict is in ``fatal``.
+
+    Files that bronze holds already, by name, size and modification time, are only moved.
+    What a crashed run left is settled first (``LayerTable.recover``). Rows of rejected files
+    go to ``quarantine`` before bronze is written, each file once."""
+    read_schema, options, strict = strict_read(raw_schema, read_options)
+    job = Load(bronze, keys, seq, op_col, write_mode, fatal, non_fatal, strict, bronze_func, f_args, f_kwargs, bronze_schema, quarantine)
+    shared_dir(spark)
     log = StepLog()
     base = landing.rstrip("/")
     archive, error = archive_dir or f"{base}/archive", error_dir or f"{base}/error"
-    listing = file_select(file_listing(spark, landing, pattern), process_file, file_name)
-    files = listing.select("path", "name", "size", "modificationTime").collect()  # one row per file
-    done = bronze.committed_files()
-    if done is not None and files:
-        # Files a committed version already holds (a crash came between the commit and
-        # the moves, perhaps midway): route them by their recorded verdict, never write
-        # them again. Matched by name, size and modification time.
-        ident = ["name", "size", "modificationTime"]
-        # a listed file can only match manifest rows as recent as the oldest listed file:
-        # the filter reaches the Parquet scan, and row-group statistics skip old manifests
-        done = done.where(F.col("modificationTime") >= min(r["modificationTime"] for r in files))
-        listed = spark.createDataFrame(files, "path string, name string, size long, modificationTime long")
-        seen = listed.join(done.select(*ident, "action").distinct(), ident, "inner")
+    log.start("read")
+    listed = file_select(file_listing(spark, landing, pattern), process_file, file_name)
+    if bronze.has_loads():
+        bronze.recover()
+        listed = listed.checkpoint()
+        done = bronze.done_files()
         if move:
-            move_files(spark, route_files(seen.withColumnRenamed("name", "file_name"), archive, error))
-        files = listed.join(done.select(*ident), ident, "left_anti").collect()
-    res = BronzeResult(files=len(files))
-    if not files:
+            seen = listed.join(done, IDENT).withColumnRenamed("name", "file_name")
+            move_files(spark, route_files(seen, archive, error))
+        listed = listed.join(done.select(*IDENT), IDENT, "left_anti")
+    fresh = listed.checkpoint()
+    sizes = fresh.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_compressed(F.col("name"))).alias("packed")).first()
+    res = BronzeResult(files=sizes["n"])
+    if not res.files:
         return res
-    # Files a committed version holds were taken out above (per-file manifests), so
-    # a batch id derived from the remaining files cannot have been committed; only
-    # an id the caller chose is looked up in the log.
-    already = batch_id is not None and bronze.has_batch(batch_id)
-    batch_id = batch_id or "files:" + hashlib.sha1("\n".join(sorted(
-        f"{r['name']}|{r['size']}|{r['modificationTime']}" for r in files)).encode()).hexdigest()
-    order = {r["name"]: i for i, r in enumerate(sorted(files, key=lambda r: (r["modificationTime"], r["name"])))}
-    files_df = spark.createDataFrame(
-        [(r["path"], r["name"], r["size"], r["modificationTime"], order[r["name"]]) for r in files],
-        "path string, name string, size long, modificationTime long, file_order int")
-
-    log.start("read")
-    raw = delimited_read(spark, [r["path"] for r in files], read_schema, delimiter=delimiter,
-                         header=header, **options)
+    where = landing if process_file == "multiple" else fresh.first()["path"]
+    parsed = delimited_read(spark, where, read_schema, delimiter=delimiter, header=header,
+                            **{"pathGlobFilter": pattern, **options})
+    known = per_file(fresh.select(F.col("name").alias("file_name")), res.files)
+    folder = scratch_path(spark, "parsed")
+    parsed.join(known, "file_name", "left_semi").write.parquet(folder)
+    rows = spark.read.schema(parsed.schema).parquet(folder)
+    files = probed(spark, fresh, sizes["packed"])
     log.end("read")
 
     log.start("data_quality")
-    verdicts = dq.dq_check(raw, keys, seq, listing=files_df.withColumnRenamed("name", "file_name"))
-    if strict:
-        verdicts, raw = dq.mark_malformed(verdicts, raw), raw.drop(dq.CORRUPT)
-    verdicts = verdicts.checkpoint(eager=True)   # one row per file; reliable storage, lineage cut
-    verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_order", "file_name"])
+    verdicts = res.verdicts = job.judge(rows, files)
     log.end("data_quality")
-    res.verdicts = verdicts
 
-    # recorded with the commit; skipped files (after a fatal one) are left for a later run
-    landed = verdicts.where(F.col("action") != "skip").select(
-        F.col("file_name").alias("name"), "size", "modificationTime", "action")
     log.start("write")
-    if quarantine is not None:
-        _to_quarantine(quarantine, raw, verdicts, landed, len(files))
-    rows = bronze_rows(raw, verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
-                       hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=True,
-                       n_files=len(files))
-    if write_mode == "overwrite":
-        last = verdicts.where(F.col("action") == "accept").orderBy(F.desc("file_order")).limit(1)
-        rows = rows.join(F.broadcast(last.select("file_name")), "file_name", "left_semi")   # one row
-    if already:                       # this file set is committed already
-        res.version = bronze.version()
-    elif verdicts.where(F.col("action") == "accept").isEmpty():
-        res.version = bronze.version() if bronze.exists() else None   # nothing to write: the table stays as it is
-    elif write_mode == "merge":
-        ordered = rows.join(bounded_broadcast(verdicts.select("file_name", "file_order"), known_rows=len(files)),
-                            "file_name")
-        if op_col:
-            # exact equivalent of merging the files one after another (see fold_changes)
-            order = [F.col("file_order")] + ([sequence_expr(ordered, seq).asc_nulls_first()] if seq else [])
-            changes, merge_op = merge_mod.fold_changes(ordered, keys, op_col, order), merge_mod.ACTION
-        else:                         # upserts: the last file's row wins
-            changes = (latest_per_key(ordered, keys, seq, before_seq=[F.col("file_order")])
-                       if seq else latest_per_key(ordered, keys, "file_order"))
-            merge_op = None
-        changes = changes.drop("file_name", "file_order")
-        if bronze.exists():
-            res.version = bronze.merge(changes, keys, merge_op, batch_id=batch_id, files=landed)
-        else:
-            res.version = bronze.commit(merge_mod.first_load(changes, merge_op), "CREATE", batch_id=batch_id,
-                                        files=landed)
-    else:
-        res.version = bronze.commit(rows.drop("file_name"), f"WRITE {write_mode.upper()}",
-                                    mode=write_mode if bronze.exists() else "overwrite", batch_id=batch_id,
-                                    files=landed)
+    merged, counts = None, {"stop": 1}
+    if batch_id is None or not bronze.has_load(batch_id):
+        res.load = batch_id or new_load()
+        merged, counts = job.write(rows, verdicts, res.load, res.files)
     log.end("write")
 
     log.start("archive")
-    manifest = route_files(verdicts, archive, error) \
-        .withColumn("size_label", bytes_label(F.col("size")))
-    res.manifest = manifest
+    res.manifest = route_files(verdicts, archive, error).withColumn("size_label", bytes_label(F.col("size")))
     if move:
-        move_files(spark, manifest)
+        move_files(spark, res.manifest)
     log.end("archive")
 
-    res.log = log.frame(files_df)
+    res.log = log.frame(job.file_counts(verdicts, merged))
     if log_table is not None:
-        log_table.commit(res.log, "LOG", mode="append" if log_table.exists() else "overwrite")
-    stops = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
-    if stops is not None:
-        raise dq.DataQualityError(stops["file_name"], stops["code"])
+        log_table.append(res.log)
+    if counts.get("stop"):
+        stop_if_fatal(verdicts)
     return res
 
 
-def bronze_to_silver(spark: SparkSession, bronze: SnapshotTable, silver: SnapshotTable,
+def bronze_to_silver(spark: SparkSession, bronze: LayerTable, silver: LayerTable,
                      keys: Sequence[str], *, seq: str | None = None, op_col: str | None = None,
                      write_mode: str = "merge", silver_func: Callable | None = None,
                      f_args: Sequence = (), f_kwargs: dict | None = None,
                      silver_schema: StructType | None = None, schema_action: str = "warn",
-                     unmatched_delete: str = "skip") -> int | None:
-    """Whole bronze → latest per key → hook → create, or merge / overwrite / append."""
+                     unmatched_delete: str = "skip") -> None:
+    """Whole bronze → latest per key → hook → create, or merge / overwrite / append. A silver
+    that is merged into is keyed by ``keys``."""
     if write_mode not in ("merge", "overwrite", "append"):
         raise ValueError(f"unknown write_mode {write_mode!r}")
     df = bronze.read()
@@ -223,17 +292,58 @@ def bronze_to_silver(spark: SparkSession, bronze: SnapshotTable, silver: Snapsho
         df = silver_func(df, *f_args, **(f_kwargs or {}))
         df = check_schema(df, silver_schema, schema_action)
     if not silver.create_if_absent(df, op_col):
-        return silver.version()
+        return
     if write_mode == "merge":
         # the change set is all of bronze reduced per key: as large as silver, so the
-        # merge is a shuffle join and no size check recomputes it
-        return silver.merge(df, keys, op_col, unmatched_delete=unmatched_delete, strategy="shuffle")
-    return silver.commit(df, f"WRITE {write_mode.upper()}", mode=write_mode)
+        # merge is a shuffle join and no size check is needed
+        silver.merge(df, op_col, unmatched_delete=unmatched_delete, strategy="shuffle")
+    elif write_mode == "overwrite":
+        silver.overwrite(df)
+    else:
+        silver.append(df)
+
 
+def new_bronze_to_silver(spark: SparkSession, bronze: LayerTable, silver: LayerTable, keys: Sequence[str], *,
+                         seq: str, op_col: str | None = None, silver_func: Callable | None = None,
+                         f_args: Sequence = (), f_kwargs: dict | None = None,
+                         silver_schema: StructType | None = None, schema_action: str = "warn") -> int:
+    """``bronze_to_silver`` in merge mode that reads only the loads of bronze (appended to)
+    that silver has not seen; returns their number.
 
-def raw_to_silver(spark: SparkSession, spec, landing: str, bronze: SnapshotTable,
-                  silver: SnapshotTable, *, bronze_mode: str = "append", silver_mode: str = "merge",
-                  **bronze_kw) -> tuple[BronzeResult, int | None]:
+    Beside silver, ``<silver>_latest`` keeps each key's latest bronze row, deletes too: its
+    high-water mark. A new row counts if it stands above its key's mark by the order of
+    ``latest_per_key``; late rows and lower sequences do not, and a row above a delete brings
+    its key back. Applying a key's latest row again changes nothing, so the result equals
+    reading all of bronze again. Of the marks, only the buckets of the new keys are read.
+    Loads are noted as seen last; after a crash they are applied again."""
+    marks = LayerTable(spark, f"{silver.name}_latest", keys=keys, buckets=silver.buckets,
+                       location=f"{silver.location}_latest" if silver.location else None)
+    seen = {r[LOAD] for r in silver.loads().where("state = 'seen'").select(LOAD).distinct().collect()} if silver.has_loads() else set()
+    loads = [x for x in bronze.held_loads() if x not in seen]              # one name per run of the ingest
+    if not loads:
+        return 0
+    shared_dir(spark)
+    rows = spark.table(bronze.name).where(F.col(LOAD).isin(loads)).drop(LOAD)
+    fresh = latest_per_key(drop_null_keys(rows, keys), keys, seq).checkpoint()
+    changes = fresh
+    if marks.exists():
+        rest = [c for c in fresh.columns if c not in (*keys, seq)]
+        old = marks.read_buckets_of(fresh).join(fresh.select(*keys), list(keys), "left_semi")
+        both = fresh.withColumn("__kf_new", F.lit(1)).unionByName(old.withColumn("__kf_new", F.lit(0)), allowMissingColumns=True)
+        changes = latest_per_key(both, keys, seq, tiebreak=[*rest, "__kf_new"]).where("__kf_new = 1").drop("__kf_new").checkpoint()
+    df = changes
+    if silver_func is not None:
+        df = check_schema(silver_func(df, *f_args, **(f_kwargs or {})), silver_schema, schema_action)
+    if silver.create_if_absent(df, op_col):
+        silver.merge(df, op_col)
+    marks.merge(changes)
+    silver.record([(x, "seen", None, None) for x in loads])
+    return len(loads)
+
+
+def raw_to_silver(spark: SparkSession, spec, landing: str, bronze: LayerTable,
+                  silver: LayerTable, *, bronze_mode: str = "append", silver_mode: str = "merge",
+                  **bronze_kw) -> BronzeResult:
     """Both steps for an ``EntitySpec``: its schemas, keys, columns and hooks."""
     res = raw_to_bronze(spark, landing, spec.raw_schema, bronze, list(spec.primary_keys),
                         seq=spec.sequence_column, op_col=spec.operation_column, write_mode=bronze_mode,
@@ -241,9 +351,9 @@ def raw_to_silver(spark: SparkSession, spec, landing: str, bronze: SnapshotTable
                         bronze_func=spec.bronze_func, f_args=spec.bronze_args,
                         f_kwargs=spec.bronze_kwargs, bronze_schema=spec.bronze_schema, **bronze_kw)
     if res.files == 0 or not bronze.exists():
-        return res, silver.version() if silver.exists() else None
-    v = bronze_to_silver(spark, bronze, silver, list(spec.primary_keys), seq=spec.sequence_column,
-                         op_col=spec.operation_column, write_mode=silver_mode,
-                         silver_func=spec.silver_func, f_args=spec.silver_args,
-                         f_kwargs=spec.silver_kwargs, silver_schema=spec.silver_schema)
-    return res, v
+        return res
+    bronze_to_silver(spark, bronze, silver, list(spec.primary_keys), seq=spec.sequence_column,
+                     op_col=spec.operation_column, write_mode=silver_mode,
+                     silver_func=spec.silver_func, f_args=spec.silver_args,
+                     f_kwargs=spec.silver_kwargs, silver_schema=spec.silver_schema)
+    return res

@@ -1,4 +1,4 @@
-"""Step log (activity, file, size, start, end) and the timing report over it."""
+"""Step log (activity, file, size, start, end, row counts) and the timing report over it."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ LOG_SCHEMA = T.StructType([
     T.StructField("start_time", T.TimestampType(), False),
     T.StructField("end_time", T.TimestampType(), False),
 ])
+#: Row counts of a file's log rows, each in the row of its activity and null in the others.
+COUNTS = {"n_read": "read", "n_rejected": "data_quality", "n_inserted": "write", "n_updated": "write", "n_deleted": "write",
+          "n_left": "write"}
 
 
 def _now() -> _dt.datetime:
@@ -40,14 +43,17 @@ class StepLog:
         self.steps.append((activity, self._open.pop(activity), _now()))
 
     def frame(self, files: DataFrame, name_col: str = "name", size_col: str = "size") -> DataFrame:
-        """One row per (file, activity): the file list is exploded, never crossed."""
+        """One row per (file, activity): the file list is exploded, never crossed. Counts
+        that ``files`` holds (``COUNTS``) appear in the rows of their activity."""
         acts = F.array(*[F.struct(F.lit(a).alias("activity"),
                                   F.lit(s).cast("timestamp").alias("start_time"),
                                   F.lit(e).cast("timestamp").alias("end_time"))
                          for a, s, e in self.steps]) if self.steps else F.array()
+        counts = [c for c in COUNTS if c in files.columns]
         return (files.select(F.col(name_col).alias("file_name"), F.col(size_col).cast("long").alias("file_size"),
-                             F.explode(acts).alias("s"))
-                .select("s.activity", "file_name", "file_size", "s.start_time", "s.end_time"))
+                             *counts, F.explode(acts).alias("s"))
+                .select("s.activity", "file_name", "file_size", "s.start_time", "s.end_time",
+                        *[F.when(F.col("s.activity") == COUNTS[c], F.col(c).cast("long")).alias(c) for c in counts]))
 
 
 def timing_report(log: DataFrame, by: Sequence[str] = ("activity",), *,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyfold.sinks.evolve import evolve
+
 
 def _write(df: DataFrame, target: str, mode: str, fmt: str, location: str | None) -> None:
     writer = df.write.mode(mode).format(fmt)
@@ -18,8 +20,12 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, location: str | None
 
 def append_write(df: DataFrame, target: str, fmt: str = "parquet", *, location: str | None = None) -> None:
     """Append to a path (contains ``/``) or to a catalog table, which is created if absent:
-    at ``location``, or in the warehouse."""
-    _write(df, target, "append", fmt, location)
+    at ``location``, or in the warehouse. An existing table gains the columns it lacks, and
+    types that do not hold the new values are widened (``evolve``)."""
+    if "/" not in target and df.sparkSession.catalog.tableExists(target):
+        evolve(df, target).write.insertInto(target)
+    else:
+        _write(df, target, "append", fmt, location)
 
 
 def overwrite_write(df: DataFrame, target: str, fmt: str = "parquet", *, location: str | None = None) -> None:
@@ -32,11 +38,6 @@ def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Schema evolution for one frame: union by name, missing columns null."""
-    return old.unionByName(new, allowMissingColumns=True)
-
-
 def code_register_write(df: DataFrame, path: str, *, sep: str = ";") -> None:
     """Append rows upper-cased to a delimited register with a header."""
     up = df.select(*[F.upper(F.col(c).cast("string")).alias(c) for c in df.columns])

@@ -30,15 +30,25 @@ def mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) -> None:
+def rename(spark: SparkSession, src: str, dst: str, make_parent: bool = True) -> str:
+    """Move a file and return where it is now. A file that is there already stays: the new
+    one gets its modification time, and if need be a number, before its suffix."""
     fs, s = _fs(spark, src)
-    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    d = make(dst)
     if make_parent:
         fs.mkdirs(d.getParent())
+    if fs.exists(d):
+        folder, name = dst.rsplit("/", 1)
+        stem, dot, suffix = name.partition(".") if not name.startswith(".") else (name, "", "")
+        stem = f"{stem}~{fs.getFileStatus(s).getModificationTime()}"
+        k = 0
+        while fs.exists(d):
+            d = make(f"{folder}/{stem}{f'-{k}' if k else ''}{dot}{suffix}")
+            k += 1
     if not fs.rename(s, d):
-        # a name that landed before: the newer file takes its place
-        if not (fs.exists(s) and fs.exists(d) and fs.delete(d, False) and fs.rename(s, d)):
-            raise OSError(f"cannot rename {src} to {dst}")
+        raise OSError(f"cannot rename {src} to {d.toString()}")
+    return d.toString()
 
 
 def create_empty(spark: SparkSession, path: str, text: str = "") -> None:
@@ -70,23 +80,8 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def create_new(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file that must not exist yet; False if it does (another
-    writer got there first). One exclusive-create call, no Spark job."""
-    fs, p = _fs(spark, path)
-    if fs.exists(p):
-        return False
-    try:
-        out = fs.create(p, False)          # overwrite=false: fails if the file appeared meanwhile
-    except Exception:
-        return False
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    return True
-
-
 def read_text(spark: SparkSession, path: str) -> str:
-    """Content of a small file (a commit entry), read by the driver."""
+    """Content of a small file, read by the driver."""
     fs, p = _fs(spark, path)
     jvm = _jvm(spark)
     stream = fs.open(p)
@@ -96,6 +91,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def mtime(spark: SparkSession, path: str) -> int:
+    """A file's modification time (epoch milliseconds)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
 def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
     """Set a file's modification time (epoch milliseconds); a metadata call."""
     fs, p = _fs(spark, path)

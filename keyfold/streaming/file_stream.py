@@ -1,107 +1,182 @@
 """Incremental landing → bronze with Structured Streaming's file source.
 
-Every micro-batch holds whole files, so the per-file checks hold inside
-``foreachBatch``. The checkpoint says which micro-batches were processed; every commit
-records its files and their verdicts, so a replayed batch goes on with the files that no
-commit decided: after a crash, or after a fatal verdict, those behind the fatal file.
+Every micro-batch holds whole files, so the per-file checks hold inside ``foreachBatch``. The
+checkpoint says which micro-batches were processed; bronze has the record of the files it
+holds, so a replayed batch goes on with the files that no load decided: after a crash, or
+after a fatal verdict, those behind the fatal file.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keyfold.operators import quality as dq
-from keyfold.operators.dedupe import latest_per_key, sequence_expr
-from keyfold.operators.merge import ACTION, first_load, fold_changes
-from keyfold.operators.sizing import bounded_broadcast
-from keyfold.operators.snapshots import SnapshotTable
-from keyfold.plans.ingest import bronze_rows
-from keyfold.sources.delimited import file_name
-
-_MTIME, _SIZE = "__kf_mtime", "__kf_size"
-
-
-def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType,
-                         bronze: SnapshotTable, keys: Sequence[str], checkpoint: str, *,
-                         seq: str | None = None, delimiter: str = "|", header: bool = True,
-                         pattern: str = "*", fatal: Sequence[str] = dq.DEFAULT_FATAL,
-                         non_fatal: Sequence[str] = dq.DEFAULT_NON_FATAL, max_files: int | None = None,
-                         clean_source: str | None = None, archive_dir: str | None = None,
-                         bronze_func=None, f_args: Sequence = (), f_kwargs: dict | None = None,
-                         bronze_schema: StructType | None = None, available_now: bool = True,
-                         read_options: dict | None = None, write_mode: str = "append",
-                         op_col: str | None = None):
-    """Start the stream; with ``available_now`` it processes what has landed and stops.
-
-    ``write_mode``: ``append`` adds each micro-batch's accepted rows; ``merge`` folds
-    the batch's files in landing order (modification time, then name) with
-    ``fold_changes`` and merges them into bronze as one version per batch, the same
-    result as merging the files one after another."""
-    if write_mode not in ("append", "merge"):
-        raise ValueError(f"unknown write_mode {write_mode!r}")
-    reader = (spark.readStream.schema(raw_schema)
-              .option("delimiter", delimiter).option("header", header).options(**(read_options or {})))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    if clean_source:
-        reader = reader.option("cleanSource", clean_source)
-        if archive_dir:
-            reader = reader.option("sourceArchiveDir", archive_dir)
-    # the file name must be selected before foreachBatch
-    stream = (reader.option("pathGlobFilter", pattern).csv(landing)
-              .withColumn("file_name", file_name())
-              .withColumn(_MTIME, F.unix_millis(F.col("_metadata.file_modification_time")))
-              .withColumn(_SIZE, F.col("_metadata.file_size")))
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the checks and by the write
-        try:
-            decide(batch, f"{checkpoint}#{batch_id}")
-        finally:
-            batch.unpersist()
-
-    def decide(batch: DataFrame, tag: str) -> None:
-        # one row per file of the batch
-        files = batch.groupBy("file_name").agg(F.max(_MTIME).alias(_MTIME), F.max(_SIZE).alias(_SIZE))
-        done = bronze.committed_files()
-        if done is not None:
-            seen = files.join(done.select(F.col("name").alias("file_name"), F.col("size").alias(_SIZE),
-                                          F.col("modificationTime").alias(_MTIME)), ["file_name", _SIZE, _MTIME], "left_semi")
-            batch = batch.join(bounded_broadcast(seen.select("file_name")), "file_name", "left_anti")
-            if batch.isEmpty():
-                return
-        verdicts = dq.dq_check(batch.drop(_MTIME, _SIZE), keys, seq).checkpoint(eager=True)
-        verdicts = dq.dq_policy(verdicts, fatal=fatal, non_fatal=non_fatal, order=["file_name"])
-        landed = verdicts.where(F.col("action") != "skip").select("file_name", "action").join(files, "file_name").select(
-            F.col("file_name").alias("name"), F.col(_SIZE).alias("size"), F.col(_MTIME).alias("modificationTime"), "action")
-        rows = bronze_rows(batch.drop(_MTIME, _SIZE), verdicts, keys, seq, hook=bronze_func, hook_args=f_args,
-                           hook_kwargs=f_kwargs, bronze_schema=bronze_schema, keep_file_col=write_mode == "merge")
-        if write_mode == "append":
-            bronze.commit(rows, "STREAM APPEND", mode="append" if bronze.exists() else "overwrite",
-                          batch_id=tag, files=landed)
+from keyfold.plans.ingest import Load, per_file, probed, stop_if_fatal, strict_read
+from keyfold.plans.steplog import StepLog
+from keyfold.session import scratch_path, shared_dir
+from keyfold.sinks.layers import IDENT, LayerTable, new_load
+from keyfold.sinks.routing import move_files, route_files
+from keyfold.sources.delimited import delimited_read, file_name
+from keyfold.sources.listing import file_listing, is_compressed
+
+
+@dataclass
+class FileStream:
+    """Landed files into bronze, batch by batch. ``write_mode`` is ``append`` (each
+    micro-batch's accepted rows) or ``merge`` (its files folded in landing order and merged
+    as one change set, the same result as merging them one after another).
+
+    Rejected files go to ``error_dir`` once their verdict is on record. Accepted ones go to
+    ``archive_dir``: with ``clean_source="archive"`` by Spark's file source, which moves the
+    files of a batch when a later one starts, so ``settle`` moves the last ones; with
+    ``move`` at once; else they stay."""
+    spark: SparkSession
+    landing: str
+    raw_schema: StructType
+    bronze: LayerTable
+    keys: Sequence[str]
+    checkpoint: str
+    seq: str | None = None
+    op_col: str | None = None
+    write_mode: str = "append"
+    delimiter: str = "|"
+    header: bool = True
+    pattern: str = "*"
+    read_options: dict | None = None
+    max_files: int | None = None
+    fatal: Sequence[str] = dq.DEFAULT_FATAL
+    non_fatal: Sequence[str] = dq.DEFAULT_NON_FATAL
+    bronze_func: object = None
+    f_args: Sequence = ()
+    f_kwargs: dict | None = None
+    bronze_schema: StructType | None = None
+    quarantine: LayerTable | None = None
+    log_table: LayerTable | None = None
+    verdict_table: LayerTable | None = None
+    clean_source: str | None = None
+    move: bool = False
+    archive_dir: str | None = None
+    error_dir: str | None = None
+    available_now: bool = True
+    job: Load = field(init=False)
+
+    def __post_init__(self):
+        if self.write_mode not in ("append", "merge"):
+            raise ValueError(f"unknown write_mode {self.write_mode!r}")
+        base = self.landing.rstrip("/")
+        self.archive_dir, self.error_dir = self.archive_dir or f"{base}/archive", self.error_dir or f"{base}/error"
+        self.schema, self.options, strict = strict_read(self.raw_schema, self.read_options)
+        self.job = Load(self.bronze, self.keys, self.seq, self.op_col, self.write_mode, self.fatal, self.non_fatal, strict,
+                        self.bronze_func, self.f_args, self.f_kwargs, self.bronze_schema, self.quarantine)
+        shared_dir(self.spark)
+
+    def start(self):
+        """The running query; with ``available_now`` it processes what has landed and stops."""
+        reader = (self.spark.readStream.schema(self.schema).option("delimiter", self.delimiter).option("header", self.header)
+                  .options(**self.options).option("pathGlobFilter", self.pattern))
+        if self.max_files:
+            reader = reader.option("maxFilesPerTrigger", self.max_files)
+        if self.clean_source:
+            reader = reader.option("cleanSource", self.clean_source)
+            if self.clean_source == "archive":
+                reader = reader.option("sourceArchiveDir", self.archive_dir)
+        # the file name must be selected before foreachBatch
+        stream = reader.csv(self.landing).withColumn("file_name", file_name())
+        w = stream.writeStream.foreachBatch(self._batch).option("checkpointLocation", self.checkpoint)
+        w = w.trigger(availableNow=True) if self.available_now else w.trigger(processingTime="1 minute")
+        return w.start()
+
+    def run(self) -> None:
+        """Process what has landed, then ``settle``."""
+        self.start().awaitTermination()
+        self.settle()
+
+    def settle(self) -> None:
+        """After the last batch: files without rows that no batch has judged get their verdict,
+        and files on record that still lie in the landing folder are moved."""
+        self._decide(None, None)
+        if self.move or self.clean_source == "archive":
+            self._move_done()
+
+    def _move_done(self, actions: Sequence[str] = ("accept", "reject", "stop")) -> None:
+        listed = file_listing(self.spark, self.landing, self.pattern)
+        done = listed.join(self.bronze.done_files().where(F.col("action").isin(*actions)), IDENT)
+        move_files(self.spark, route_files(done.withColumnRenamed("name", "file_name"), self.archive_dir, self.error_dir))
+
+    def _batch(self, batch: DataFrame, batch_id: int) -> None:
+        # parsed once, into the shared folder; also, the batch's own session ends with it
+        folder = scratch_path(self.spark, f"stream-{batch_id}")
+        batch.write.parquet(folder)
+        self._decide(self.spark.read.schema(batch.schema).parquet(folder), self.max_files)
+
+    def _decide(self, rows: DataFrame | None, limit: int | None) -> None:
+        """Judge and write the files of a batch, or with no rows what is left."""
+        log = StepLog()
+        self.bronze.recover()
+        log.start("read")
+        listed = file_listing(self.spark, self.landing, self.pattern)
+        open_ = listed.join(self.bronze.done_files().select(*IDENT), IDENT, "left_anti").checkpoint()
+        mine = open_.where("false")
+        if rows is not None:
+            mine = open_.join(rows.select(F.col("file_name").alias("name")).distinct(), "name", "left_semi").checkpoint()
+        files = mine.unionByName(self._without_rows(open_, mine, limit)).checkpoint()
+        sizes = files.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_compressed(F.col("name"))).alias("packed")).first()
+        n = sizes["n"]
+        if not n:
+            return
+        known = per_file(files.select(F.col("name").alias("file_name")), n)
+        rows = (self._read([]) if rows is None else rows).join(known, "file_name", "left_semi")
+        files = probed(self.spark, files, sizes["packed"])
+        log.end("read")
+        log.start("data_quality")
+        verdicts = self.job.judge(rows, files)
+        log.end("data_quality")
+        log.start("write")
+        load = new_load()
+        merged, counts = self.job.write(rows, verdicts, load, n)
+        log.end("write")
+        log.start("archive")
+        if self.move or (self.clean_source == "archive" and (counts.get("reject") or counts.get("stop"))):
+            self._move_done(("reject", "stop", "accept") if self.move else ("reject", "stop"))
+        log.end("archive")
+        if self.verdict_table is not None:
+            self.verdict_table.append(verdicts.where(F.col("action") != "skip"), load)
+        if self.log_table is not None:
+            self.log_table.append(log.frame(self.job.file_counts(verdicts, merged)), load)
+        if counts.get("stop"):
+            stop_if_fatal(verdicts)
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema).withColumn("file_name", F.lit(""))
+        return delimited_read(self.spark, paths, self.schema, delimiter=self.delimiter, header=self.header, **self.options)
+
+    def _without_rows(self, open_: DataFrame, mine: DataFrame, limit: int | None) -> DataFrame:
+        """Files that the batch holds but that have no rows, which no DataFrame of its rows
+        shows: those that landed before the batch's last file; in a batch without rows, the
+        first ``limit`` files. The source takes files in landing order. Each is opened to
+        make sure; there are few."""
+        order = F.struct("modificationTime", "name")
+        others = open_.join(mine.select("name"), "name", "left_anti")
+        last = mine.agg(F.max(order).alias("last")).first()["last"]
+        if last is not None:
+            found = others.where(order < F.struct(F.lit(last["modificationTime"]).cast("long"), F.lit(last["name"])))
         else:
-            ordered = rows.join(bounded_broadcast(files.select("file_name", _MTIME)), "file_name")
-            order = [F.col(_MTIME), F.col("file_name")] + ([sequence_expr(ordered, seq).asc_nulls_first()] if seq else [])
-            if op_col:
-                changes, merge_op = fold_changes(ordered, keys, op_col, order), ACTION
-            else:
-                changes = latest_per_key(ordered, keys, seq or "file_name",
-                                         before_seq=[F.col(_MTIME), F.col("file_name")])
-                merge_op = None
-            changes = changes.drop("file_name", _MTIME)
-            if bronze.exists():
-                bronze.merge(changes, keys, merge_op, batch_id=tag, files=landed)
-            else:
-                bronze.commit(first_load(changes, merge_op), "STREAM CREATE", batch_id=tag, files=landed)
-        stop = verdicts.where(F.col("action") == "stop").select("file_name", "code").first()
-        if stop is not None:
-            raise dq.DataQualityError(stop["file_name"], stop["code"])
-
-    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+            found = others.orderBy("modificationTime", "name").limit(limit) if limit else others
+        found = found.checkpoint()
+        paths = [r["path"] for r in found.select("path").collect()]
+        if not paths:
+            return found
+        full = self._read(paths).select(F.col("file_name").alias("name")).distinct()
+        return found.join(full, "name", "left_anti")
+
+
+def stream_raw_to_bronze(spark: SparkSession, landing: str, raw_schema: StructType, bronze: LayerTable,
+                         keys: Sequence[str], checkpoint: str, **options):
+    """Start a ``FileStream`` with its options and return the query."""
+    return FileStream(spark, landing, raw_schema, bronze, keys, checkpoint, **options).start()

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from keyfold import fixtures as fx
 from keyfold.functions import fiscal, hooks, labels, transforms
 from keyfold.operators import dedupe, merge, quality, reconcile
-from keyfold.operators.snapshots import SnapshotTable, snapshot_deleted
+from keyfold.operators import snapshots
 from keyfold.plans import ingest
 from keyfold.plans.steplog import timing_report
 from keyfold.session import scratch_path
 from keyfold.sinks import routing, writes
+from keyfold.sinks.layers import LayerTable
 from keyfold.sources import delimited, listing, lookup, tables
+from keyfold.streaming.file_stream import FileStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,7 +65,8 @@ def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = ev.where(F.dayofmonth("ts") > 15)
     state = merge.first_load(dedupe.latest_per_key(first, ["user_id"], "event_id"), "op")
     changes = dedupe.latest_per_key(later, ["user_id"], "event_id")
-    return merge.merge_ops(state, changes, ["user_id"], "op")
+    # both sides are partitioned and sorted by user already, so the merge join needs no shuffle
+    return merge.merge_ops(state, changes, ["user_id"], "op", strategy="shuffle")
 
 
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "op"]
@@ -169,10 +172,19 @@ def q_merge_coalesce(spark, sf_dir):
                                 ["o_orderkey"], op_col="op")
 
 
+def _table_name(what: str) -> str:
+    return f"kf_{what}_{uuid.uuid4().hex[:12]}"
+
+
+def _layer(spark, base: str, what: str, **layout) -> LayerTable:
+    """A named table below ``base`` in the shared folder."""
+    return LayerTable(spark, _table_name(what), location=f"{base}/{what}", **layout)
+
+
 @register("create_if_absent", f"WITH {CDC} SELECT {', '.join(ORDER_COLS)} FROM cdc "
           "WHERE op IS DISTINCT FROM 'D'")
 def q_create_if_absent(spark, sf_dir):
-    tbl = SnapshotTable(spark, scratch_path(spark, "create_if_absent"))
+    tbl = _layer(spark, scratch_path(spark, "create_if_absent"), "orders", keys=["o_orderkey"])
     existed = tbl.create_if_absent(fx.orders_cdc(spark, sf_dir), "op")
     assert not existed
     return tbl.read()
@@ -351,6 +363,21 @@ def q_reconcile(spark, sf_dir):
     return _recon(spark, sf_dir)
 
 
+@register("reconcile_copies", """
+WITH l AS (SELECT o_custkey, o_orderpriority, o_orderstatus FROM orders),
+r AS (SELECT o_custkey, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority, o_orderstatus
+      FROM orders WHERE o_orderkey % 11 <> 0),
+u AS (SELECT *, 1 AS a, 0 AS b FROM l UNION ALL SELECT *, 0, 1 FROM r),
+c AS (SELECT o_custkey, o_orderpriority, o_orderstatus, sum(a)::BIGINT AS left_n, sum(b)::BIGINT AS right_n FROM u GROUP BY ALL),
+k AS (SELECT o_custkey, sum(a)::BIGINT AS left_rows, sum(b)::BIGINT AS right_rows FROM u GROUP BY ALL)
+SELECT c.*, left_rows, right_rows FROM c JOIN k ON c.o_custkey IS NOT DISTINCT FROM k.o_custkey WHERE left_n <> right_n""")
+def q_reconcile_copies(spark, sf_dir):
+    """Orders by customer, a key that repeats, against a copy that lost and changed some."""
+    o, k = fx.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    right = o.where(k % 11 != 0).withColumn("o_orderpriority", F.when(k % 13 != 0, F.col("o_orderpriority")))
+    return reconcile.reconcile_copies(o, right, ["o_custkey"], ["o_orderpriority", "o_orderstatus"])
+
+
 @register("diff_count", f"WITH {RECON_SQL} " + " UNION ALL ".join(
     [f"SELECT '{c}' AS column_name, CAST(count_if(status = 'changed' AND left_{c} IS DISTINCT FROM right_{c}) AS BIGINT) AS n_diff FROM recon"
      for c in RECON_COLS] +
@@ -360,28 +387,30 @@ def q_diff_count(spark, sf_dir):
     return reconcile.diff_count(_recon(spark, sf_dir), RECON_COLS)
 
 
-def _customer_versions(spark, sf_dir) -> SnapshotTable:
+def _customer_versions(spark, sf_dir) -> str:
     c = fx.table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    tbl = SnapshotTable(spark, scratch_path(spark, "customer_versions"))
-    tbl.commit(c, "WRITE OVERWRITE")
-    tbl.commit(c.where(k % 9 != 0).withColumn(
-        "c_acctbal", F.when(k % 4 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))), "WRITE OVERWRITE")
-    tbl.commit(c.where(k % 5 == 0).withColumn("c_custkey", -(k + 1)), "WRITE APPEND", mode="append")
-    return tbl
+    name, path = _table_name("customer_versions"), scratch_path(spark, "customer_versions")
+    snapshots.save_version(c, name, "WRITE OVERWRITE", location=path)
+    snapshots.save_version(c.where(k % 9 != 0).withColumn(
+        "c_acctbal", F.when(k % 4 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))), name, "WRITE OVERWRITE")
+    snapshots.save_version(c.where(k % 5 == 0).withColumn("c_custkey", -(k + 1)), name, "WRITE APPEND", append=True)
+    return name
 
 
 @register("snapshot_scan", """
 SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
   c_mktsegment FROM customer WHERE c_custkey % 9 <> 0""")
 def q_snapshot_scan(spark, sf_dir):
-    return _customer_versions(spark, sf_dir).read(version=2)
+    return snapshots.read_version(spark, _customer_versions(spark, sf_dir), 2)
 
 
 @register("snapshot_deleted", "SELECT * FROM customer WHERE c_custkey % 9 = 0")
 def q_snapshot_deleted(spark, sf_dir):
-    tbl = _customer_versions(spark, sf_dir)
-    return snapshot_deleted(tbl.read(1), tbl.read(2), ["c_custkey"])
+    """Customers of the first extract that the second lacks: two plain DataFrames."""
+    old = fx.table(spark, sf_dir, "customer")
+    new = old.where(F.col("c_custkey") % 9 != 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return snapshots.snapshot_deleted(old, new, ["c_custkey"])
 
 
 @register("snapshot_history", """
@@ -390,7 +419,7 @@ UNION ALL SELECT 2, 'WRITE OVERWRITE', count(*) FROM customer WHERE c_custkey %
 UNION ALL SELECT 3, 'WRITE APPEND', (SELECT count(*) FROM customer WHERE c_custkey % 9 <> 0)
   + (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0)""")
 def q_snapshot_history(spark, sf_dir):
-    return _customer_versions(spark, sf_dir).history().select("version", "operation", "num_rows")
+    return snapshots.history(spark, _customer_versions(spark, sf_dir)).select("version", "operation", "num_rows")
 
 
 # ================================================================= 2.9 labels and timing
@@ -513,9 +542,15 @@ def _orders_landing(spark, sf_dir, rows_per_file: int = 500_000) -> str:
     return folder
 
 
-@register("file_listing")
+@register("file_listing", """
+SELECT 'orders_' || o_orderstatus || '_0.csv' AS name,
+  (strlen('o_orderkey|o_custkey|o_orderstatus|o_totalprice|o_orderdate|o_orderpriority') + 1 +
+   sum(strlen(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f'),
+                        o_orderpriority)) + 1))::BIGINT AS size, true AS placed FROM orders GROUP BY o_orderstatus""")
 def q_file_listing(spark, sf_dir):
-    return listing.file_listing(spark, _orders_landing(spark, sf_dir))
+    """The listing's names and sizes; of paths and times, that they fit."""
+    found = listing.file_listing(spark, _orders_landing(spark, sf_dir))
+    return found.select("name", "size", (F.col("path").endswith(F.col("name")) & (F.col("modificationTime") > 0)).alias("placed"))
 
 
 @register("file_select", "SELECT * FROM orders WHERE o_orderstatus = 'O'")
@@ -527,10 +562,6 @@ def q_file_select(spark, sf_dir, rows_per_file: int = 500_000):
     return delimited.delimited_read(spark, paths, schema, file_col=None, **fx.CSV_OPTIONS)
 
 
-def _table_name(what: str) -> str:
-    return f"kf_{what}_{uuid.uuid4().hex[:12]}"
-
-
 @register("table_scan", "SELECT * FROM orders")
 def q_table_scan(spark, sf_dir):
     """Orders by the name of a catalog table over the given files."""
@@ -547,6 +578,23 @@ def q_append_write(spark, sf_dir):
     return tables.table_scan(spark, name)
 
 
+@register("append_write_evolving", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_custkey * 10000000000 ELSE o_custkey END AS o_custkey,
+  CASE WHEN o_orderstatus = 'O' THEN o_orderkey % 1000 + 0.25 ELSE o_orderkey % 1000 END AS score,
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def q_append_write_evolving(spark, sf_dir):
+    """Three appends to one named table: the second adds a column, the third brings values
+    that the types of two columns do not hold."""
+    o, name, path = fx.table(spark, sf_dir, "orders"), _table_name("evolving"), scratch_path(spark, "evolving_orders")
+    score = (F.col("o_orderkey") % 1000)
+    of = lambda test, key, value, *more: o.where(test).select("o_orderkey", key.alias("o_custkey"), value.alias("score"), *more)
+    status, cust = F.col("o_orderstatus"), F.col("o_custkey")
+    writes.append_write(of(status == "F", cust.cast("int"), score.cast("int")), name, location=path)
+    writes.append_write(of(~status.isin("F", "O"), cust.cast("int"), score.cast("smallint"), "o_orderpriority"), name)
+    writes.append_write(of(status == "O", cust * 10000000000, score + F.lit(0.25).cast("double"), "o_orderpriority"), name)
+    return tables.table_scan(spark, name)
+
+
 @register("overwrite_write", "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'")
 def q_overwrite_write(spark, sf_dir):
     o, name, path = fx.table(spark, sf_dir, "orders"), _table_name("overwrite"), scratch_path(spark, "overwrite_orders")
@@ -571,7 +619,9 @@ b AS (SELECT {_ev_sel_b}, file_idx, file_name FROM ev
       QUALIFY row_number() OVER (PARTITION BY file_name, user_id ORDER BY event_id DESC) = 1)"""
 
 
-events_bronze_hook = hooks.source_and_business_date
+def events_bronze_hook(df, file_name, sub_entity, source):
+    """The entity's hook; the parts of a period's file have the period's business date."""
+    return hooks.source_and_business_date(df, F.regexp_replace(file_name, "_p[0-9]+[.]csv$", ".csv"), sub_entity, source)
 
 
 def _bronze_schema():
@@ -583,7 +633,7 @@ def _bronze_schema():
 def _events_bronze(spark, sf_dir, *, hook: bool = False, write_mode: str = "append"):
     base = scratch_path(spark, "events_ingest")
     landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
-    bronze = SnapshotTable(spark, f"{base}/bronze")
+    bronze = _layer(spark, base, "bronze", keys=["user_id"] if write_mode == "merge" else [])
     kw = dict(bronze_func=events_bronze_hook, f_args=("events", "erp"), bronze_schema=_bronze_schema()) if hook else {}
     res = ingest.raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], seq="event_id",
                                op_col="op", read_options=fx.CSV_OPTIONS, move=True, write_mode=write_mode, **kw)
@@ -621,9 +671,20 @@ def q_raw_to_bronze_merge(spark, sf_dir):
     return _events_bronze(spark, sf_dir, write_mode="merge")[0].read()
 
 
-@register("step_log")
+_LOG_COUNTS = ["n_read", "n_rejected", "n_inserted", "n_updated", "n_deleted", "n_left"]
+
+
+@register("step_log", f"""WITH {BRONZE_SQL},
+files AS (SELECT file_name, count(*) AS n_read FROM ev GROUP BY file_name),
+written AS (SELECT file_name, count(*) AS n FROM b GROUP BY file_name)
+SELECT activity, file_name, CASE WHEN activity = 'read' THEN n_read END AS n_read,
+  CASE WHEN activity = 'data_quality' THEN 0 END AS n_rejected, CASE WHEN activity = 'write' THEN n END AS n_inserted,
+  {', '.join(f"CASE WHEN activity = 'write' THEN 0 END AS {c}" for c in _LOG_COUNTS[3:])}, true AS in_order
+FROM files JOIN written USING (file_name), (VALUES ('read'), ('data_quality'), ('write'), ('archive')) AS acts(activity)""")
 def q_step_log(spark, sf_dir):
-    return _events_bronze(spark, sf_dir)[1].log
+    """The log of a run: activities, files and row counts; of the times, that they are in order."""
+    log = _events_bronze(spark, sf_dir)[1].log
+    return log.select("activity", "file_name", *_LOG_COUNTS, ((F.col("start_time") <= F.col("end_time")) & (F.col("file_size") > 0)).alias("in_order"))
 
 
 @register("bronze_to_silver", f"""WITH {BRONZE_SQL}
@@ -631,7 +692,7 @@ SELECT {_ev_sel_b} FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER
   AND op IS DISTINCT FROM 'D'""")
 def q_bronze_to_silver(spark, sf_dir):
     bronze, _, base = _events_bronze(spark, sf_dir)
-    silver = SnapshotTable(spark, f"{base}/silver")
+    silver = _layer(spark, base, "silver", keys=["user_id"])
     ingest.bronze_to_silver(spark, bronze, silver, ["user_id"], seq="event_id", op_col="op")
     return silver.read()
 
@@ -646,7 +707,7 @@ SELECT {_ev_sel_b}, 'erp' AS SOURCE,
 FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND op IS DISTINCT FROM 'D'""")
 def q_layer_transform_silver(spark, sf_dir):
     bronze, _, base = _events_bronze(spark, sf_dir, hook=True)
-    silver = SnapshotTable(spark, f"{base}/silver")
+    silver = _layer(spark, base, "silver", keys=["user_id"])
     ingest.bronze_to_silver(spark, bronze, silver, ["user_id"], seq="event_id", op_col="op",
                             silver_func=events_silver_hook, f_args=(["BUSINESS_DATE"],),
                             f_kwargs={"run_ts": "2025-09-02 09:41:39"})
@@ -657,12 +718,15 @@ _ev_pick_b = ", ".join(f"CASE WHEN s._s IS NOT NULL AND (t._t IS NULL OR s.op IS
                        f"THEN s.{c} ELSE t.{c} END AS {c}" for c in EV_COLS)
 
 
-@register("raw_to_silver", f"""WITH {BRONZE_SQL},
+RAW_TO_SILVER_SQL = f"""WITH {BRONZE_SQL},
 t AS (SELECT {_ev_sel_b}, true AS _t FROM b WHERE file_idx < 3
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND op IS DISTINCT FROM 'D'),
 s AS (SELECT {_ev_sel_b}, true AS _s FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
 SELECT {_ev_pick_b} FROM t FULL OUTER JOIN s ON t.user_id = s.user_id
-WHERE NOT (s._s IS NOT NULL AND s.op IS NOT DISTINCT FROM 'D')""")
+WHERE NOT (s._s IS NOT NULL AND s.op IS NOT DISTINCT FROM 'D')"""
+
+
+@register("raw_to_silver", RAW_TO_SILVER_SQL)
 def q_raw_to_silver(spark, sf_dir):
     from keyfold.spec import EntitySpec
     spec = EntitySpec("analytics", "web", "fact", "app", "events", "delta", "events",
@@ -670,10 +734,8 @@ def q_raw_to_silver(spark, sf_dir):
                       operation_column="op", read_options=fx.CSV_OPTIONS)
     base = scratch_path(spark, "events_layers")
     landing = f"{base}/landing"
-    bronze = SnapshotTable(spark, f"{base}/bronze")
-    # the change set here is all of bronze (latest per key), so every partition of a
-    # partitioned silver would be touched: an unpartitioned silver is the right layout
-    silver = SnapshotTable(spark, f"{base}/silver")
+    bronze = _layer(spark, base, "bronze")
+    silver = _layer(spark, base, "silver", keys=["user_id"])
     fx.events_landing(spark, sf_dir, landing, files=(0, 1, 2))
     ingest.raw_to_silver(spark, spec, landing, bronze, silver, move=True)
     fx.events_landing(spark, sf_dir, landing, files=(3, 4))
@@ -681,31 +743,53 @@ def q_raw_to_silver(spark, sf_dir):
     return silver.read()
 
 
-@register("stream_raw_to_bronze", f"WITH {BRONZE_SQL} SELECT {_ev_sel_b} FROM b")
-def q_stream_raw_to_bronze(spark, sf_dir):
-    from keyfold.streaming.file_stream import stream_raw_to_bronze
+@register("new_bronze_to_silver", RAW_TO_SILVER_SQL)
+def q_new_bronze_to_silver(spark, sf_dir):
+    """Two runs of the ingest, each followed by silver from the new loads only."""
+    base = scratch_path(spark, "events_new")
+    bronze, silver = _layer(spark, base, "bronze"), _layer(spark, base, "silver", keys=["user_id"])
+    for files in ((0, 1, 2), (3, 4)):
+        fx.events_landing(spark, sf_dir, f"{base}/landing", files=files)
+        ingest.raw_to_bronze(spark, f"{base}/landing", fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], seq="event_id",
+                             read_options=fx.CSV_OPTIONS, move=True)
+        ingest.new_bronze_to_silver(spark, bronze, silver, ["user_id"], seq="event_id", op_col="op")
+    return silver.read()
+
+
+def _events_stream(spark, sf_dir, **options):
     base = scratch_path(spark, "events_stream")
     landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
-    bronze = SnapshotTable(spark, f"{base}/bronze")
-    q = stream_raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], f"{base}/_checkpoint",
-                             seq="event_id", read_options=fx.CSV_OPTIONS)
-    q.awaitTermination()
-    return bronze.read()
+    bronze = _layer(spark, base, "bronze", keys=["user_id"] if options.get("write_mode") == "merge" else [])
+    stream = FileStream(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], f"{base}/_checkpoint",
+                        seq="event_id", read_options=fx.CSV_OPTIONS, **options)
+    stream.run()
+    return bronze, stream
+
+
+@register("stream_raw_to_bronze", f"WITH {BRONZE_SQL} SELECT {_ev_sel_b} FROM b")
+def q_stream_raw_to_bronze(spark, sf_dir):
+    return _events_stream(spark, sf_dir)[0].read()
 
 
 @register("stream_raw_to_bronze_merge", _merge_files_in_order_sql())
 def q_stream_raw_to_bronze_merge(spark, sf_dir):
     """Merge-mode bronze fed by the file stream, one landing file per micro-batch
     (files in landing order): each micro-batch is one merge, as in the oracle."""
-    from keyfold.streaming.file_stream import stream_raw_to_bronze
-    base = scratch_path(spark, "events_stream_merge")
-    landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
-    bronze = SnapshotTable(spark, f"{base}/bronze")
-    q = stream_raw_to_bronze(spark, landing, fx.EVENTS_RAW_SCHEMA, bronze, ["user_id"], f"{base}/_checkpoint",
-                             seq="event_id", op_col="op", write_mode="merge", max_files=1,
-                             read_options=fx.CSV_OPTIONS)
-    q.awaitTermination()
-    return bronze.read()
+    return _events_stream(spark, sf_dir, op_col="op", write_mode="merge", max_files=1)[0].read()
+
+
+@register("stream_archive", f"""WITH {EV_RAW}
+SELECT file_name, 'accept' AS action, true AS archived FROM ev GROUP BY file_name""")
+def q_stream_archive(spark, sf_dir):
+    """Where the stream's files are in the end: archived by the source, the last batch's by
+    ``settle``. The archive keeps each file's path below it."""
+    bronze, stream = _events_stream(spark, sf_dir, clean_source="archive", max_files=1, archive_dir=scratch_path(spark, "archive"))
+    kept = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(stream.archive_dir)
+            .select(F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    done = bronze.done_files().select(F.col("name").alias("file_name"), "action")
+    left = listing.file_listing(spark, stream.landing).select(F.col("name").alias("file_name"))
+    return (done.join(kept.withColumn("archived", F.lit(True)), "file_name", "left").join(left, "file_name", "left_anti")
+            .select("file_name", "action", F.coalesce("archived", F.lit(False)).alias("archived")))
 
 
 # ================================================================= fiscal code

@@ -74,3 +74,26 @@ def test_dup_inspect_splits_a_hot_key_beyond_the_broadcast_bound(spark, monkeypa
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_text_sequences_of_any_length_are_exact(spark):
+    import random
+    from decimal import Decimal, getcontext
+    getcontext().prec = 200
+    pick = random.Random(2)
+    texts = ["9" * 30, "5", "-5", "-" + "9" * 30, "0", "-0.0", "0.10", "0.1", "-0.15", "-0.1", "007", "+8", " 9 ", "1e3", ".5", "5.", "1" + "0" * 60,
+             "1" + "0" * 60 + ".5", "-1" + "0" * 60 + ".5", "-1" + "0" * 60, "3." + "1" * 50, "3." + "1" * 51]
+    for a in texts:
+        for b in pick.sample(texts, 9):
+            if Decimal(a.strip()) == Decimal(b.strip()):
+                continue
+            want = max(a, b, key=lambda x: Decimal(x.strip()))
+            ROWS.append((len(ROWS) // 2, a, want)), ROWS.append((len(ROWS) // 2, b, want))
+    df = spark.createDataFrame(ROWS, "k int, s string, want string")
+    got = dedupe.latest_per_key(df, ["k"], "s", tiebreak=[])
+    assert got.where("s <> want").collect() == [] and got.count() == len(ROWS) // 2
+    mixed = spark.createDataFrame([(1, "-5", 0), (1, "2024-01-02", 1), (2, "2024-01-02", 0), (2, "2024-01-10", 1)], "k int, s string, v int")
+    assert sorted((r["k"], r["s"]) for r in dedupe.latest_per_key(mixed, ["k"], "s").collect()) == [(1, "-5"), (2, "2024-01-10")]
+
+
+ROWS = []

@@ -98,3 +98,29 @@ def test_verdict_join_beyond_the_bound_is_not_broadcast(spark):
         assert [r.v for r in quality.verdict_join(rows_df, verdicts, n_files=sizing.SMALL_MAX_ROWS + 1).collect()] == [1]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+
+def test_merges_scan_each_side_once(spark):
+    """The change set is written once and read from there; the target is read once whole, and
+    in the broadcast plan once more for its keys alone."""
+    from keyfold.operators import merge
+    t, s = spark.read.parquet(f"{SF}/orders.parquet"), spark.read.parquet(f"{SF}/orders.parquet").limit(50).withColumn("o_custkey", -_col("o_custkey"))
+    small = merge.merge_upsert(t, s, ["o_orderkey"])
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.split("\n") if "FileScan parquet" in line]
+    assert len(reads) == 2 and sum("ReadSchema: struct<o_orderkey:bigint>" in line for line in reads) == 1
+    large = merge.merge_upsert(t, s, ["o_orderkey"], broadcast_max_rows=1)
+    assert large._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2       # null keys bypass the join
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+def test_current_state_reads_events_twice_and_joins_in_place(spark):
+    df = entry.queries()["current_state"](spark, SF)
+    plan = _plan(df)
+    assert plan.count("FileScan parquet") <= 4 and "BroadcastExchange" not in plan
+
+
+def _col(name):
+    from pyspark.sql import functions as F
+    return F.col(name)

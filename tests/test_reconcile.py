@@ -32,3 +32,14 @@ def test_left_only_keeps_values(spark):
     right = spark.createDataFrame([(1, "a")], "k int, c string")
     out = reconcile.reconcile(left, right, ["k"])
     assert rows(out, "k", "status", "left_c", "right_c") == [(2, "left_only", "b", None)]
+
+
+def test_copies_that_differ_are_counted(spark):
+    from keyfold.operators.reconcile import reconcile_copies
+    left = [(1, "a")] * 3 + [(1, "b"), (2, "x"), (3, None), (None, "n"), (None, "n"), (4, "same")]
+    right = [(1, "a")] * 2 + [(1, "c"), (2, "x"), (3, "v"), (None, "n"), (5, "new"), (4, "same")]
+    got = reconcile_copies(*[spark.createDataFrame(r, "k int, v string") for r in (left, right)], ["k"])
+    assert got.columns == ["k", "v", "left_n", "right_n", "left_rows", "right_rows"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        (1, "a", 3, 2, 4, 3), (1, "b", 1, 0, 4, 3), (1, "c", 0, 1, 4, 3), (3, None, 1, 0, 1, 1), (3, "v", 0, 1, 1, 1),
+        (None, "n", 2, 1, 2, 1), (5, "new", 0, 1, 0, 1)], key=str)

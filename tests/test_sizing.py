@@ -37,12 +37,3 @@ def test_row_bytes_of_nested_values(spark):
     df = spark.createDataFrame([([1, 2], {"a": 1})], "xs array<int>, m map<string,int>")
     n, b = sizing.measure(df)
     assert n == 1 and b == (len("[1,2]") + 16) + (len('{"a":1}') + 16)
-
-
-def test_union_schema_keeps_old_columns_first_and_all_nullable():
-    from pyspark.sql import types as T
-    from keyfold.operators.snapshots import _union_schema
-    old = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("v", T.StringType())])
-    new = T.StructType([T.StructField("k", T.IntegerType(), False), T.StructField("extra", T.LongType(), False)])
-    u = T.StructType.fromJson(__import__("json").loads(_union_schema(old.json(), new.json())))
-    assert u.names == ["k", "v", "extra"] and all(f.nullable for f in u.fields)
