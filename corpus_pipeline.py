@@ -29,8 +29,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_rows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed rows of token ids."""
-    return packing.pack(docs)
+    """Packed rows of token ids, range-sorted by their position in training order."""
+    return packing.pack(mixing.with_position(docs, "__kf_position"), position_col="__kf_position")
 
 
 STAGES = [("language_id", language_id), ("simhash_near_dedup", near_duplicates), ("decontamination", decontamination),

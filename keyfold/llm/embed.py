@@ -156,18 +156,21 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     Null vectors, zero vectors, empty vectors and vectors with null or non-finite
     components link with nothing and are their own component. Vectors of different
     lengths never link. Null ids: the row links nothing, component_id null, kept null.
-    Repeated rows count as rows linked to each other. Empty table: empty result. Other
+    Repeated rows count as rows linked to each other; rows that share an id but not the
+    vector have links and components of their own. Empty table: empty result. Other
     columns are not read."""
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vec_col}`").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     valid = (F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite
              & F.exists("vec", lambda x: x != 0))
     usable = rows.where(F.coalesce(valid, F.lit(False)))
-    classes = cut(usable.groupBy("vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
+    # a class is known by a number of its own: an id may stand at different vectors
+    classes = cut(usable.groupBy("vec").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n"))
+                  .withColumn("rep", F.monotonically_increasing_id()))
     lengths = [r[0] for r in classes.select(F.size("vec").alias("d")).distinct().orderBy("d").collect()]
     found = None
     for d in lengths:                        # a table has one vector length, or a few
-        part = _links(classes.where(F.size("vec") == d), threshold)
+        part = _links(classes.where(F.size("vec") == d).select("vec", "rep", "n"), threshold)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = df.sparkSession.createDataFrame([], "node long, label long, links long")
@@ -176,9 +179,11 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = cut(classes.join(counts, F.col("rep") == counts["node"], "left").drop("node")
                  .join(groups, F.col("rep") == groups["node"], "left")
-                 .select(F.col("vec").alias("of_vec"),
+                 .select(F.col("vec").alias("of_vec"), "low",
                          (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
-                         F.coalesce("component", "rep").alias("component")))
+                         F.coalesce("component", "rep").alias("top")))
+    lows = labels.groupBy(F.col("top").alias("of_top")).agg(F.min("low").alias("component"))
+    labels = cut(labels.join(lows, F.col("top") == F.col("of_top")).select("of_vec", "links", "component"))
     out = rows.withColumn("usable", F.coalesce(valid, F.lit(False)))
     linked = (out.where("usable").join(labels, F.col("vec") == F.col("of_vec"))
               .select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id")))

@@ -5,6 +5,7 @@ Only DataFrame functions: no Python code runs on the executors.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,6 +130,17 @@ def mixed(docs: DataFrame) -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def with_position(mix: DataFrame, name: str) -> DataFrame:
+    """``mix`` with each row's place in training order as a long. The order is that of the
+    files that ``mixed`` was written to: their number, then the row in the file, as Spark's
+    file metadata has them. Null where ``mix`` is not read from such files."""
+    try:
+        part = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).try_cast("long")
+        return mix.withColumn(name, part * F.lit(1 << 32) + F.col("_metadata.row_index"))
+    except AnalysisException:
+        return mix.withColumn(name, F.lit(None).cast("long"))
+
+
 #: The same rows in DuckDB: the water level, the running sums and the inverse written out.
 SQL = r"""
 WITH sizes AS (

@@ -120,7 +120,8 @@ def positions(cu_seqlens: list[int], length: int) -> np.ndarray:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 2048,
-         ranks_path: str = RANKS, pattern: str = PATTERN, end: int = END, pad: int = END) -> DataFrame:
+         ranks_path: str = RANKS, pattern: str = PATTERN, end: int = END, pad: int = END,
+         position_col: str | None = None) -> DataFrame:
     """Rows of exactly ``length`` ids that hold every token of every text once.
 
     A text's ids, then ``end``, are cut into pieces of at most ``length``; pieces are
@@ -134,6 +135,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
     start again from 0: every piece, and the padding), input_ids (little-endian, two bytes
     an id if all fit, else four; padded with ``pad``). ``unpack`` turns rows back.
 
+    With ``position_col`` (long: a document's place in training order) each row gets a
+    position, the first of its pieces, and the rows are range-sorted by it, nulls first.
+    Packing mixes documents of one block only, which are neighbours in an ordered table.
+
     Null and empty texts have no tokens and take no place. Null doc_id: packed, its id is
     null. Very long texts: cut losslessly. Repeated rows: packed as often as they come.
     Empty table: empty result. Other columns are not read."""
@@ -148,14 +153,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
             ids = b"".join(p[2] for p in held)
             yield (f"{held[0][0]}:{held[0][1]}", int(ends[-1]), [p[0] for p in held], [p[1] for p in held],
                    ends.tolist(), ends.tolist() if ends[-1] < length else ends[:-1].tolist(),
-                   ids + np.full(length - ends[-1], pad, dtype).tobytes())
+                   ids + np.full(length - ends[-1], pad, dtype).tobytes(),
+                   min((p[3] for p in held if p[3] is not None), default=None))
 
     def run(batches):
         encode, tail = encoder(ranks, pattern, dtype), np.array([end], dtype).tobytes()
         block, tokens = [], 0
-        names = ["row_key", "n_tokens", "doc_ids", "doc_offsets", "cu_seqlens", "position_resets", "input_ids"]
+        names = ["row_key", "n_tokens", "doc_ids", "doc_offsets", "cu_seqlens", "position_resets", "input_ids", "position"]
         types = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()),
-                 pa.list_(pa.int32()), pa.binary()]
+                 pa.list_(pa.int32()), pa.binary(), pa.int64()]
 
         def flush():
             out = list(rows_of_block(block))
@@ -168,17 +174,21 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
                 text = b.column(1)[k].as_py()
                 if not text:
                     continue
-                doc, ids = b.column(0)[k].as_py(), encode(text) + tail
+                doc, ids, place = b.column(0)[k].as_py(), encode(text) + tail, b.column(2)[k].as_py()
                 for s in range(0, len(ids), length * width):
-                    block.append((doc, s // width, ids[s:s + length * width]))
+                    block.append((doc, s // width, ids[s:s + length * width], place))
                 tokens += len(ids) // width
                 if tokens >= BLOCK_TOKENS:
                     yield from flush()
                     block, tokens = [], 0
         yield from flush()
 
-    return (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, SCHEMA))
+    place = F.col(f"`{position_col}`").cast("long") if position_col else F.lit(None).cast("long")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                       place.alias("place")).mapInArrow(run, SCHEMA + ", position long")
+    if not position_col:
+        return rows.drop("position")
+    return rows.repartitionByRange("position").sortWithinPartitions("position")
 
 
 def unpack(packed: DataFrame, width: int = 2) -> DataFrame:

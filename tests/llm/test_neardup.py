@@ -120,3 +120,11 @@ def test_embeddings_against_brute_force(spark):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
     assert got[None]["component_id"] is None and len(got) == len(rows)
     assert embed.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_have_links_of_their_own(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.0, -1.0]), (3, [0.02, 1.0]), (0, [0.0, 2.0]), (None, [1.0, 0.0])]
+    got = embed.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = sorted((tuple(r)[:4] for r in got.collect()), key=str)
+    assert found == sorted([(1, 1, 1, True), (2, 1, 1, False), (1, 2, 0, False), (0, 2, 0, True), (3, 2, 0, False), (3, 0, 3, True),
+                            (None, 0, None, None)], key=str)

@@ -27,3 +27,25 @@ def test_pipeline_equals_its_stages(spark):
 def test_pipeline_on_empty_documents(spark, docs, no_docs):
     for _, stage in corpus_pipeline.STAGES[:1] + corpus_pipeline.STAGES[3:]:
         assert stage(spark, no_docs, SF).count() == 0
+
+
+def test_packed_rows_follow_the_training_order(spark, tmp_path):
+    """The rows of the mix are written and read as the pipeline does; packed rows come back
+    in the order of their first documents, and neighbours stay neighbours."""
+    from pyspark.sql import functions as F
+    from keyfold.llm import mixing
+    words = "alpha beta gamma delta "
+    docs = spark.createDataFrame([(k, words * (1 + k % 90), "abc"[k % 3]) for k in range(900)], "doc_id long, text string, source string").repartition(4)
+    path = str(tmp_path / "mix")
+    mixing.mixed(docs).write.parquet(path)
+    mix = spark.read.parquet(path)
+    placed = mixing.with_position(mix, "at")
+    order = [r["doc_id"] for r in placed.orderBy("at").collect()]
+    firsts = mixing.curriculum(docs).select(F.posexplode("positions").alias("copy", "p"), "doc_id").orderBy("p")
+    assert [r["doc_id"] for r in firsts.collect()] == order and placed.select("at").distinct().count() == len(order)
+    rows = [r for r in corpus_pipeline.token_rows(spark, mix, SF).collect()]
+    assert [r["position"] for r in rows] == sorted(r["position"] for r in rows)
+    by_place = {r["at"]: r["doc_id"] for r in placed.collect()}
+    assert all(by_place[r["position"]] in r["doc_ids"] for r in rows)
+    unread = corpus_pipeline.token_rows(spark, docs, SF)              # not read from files: no order
+    assert {r["position"] for r in unread.collect()} == {None}

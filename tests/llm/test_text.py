@@ -292,3 +292,10 @@ def test_packing_round_trip(docs, no_docs, texts):
         assert got[i] == len(want) * sum(j == i for j, _ in texts)
     assert packing.pack(no_docs).count() == 0
     assert packing.positions([0, 3, 5], 8).tolist() == [0, 1, 2, 0, 1, 0, 1, 2]
+
+
+def test_numerals_are_no_letters_and_marks_stay_in_words():
+    from keyfold.llm import langid
+    assert langid.parts_of("½ ² Ⅳ _ 7") == []
+    assert langid.parts_of("हिन्दी") == [" हिन्दी".encode()]
+    assert langid.parts_of("Café x²y") == [" café".encode(), b" x", b" y"]
