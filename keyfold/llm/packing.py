@@ -154,7 +154,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
             yield (f"{held[0][0]}:{held[0][1]}", int(ends[-1]), [p[0] for p in held], [p[1] for p in held],
                    ends.tolist(), ends.tolist() if ends[-1] < length else ends[:-1].tolist(),
                    ids + np.full(length - ends[-1], pad, dtype).tobytes(),
-                   min((p[3] for p in held if p[3] is not None), default=None))
+                   min((p[3] for p in held if p[3] is not None), default=None) if position_col else None)
 
     def run(batches):
         encode, tail = encoder(ranks, pattern, dtype), np.array([end], dtype).tobytes()
@@ -174,7 +174,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
                 text = b.column(1)[k].as_py()
                 if not text:
                     continue
-                doc, ids, place = b.column(0)[k].as_py(), encode(text) + tail, b.column(2)[k].as_py()
+                doc, ids, place = b.column(0)[k].as_py(), encode(text) + tail, b.column(2)[k].as_py() if position_col else None
                 for s in range(0, len(ids), length * width):
                     block.append((doc, s // width, ids[s:s + length * width], place))
                 tokens += len(ids) // width
