@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from keyfold.llm import brown, decontam, langid, packing, spans
 
@@ -103,7 +104,11 @@ def test_decontamination(spark):
     assert got == want
     clean = decontam.clean(docs, bench)
     assert clean.columns == docs.columns
-    assert {r["doc_id"] for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in want if d is not None}
+    assert {r["doc_id"] for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in want}   # the copy without doc_id too
+    shared = docs.where("doc_id IN (100, 5)").withColumn("doc_id", F.lit(5).cast("long"))
+    assert [r["item_id"] for r in decontam.clean(shared, bench).collect()] == [1]                  # judged by their own texts
+    named = {(r["doc_id"], r["item_id"]): r["start_word"] for r in decontam.find(docs, bench.withColumn("item_id", F.concat(F.lit("q"), "item_id"))).collect()}
+    assert set(named) == {(d, f"q{i}") for d, i in want} and abs(named[202, "q3"] - 70_000) <= 32
     assert decontam.find(docs.limit(0), bench).count() == 0 and decontam.find(docs, bench.limit(0)).count() == 0
 
 
@@ -144,6 +149,52 @@ def test_candidate_of_low_cosine_is_checked():
     assert [(x[0], x[1], x[3]) for x in found] == [(0, 0, 0.95)]
 
 
+def test_search_against_every_window():
+    """Whole items, items with one and two foreign words behind each word, and paraphrases,
+    held against the checks of every window without cosine, containment and rare words."""
+    rng = random.Random(8)
+    common, rare = [f"c{k}" for k in range(12)], [f"r{k}" for k in range(1500)]
+
+    def prose(n):
+        return [rng.choice(common if rng.random() < 0.5 else rare) for _ in range(n)]
+
+    said = [prose(n) for n in (5, 9, 13, 18, 30, 47, 64, 33)]
+    items = decontam.Items([(k, (" ".join(w[:-6]) + ". " + " ".join(w[-6:])).encode()) for k, w in enumerate(said)])
+    texts, planted = [], set()
+    for k, w in enumerate(said):
+        gone = set(rng.sample(range(len(w) - 6), len(w) // 3 if len(w) > 9 else 0))
+        wide = range(3 if len(w) >= decontam.WIDE_WORDS else 1)
+        for spread in ([[x for y in w for x in [y, *prose(n)]] for n in wide] + [[x for j, x in enumerate(w) if j not in gone]]):
+            planted.add((len(texts), k))
+            texts.append(items.encode(" ".join([*prose(rng.randrange(90)), *spread, *prose(70)]).encode()))
+    texts += [items.encode(" ".join(prose(150)).encode()) for _ in range(20)]
+    df = np.bincount(np.concatenate([np.unique(t) for t in texts]), minlength=items.terms)
+    idf = np.log((1 + len(texts)) / (1 + df)) + 1
+    idf[0] = 0
+    terms = (np.eye(items.terms) * idf).astype(np.float32)                           # the full space
+    search = decontam.Searcher(items, idf, terms, decontam.COSINE)
+    got = {(d, i) for d, i, *_ in search.hits(texts)}
+    want = set()
+    for d, t in enumerate(texts):
+        for f in range(len(search.item)):
+            for start in range(0, len(t), int(search.hop[f])):
+                whole, answer = search.check(t, f, start)
+                if whole >= decontam.SAME or whole >= decontam.PARAPHRASE and answer >= decontam.ANSWER and not search.wide[f]:
+                    want.add((d, int(search.item[f])))
+    assert planted <= got and got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_items_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 3)
+    rng = random.Random(5)
+    vocab = [f"w{k}" for k in range(800)]
+    items = [" ".join(rng.choices(vocab, k=25)) for _ in range(10)]
+    docs = [(k, " ".join([*rng.choices(vocab, k=60), t, *rng.choices(vocab, k=60)])) for k, t in enumerate(items)]
+    found = decontam.find(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(10)}
+
+
 # ------------------------------------------------------------------ substring dedup
 def test_spans(spark):
     random.seed(4)
