@@ -16,7 +16,7 @@ from keyfold.operators.sizing import bounded_broadcast
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_NAMES = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 # Elements by what they mean for the text (from the HTML standard).
 RAW = {"script", "style", "template", "noscript", "title", "textarea", "iframe", "svg", "object", "canvas", "select"}
@@ -26,47 +26,81 @@ CONTENT = {"article", "main"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
           "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "td", "th", "tt", "u",
           "var", "wbr", "br"}
-#: Words of a class or id that name something other than the article.
+#: Names of things that are not the article, as the last word of a class or id: what such
+#: a name means stands last ("site-footer"; a "share-price" is a price).
 CHROME_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
                 "consent", "cookie", "cookies", "copyright", "disqus", "footer", "masthead", "menu", "modal", "nav", "navbar",
-                "navigation", "newsletter", "notice", "popup", "promo", "related", "share", "sharing", "sidebar", "social",
-                "sponsor", "sponsored", "subscribe", "widget"}
+                "navigation", "newsletter", "notice", "pagination", "popup", "promo", "recommended", "related", "share", "sharing",
+                "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "tags", "widget"}
+#: Last words that only hold what the word before them names ("comment-list").
+HOLDERS = {"area", "articles", "bar", "block", "box", "buttons", "container", "form", "inner", "item", "items", "links", "list",
+           "media", "panel", "posts", "section", "slot", "stories", "unit", "wrap", "wrapper"}
+#: Words that make a name say something about the page, or name another thing.
+FLAGS = {"has", "no", "of", "with", "without"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog"}
 
-#: Zones of a block: inside a declared article or main element, outside one, or chrome.
-MAIN, FREE, OFF = 0, 1, 2
+#: Zones of a block: inside a declared article or main element, outside one, chrome by
+#: element or role, or chrome by the name of a class or id only.
+MAIN, FREE, OFF, NAMED = 0, 1, 2, 3
+#: Places before and after a page, in the order of URLs, whose pages are held against it.
+STEPS = (-1, 1, -2, 2)
+#: Neighbours that must share a marked part of an article before it counts as chrome.
+WITNESSES = 2
 #: Cells of the alignment table kept at once (bits).
 CELLS = 1 << 25
 
 
-def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in CHROME or tag == "header" and not inside:
-        return True
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        value, name = "".join(values).lower(), name.lower()
-        if name in ("class", "id") and (set(_NAMES.findall(value)) & CHROME_NAMES or "header" in _NAMES.findall(value) and not inside):
-            return tag not in ("html", "body") and tag not in CONTENT
-        if name == "role" and value in CHROME_ROLES or name == "aria-hidden" and value == "true":
+def _names_chrome(value: str, inside: bool) -> bool:
+    for token in value.split():
+        parts = [x.lower() for x in _PARTS.findall(token)]
+        if not FLAGS.isdisjoint(parts):
+            continue
+        while len(parts) > 1 and parts[-1] in HOLDERS:
+            parts.pop()
+        if parts and (parts[-1] in CHROME_NAMES or parts[-1] == "header" and not inside):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes))
+    return False
+
+
+def _zone(tag: str, attributes: str, outer: int) -> tuple[int, str]:
+    """(zone of an element, its class and id) given the zone around it."""
+    found = [(name.lower(), "".join(values)) for name, *values in _ATTRIBUTE.findall(attributes)]
+    mark = " ".join(f"{name}={value}" for name, value in sorted(found) if name in ("class", "id") and value)
+    if outer == OFF:
+        return OFF, mark
+    if (tag in CHROME or tag == "header" and outer != MAIN or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes)
+            or any(name == "role" and value.lower() in CHROME_ROLES or name == "aria-hidden" and value.lower() == "true"
+                   for name, value in found)):
+        return OFF, mark
+    if outer == NAMED or tag not in ("html", "body") and any(
+            name in ("class", "id") and _names_chrome(value, outer == MAIN) for name, value in found):
+        return NAMED, mark
+    return (MAIN if tag in CONTENT else outer), mark
 
 
 def blocks(page: str | None) -> list[tuple[str, int]]:
-    """(text, zone) of the non-empty blocks of a page, in page order. Block elements cut
+    """(text, zone) of the non-empty blocks of a page, in page order (``marked_blocks``)."""
+    return [(line, zone) for line, zone, _ in marked_blocks(page)]
+
+
+def marked_blocks(page: str | None) -> list[tuple[str, int, str]]:
+    """(text, zone, mark) of the non-empty blocks of a page, in page order; mark: tag,
+    class and id of the nearest element around it that has a class or id, below the
+    article or main element (empty: none). Block elements cut
     blocks, inline ones do not; character references are decoded; white space inside a
     block becomes one space. Unclosed elements end with the element around them, an
     unclosed comment, script or the like with the page."""
     page = page or ""
-    out: list[tuple[str, int]] = []
+    out: list[tuple[str, int, str]] = []
     text: list[str] = []
-    open_tags: list[tuple[str, int]] = []           # element, zone outside it
-    zone, at = FREE, 0
+    open_tags: list[tuple[str, int, str]] = []      # element, zone and mark outside it
+    zone, mark, at = FREE, "", 0
 
     def flush():
         line = " ".join("".join(text).split())
         text.clear()
         if line:
-            out.append((line, zone))
+            out.append((line, zone, mark))
 
     def add(piece: str):
         text.append(html.unescape(piece) if "&" in piece else piece)
@@ -89,17 +123,17 @@ def blocks(page: str | None) -> list[tuple[str, int]]:
             continue
         flush()
         if close:
-            if any(t == tag for t, _ in open_tags):
+            if any(t == tag for t, _, _ in open_tags):
                 while True:
-                    name, zone = open_tags.pop()
+                    name, zone, mark = open_tags.pop()
                     if name == tag:
                         break
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             if tag == "p" and open_tags and open_tags[-1][0] == "p":
-                zone = open_tags.pop()[1]
-            open_tags.append((tag, zone))
-            if zone != OFF:
-                zone = OFF if _is_chrome(tag, attributes, zone == MAIN) else MAIN if tag in CONTENT else zone
+                _, zone, mark = open_tags.pop()
+            open_tags.append((tag, zone, mark))
+            zone, own = _zone(tag, attributes, zone)
+            mark = "" if tag in CONTENT else f"{tag} {own}" if own else mark
     add(page[at:])
     flush()
     return out
@@ -174,30 +208,57 @@ def shared_lines(a: list[int], b: list[int], offset: int = 0) -> list[int]:
 
 
 def _lines(batches):
-    """Per page: hashes of its lines, and the places that differencing may delete: lines
-    outside chrome on pages that declare no article."""
+    """Per page: hashes of its lines; the places that differencing may delete, which are
+    the marked lines of a declared article, or else all lines outside chrome elements; and
+    the hash of each place's mark (0 on pages that declare no article)."""
     for b in batches:
         out = []
         for k in range(b.num_rows):
             key, host, path, page = (b.column(i)[k].as_py() for i in range(4))
-            found = blocks(page)
-            declared = any(z == MAIN for _, z in found)
-            out.append((key, host, path, [line_hash(t) for t, _ in found],
-                        [] if declared else [i for i, (_, z) in enumerate(found) if z == FREE]))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, (
-            pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())))],
-            names=["key", "host", "path", "lines", "free"])
+            found = marked_blocks(page)
+            declared = any(z == MAIN for _, z, _ in found)
+            free = [(i, line_hash(m) if declared else 0) for i, (_, z, m) in enumerate(found)
+                    if (z == MAIN and m if declared else z in (FREE, NAMED))]
+            out.append((key, host, path, [line_hash(t) for t, _, _ in found], [i for i, _ in free], [m for _, m in free]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, (
+            pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())))],
+            names=["key", "host", "path", "lines", "free", "marks"])
+
+
+def chrome_lines(lines: list[int], free: list[int], marks: list[int], others: list[list[int]]) -> tuple[int, list[int]]:
+    """(lines shared with the nearest page, places to delete) of a page, given the lines of
+    its neighbours, nearest first.
+
+    Without a declared article (mark 0): the free lines shared with the nearest page. In
+    an article, a line is chrome if all lines of its mark are shared with ``WITNESSES``
+    neighbours: what a template puts in has an element of its own, while a passage that
+    pages quote stands among lines of the same element that they do not share. A page that
+    shares all lines, or half of the unmarked lines of an article, is a mirror or a copy
+    and no witness."""
+    shared = shared_lines(lines, others[0])
+    nearest = len(shared)
+    plain = [i for i, m in zip(free, marks) if not m]
+    gone = set(shared) & set(plain) if nearest < len(lines) else set()
+    groups: dict[int, set[int]] = {}
+    for i, m in zip(free, marks):
+        if m:
+            groups.setdefault(m, set()).add(i)
+    seen = dict.fromkeys(groups, 0)
+    for k, other in enumerate(others if groups else ()):
+        same = set(shared if not k else shared_lines(lines, other))
+        body = set(range(len(lines))) - {i for g in groups.values() for i in g}
+        if len(same) < len(lines) and 2 * len(same & body) <= len(body):
+            for m, places in groups.items():
+                seen[m] += places <= same
+    return nearest, sorted(gone.union(*[g for m, g in groups.items() if seen[m] >= WITNESSES]))
 
 
 def _align(batches):
     for b in batches:
         out = []
         for k in range(b.num_rows):
-            key, a, free, other = (b.column(i)[k].as_py() for i in range(4))
-            shared = shared_lines(a, other)
-            if len(shared) < len(a):                 # a mirror of the other page shows nothing
-                gone = sorted(set(shared) & set(free))
-                out.append((key, len(shared), gone))
+            key, lines, free, marks, others = (b.column(i)[k].as_py() for i in range(5))
+            out.append((key, *chrome_lines(lines, free, marks, others)))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 3, (
             pa.int64(), pa.int32(), pa.list_(pa.int32())))], names=["key", "n_shared", "gone"])
 
@@ -208,8 +269,10 @@ def _text(batches):
         for k in range(b.num_rows):
             page_id, url, page, gone = (b.column(i)[k].as_py() for i in range(4))
             found, gone = blocks(page), set(gone or ())
-            declared = any(z == MAIN for _, z in found)
-            text = "\n".join(t for i, (t, z) in enumerate(found) if z == (MAIN if declared else FREE) and i not in gone)
+            zones = {z for _, z in found}
+            # Names of classes alone never empty a page.
+            zone = MAIN if MAIN in zones else FREE if FREE in zones else NAMED
+            text = "\n".join(t for i, (t, z) in enumerate(found) if z == zone and i not in gone)
             out.append((page_id, url, text, len(text)))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, (
             pa.int64(), pa.string(), pa.string(), pa.int64()))], names=["page_id", "url", "text", "n_chars"])
@@ -218,13 +281,14 @@ def _text(batches):
 def differences(pages: DataFrame) -> DataFrame:
     """(key, n_shared, gone) of the pages (key, host, path, html) that have a neighbour:
     the number of lines they share with the page of the nearest URL on the same host, and
-    which lines outside a declared article that deletes.
+    which lines that deletes (``chrome_lines``).
 
     Pages are range-sorted by (host, path, key), which splits a hot host over partitions,
     and ranked through partition counts; the nearest is the one before or after with the
-    longer common path start (ties: before). Ranks are unique, so the joins have no hot
-    key, and only line hashes move, not pages."""
-    lines = cut(pages.mapInArrow(_lines, "key long, host string, path string, lines array<long>, free array<int>")
+    longer common path start (ties: before), then come the others of ``STEPS``, which only
+    pages with marked lines meet. Ranks are unique, so the joins have no hot key, and only
+    line hashes move, not pages."""
+    lines = cut(pages.mapInArrow(_lines, "key long, host string, path string, lines array<long>, free array<int>, marks array<long>")
                 .dropDuplicates(["key"]))
     placed = cut(lines.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key"))
     placed = placed.withColumn("part", F.spark_partition_id()).withColumn("low", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
@@ -236,19 +300,21 @@ def differences(pages: DataFrame) -> DataFrame:
     if not total:
         return pages.sparkSession.createDataFrame([], "key long, n_shared int, gone array<int>")
     ranked = cut(placed.select((F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("part") + 1) + F.col("low"))
-                               .alias("rank"), "key", "host", "path", "lines", "free"))
-
-    def neighbour(step: int, name: str):
-        return ranked.select((F.col("rank") + step).alias("rank"), F.struct("host", "path", "lines").alias(name))
-
-    both = ranked.join(neighbour(1, "before"), "rank", "left").join(neighbour(-1, "after"), "rank", "left")
-
-    def common(side: str):
-        return F.when(F.col(f"{side}.host") == F.col("host"), _common_start(F.col("path"), F.col(f"{side}.path"))).otherwise(F.lit(-1))
-
-    chosen = (both.withColumn("b", common("before")).withColumn("a", common("after"))
-              .where((F.col("a") >= 0) | (F.col("b") >= 0))
-              .select("key", "lines", "free", F.when(F.col("b") >= F.col("a"), F.col("before.lines")).otherwise(F.col("after.lines")).alias("other")))
+                               .alias("rank"), "key", "host", "path", "lines", "free", "marks"))
+    # At most len(STEPS) short rows meet at a rank: each page is sent to the places around it.
+    asks = ranked.select("rank", "key", "host", "path", "lines", "free", "marks",
+                         F.exists("marks", lambda m: m != 0).alias("marked"))
+    sent = ranked.select("host", "path", "lines", F.explode(F.array(*[F.struct(
+        (F.col("rank") - s).alias("rank"), F.lit(k).alias("step")) for k, s in enumerate(STEPS)])).alias("to"))
+    sent = sent.select(F.col("to.rank").alias("at"), F.col("to.step").alias("step"), F.col("host").alias("its_host"),
+                       F.col("path").alias("its_path"), F.col("lines").alias("its_lines"))
+    met = asks.join(sent, (F.col("rank") == F.col("at")) & (F.col("host") == F.col("its_host")) & ((F.col("step") < 2) | F.col("marked")))
+    near = F.struct((F.col("step") > 1).alias("far"), (-_common_start(F.col("path"), F.col("its_path"))).alias("n"), "step",
+                    F.col("its_lines").alias("lines"))
+    # Grouped on the keys of the join, so rows do not move again; a rank has one page.
+    chosen = (met.groupBy("rank", "host").agg(*[F.first(c).alias(c) for c in ("key", "lines", "free", "marks")],
+                                              F.sort_array(F.collect_list(near)).alias("others"))
+              .select("key", "lines", "free", "marks", F.transform("others", lambda o: o["lines"]).alias("others")))
     return chosen.mapInArrow(_align, "key long, n_shared int, gone array<int>")
 
 
@@ -264,11 +330,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     A page is parsed into blocks (``blocks``). It is paired with the page of the nearest
     URL on its host, the text lines of both are aligned by longest common subsequence, and
-    shared lines are deleted (``differences``), with one restriction: lines inside a
-    declared article or main element are the page's own and stay, since texts that pages
-    quote alike are not chrome. Menus, forms, adverts and the like that declare themselves
-    by element, class, id or role go on every page, for they often differ from page to
-    page. What is left is joined by line feeds.
+    shared lines are deleted (``differences``). Inside a declared article or main element
+    this needs two neighbours and an element of its own (``chrome_lines``), since texts
+    that pages quote alike are not chrome. Menus, forms, adverts and the like that declare
+    themselves by element, role, or the last word of a class or id go on every page, for
+    they often differ from page to page; a page that has nothing else keeps what only a
+    class or id names. What is left is joined by line feeds.
 
     Null and empty html: empty text. Null or odd url: no host, paired among themselves.
     Null page_id: returned as is. Repeated rows: each is returned, differenced once. A

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from hypothesis import given, strategies as st
 
 from keyfold.llm import pages
@@ -56,3 +57,43 @@ def test_extract(spark):
     assert got[21][0][0] == got[22][0][0] == "Head & tail\nOne two three four\nfive six"   # shared, but the article's own
     assert got[23][0][:2] == ("", 0) and got[24][0][:2] == ("", 0) and got[25][0][0].count("\n") == 2   # mirrors
     assert pages.extract(df.limit(0)).count() == 0
+
+
+def text_of(page, others=()):
+    found = pages.marked_blocks(page)
+    gone = set()
+    if others:
+        (row,) = pages._lines([pa.RecordBatch.from_pydict({"k": [1], "h": ["h"], "p": ["/"], "t": [page]})])
+        gone = set(pages.chrome_lines(*(row.column(i)[0].as_py() for i in (3, 4, 5)),
+                                      [[pages.line_hash(t) for t, _ in pages.blocks(o)] for o in others])[1])
+    zones = {z for _, z, _ in found}
+    zone = pages.MAIN if pages.MAIN in zones else pages.FREE if pages.FREE in zones else pages.NAMED
+    return "\n".join(t for k, (t, z, _) in enumerate(found) if z == zone and k not in gone)
+
+
+def test_names_that_only_look_like_chrome():
+    assert text_of("<div class='page-with-sidebar'><p>Story</p></div>") == "Story"
+    for name in ("id='social-policy'", "class='share-price'", "id='notice-of-meeting'"):
+        assert text_of(f"<article><p>One</p><div {name}>Two</div></article>") == "One\nTwo"
+    assert text_of("<div>body</div><article class='comment'>Nice post!</article>") == "body"
+    for name in ("recommended", "signup-box", "tags", "pagination", "commentList", "site-footer", "post__share"):
+        assert text_of(f"<article><p>One</p><div class='{name}'>Two</div></article>") == "One"
+    assert text_of("<div class='widget'><p>All there is</p></div>") == "All there is"
+
+
+def test_differencing_decides_in_articles():
+    def page(k, extra="", quote="A line that all pages quote."):
+        return (f"<article><h1>Title {k}</h1><p class='t'>Body {k} one.</p><p class='t'>{quote}</p><p class='t'>Body {k} two.</p>"
+                f"<div class='teaser'><p>Read on, dear friend</p><p>More for you</p></div>{extra}</article>")
+    kept = "Title 1\nBody 1 one.\nA line that all pages quote.\nBody 1 two."
+    teaser = "\nRead on, dear friend\nMore for you"
+    assert text_of(page(1), [page(0), page(2)]) == kept
+    assert text_of(page(1), [page(0)]) == kept + teaser                                   # one neighbour is no proof
+    assert text_of(page(1), [page(1), page(1), page(0)]) == kept + teaser                 # mirrors are no witnesses
+    assert text_of(page(1, "<div class='teaser'>Mine</div>"), [page(0), page(2)]) == kept + teaser + "\nMine"
+
+
+def test_marked_parts_of_a_host(spark):
+    rows = [(k, f"https://h.example.org/a/{k:02}", f"<main><p>Story {k} here.</p><div class='teaser'>Read on</div></main>") for k in range(6)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {k: f"Story {k} here." for k in range(6)}
