@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyfold.llm.common import WORD, cut
+from keyfold.llm.common import WORD, cut, with_rank
 
 #: Weights dealt to the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -29,33 +29,41 @@ def targets(sizes: DataFrame, *, share: float = 1.5, most: float = 2.0, weights=
     Weights are dealt to the sources by code point, null last. ``share`` of all sizes is
     shared by weight; a target stops at ``most`` times its source's size and the excess is
     shared again by weight until none is above. That fixed point is a water level L with
-    target = min(most * size, L * weight): with the sources ordered by size / weight, the
-    ones under water are a prefix, and L is the largest of the levels that each prefix
-    leaves to the rest. The table has one row per source, so its windows are small."""
-    src = sizes.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
-    src = src.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    target = min(most * size, L * weight). The level rises from the one that drowns no
+    source: the sources under it stop, and the rest share what they leave, until no more
+    go under; each step is an aggregate over the sources. There may be as many sources as
+    there are hosts: no window holds them all."""
+    src = with_rank(sizes.groupBy("skey", "source").agg(F.sum("size").alias("source_size")), "rank",
+                    F.col("source").isNull(), F.col("source"))
     src = src.withColumn("weight", _dealt(F.col("rank"), [float(w) for w in weights]))
-    by_ratio = Window.orderBy(F.col("source_size") / F.col("weight"), "rank")
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    everything = by_ratio.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = ((F.lit(share) * F.sum("source_size").over(everything)
-              - F.lit(most) * F.coalesce(F.sum("source_size").over(before), F.lit(0)))
-             / F.sum("weight").over(after))
-    src = src.withColumn("level", level).withColumn("level", F.max("level").over(everything))
+    level = 0.0
+    while True:
+        under = F.lit(float(most)) * F.col("source_size") < F.lit(level) * F.col("weight")
+        sums = src.agg(F.sum("source_size").alias("total"), F.sum(F.when(under, F.col("source_size"))).alias("stopped"),
+                       F.sum(F.when(~under, F.col("weight"))).alias("rest")).first()
+        risen = (share * sums["total"] - most * (sums["stopped"] or 0)) / sums["rest"] if sums["rest"] else level
+        if risen <= level:
+            break
+        level = risen
     return src.select("skey", "source_size",
-                      F.least(F.lit(most) * F.col("source_size"), F.col("level") * F.col("weight")).alias("target"),
+                      F.least(F.lit(float(most)) * F.col("source_size"), F.lit(level) * F.col("weight")).alias("target"),
                       _dealt(F.col("rank"), [float(a) for a, _ in ramps]).alias("early"),
                       _dealt(F.col("rank"), [float(b) for _, b in ramps]).alias("late"))
 
 
+def order_hash(doc_id: Column, text: Column, row: Column | None = None) -> Column:
+    """md5 that orders a source's rows and deals them into buckets: of the id; where that
+    is null, of the row key, or else of the text, so that null ids are no hot key."""
+    return F.md5(F.coalesce(doc_id.cast("string"), F.concat(F.lit("\n"), text if row is None else row.cast("string")), F.lit("")).cast("binary"))
+
+
 def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                *, share: float = 1.5, most: float = 2.0, weights=WEIGHTS, ramps=RAMPS, row_col: str | None = None) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies, positions) of every row of
     ``docs``, range-sorted by first position (rows not taken last).
 
     A size is the number of words of the whole text. Targets per source: ``targets``. A
-    source's documents stand in a fixed random order (md5 of the id), repeated pass after
+    source's documents stand in a fixed random order (``order_hash``), repeated pass after
     pass; the mix takes them from the front until the target is met: whole passes, then
     the documents whose middle word lies before the target. So taken words miss the target
     by at most half a document, no document is taken more than ``most`` times rounded up,
@@ -70,18 +78,18 @@ def curriculum(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sums give each bucket's offset, and running sums are taken within buckets.
 
     Null, empty and blank texts: size 0. Null source: a source of its own, the last. Null
-    doc_id: hashed as an empty id. A source without words: each document is taken once, 0
+    doc_id: ordered by row key or text. A source without words: each document is taken once, 0
     words. Repeated rows are documents of their own. Empty table: empty result. Other
     columns are not read, but for ``row_col``, which is handed on as row, last, and orders
-    rows of the same id and size."""
+    rows of the same id and size. Rows that share an id (not null) share a bucket."""
     key = [F.col(f"`{row_col}`").alias("row")] if row_col else []
     row_names = ["row"] if row_col else []
     text = F.col(f"`{text_col}`").cast("string")
+    order = order_hash(F.col(f"`{id_col}`"), text, F.col(f"`{row_col}`") if row_col else None)
     sizes = cut(docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
+        F.col(f"`{id_col}`").alias("doc_id"), order.alias("h"), F.col(f"`{source_col}`").cast("string").alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), *key)
         .withColumn("skey", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
-        .withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
         .withColumn("bucket", F.substring("h", 1, 3)))
     goal = targets(sizes, share=share, most=most, weights=weights, ramps=ramps)
     preceding = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +130,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     one of them meets the placings of all, which a skewed join splits."""
     # JSON tells nulls and columns apart; times are written to the microsecond.
     times = {k: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS" + zone for k, zone in (("timestampFormat", "XXX"), ("timestampNTZFormat", ""))}
-    keyed = docs.withColumn("__kf_row", F.md5(F.to_json(F.struct(*[docs[c] for c in docs.columns]), times).cast("binary")))
+    keyed = docs.withColumn("__kf_row", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), times).cast("binary")))
     placed = (curriculum(keyed, row_col="__kf_row")
               .select(F.col("row").alias("__kf_row"), F.explode("positions").alias("__kf_at")))
     return (keyed.dropDuplicates(["__kf_row"]).join(placed, "__kf_row")

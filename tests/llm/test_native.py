@@ -48,6 +48,40 @@ def test_water_level(spark):
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+def test_water_level_of_many_sources(spark):
+    """Hundreds of sources over several tasks, against the reshared excess."""
+    rows = [(f"=h{k:03}", f"h{k:03}", (k * 7919) % 997 * (1 + k % 4) ** 3) for k in range(400)] + [("null", None, 5000)]
+    sizes = spark.createDataFrame(rows, "skey string, source string, size long").repartition(7)
+    got = {r["skey"]: (r["target"], r["early"]) for r in mixing.targets(sizes).collect()}
+    weight, size = {r[0]: (5, 2, 1)[k % 3] for k, r in enumerate(rows)}, {r[0]: r[2] for r in rows}
+    left, want, open_ = 1.5 * sum(size.values()), {}, set(weight)
+    while above := [k for k in open_ if left * weight[k] > 2 * size[k] * sum(weight[j] for j in open_) * (1 + 1e-12)]:
+        want |= {k: 2 * size[k] for k in above}
+        left -= sum(want[k] for k in above)
+        open_ -= set(above)
+    below = sum(weight[j] for j in open_)
+    want |= {k: left * weight[k] / below for k in open_}
+    assert len(got) == 401 and len(open_) < 400 and all(abs(got[k][0] - want[k]) < 1e-6 * (1 + want[k]) for k in want)
+    assert all(got[r[0]][1] == (1.5, 1.0, 0.5)[k % 3] for k, r in enumerate(rows))
+    plan = mixing.targets(sizes)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_null_ids_are_spread(spark):
+    """A third of all rows without an id."""
+    rows = [(k if k % 3 else None, f"text {k}") for k in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.md5(F.concat_ws("-", "doc_id", "text").cast("binary")))
+    for row in (None, F.col("row")):
+        buckets = df.groupBy(F.substring(mixing.order_hash(F.col("doc_id"), F.col("text"), row), 1, 3)).count()
+        assert max(r["count"] for r in buckets.collect()) <= 12
+
+
+def test_mixed_with_a_dotted_column(spark):
+    docs = spark.createDataFrame([(k, f"words of {k}", "s", k) for k in range(20)], "doc_id long, text string, source string, `a.b` long")
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns and out.count() >= 20
+
+
 def test_mixed_rows(docs, no_docs):
     out = mixing.mixed(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
     assert out.columns == docs.columns
