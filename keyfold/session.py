@@ -46,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if not d and sc is not None:
         d = sc.getCheckpointDir()
-    if not d and sc is not None and not re.match(r"local(\[|$)", sc.master):
+    if not d and (sc is None or not re.match(r"local(\[|$)", sc.master)):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="keyfold-shared-")
