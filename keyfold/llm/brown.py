@@ -3,33 +3,41 @@
 from __future__ import annotations
 
 from collections import Counter
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm.common import crc_mod, cut, id_and_bytes
 from keyfold.session import scratch_path
 
-#: Most frequent words whose counts every task holds; the others are joined. A hot word is
-#: in the head, so the join has no hot key.
+#: At most so many words, the most frequent ones, are clustered from both sides; every
+#: task holds their numbers, counts and classes. The other words are a distributed table.
 HEAD = 1 << 18
-#: Types that are clustered: the most frequent words one by one, all other words by their
+#: Types the classes start from: the most frequent words one by one, all others by their
 #: last letters, and the end of a text.
 WORD_TYPES, ENDINGS = 1024, 512
 END = WORD_TYPES + ENDINGS
 TYPES = END + 1
 CLASSES = 32
+N = CLASSES + 1
 ROUNDS = 8
+#: Rounds over all words of the head; half of them may move in each.
+WIDE_ROUNDS = 6
+#: A word outside the head that occurs so often in training has a class by its own contexts.
+LEAST = 2
 #: Smoothing of word and of transition counts.
 WORD_SMOOTH, STEP_SMOOTH = 0.1, 0.1
+#: Tokens worked on together.
+SLICE = 1 << 20
 
 
 def ending(word: bytes) -> int:
-    """Type of a word that has no type of its own."""
-    return WORD_TYPES + crc32(word[-3:]) % ENDINGS
+    """Number of a word's last letters, which stand for it where it has no class of its own."""
+    return crc32(word[-3:]) % ENDINGS
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -102,46 +110,274 @@ def _count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _type_pairs(texts: DataFrame, types: dict[bytes, int]) -> np.ndarray:
-    """Counts of neighbouring types over all ``texts``; a text stands between two ends.
-    Counted per task, then summed; the table of types x types is bounded."""
+def _head(vocab: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The most frequent words and their counts: all words whose count is over a threshold
+    that at most ``most`` words reach, read off a histogram of counts (at most 16,384 bins),
+    so that no task sorts the vocabulary."""
+    size = F.floor(F.log2("n") * 256).cast("int")
+    bins = sorted(((r["b"], r["count"]) for r in vocab.groupBy(size.alias("b")).count().collect()), reverse=True)
+    least, total = None, 0
+    for b, n in bins:
+        total += n
+        if total > most:
+            break
+        least = b
+    if least is None:
+        return [], np.zeros(0)
+    top = vocab.where(size >= least).toArrow()
+    found = sorted(zip((-top["n"].to_numpy()).tolist(), top["word"].to_pylist()))
+    return [w for _, w in found], np.array([-n for n, _ in found], np.float64)
+
+
+def _encoded(texts: DataFrame, words: list[bytes]) -> DataFrame:
+    """``texts`` as numbers, written to the shared folder once: ids has a word's number in
+    the head, or the head's size plus the number of its ending; rare has the words outside
+    the head in order."""
+    h, number = len(words), {w: k for k, w in enumerate(words)}
+
     def run(batches):
-        total = np.zeros(TYPES * TYPES, np.int64)
+        get = number.get
+
+        def out(rows):
+            keys, doc, held, train, ids, rare = zip(*rows)
+
+            def lists(parts, flat):
+                return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in parts])], pa.int32()), flat)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(doc, pa.int64()), pa.array(held, pa.bool_()), pa.array(train, pa.bool_()),
+                 lists(ids, pa.array(np.concatenate(ids))), lists(rare, pa.array([w for r in rare for w in r], pa.binary()))],
+                names=["key", "doc_id", "held_out", "train", "ids", "rare"])
+
         for b in batches:
-            ids: list[int] = []
-            for t in b.column(1):
-                ids.append(END)
-                ids.extend([types.get(w) or ending(w) for w in (t.as_py() or b"").lower().split()])
-                if len(ids) > 1 << 20:
-                    seq = np.array([*ids, END])
-                    total += np.bincount(seq[:-1] * TYPES + seq[1:], minlength=TYPES * TYPES)
-                    ids = []
-            if ids:
-                seq = np.array([*ids, END])
-                total += np.bincount(seq[:-1] * TYPES + seq[1:], minlength=TYPES * TYPES)
+            rows, size = [], 0
+            for key, doc, held, train, t in zip(*(b.column(k).to_pylist() for k in range(4)), b.column(4)):
+                tokens = (t.as_py() or b"").lower().split()
+                ids = np.array([get(w, -1) for w in tokens], np.int32)
+                far = np.flatnonzero(ids < 0)
+                rare = [tokens[k] for k in far]
+                ids[far] = [h + ending(w) for w in rare]
+                rows.append((key, doc, held, train, ids, rare))
+                size += len(tokens)
+                if size > SLICE:
+                    yield out(rows)
+                    rows, size = [], 0
+            if rows:
+                yield out(rows)
+
+    path = scratch_path(texts.sparkSession, "lm-encoded")
+    (texts.mapInArrow(run, "key long, doc_id long, held_out boolean, train boolean, ids array<int>, rare array<binary>")
+     .write.option("compression", "zstd").parquet(path))
+    return texts.sparkSession.read.parquet(path)
+
+
+def _chain(ids: pa.ListArray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(units, starts): the rows of a batch as one chain, an ``end`` before, between and
+    after them, and the place of the ``end`` before each row."""
+    offsets = ids.offsets.to_numpy()
+    sizes = np.diff(offsets)
+    starts = offsets[:-1] - offsets[0] + np.arange(len(sizes))
+    chain = np.full(int(sizes.sum()) + len(sizes) + 1, end, np.int64)
+    inner = np.ones(len(chain), bool)
+    inner[np.r_[starts, len(chain) - 1]] = False
+    chain[inner] = ids.flatten().to_numpy(zero_copy_only=False)
+    return chain, starts
+
+
+def _steps(chains: DataFrame, of: np.ndarray, wide: int, targets: np.ndarray | None = None) -> np.ndarray:
+    """Counts of neighbouring classes (wide x wide) over all chains, ``of`` giving the class
+    of a unit; only those whose second unit is among ``targets``, if given. Counted per
+    task, then summed."""
+    end = len(of) - 1
+
+    def run(batches):
+        total = np.zeros(wide * wide, np.int64)
+        for b in batches:
+            chain, _ = _chain(b.column(0), end)
+            for s in range(0, len(chain) - 1, SLICE):
+                part = chain[s:s + SLICE + 1]
+                pair = of[part[:-1]] * wide + of[part[1:]]
+                total += np.bincount(pair if targets is None else pair[targets[part[1:]]], minlength=wide * wide)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
-    found = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    pairs = np.zeros(TYPES * TYPES, np.int64)
-    pairs[found["pair"].to_numpy()] = found["n"].to_numpy()
-    return pairs.reshape(TYPES, TYPES)
+    found = chains.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    grid = np.zeros(wide * wide)
+    grid[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return grid.reshape(wide, wide)
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """Of the class bigram model, but for what depends on the words alone."""
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(axis=0)).sum() - _xlogx(grid.sum(axis=1)).sum())
 
 
-def _type_sizes(vocab: DataFrame, types: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Per type: distinct words and tokens, over the whole vocabulary."""
+def better(grid: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Per unit the class that gives the likeliest model if the unit alone is moved there;
+    its class ``of`` if none is better. ``left`` and ``right``: per unit the counts of
+    classes before and after it, but for the unit itself, which follows itself ``own`` times."""
+    gains = np.empty((len(of), CLASSES))
+    out, into = grid.sum(axis=1), grid.sum(axis=0)
+    n_out, n_into, rows = right.sum(axis=1) + own, left.sum(axis=1) + own, np.arange(len(of))
+    for b in range(CLASSES):
+        here = (of == b).astype(np.float64)
+        # The grid without the unit: it stands in row and column ``of``.
+        row, col = grid[b] - here[:, None] * right, grid[:, b] - here[:, None] * left
+        row[rows, of] -= (1 - here) * left[:, b]
+        col[rows, of] -= (1 - here) * right[:, b]
+        corner = grid[b, b] - here * (right[:, b] + left[:, b] + own)
+        gain = (_xlogx(row + right) - _xlogx(row)).sum(axis=1) - (_xlogx(row[:, b] + right[:, b]) - _xlogx(row[:, b]))
+        gain += (_xlogx(col + left) - _xlogx(col)).sum(axis=1) - (_xlogx(col[:, b] + left[:, b]) - _xlogx(col[:, b]))
+        gain += _xlogx(corner + right[:, b] + left[:, b] + own) - _xlogx(corner)
+        gain -= _xlogx(out[b] - here * n_out + n_out) - _xlogx(out[b] - here * n_out)
+        gain -= _xlogx(into[b] - here * n_into + n_into) - _xlogx(into[b] - here * n_into)
+        gains[:, b] = gain
+    best = gains.argmax(axis=1)
+    return np.where(gains[rows, best] > gains[rows, of] + 1e-9, best, of)
+
+
+def _moves(chains: DataFrame, of: np.ndarray, grid: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """(units, classes) of those units of one half that ``better`` moves. The counts of
+    neighbouring classes are a distributed table of (unit, class); a unit's are together
+    in one row of at most 2 * N + 1 numbers."""
+    end, wide = len(of) - 1, 2 * N + 1
+
+    def count(batches):
+        for b in batches:
+            chain, _ = _chain(b.column(0), end)
+            for s in range(0, len(chain) - 1, SLICE):
+                part = chain[s:s + SLICE + 1]
+                u, v = part[:-1], part[1:]
+                after, before = (u % 2 == half) & (u != end), (v % 2 == half) & (v != end)
+                same = u == v
+                key = np.concatenate([v[before & ~same] * wide + of[u[before & ~same]], u[after & ~same] * wide + N + of[v[after & ~same]],
+                                      u[after & same] * wide + 2 * N])
+                key, n = np.unique(key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key // wide), pa.array(key % wide), pa.array(n)], names=["unit", "at", "n"])
+
+    def move(batches):
+        for b in batches:
+            units, cells = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
+            flat, sizes = cells.flatten(), np.diff(cells.offsets.to_numpy())
+            table = np.zeros((len(units), wide))
+            table[np.repeat(np.arange(len(units)), sizes), flat.field(0).to_numpy(zero_copy_only=False)] = flat.field(1).to_numpy(zero_copy_only=False)
+            to = better(grid, table[:, :N], table[:, N:2 * N], table[:, -1], of[units])
+            moved = to != of[units]
+            yield pa.RecordBatch.from_arrays([pa.array(units[moved]), pa.array(to[moved])], names=["unit", "to"])
+
+    found = (chains.mapInArrow(count, "unit long, at long, n long").groupBy("unit", "at").agg(F.sum("n").alias("n"))
+             .groupBy("unit").agg(F.collect_list(F.struct("at", "n")).alias("cells"))
+             .mapInArrow(move, "unit long, to long").toArrow())
+    return found["unit"].to_numpy(), found["to"].to_numpy()
+
+
+def classes_of(encoded: DataFrame, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(of, grid): the class of each unit (the words of the head, then the endings, then the
+    end of a text) and the counts of neighbouring classes. ``exchange`` clusters the types;
+    every word of the head starts in the class of its type. Then, in each of
+    ``WIDE_ROUNDS`` rounds over all training texts, every second unit moves to the class
+    that its own neighbours make likeliest; the likeliest state of all rounds is kept."""
+    h, chains = len(words), encoded.where("train").select("ids")
+    core = min(h, WORD_TYPES)
+    types = np.array([*range(core), *(WORD_TYPES + ending(w) for w in words[core:]), *range(WORD_TYPES, TYPES)], np.int64)
+    of = exchange(_steps(chains, types, TYPES))[types]
+    grid = _steps(chains, of, N)
+    best, idle = (likelihood(grid), of, grid), 0
+    for k in range(WIDE_ROUNDS):
+        units, to = _moves(chains, of, grid, k % 2)
+        idle = 0 if len(units) else idle + 1
+        if idle == 2:
+            break
+        if len(units):
+            of = of.copy()
+            of[units] = to
+            grid = _steps(chains, of, N)
+            best = max(best, (likelihood(grid), of, grid), key=lambda x: x[0])
+    return best[1], best[2]
+
+
+def _rare(encoded: DataFrame, of: np.ndarray, h: int) -> DataFrame:
+    """(key, train, word, before, own) of every occurrence of a word outside the head:
+    the class of the unit before it and the class of its ending."""
+    end = len(of) - 1
+
     def run(batches):
         for b in batches:
-            of = np.array([types.get(w) or ending(w) for w in b.column(0).to_pylist()], np.int64)
-            n = b.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(TYPES, dtype=np.int32)), pa.array(np.bincount(of, minlength=TYPES)),
-                                              pa.array(np.bincount(of, n, TYPES).astype(np.int64))], names=["type", "words", "tokens"])
-    found = (vocab.mapInArrow(run, "type int, words long, tokens long").groupBy("type")
-             .agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).toArrow())
-    words, tokens = np.zeros(TYPES), np.zeros(TYPES)
-    words[found["type"].to_numpy()] = found["words"].to_numpy()
-    tokens[found["type"].to_numpy()] = found["tokens"].to_numpy()
-    return words, tokens
+            chain, starts = _chain(b.column(2), end)
+            at = np.flatnonzero((chain >= h) & (chain < end))
+            row = np.searchsorted(starts, at, side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), b.column(3).flatten(),
+                 pa.array(of[chain[at - 1]].astype(np.int32)), pa.array(of[chain[at]].astype(np.int32))],
+                names=["key", "train", "word", "before", "own"])
+    return encoded.select("key", "train", "ids", "rare").mapInArrow(run, "key long, train boolean, word binary, before int, own int")
+
+
+def _rare_classes(rare: DataFrame, grid: np.ndarray) -> DataFrame:
+    """(word, n, cls, cells) of the words outside the head that occur in training, written
+    to the shared folder. cls is the class that makes the word likeliest after the classes
+    before it (``cells``: their counts) if it occurs ``LEAST`` times, else its ending's."""
+    into = grid.sum(axis=0)
+
+    def run(batches):
+        for b in batches:
+            n, own = b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            cells = b.column(3)
+            flat, sizes = cells.flatten(), np.diff(cells.offsets.to_numpy())
+            left = np.zeros((len(n), N))
+            left[np.repeat(np.arange(len(n)), sizes), flat.field(0).to_numpy(zero_copy_only=False)] = flat.field(1).to_numpy(zero_copy_only=False)
+            gains = np.empty((len(n), CLASSES))
+            for c in range(CLASSES):
+                here = (own == c).astype(np.float64)
+                col, total = grid[:, c] - here[:, None] * left, into[c] - here * n
+                gains[:, c] = (_xlogx(col + left) - _xlogx(col)).sum(axis=1) - (_xlogx(total + n) - _xlogx(total))
+            best, rows = gains.argmax(axis=1), np.arange(len(n))
+            better_there = (n >= LEAST) & (gains[rows, best] > gains[rows, own] + 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.where(better_there, best, own).astype(np.int32)), cells],
+                                             names=["word", "n", "cls", "cells"])
+
+    path = scratch_path(rare.sparkSession, "lm-rare")
+    (rare.where("train").groupBy("word", "own", "before").agg(F.count(F.lit(1)).alias("n"))
+     .groupBy("word", "own").agg(F.sum("n").alias("n"), F.collect_list(F.struct("before", "n")).alias("cells"))
+     .select("word", "n", "own", "cells")
+     .mapInArrow(run, "word binary, n long, cls int, cells array<struct<before:int,n:long>>")
+     .write.option("compression", "zstd").parquet(path))
+    return rare.sparkSession.read.parquet(path)
+
+
+class Model(NamedTuple):
+    """words, counts: the head. of: class of each unit (words of the head, endings, end).
+    rare: (word, n, cls, cells) of the other words. steps: log10 P(class | class before).
+    below: per class what a smoothed word count is divided by."""
+
+    words: list[bytes]
+    counts: np.ndarray
+    of: np.ndarray
+    rare: DataFrame
+    steps: np.ndarray
+    below: np.ndarray
+
+
+def train(encoded: DataFrame, words: list[bytes], counts: np.ndarray) -> Model:
+    """The class model of the training texts among ``encoded``."""
+    h = len(words)
+    of, grid = classes_of(encoded, words)
+    rare = _rare_classes(_rare(encoded, of, h), grid)
+    targets = np.ones(len(of), bool)
+    targets[h:-1] = False
+    steps = _steps(encoded.where("train").select("ids"), of, N, targets)
+    for r in (rare.select("cls", F.explode("cells").alias("c")).groupBy("cls", "c.before").agg(F.sum("c.n").alias("n")).collect()):
+        steps[r["before"], r["cls"]] += r["n"]
+    distinct, tokens = np.bincount(of[:h], minlength=N).astype(float), np.bincount(of[:h], counts, N)
+    for r in rare.groupBy("cls").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect():
+        distinct[r["cls"]] += r["words"]
+        tokens[r["cls"]] += r["tokens"]
+    steps = np.log10((steps + STEP_SMOOTH) / (steps.sum(axis=1, keepdims=True) + STEP_SMOOTH * N))
+    return Model(words, counts, of, rare, steps, tokens + WORD_SMOOTH * (distinct + 1))
+
+
+def _table(values: np.ndarray, at: Column) -> Column:
+    """Number at a place of a short constant list."""
+    return F.element_at(F.expr("array(" + ", ".join(f"{float(x)!r}D" for x in values) + ")"), (at + 1).cast("int"))
 
 
 def score(docs: DataFrame, *, held_out_of: int = 10, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text",
@@ -151,14 +387,18 @@ def score(docs: DataFrame, *, held_out_of: int = 10, held_out: int = 0, id_col:
 
     Tokens: the words of the whole text, A-Z lower-cased, then one end. The training rows
     are those whose crc32(doc_id) modulo ``held_out_of`` is not ``held_out``; all counts
-    are over all of them. Word types are assigned to classes by the exchange algorithm
-    (``exchange``), and log10 P(text) = sum of log10 P(class | previous class) + log10
-    P(word | class), add-smoothed; a class keeps the mass of one unseen word. perplexity is
+    are over all of them. Words are assigned to classes by the exchange algorithm: the at
+    most ``head`` most frequent ones by the classes on both sides (``classes_of``), the
+    others that occur ``LEAST`` times by the classes before them (``_rare_classes``), rarer
+    and unseen ones by their last three bytes. log10 P(text) = sum of log10 P(class of the
+    word | class before) + log10 P(word | its class), add-smoothed; the class before is
+    that of the ending where the word before is outside the head, so that it is known
+    without a join. A class keeps the mass of one unseen word. perplexity is
     10^(-score / n_tokens). base_score is the smoothed unigram score.
 
-    The word counts are a distributed table that grows with the corpus. A task scores what
-    needs only the ``head`` most frequent words (bounded) on its own; counts of all other
-    words are joined to (row, word) pairs and summed per row. No text is shuffled.
+    The words outside the head are a distributed table that grows with the corpus; their
+    occurrences are joined to it and summed per row. No text is shuffled. The texts are
+    read twice, to count words and to write them as numbers, which all later passes read.
 
     Null, empty and blank texts: one token, the end. Null doc_id: scored, held_out false,
     not learnt from. Repeated rows: each is returned and learnt from. Nothing to learn
@@ -166,71 +406,47 @@ def score(docs: DataFrame, *, held_out_of: int = 10, held_out: int = 0, id_col:
     table: empty result. Other columns are not read."""
     texts = id_and_bytes(docs, id_col, text_col)
     crc = crc_mod(F.col("doc_id"), held_out_of)
-    training = texts.where(crc != held_out)
-    vocab = cut(_count_words(training))
-    ends = training.count()
+    vocab = cut(_count_words(texts.where(crc != held_out)))
+    ends = texts.where(crc != held_out).count()
     sums = vocab.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (1 if ends else 0)
-    top = vocab.orderBy(F.col("n").desc(), "word").limit(max(head, WORD_TYPES)).toArrow()
-    words = top["word"].to_pylist()
-    # Type 0 is left free so that a type is never false.
-    types = {w: k + 1 for k, w in enumerate(words[:WORD_TYPES - 1])}
-    words, counts = words[:head], top["n"].to_numpy()[:head].astype(np.float64)
-    pairs = _type_pairs(training, types)
-    of = exchange(pairs)
-    n_classes = CLASSES + 1
-    steps = np.zeros((n_classes, n_classes))
-    np.add.at(steps, (of[:, None], of[None, :]), pairs)
-    steps = np.log10((steps + STEP_SMOOTH) / (steps.sum(axis=1, keepdims=True) + STEP_SMOOTH * n_classes))
-    type_words, type_tokens = _type_sizes(vocab, types)
-    below = (np.bincount(of, type_tokens, n_classes) + WORD_SMOOTH * (np.bincount(of, type_words, n_classes) + 1))
-    base_below = tokens + WORD_SMOOTH * (distinct + 1)
-    head_class = np.array([of[types.get(w) or ending(w)] for w in words], np.int64)
-    head_base = np.log10((counts + WORD_SMOOTH) / base_below)
-    head_word = np.log10((counts + WORD_SMOOTH) / below[head_class]) if len(words) else counts
-    end_base = float(np.log10((ends + WORD_SMOOTH) / base_below))
-    number = {w: k for k, w in enumerate(words)}
+    words, counts = _head(vocab, head)
+    encoded = _encoded(texts.select(F.monotonically_increasing_id().alias("key"), "doc_id",
+                                    F.coalesce(crc == held_out, F.lit(False)).alias("held_out"),
+                                    F.coalesce(crc != held_out, F.lit(False)).alias("train"), "text"), words)
+    model = train(encoded, words, counts)
+    h, of, steps = len(words), model.of, model.steps
+    end, base_below = len(of) - 1, tokens + WORD_SMOOTH * (distinct + 1)
+    # Per unit what it adds wherever it stands; words outside the head are added by the join.
+    base, emitted, known = np.zeros(len(of)), np.zeros(len(of)), np.zeros(len(of), np.int64)
+    base[:h], known[:h] = np.log10((counts + WORD_SMOOTH) / base_below), 1
+    emitted[:h] = np.log10((counts + WORD_SMOOTH) / model.below[of[:h]])
+    base[end], known[end] = np.log10((ends + WORD_SMOOTH) / base_below), int(ends > 0)
+    inside = np.ones(len(of), bool)
+    inside[h:end] = False
 
     def run(batches):
-        get, end_class = number.get, CLASSES
         for b in batches:
-            keys, rows, tails = [], [], []
-            for key, doc, held, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
-                tokens_of = (t.as_py() or b"").lower().split()
-                at = np.array([get(w, -1) for w in tokens_of], np.int64)
-                known = at >= 0
-                chain = np.full(len(at) + 2, end_class)
-                inner = chain[1:-1]
-                inner[known] = head_class[at[known]]
-                rare = [tokens_of[k] for k in np.flatnonzero(~known)]
-                inner[~known] = [of[types.get(w) or ending(w)] for w in rare]
-                tail = [{"word": w, "cls": int(of[types.get(w) or ending(w)]), "n": n} for w, n in Counter(rare).items()]
-                keys.append(key)
-                rows.append((doc, held, len(at) + 1, int(known.sum()) + (ends > 0), float(head_base[at[known]].sum()) + end_base,
-                             float(steps[chain[:-1], chain[1:]].sum() + head_word[at[known]].sum())))
-                tails.append(tail)
-            doc, held, n, k, base, full = zip(*rows) if rows else ((),) * 6
+            if not b.num_rows:
+                continue
+            chain, starts = _chain(b.column(3), end)
+            u, v = chain[:-1], chain[1:]
+            each = np.where(inside[v], emitted[v] + steps[of[u], of[v]], 0.0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(doc, pa.int64()), pa.array(held, pa.bool_()), pa.array(n, pa.int64()),
-                 pa.array(k, pa.int64()), pa.array(base, pa.float64()), pa.array(full, pa.float64()),
-                 pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("cls", pa.int32()), ("n", pa.int64())])))],
-                names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail"])
-
-    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "lm-partial")
-    (texts.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.coalesce(crc == held_out, F.lit(False)).alias("held_out"), "text")
-     .mapInArrow(run, "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-                      "tail array<struct<word:binary,cls:int,n:long>>").write.parquet(path))
-    partial = spark.read.parquet(path)
-    rare = partial.select("key", F.explode("tail").alias("t")).select("key", "t.word", "t.cls", "t.n")
-    c = F.coalesce("c", F.lit(0))
-    class_below = F.element_at(F.array(*[F.lit(float(x)) for x in below]), F.col("cls") + 1)
-    added = (rare.join(vocab.withColumnRenamed("n", "c"), "word", "left").groupBy("key").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("k"),
-        F.sum(F.col("n") * F.log10((c + F.lit(WORD_SMOOTH)) / F.lit(float(base_below)))).alias("b"),
-        F.sum(F.col("n") * F.log10((c + F.lit(WORD_SMOOTH)) / class_below)).alias("s")))
-    return (partial.drop("tail").join(added, "key", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
+                [*(b.column(k) for k in range(3)), pa.array(np.diff(np.r_[starts, len(v)])), pa.array(np.add.reduceat(known[v], starts)),
+                 pa.array(np.add.reduceat(base[v], starts)), pa.array(np.add.reduceat(each, starts))],
+                names=["key", "doc_id", "held_out", "n_tokens", "k", "b", "s"])
+
+    rows = encoded.select("key", "doc_id", "held_out", "ids").mapInArrow(
+        run, "key long, doc_id long, held_out boolean, n_tokens long, k long, b double, s double")
+    n, cls = F.coalesce("n", F.lit(0)), F.coalesce("cls", "own")
+    added = (_rare(encoded, of, h).join(model.rare.select("word", "n", "cls"), "word", "left").groupBy("key").agg(
+        F.sum(F.when(n > 0, 1).otherwise(0)).alias("rare_k"),
+        F.sum(F.log10((n + F.lit(WORD_SMOOTH)) / F.lit(float(base_below)))).alias("rare_b"),
+        F.sum(F.log10((n + F.lit(WORD_SMOOTH)) / _table(model.below, cls)) + _table(steps.ravel(), F.col("before") * N + cls)).alias("rare_s")))
+    return (rows.join(added, "key", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("k") + F.coalesce("rare_k", F.lit(0))).alias("n_known"),
         F.lit(int(tokens)).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("b", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"))
+        (F.col("b") + F.coalesce("rare_b", F.lit(0.0))).alias("base_score"),
+        (F.col("s") + F.coalesce("rare_s", F.lit(0.0))).alias("score"))
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))

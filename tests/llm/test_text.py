@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -269,12 +270,53 @@ def test_sentences_cover_the_text(text):
 
 
 # ------------------------------------------------------------------ language model
-def test_brown_scores(docs, no_docs, texts):
-    got = brown.score(docs, head=20).collect()
+def brown_model_by_hand(model, head_of, rows):
+    """(score of a text, words that have a class by their own contexts) of the class model,
+    counted afresh in plain Python from the classes of words alone."""
+    h = len(model.words)
+    number = {w: k for k, w in enumerate(model.words)}
+    rare = {bytes(r["word"]): r["cls"] for r in model.rare.collect()}
+    end = int(model.of[-1])
+
+    def history(w):
+        return int(model.of[number[w]] if w in number else model.of[h + brown.ending(w)])
+
+    def emitting(w):
+        return int(model.of[number[w]]) if w in number else rare.get(w, history(w))
+
+    step, into, out, members = Counter(), Counter(), Counter(), {}
+    for w in rows:
+        for a, b in zip([None, *w], [*w, None]):
+            k, c = end if a is None else history(a), end if b is None else emitting(b)
+            step[k, c] += 1
+            out[k] += 1
+            if b is not None:
+                into[c] += 1
+                members.setdefault(c, Counter())[b] += 1
+
+    def score(w):
+        total = 0.0
+        for a, b in zip([None, *w], [*w, None]):
+            k, c = end if a is None else history(a), end if b is None else emitting(b)
+            total += math.log10((step[k, c] + 0.1) / (out[k] + 0.1 * 33))
+            if b is not None:
+                seen = members.get(c, Counter())
+                total += math.log10((seen[b] + 0.1) / (into[c] + 0.1 * (len(seen) + 1)))
+        return total
+    return score
+
+
+@pytest.mark.parametrize("head", [0, 20, brown.HEAD])
+def test_brown_scores(docs, no_docs, texts, head, monkeypatch):
+    models, plain = [], brown.train
+    monkeypatch.setattr(brown, "train", lambda *a: models.append(plain(*a)) or models[-1])
+    got = brown.score(docs, head=head).collect()
     assert len(got) == len(texts)
     words = [(i, (t or "").encode().lower().split()) for i, t in texts]
     train = [w for i, w in words if i is not None and zlib.crc32(str(i).encode()) % 10]
     counts = Counter(x for w in train for x in w)
+    assert len(models[0].words) <= head and (head < brown.HEAD or len(models[0].words) == len(counts))
+    by_hand = brown_model_by_hand(models[0], head, train)
     n, v = sum(counts.values()) + len(train), len(counts) + 1
     by_id = dict(words)
     for r in got:
@@ -283,9 +325,33 @@ def test_brown_scores(docs, no_docs, texts):
         assert math.isclose(r["base_score"], base, rel_tol=1e-9) and r["train_tokens"] == n
         assert r["n_tokens"] == len(w) + 1 and r["n_known"] == sum(counts[x] > 0 for x in w) + 1
         assert r["score"] < 0 and r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0)
-    whole = {r["doc_id"]: r["score"] for r in brown.score(docs).collect()}       # the head only moves work
-    assert all(math.isclose(whole[r["doc_id"]], r["score"], rel_tol=1e-9) for r in got)
-    assert brown.score(no_docs).count() == 0
+        assert math.isclose(r["score"], by_hand(w), rel_tol=1e-9)
+    assert brown.score(no_docs, head=head).count() == 0
+
+
+def test_head_is_a_threshold_of_counts(spark):
+    vocab = spark.createDataFrame([(f"w{k}".encode(), n) for k, n in enumerate([9, 7, 7, 5, 1, 1, 1])], "word binary, n long")
+    assert brown._head(vocab, 4)[0] == [b"w0", b"w1", b"w2", b"w3"] and brown._head(vocab, 7)[1].tolist() == [9, 7, 7, 5, 1, 1, 1]
+    assert brown._head(vocab, 2)[0] == [b"w0"] and brown._head(vocab, 0)[0] == []    # equal counts are in or out together
+
+
+def test_wide_rounds_choose_the_best_single_move():
+    rng = np.random.default_rng(8)
+    of = np.r_[rng.integers(0, brown.CLASSES, 60), brown.CLASSES]
+    pairs = rng.poisson(1.0, (61, 61)).astype(float)
+    one = np.eye(brown.N)[of]
+    grid = one.T @ pairs @ one
+    own = np.diag(pairs)
+    left, right = pairs.T @ one - own[:, None] * one, pairs @ one - own[:, None] * one
+    to = brown.better(grid, left[:-1], right[:-1], own[:-1], of[:-1])
+    for w in range(60):
+        found = []
+        for c in range(brown.CLASSES):
+            other = of.copy()
+            other[w] = c
+            there = np.eye(brown.N)[other]
+            found.append(brown.likelihood(there.T @ pairs @ there))
+        assert found[to[w]] >= max(found) - 1e-6
 
 
 def test_exchange_raises_likelihood():
