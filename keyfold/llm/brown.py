@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +27,13 @@ CLASSES = 32
 N = CLASSES + 1
 ROUNDS = 8
 #: Rounds over all words of the head; half of them may move in each.
-WIDE_ROUNDS = 6
+WIDE_ROUNDS = 2
 #: A word outside the head that occurs so often in training has a class by its own contexts.
 LEAST = 2
 #: Smoothing of word and of transition counts.
 WORD_SMOOTH, STEP_SMOOTH = 0.1, 0.1
-#: Tokens worked on together.
-SLICE = 1 << 20
+#: Tokens, and bytes of text, worked on together.
+SLICE, BYTES = 1 << 19, 1 << 22
 
 
 def ending(word: bytes) -> int:
@@ -98,15 +99,33 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) ->
     return of
 
 
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(words, sizes): the words of all texts of an array in order, A-Z lower-cased, and
+    how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, b"").view(pa.string())))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    full = pc.greater(pc.binary_length(flat), 0)
+    upto = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+    return flat.filter(full).view(pa.binary()), np.diff(upto[offsets])
+
+
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in runs of rows with about ``BYTES`` of text each."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all ``texts``, counted per batch, then summed."""
     def run(batches):
-        for b in batches:
-            seen: Counter = Counter()
-            for t in b.column(1):
-                seen.update((t.as_py() or b"").lower().split())
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                             names=["word", "n"])
+        for whole in batches:
+            for b in _slices(whole, 1):
+                found = pc.value_counts(tokens_of(b.column(1))[0])
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -133,36 +152,24 @@ def _encoded(texts: DataFrame, words: list[bytes]) -> DataFrame:
     """``texts`` as numbers, written to the shared folder once: ids has a word's number in
     the head, or the head's size plus the number of its ending; rare has the words outside
     the head in order."""
-    h, number = len(words), {w: k for k, w in enumerate(words)}
+    h, head = len(words), pa.array(words, pa.binary())
 
     def run(batches):
-        get = number.get
-
-        def out(rows):
-            keys, doc, held, train, ids, rare = zip(*rows)
-
-            def lists(parts, flat):
-                return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in parts])], pa.int32()), flat)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(doc, pa.int64()), pa.array(held, pa.bool_()), pa.array(train, pa.bool_()),
-                 lists(ids, pa.array(np.concatenate(ids))), lists(rare, pa.array([w for r in rare for w in r], pa.binary()))],
-                names=["key", "doc_id", "held_out", "train", "ids", "rare"])
-
-        for b in batches:
-            rows, size = [], 0
-            for key, doc, held, train, t in zip(*(b.column(k).to_pylist() for k in range(4)), b.column(4)):
-                tokens = (t.as_py() or b"").lower().split()
-                ids = np.array([get(w, -1) for w in tokens], np.int32)
-                far = np.flatnonzero(ids < 0)
-                rare = [tokens[k] for k in far]
-                ids[far] = [h + ending(w) for w in rare]
-                rows.append((key, doc, held, train, ids, rare))
-                size += len(tokens)
-                if size > SLICE:
-                    yield out(rows)
-                    rows, size = [], 0
-            if rows:
-                yield out(rows)
+        for whole in batches:
+            for b in _slices(whole, 4):
+                flat, sizes = tokens_of(b.column(4))
+                ids = pc.index_in(flat, value_set=head)
+                rare = flat.filter(pc.is_null(ids))
+                last = pc.dictionary_encode(pc.binary_slice(rare, -3))
+                endings = np.array([ending(w) for w in last.dictionary.to_pylist()], np.int32)
+                far = pc.is_null(ids).to_numpy(zero_copy_only=False)
+                ids = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).copy()
+                ids[far] = h + endings[last.indices.to_numpy(zero_copy_only=False)]
+                upto, rare_upto = np.r_[0, np.cumsum(sizes)], np.r_[0, np.cumsum(far)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(k) for k in range(4)), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids)),
+                     pa.ListArray.from_arrays(pa.array(rare_upto[upto], pa.int32()), rare)],
+                    names=["key", "doc_id", "held_out", "train", "ids", "rare"])
 
     path = scratch_path(texts.sparkSession, "lm-encoded")
     (texts.mapInArrow(run, "key long, doc_id long, held_out boolean, train boolean, ids array<int>, rare array<binary>")
@@ -183,27 +190,28 @@ def _chain(ids: pa.ListArray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return chain, starts
 
 
-def _steps(chains: DataFrame, of: np.ndarray, wide: int, targets: np.ndarray | None = None) -> np.ndarray:
+def _steps(chains: DataFrame, of: np.ndarray, wide: int, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Counts of neighbouring classes (wide x wide) over all chains, ``of`` giving the class
-    of a unit; only those whose second unit is among ``targets``, if given. Counted per
-    task, then summed."""
+    of a unit: of all, and of those whose second unit is ``inside``. Counted per task, then
+    summed."""
     end = len(of) - 1
+    place = of if inside is None else of + np.where(inside, 0, wide * wide)
 
     def run(batches):
-        total = np.zeros(wide * wide, np.int64)
+        total = np.zeros(2 * wide * wide if inside is not None else wide * wide, np.int64)
         for b in batches:
             chain, _ = _chain(b.column(0), end)
             for s in range(0, len(chain) - 1, SLICE):
                 part = chain[s:s + SLICE + 1]
-                pair = of[part[:-1]] * wide + of[part[1:]]
-                total += np.bincount(pair if targets is None else pair[targets[part[1:]]], minlength=wide * wide)
+                total += np.bincount(of[part[:-1]] * wide + place[part[1:]], minlength=len(total))
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
 
     found = chains.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    grid = np.zeros(wide * wide)
-    grid[found["pair"].to_numpy()] = found["n"].to_numpy()
-    return grid.reshape(wide, wide)
+    grids = np.zeros(2 * wide * wide)
+    grids[found["pair"].to_numpy()] = found["n"].to_numpy()
+    grids = grids.reshape(2, wide, wide)
+    return grids.sum(axis=0), grids[0]
 
 
 def likelihood(grid: np.ndarray) -> float:
@@ -270,29 +278,31 @@ def _moves(chains: DataFrame, of: np.ndarray, grid: np.ndarray, half: int) -> tu
     return found["unit"].to_numpy(), found["to"].to_numpy()
 
 
-def classes_of(encoded: DataFrame, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(of, grid): the class of each unit (the words of the head, then the endings, then the
-    end of a text) and the counts of neighbouring classes. ``exchange`` clusters the types;
-    every word of the head starts in the class of its type. Then, in each of
-    ``WIDE_ROUNDS`` rounds over all training texts, every second unit moves to the class
-    that its own neighbours make likeliest; the likeliest state of all rounds is kept."""
+def classes_of(encoded: DataFrame, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(of, grid, inner): the class of each unit (the words of the head, then the endings,
+    then the end of a text), the counts of neighbouring classes, and those of them whose
+    second unit is a word of the head or the end. ``exchange`` clusters the types; every
+    word of the head starts in the class of its type. Then, in each of ``WIDE_ROUNDS``
+    rounds over all training texts, every second unit moves to the class that its own
+    neighbours make likeliest; the likeliest state of all rounds is kept."""
     h, chains = len(words), encoded.where("train").select("ids")
     core = min(h, WORD_TYPES)
     types = np.array([*range(core), *(WORD_TYPES + ending(w) for w in words[core:]), *range(WORD_TYPES, TYPES)], np.int64)
-    of = exchange(_steps(chains, types, TYPES))[types]
-    grid = _steps(chains, of, N)
-    best, idle = (likelihood(grid), of, grid), 0
+    inside = np.ones(len(types), bool)
+    inside[h:-1] = False
+    pairs, inner = _steps(chains, types, TYPES, inside)
+    of_type = exchange(pairs)
+    one, of = np.eye(N)[of_type], of_type[types]
+    grid, inner = one.T @ pairs @ one, one.T @ inner @ one
+    best = likelihood(grid), of, grid, inner
     for k in range(WIDE_ROUNDS):
         units, to = _moves(chains, of, grid, k % 2)
-        idle = 0 if len(units) else idle + 1
-        if idle == 2:
-            break
         if len(units):
             of = of.copy()
             of[units] = to
-            grid = _steps(chains, of, N)
-            best = max(best, (likelihood(grid), of, grid), key=lambda x: x[0])
-    return best[1], best[2]
+            grid, inner = _steps(chains, of, N, inside)
+            best = max(best, (likelihood(grid), of, grid, inner), key=lambda x: x[0])
+    return best[1:]
 
 
 def _rare(encoded: DataFrame, of: np.ndarray, h: int) -> DataFrame:
@@ -323,20 +333,28 @@ def _rare_classes(rare: DataFrame, grid: np.ndarray) -> DataFrame:
             n, own = b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             cells = b.column(3)
             flat, sizes = cells.flatten(), np.diff(cells.offsets.to_numpy())
-            left = np.zeros((len(n), N))
-            left[np.repeat(np.arange(len(n)), sizes), flat.field(0).to_numpy(zero_copy_only=False)] = flat.field(1).to_numpy(zero_copy_only=False)
-            gains = np.empty((len(n), CLASSES))
-            for c in range(CLASSES):
-                here = (own == c).astype(np.float64)
-                col, total = grid[:, c] - here[:, None] * left, into[c] - here * n
-                gains[:, c] = (_xlogx(col + left) - _xlogx(col)).sum(axis=1) - (_xlogx(total + n) - _xlogx(total))
-            best, rows = gains.argmax(axis=1), np.arange(len(n))
-            better_there = (n >= LEAST) & (gains[rows, best] > gains[rows, own] + 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.where(better_there, best, own).astype(np.int32)), cells],
+            before, times = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            often = n >= LEAST
+            row = np.repeat(np.arange(len(n)), sizes)
+            before, times, row = before[often[row]], times[often[row]].astype(np.float64)[:, None], row[often[row]]
+            cls = own.copy()
+            if len(row):
+                # Only the classes that come before the word change the likelihood.
+                at = np.flatnonzero(often)
+                here = (own[at][:, None] == np.arange(CLASSES)) * 1.0
+                number = np.cumsum(often)[row] - 1
+                cell = grid[before, :CLASSES] - here[number] * times
+                total = into[:CLASSES] - here * n[at][:, None]
+                gains = (np.add.reduceat(_xlogx(cell + times) - _xlogx(cell), np.flatnonzero(np.r_[True, np.diff(row) > 0]))
+                         - (_xlogx(total + n[at][:, None]) - _xlogx(total)))
+                to, k = gains.argmax(axis=1), np.arange(len(at))
+                cls[at] = np.where(gains[k, to] > gains[k, own[at]] + 1e-9, to, own[at])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cls.astype(np.int32)), cells],
                                              names=["word", "n", "cls", "cells"])
 
     path = scratch_path(rare.sparkSession, "lm-rare")
-    (rare.where("train").groupBy("word", "own", "before").agg(F.count(F.lit(1)).alias("n"))
+    # Dealt by word once; no word outside the head is hot.
+    (rare.where("train").select("word", "own", "before").repartition("word").groupBy("word", "own", "before").agg(F.count(F.lit(1)).alias("n"))
      .groupBy("word", "own").agg(F.sum("n").alias("n"), F.collect_list(F.struct("before", "n")).alias("cells"))
      .select("word", "n", "own", "cells")
      .mapInArrow(run, "word binary, n long, cls int, cells array<struct<before:int,n:long>>")
@@ -360,11 +378,8 @@ class Model(NamedTuple):
 def train(encoded: DataFrame, words: list[bytes], counts: np.ndarray) -> Model:
     """The class model of the training texts among ``encoded``."""
     h = len(words)
-    of, grid = classes_of(encoded, words)
+    of, grid, steps = classes_of(encoded, words)
     rare = _rare_classes(_rare(encoded, of, h), grid)
-    targets = np.ones(len(of), bool)
-    targets[h:-1] = False
-    steps = _steps(encoded.where("train").select("ids"), of, N, targets)
     for r in (rare.select("cls", F.explode("cells").alias("c")).groupBy("cls", "c.before").agg(F.sum("c.n").alias("n")).collect()):
         steps[r["before"], r["cls"]] += r["n"]
     distinct, tokens = np.bincount(of[:h], minlength=N).astype(float), np.bincount(of[:h], counts, N)
