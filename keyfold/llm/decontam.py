@@ -17,9 +17,6 @@ from keyfold.llm.common import _arrow_types, cut, id_and_bytes
 BLOCK_ITEMS = 4096
 #: Rank of the latent space, and extra directions of the randomised range finder.
 RANK, EXTRA, POWER = 128, 16, 2
-#: Documents, about, on whose passages the latent space is fitted (sampled by hash); the
-#: term statistics and the search cover all documents.
-FIT_DOCS = 2000
 #: Words of a passage when terms are counted and the space is fitted.
 PASSAGE = 32
 #: Words summed together; window starts and lengths are multiples of it.
@@ -42,6 +39,10 @@ WIDE, WIDE_WORDS = 3, 12
 RARE = 4
 #: Words searched together, and windows whose vectors are made together.
 TOGETHER, ROWS = 1 << 16, 256
+#: Pairs of terms that a task counts together, and counts that it holds before it passes
+#: them on; parts that the rows of the table of counts are dealt into; cells of the table
+#: that are multiplied together.
+PAIRS, HELD, PARTS, CELLS = 1 << 21, 1 << 21, 256, 1 << 20
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -110,35 +111,116 @@ def _passages(ids: np.ndarray) -> np.ndarray:
     return np.arange(len(ids)) // PASSAGE
 
 
-def document_frequencies(docs: DataFrame, items: Items) -> tuple[int, np.ndarray]:
-    """(passages, passages per term) over all documents: counted per task, then summed;
-    term 0 carries the number of passages."""
-    terms = items.terms
+def _counted(texts_ids: list[np.ndarray], terms: int) -> list[np.ndarray]:
+    """Cells of the table of ``co_occurrences`` on and above its diagonal, each as often as
+    it counts, of the passages of encoded texts."""
+    base = np.cumsum([0] + [-(-len(x) // PASSAGE) for x in texts_ids])
+    ids = np.concatenate(texts_ids).astype(np.int64)
+    at = np.concatenate([_passages(x) + n for x, n in zip(texts_ids, base)])
+    key, n = np.unique((at * terms + ids)[ids > 0], return_counts=True)
+    passage, term = np.divmod(key, terms)
+    out = [np.zeros(base[-1], np.int64), term, np.repeat(term * (terms + 1), n * n)]
+    for k in range(1, PASSAGE):
+        first = np.flatnonzero(passage[k:] == passage[:-k])
+        if not len(first):
+            break
+        out.append(np.repeat(term[first] * terms + term[first + k], n[first] * n[first + k]))
+    return out
+
+
+def _added(held: tuple[np.ndarray, np.ndarray], key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sum of each one's numbers."""
+    key, n = np.concatenate([held[0], key]), np.concatenate([held[1], n])
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1) > 0)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+_NONE = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def _dealt(cell: np.ndarray, n: np.ndarray, terms: int) -> pa.RecordBatch:
+    """Cells and their numbers as a row per part; row 0 of the table is a part of its own."""
+    row = cell // terms
+    part = np.where(row > 0, row % PARTS, -1)
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    found = [[x.tobytes() for x in np.split(y[order], first[1:])] if len(parts) else [] for y in (cell, n)]
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *[pa.array(x, pa.binary()) for x in found]], names=["part", "cells", "n"])
+
+
+def _cells(batch: pa.RecordBatch):
+    """(part, cells, numbers) of the rows that ``_dealt`` made."""
+    for part, cell, n in zip(*(c.to_pylist() for c in batch.columns)):
+        yield part, np.frombuffer(cell, np.int64), np.frombuffer(n, np.int64)
+
+
+def co_occurrences(docs: DataFrame, items: Items) -> DataFrame:
+    """(part, cells, n): over the passages of all documents, how often each two terms meet,
+    repeats counted (the Gram matrix of the passages' term counts), cell i * terms + j for
+    each of its two triangles. Row 0: how many passages hold each term, column 0: passages.
+
+    Counted per task within ``HELD`` cells; the upper triangle is added up part by part, and
+    each part then sends what it mirrors to the parts of those rows. The table is bounded by
+    the block's terms, whatever the corpus."""
+    terms, schema = items.terms, "part int, cells binary, n binary"
+
+    def count(batches):
+        held, new, texts, size, pairs = _NONE, [], [], 0, 0
+
+        def add():
+            key = np.sort(np.concatenate(new))
+            first = np.flatnonzero(np.diff(key, prepend=-1) > 0)
+            return _added(held, key[first], np.diff(first, append=len(key)))
+
+        def counted():
+            found = _counted(texts, terms)
+            new.extend(found)
+            return sum(map(len, found))
 
-    def run(batches):
-        total = np.zeros(terms, np.int64)
         for b in batches:
-            keys, base = [], 0
             for text in b.column(1):
                 ids = items.encode(text.as_py())
-                if not len(ids):
-                    continue
-                at = base + _passages(ids)
-                base = int(at[-1]) + 1
-                known = ids > 0
-                keys.append(at[known] * terms + ids[known])
-                if sum(map(len, keys)) > TOGETHER * 8:
-                    total += np.bincount(np.unique(np.concatenate(keys)) % terms, minlength=terms)
-                    keys = []
-            if keys:
-                total += np.bincount(np.unique(np.concatenate(keys)) % terms, minlength=terms)
-            total[0] += base
-        term = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(term.astype(np.int32)), pa.array(total[term])], names=["term", "n"])
-
-    found = docs.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(terms, np.int64)
-    df[found["term"].to_numpy()] = found["n"].to_numpy()
+                # of a long text, whole passages together
+                for s in range(0, len(ids), TOGETHER):
+                    texts.append(ids[s:s + TOGETHER])
+                    size += len(texts[-1])
+                    if size >= TOGETHER:
+                        pairs += counted()
+                        texts, size = [], 0
+                        if pairs >= PAIRS:
+                            held, new, pairs = add(), [], 0
+                            if len(held[0]) >= HELD:
+                                yield _dealt(*held, terms)
+                                held = _NONE
+        if texts:
+            counted()
+        if new:
+            held = add()
+        if len(held[0]):
+            yield _dealt(*held, terms)
+
+    def total(batches, mirrored: bool):
+        held: dict[int, tuple] = {}
+        for b in batches:
+            for part, cell, n in _cells(b):
+                held[part] = _added(held.get(part, _NONE), cell, n)
+        for cell, n in held.values():
+            row, column = np.divmod(cell, terms)
+            below = (row > 0) & (row < column) if mirrored else np.zeros(len(cell), bool)
+            yield _dealt(np.r_[cell, column[below] * terms + row[below]], np.r_[n, n[below]], terms)
+
+    upper = docs.mapInArrow(count, schema).repartition("part").mapInArrow(lambda batches: total(batches, True), schema)
+    return cut(upper.repartition("part").mapInArrow(lambda batches: total(batches, False), schema))
+
+
+def document_frequencies(table: DataFrame, items: Items) -> tuple[int, np.ndarray]:
+    """(passages, passages per term) from row 0 of ``co_occurrences``."""
+    df = np.zeros(items.terms, np.int64)
+    for b in table.where("part = -1").toArrow().to_batches():
+        for _, cell, n in _cells(b):
+            df[cell] += n
     return int(df[0]), df
 
 
@@ -167,24 +249,42 @@ def _gram(texts_ids: list[np.ndarray], idf: np.ndarray, basis: np.ndarray) -> np
     return out
 
 
-def latent_space(sample: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Term vectors (terms x rank) of a randomised SVD of the TF-IDF passages of ``sample``
-    and of the items: a random range of rank + EXTRA directions, POWER distributed
-    products with A^T A, orthogonalised each time, then a small eigenproblem. Directions
-    are divided by their singular value, so that common words do not rule the cosine."""
+def _product(cell: np.ndarray, n: np.ndarray, weighed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, their product with ``weighed``) of sorted cells of the table of co-occurrences."""
+    row, column = np.divmod(cell, len(weighed))
+    rows, first = np.unique(row, return_index=True)
+    out, ends = np.zeros((len(rows), weighed.shape[1])), np.r_[first, len(cell)]
+    step = max(1, CELLS // len(weighed))
+    for s in range(0, len(rows), step):
+        last = min(len(rows), s + step)
+        a, b = ends[s], ends[last]
+        used, at = np.unique(column[a:b], return_inverse=True)
+        dense = np.zeros((last - s, len(used)))
+        dense[np.repeat(np.arange(last - s), np.diff(ends[s:last + 1])), at] = n[a:b]
+        out[s:last] = dense @ weighed[used]
+    return rows, out
+
+
+def latent_space(table: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """Term vectors (terms x rank) of a randomised SVD of the TF-IDF passages of all
+    documents, given as ``co_occurrences``, and of the items: a random range of rank + EXTRA
+    directions, POWER distributed products with A^T A, orthogonalised each time, then a
+    small eigenproblem. Directions are divided by their singular value, so that common
+    words do not rule the cosine."""
     size = min(rank + EXTRA, items.terms)
     basis = np.linalg.qr(np.random.default_rng(0).standard_normal((items.terms, size)))[0]
     for k in range(POWER + 1):
-        def run(batches, basis=basis):
-            total = np.zeros(basis.shape)
+        def run(batches, weighed=basis * idf[:, None]):
             for b in batches:
-                total += _gram([x for t in b.column(1) if len(x := items.encode(t.as_py()))], idf, basis)
-            cell = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total.ravel()[cell])], names=["cell", "v"])
+                for _, cell, n in _cells(b):
+                    rows, v = _product(cell, n, weighed)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array([x.tobytes() for x in v], pa.binary())],
+                                                     names=["term", "v"])
 
-        found = sample.mapInArrow(run, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
         image = _gram(items.ids, idf, basis)
-        image.ravel()[found["cell"].to_numpy()] += found["v"].to_numpy()
+        for b in table.where("part >= 0").mapInArrow(run, "term int, v binary").toArrow().to_batches():
+            row = b.column(0).to_numpy()
+            image[row] += idf[row, None] * np.frombuffer(b"".join(b.column(1).to_pylist())).reshape(-1, size)
         if k < POWER:
             basis = np.linalg.qr(image)[0]
     value, vector = np.linalg.eigh(basis.T @ image)
@@ -337,14 +437,15 @@ def _search(docs: DataFrame, items: Items, idf: np.ndarray, terms: np.ndarray, c
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", cosine: float = COSINE, fit_docs: int = FIT_DOCS) -> DataFrame:
+         item_text_col: str = "text", cosine: float = COSINE) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, answer, start_word): each document and benchmark item
     whose passage it holds, verbatim or paraphrased; only such pairs are returned.
 
-    The items are a query set, searched in blocks of ``BLOCK_ITEMS``. Per block: passage
-    frequencies of the items' words over all documents give the TF-IDF weights; a
-    distributed randomised SVD gives the latent space (``latent_space``, fitted on about
-    ``fit_docs`` documents and all items); all windows of all texts are searched by cosine
+    The items are a query set, searched in blocks of ``BLOCK_ITEMS``. Per block: one pass
+    counts the passages of all documents that hold each of the items' words, for the TF-IDF
+    weights, and how often each two meet (``co_occurrences``); a distributed randomised SVD
+    of those counts gives the latent space of all documents and all items
+    (``latent_space``); all windows of all texts are searched by cosine
     within their partition; candidates are held against the text: ``CONTAINED`` of the
     item's TF-IDF weight on the window's terms, then a longest common subsequence with ``SAME`` of the item's words, or ``PARAPHRASE`` of them and
     ``ANSWER`` of its last sentence. An item with foreign words between its own is found if
@@ -363,19 +464,19 @@ def find(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_
     queries = benchmark.select(F.col(f"`{item_col}`").cast(kind).alias("doc_id"),
                                F.col(f"`{item_text_col}`").cast("string").cast("binary").alias("text")).where("text IS NOT NULL").distinct()
     blocks = math.ceil(queries.count() / BLOCK_ITEMS)
-    n_docs = texts.count() if blocks else 0
     found = docs.sparkSession.createDataFrame([], schema)
     for k in range(blocks):
         block = queries.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == k)
         items = Items([(r["doc_id"], bytes(r["text"])) for r in block.orderBy("doc_id", "text").collect()])
-        if not items.ids or not n_docs:
+        if not items.ids:
+            continue
+        table = co_occurrences(texts, items)
+        passages, df = document_frequencies(table, items)
+        if not passages:
             continue
-        passages, df = document_frequencies(texts, items)
         idf = np.log((1 + passages) / (1 + df)) + 1
         idf[0] = 0
-        scale = 1 << 30
-        sample = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < round(min(1.0, fit_docs / n_docs) * scale))
-        found = found.unionByName(_search(texts, items, idf, latent_space(cut(sample), items, idf), cosine, schema))
+        found = found.unionByName(_search(texts, items, idf, latent_space(table, items, idf), cosine, schema))
     return (found.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("lcs", "answer", "cosine", "start_word")).alias("b"))
         .select("doc_id", "item_id", "b.cosine", "b.lcs", "b.answer", "b.start_word"))

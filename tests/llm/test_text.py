@@ -196,6 +196,39 @@ def test_items_in_several_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(k, k) for k in range(10)}
 
 
+def test_latent_space_of_all_documents(spark):
+    """Counts and cosines against the passages of every document, held in one place."""
+    rng = random.Random(11)
+    vocab = [f"w{k}" for k in range(60)]
+    items = [" ".join(rng.choices(vocab, k=20)) for _ in range(3)]
+    texts = [" ".join(rng.choices(vocab + ["other"], k=rng.choice([5, 40]))) for _ in range(2600)]
+    texts += [" ".join([*rng.choices(vocab, k=9), t, "w1 " * 200]) for t in items]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    block = decontam.Items([(k, t.encode()) for k, t in enumerate(items)])
+    encoded = [block.encode(t.encode()) for t in texts]
+    counts = np.array([np.bincount(x[s:s + decontam.PASSAGE], minlength=block.terms)
+                       for x in encoded for s in range(0, len(x), decontam.PASSAGE)])
+    table = decontam.co_occurrences(decontam.id_and_bytes(docs, "doc_id", "text"), block)
+    passages, df = decontam.document_frequencies(table, block)
+    assert passages == len(counts) and df[1:].tolist() == (counts > 0).sum(axis=0)[1:].tolist()
+    gram = np.zeros((block.terms, block.terms), np.int64)
+    for r in table.where("part >= 0").collect():
+        gram.ravel()[np.frombuffer(r["cells"], np.int64)] += np.frombuffer(r["n"], np.int64)
+    assert (gram[1:, 1:] == (counts.T @ counts)[1:, 1:]).all()
+
+    idf = np.log((1 + passages) / (1 + df)) + 1
+    idf[0] = 0
+    weighed = np.vstack([counts, *[np.bincount(x[s:s + decontam.PASSAGE], minlength=block.terms)
+                                   for x in block.ids for s in range(0, len(x), decontam.PASSAGE)]]) * idf
+    _, value, vector = np.linalg.svd(weighed, full_matrices=False)
+    top = value > 1e-4 * value.max()                                                # all: fewer terms than RANK
+    search = decontam.Searcher(block, idf, (vector[top].T / value[top] * idf[:, None]).astype(np.float32), decontam.COSINE)
+    want = {(d, i): c for d, i, c, *_ in search.hits(encoded)}
+    got = {(r["doc_id"], r["item_id"]): r["cosine"] for r in decontam.find(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert {(2600 + k, k) for k in range(3)} <= set(want) == set(got)
+    assert all(abs(got[k] - want[k]) < 1e-3 for k in want)
+
+
 # ------------------------------------------------------------------ substring dedup
 def test_spans(spark):
     random.seed(4)
