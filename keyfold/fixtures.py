@@ -122,13 +122,17 @@ EVENTS_RAW_SCHEMA = T.StructType([
 ])
 
 
+def events_parts(spark: SparkSession, sf_dir: str, rows_per_file: int = 500_000) -> int:
+    """Landing files of a period of events."""
+    return -(-table(spark, sf_dir, "events").count() // (5 * rows_per_file)) or 1
+
+
 def events_landing(spark: SparkSession, sf_dir: str, folder: str, files: tuple[int, ...] = (0, 1, 2, 3, 4),
                    rows_per_file: int = 500_000) -> str:
     """Events as landing files of six days each, dealt by user into parts, so many that no
     part holds more than about ``rows_per_file`` rows; each is written by one task. The
     first part of a period has the plain name."""
-    events = events_raw(spark, sf_dir)
-    parts = -(-events.count() // (5 * rows_per_file)) or 1
+    events, parts = events_raw(spark, sf_dir), events_parts(spark, sf_dir, rows_per_file)
     part = F.pmod(F.xxhash64("user_id"), F.lit(parts))
     plain = events_file_name(F.col("ts"))
     name = F.when(part == 0, plain).otherwise(F.concat(F.replace(plain, F.lit(".csv"), F.lit("_p")), part.cast("string"), F.lit(".csv")))

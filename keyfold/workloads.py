@@ -756,7 +756,11 @@ def q_new_bronze_to_silver(spark, sf_dir):
     return silver.read()
 
 
-def _events_stream(spark, sf_dir, **options):
+def _events_stream(spark, sf_dir, *, by_period: bool = False, **options):
+    """``by_period``: a micro-batch takes as many files as a period has, which land one
+    behind another, so the number of micro-batches does not grow with the files."""
+    if by_period:
+        options["max_files"] = fx.events_parts(spark, sf_dir)
     base = scratch_path(spark, "events_stream")
     landing = fx.events_landing(spark, sf_dir, f"{base}/landing")
     bronze = _layer(spark, base, "bronze", keys=["user_id"] if options.get("write_mode") == "merge" else [])
@@ -773,9 +777,9 @@ def q_stream_raw_to_bronze(spark, sf_dir):
 
 @register("stream_raw_to_bronze_merge", _merge_files_in_order_sql())
 def q_stream_raw_to_bronze_merge(spark, sf_dir):
-    """Merge-mode bronze fed by the file stream, one landing file per micro-batch
-    (files in landing order): each micro-batch is one merge, as in the oracle."""
-    return _events_stream(spark, sf_dir, op_col="op", write_mode="merge", max_files=1)[0].read()
+    """Merge-mode bronze fed by the file stream, one period's landing file, with all its
+    parts, per micro-batch (files in landing order): each micro-batch is one merge, as in the oracle."""
+    return _events_stream(spark, sf_dir, op_col="op", write_mode="merge", by_period=True)[0].read()
 
 
 @register("stream_archive", f"""WITH {EV_RAW}
@@ -783,7 +787,7 @@ SELECT file_name, 'accept' AS action, true AS archived FROM ev GROUP BY file_nam
 def q_stream_archive(spark, sf_dir):
     """Where the stream's files are in the end: archived by the source, the last batch's by
     ``settle``. The archive keeps each file's path below it."""
-    bronze, stream = _events_stream(spark, sf_dir, clean_source="archive", max_files=1, archive_dir=scratch_path(spark, "archive"))
+    bronze, stream = _events_stream(spark, sf_dir, clean_source="archive", by_period=True, archive_dir=scratch_path(spark, "archive"))
     kept = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(stream.archive_dir)
             .select(F.element_at(F.split("path", "/"), -1).alias("file_name")))
     done = bronze.done_files().select(F.col("name").alias("file_name"), "action")

@@ -453,3 +453,28 @@ def test_silver_from_new_loads_equals_reading_all_of_bronze(spark):
         assert ingest.new_bronze_to_silver(spark, bronze, new, ["K"], seq="SEQ", op_col="OP") == 1
         assert rows(new.read()) == rows(full.read().where("K IS NOT NULL"))
     assert ingest.new_bronze_to_silver(spark, bronze, new, ["K"], seq="SEQ", op_col="OP") == 0
+
+
+@pytest.mark.parametrize("key", ["stream_raw_to_bronze_merge", "stream_archive"])
+def test_micro_batch_holds_a_period(monkeypatch, key):
+    """As many files as the period has parts, so more files make no more micro-batches."""
+    from types import SimpleNamespace
+
+    from keyfold import fixtures, workloads
+    seen = {}
+
+    class Stream:
+        def __init__(self, *args, **options):
+            seen.update(options)
+
+        def run(self):
+            raise StopIteration
+
+    monkeypatch.setattr(workloads, "FileStream", Stream)
+    monkeypatch.setattr(workloads, "_layer", lambda *a, **k: SimpleNamespace())
+    monkeypatch.setattr(workloads, "scratch_path", lambda spark, name: name)
+    monkeypatch.setattr(fixtures, "events_landing", lambda spark, sf_dir, folder: folder)
+    monkeypatch.setattr(fixtures, "events_parts", lambda spark, sf_dir: 15, raising=False)
+    with pytest.raises(StopIteration):
+        workloads.QUERIES[key](None, "")
+    assert seen["max_files"] == 15
