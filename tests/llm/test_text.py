@@ -55,6 +55,21 @@ def test_language_id(docs, no_docs, texts):
     assert langid.identify(no_docs).count() == 0 and langid.accepted(no_docs).count() == 0
 
 
+def test_language_model_of_all_rows(spark):
+    """Probabilities fitted by hand on every training row: more rows than 1,000 a language."""
+    texts = [(k, f"haus {'maus' if k % 3 else 'laus'} w{'abcdefg'[k % 7]}{'hijklmn'[k // 7 % 7]}", "de" if k % 5 else "en") for k in range(1600)]
+    rows = spark.createDataFrame([*texts, (1600, "zzz", "fr"), (1601, "qqq", None), (1602, None, "de")], "doc_id long, text string, lang string")
+    vocabulary, languages, prob = langid.fit(rows, F.col("lang") != "fr")
+    assert languages == ["de", "en"]
+    counts = {k: Counter(w for _, t, lang in texts if lang == k for w in langid.parts_of(t)) for k in languages}
+    parts = sorted(set().union(*counts.values()))
+    want = None
+    for _ in range(langid.ROUNDS + 1):
+        total = langid.SMOOTH + langid.expected_counts(vocabulary, want, parts, np.array([[float(counts[k][p]) for k in languages] for p in parts]))
+        want = np.vstack([total / total.sum(axis=0), np.zeros(2)])
+    assert np.allclose(prob, want, rtol=1e-9)
+
+
 def test_language_is_no_input(docs):
     from pyspark.sql import functions as F
     swapped = docs.withColumn("source", F.lit("z")).withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.col("lang")))
