@@ -70,6 +70,48 @@ def test_language_model_of_all_rows(spark):
     assert np.allclose(prob, want, rtol=1e-9)
 
 
+def test_words_by_definition():
+    """Words of whole batches of texts are those of the definition, for every code point."""
+    import regex
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"{chr(c)} a{chr(c)}b" for c in points[s:s + 5000]) for s in range(0, len(points), 5000)]
+    texts += ["", " ", "\u0301", "x" * 100 + " Stra\u00dfe " + "\u00e9" * 40, "\u039f\u0394\u039f\u03a3", "\u0130\u0301 1\u0301a\u0301\u0301-\u0301b", ""]
+    want = [[w.encode() for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", t.lower())] for t in texts]
+    words, counts = langid.words_of(texts)
+    assert words.to_pylist() == [w for ws in want for w in ws] and counts.tolist() == [len(ws) for ws in want]
+    for t, ws in zip(texts, want):
+        units = [b" " + w for w in ws]
+        assert langid.parts_of(t) == [u[s:s + langid.PART] for u in units for s in range(0, len(u), langid.PART)]
+
+
+def test_words_are_scored_once(monkeypatch):
+    """A task works a word's marginals out once, and only where it occurs; results are the same when it forgets."""
+    vocabulary = langid.Vocabulary(list(packing.read_ranks(langid.VOCABULARY)))
+    r = np.random.default_rng(0)
+    prob = np.vstack([r.random((vocabulary.size, 3)) / vocabulary.size, np.zeros(3)])
+    texts = [" ".join(f"{'wxyz'[k % 4] * (k % 40 + 1)}{'abcde'[(k + j) % 5]}" for j in range(6)) for k in range(60)] + [None, "12"]
+    done, marginals = [], langid.log_marginals
+    monkeypatch.setattr(langid, "log_marginals", lambda v, p, parts: done.extend(parts.to_pylist()) or marginals(v, p, parts))
+    scorer = langid.Scorer(vocabulary, ["a", "b", "c"], prob)
+    got = [scorer.score(texts[s:s + 7]) for s in range(0, len(texts), 7)]
+    words = {w for t in texts if t for w in t.split() if w != "12"}
+    assert sorted(done) == sorted(p for w in words for p in langid.parts_of(w))
+    total = np.array([marginals(vocabulary, prob, langid.parts_of(t)).sum(axis=0) for t in texts[:60]])
+    assert [p for ps, _ in got for p in ps] == ["abc"[k] for k in total.argmax(axis=1)] + ["und"] * 2
+    assert np.allclose([s for _, ss in got for s in ss], [*1 / np.exp(total - total.max(axis=1)[:, None]).sum(axis=1), 0, 0])
+    monkeypatch.setattr(langid, "REMEMBERED", 5)
+    again = langid.Scorer(vocabulary, ["a", "b", "c"], prob)
+    assert [again.score(texts[s:s + 7])[0] for s in range(0, len(texts), 7)] == [p for p, _ in got]
+    parts = [b" hund", b" cat", b" der", b"x" * 32] * 3
+    counts = np.array([[2.0, 0, 0], [0, 3, 0], [1, 0, 4], [0, 0, 0]] * 3)
+    for p in (None, prob):
+        each = [langid.expected_counts(vocabulary, None if p is None else p[:, [k]], parts, counts[:, [k]]) for k in range(3)]
+        whole = langid.expected_counts(vocabulary, p, parts, counts)
+        assert np.allclose(whole, np.hstack(each))
+        monkeypatch.setattr(langid, "TOGETHER", 5)
+        assert np.allclose(whole, langid.expected_counts(vocabulary, p, parts, counts))
+
+
 def test_language_is_no_input(docs):
     from pyspark.sql import functions as F
     swapped = docs.withColumn("source", F.lit("z")).withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.col("lang")))
