@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -112,6 +113,74 @@ def test_words_are_scored_once(monkeypatch):
         assert np.allclose(whole, langid.expected_counts(vocabulary, p, parts, counts))
 
 
+def plain_forward_backward(vocabulary, prob, word):
+    """(log probability, expected uses of each piece) of a whole word, byte by byte in logarithms."""
+    piece = {int(k): n for n, k in enumerate(vocabulary.keys)}
+    keys = {(s, e): int.from_bytes(word[s:e].ljust(7, b"\0"), "little") | e - s << 56
+            for s in range(len(word)) for e in range(s + 1, min(len(word), s + langid.PIECE) + 1)}
+    arcs = [(s, e, piece[k], math.log(prob[piece[k]])) for (s, e), k in keys.items() if k in piece]
+    before, after = np.full((2, len(word) + 1), -np.inf)
+    before[0] = after[-1] = 0
+    for s, e, _, p in arcs:
+        before[e] = np.logaddexp(before[e], before[s] + p)
+    for s, e, _, p in reversed(arcs):
+        after[s] = np.logaddexp(after[s], after[e] + p)
+    uses = np.zeros(vocabulary.size)
+    for s, e, n, p in arcs:
+        uses[n] += math.exp(before[s] + p + after[e] - before[-1])
+    return before[-1], uses
+
+
+def test_long_words_are_scored_whole(monkeypatch):
+    """Words around and far beyond a block, alone and with short ones, in any company."""
+    vocabulary = langid.Vocabulary(list(packing.read_ranks(langid.VOCABULARY)))
+    r = np.random.default_rng(1)
+    prob = np.vstack([r.random((vocabulary.size, 2)) ** 4 / vocabulary.size, np.zeros(2)])
+    letters = "donaudampfschifffahrtsgesellschaftskapit\u00e4nundthestationmanager\u7684\u4eba\u662f\u4e00" * 20
+    words = [w.encode() for n in (1, 9, 30, 31, 32, 33, 36, 37, 38, 62, 63, 64, 70, 128, 700, 5) for w in (letters[n % 11:n % 11 + n],)]
+    scored = [b" " + w for w in words]
+    counts = r.integers(0, 3, (len(words), 2)).astype(float)
+    want = [[plain_forward_backward(vocabulary, prob[:, k], w) for k in range(2)] for w in scored]
+    uses = sum(np.array([n * u for n, (_, u) in zip(c, row)]).T for c, row in zip(counts, want))
+    for together in (langid.TOGETHER, 5, 1):
+        monkeypatch.setattr(langid, "TOGETHER", together)
+        monkeypatch.setattr(langid, "USES", together, raising=False)
+        got = langid.Scorer(vocabulary, ["a", "b"], prob).log_probabilities(pa.array(words, pa.binary()))
+        assert np.allclose(got, [[v for v, _ in row] for row in want], rtol=1e-9)
+        found = langid.expected_counts(vocabulary, prob, scored, counts)
+        assert np.allclose(found, uses, rtol=1e-6, atol=1e-9)
+        assert np.isclose(found.T @ (vocabulary.keys >> np.uint64(56)), counts.T @ [len(w) for w in scored]).all()   # every byte is used once
+        seen = langid.expected_counts(vocabulary, None, scored, counts)
+        of = {int(k): n for n, k in enumerate(vocabulary.keys)}
+        for p in (b"schaft", b"sch", b"t", "\u7684".encode()):
+            n = of[int.from_bytes(p.ljust(7, b"\0"), "little") | len(p) << 56]
+            assert np.allclose(seen[n], counts.T @ [sum(w.startswith(p, s) for s in range(len(w))) for w in scored])
+    assert langid.log_marginals(vocabulary, prob, [b"x", b"", b"y"])[1].tolist() == [0, 0]
+
+
+#: Ten characters that all languages share, before one of a language's own: its bytes lie about byte 32 of the scored word.
+SHARED, OWN = "\u4e00\u662f\u4e0d\u4e86\u4eba\u6211\u5728\u6709\u4ed6\u8fd9", {"a": "\u56fd", "b": "\u4e2d", "c": "\u4e0a", "d": "\u6765"}
+
+
+def test_language_of_a_long_word(spark):
+    rows = [(k, f"{' '.join(SHARED)} {OWN['abcd'[k % 4]]} " * 20, "abcd"[k % 4]) for k in range(96)]
+    rows += [(1000 + k, SHARED + c, None) for k, c in enumerate(OWN.values())]
+    got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[1000 + k]["lang_pred"] for k in range(4)] == list(OWN)
+    assert all(got[1000 + k]["score"] > 0.9 for k in range(4))
+
+
+def test_language_model_of_long_words(spark):
+    """A character that training rows hold about byte 32 of a word only is learnt as a piece."""
+    rows = [(k, f"{SHARED}{OWN[k]} " * 20, k) for k in OWN for _ in range(30)] + [("z", "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    vocabulary, languages, prob = langid.fit(docs, F.lit(True))
+    of = {int(k): n for n, k in enumerate(vocabulary.keys)}
+    for k, c in OWN.items():
+        row = prob[of[int.from_bytes(c.encode().ljust(7, b"\0"), "little") | 3 << 56]]
+        assert languages[row.argmax()] == k and row.max() > 0.01
+
+
 def test_language_is_no_input(docs):
     from pyspark.sql import functions as F
     swapped = docs.withColumn("source", F.lit("z")).withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2, F.col("lang")))
