@@ -49,3 +49,14 @@ def test_packed_rows_follow_the_training_order(spark, tmp_path):
     assert all(by_place[r["position"]] in r["doc_ids"] for r in rows)
     unread = corpus_pipeline.token_rows(spark, docs, SF)              # not read from files: no order
     assert {r["position"] for r in unread.collect()} == {None}
+
+
+def test_language_stage_reads_long_words_whole(spark):
+    """The one character that tells the languages apart lies about byte 32 of a word: the
+    row is kept, as the word is scored whole."""
+    shared, own = "\u4e00\u662f\u4e0d\u4e86\u4eba\u6211\u5728\u6709\u4ed6\u8fd9", {"a": "\u56fd", "b": "\u4e2d", "c": "\u4e0a", "d": "\u6765"}
+    rows = [(k, f"{' '.join(shared)} {own['abcd'[k % 4]]} " * 20, "abcd"[k % 4]) for k in range(96)]
+    rows += [(1000 + k, shared + c, None) for k, c in enumerate(own.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, docs, SF)
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows}
